@@ -22,16 +22,15 @@ from headway.functions import (
     is_on_time,
     ratio_pct,
     schedule_relationship,
+    share_pct,
     seconds_since_day_start,
     weekday_flag,
 )
 from headway.operators import (
     OCCUPANCY_STATUS_COLUMNS,
     active_on_dates,
-    coverage_pct,
     earliest_per_key,
     resolve_dates,
-    status_mix,
 )
 from headway.plans._common import DateSet, col_or_null, date_frame, in_dates, where_opt
 
@@ -75,18 +74,34 @@ def mart_stop_events(fact_vp: DataFrame, stop_times: DataFrame, routes: DataFram
 
 
 def mart_occupancy_route_hour(fact_vp: DataFrame, routes: DataFrame, dates: DateSet = None) -> DataFrame:
-    """Occupancy per (service_date, hour, route) for buses, first stop excluded."""
+    """Occupancy per (service_date, hour, route) for buses, first stop excluded.
+
+    Plan: the fact rows are first reduced to counts per (service_date, hour, route, version) in a
+    numeric hash aggregate (partial per task, so a hot route is pre-combined before the shuffle);
+    only those partial counts meet the route dimension (inner join = bus filter) and the final
+    roll-up over versions.  Every output equals the row-level formula: shares are counts over the
+    row count, the mean is sum / count of the reported percentages."""
     f = where_opt(fact_vp, in_dates("service_date", dates))
-    f = f.where(F.col("current_stop_sequence") != 1).select(
-        "service_date", "hour", "route_id", "static_version_date", "occupancy_percentage", "occupancy_status")
+    f = f.where(F.col("current_stop_sequence") != 1)
+    occ, status = F.col("occupancy_percentage"), F.col("occupancy_status")
+    shares = list(OCCUPANCY_STATUS_COLUMNS.items())
+    part = f.groupBy("service_date", "hour", "route_id", "static_version_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(occ).alias("n_occ"),
+        F.sum(occ.cast("bigint")).alias("sum_occ"),
+        *[F.count_if(status.isNull() if v is None else status == v).alias(f"n_{name}") for name, v in shares])
     r = _bus_routes(routes).select(F.col("feed_start_date").alias("static_version_date"), "route_id", "route_name")
-    j = f.join(r, ["route_id", "static_version_date"])
-    return (j.groupBy("service_date", "hour", "route_id")
-             .agg(F.max("route_name").alias("route_name"),
-                  F.count(F.lit(1)).alias("snapshot_count"),
-                  F.avg("occupancy_percentage").alias("avg_occupancy_pct"),
-                  coverage_pct("occupancy_percentage").alias("pct_snapshots_reporting"),
-                  *status_mix("occupancy_status", OCCUPANCY_STATUS_COLUMNS)))
+    j = part.join(r, ["route_id", "static_version_date"])
+    agg = j.groupBy("service_date", "hour", "route_id").agg(
+        F.max("route_name").alias("route_name"),
+        F.sum("n").alias("snapshot_count"),
+        F.sum("n_occ").alias("n_occ"), F.sum("sum_occ").alias("sum_occ"),
+        *[F.sum(f"n_{name}").alias(f"n_{name}") for name, _ in shares])
+    return agg.select(
+        "service_date", "hour", "route_id", "route_name", "snapshot_count",
+        (F.col("sum_occ").cast("double") / F.nullif(F.col("n_occ"), F.lit(0)).cast("double")).alias("avg_occupancy_pct"),
+        share_pct("n_occ", "snapshot_count").alias("pct_snapshots_reporting"),
+        *[share_pct(f"n_{name}", "snapshot_count").alias(name) for name, _ in shares])
 
 
 # --- alerts ---------------------------------------------------------------------------------

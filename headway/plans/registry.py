@@ -22,8 +22,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 UPSERT_SPLIT_DAY = "2024-01-15"
 
 
+_MODELS: dict[tuple[str, str], TransitModel] = {}
+
+
 def _m(spark: SparkSession, d: str) -> TransitModel:
-    return TransitModel(spark, d)
+    """One model (a set of lazy plans) per session and data directory; plans are immutable, so
+    queries can share them."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS or _MODELS[key].spark is not spark:
+        _MODELS[key] = TransitModel(spark, d)
+    return _MODELS[key]
 
 
 def _raw_alerts(spark, d):

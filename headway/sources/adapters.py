@@ -8,7 +8,7 @@ fixed by that contract.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,23 +46,6 @@ def _hms(sec: Column) -> Column:
                            (F.floor(sec / 60).cast("int") % 60))
 
 
-@dataclass
-class TransitData:
-    """The transit tables derived from one driver data directory."""
-
-    events: DataFrame
-    dim_static_versions: DataFrame
-    dim_routes: DataFrame
-    dim_stops: DataFrame
-    dim_trips: DataFrame
-    dim_stop_times: DataFrame
-    dim_calendar: DataFrame
-    dim_calendar_dates: DataFrame
-    raw_vehicle_positions: DataFrame
-    raw_trip_updates: DataFrame
-    alert_snapshots: DataFrame
-
-
 def event_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     ts = F.col("ts")
@@ -83,112 +66,151 @@ def static_versions(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(_explode_versions().alias("feed_start_date"))
 
 
-def load(spark: SparkSession, sf_dir: str) -> TransitData:
-    ev = event_base(spark, sf_dir)
-    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    versions = static_versions(spark)
-
-    sk = F.col("s_suppkey")
-    routes = supplier.select(
-        _explode_versions().alias("feed_start_date"),
-        F.concat(F.lit("R"), sk.cast("string")).alias("route_id"),
-        F.when(sk % 4 == 3, F.concat(F.lit("SL"), sk.cast("string"))).otherwise(sk.cast("string"))
-         .alias("route_short_name"),
-        F.when(sk % 3 == 2, F.lit(1)).otherwise(F.lit(3)).cast("int").alias("route_type"),
-    )
-
-    n = F.col("n_nationkey")
-    stops = nation.select(
-        _explode_versions().alias("feed_start_date"),
-        F.concat(F.lit("P"), n.cast("string")).alias("stop_id"),
-        F.concat(F.lit("Stop "), (n % 20).cast("string")).alias("stop_name"),
-        (F.lit(42.0).cast("double") + n.cast("double") / 1000.0).alias("stop_lat"),
-        (F.lit(-71.0).cast("double") - n.cast("double") / 1000.0).alias("stop_lon"),
-    )
-    trips = nation.select(
-        _explode_versions().alias("feed_start_date"),
-        F.concat(F.lit("T"), n.cast("string")).alias("trip_id"),
-        F.concat(F.lit("R"), (n % 10).cast("string")).alias("route_id"),
-        F.concat(F.lit("S"), (n % 4).cast("string")).alias("service_id"),
-        F.when(n % 3 == 0, F.lit(0)).when(n % 3 == 1, F.lit(1)).cast("int").alias("direction_id"),
-    )
-    st = (nation.select(n, _explode_versions().alias("feed_start_date"))
-          .select("n_nationkey", "feed_start_date", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("s")))
-    sec = (n * 2700 + F.col("s") * 600 + F.when(n == 24, F.lit(86400)).otherwise(F.lit(0))).cast("int")
-    stop_times = st.select(
-        "feed_start_date",
-        F.concat(F.lit("T"), n.cast("string")).alias("trip_id"),
-        F.col("s").cast("int").alias("stop_sequence"),
-        F.concat(F.lit("P"), ((n + F.col("s")) % 25).cast("string")).alias("stop_id"),
-        sec.alias("arrival_seconds"),
-        _hms(sec).alias("arrival_time"),
-        F.when((n == 23) & (F.col("s") == 1), F.lit(None).cast("string")).otherwise(_hms(sec))
-         .alias("departure_time"),
-    )
-
-    svc = F.array(*[F.struct(F.lit(sid).alias("service_id"), F.lit(wd).alias("wd"), F.lit(we).alias("we"))
-                    for sid, wd, we in CALENDAR_SERVICES])
-    cal = versions.select("feed_start_date", F.inline(svc))
-    calendar = cal.select(
-        "feed_start_date", "service_id",
-        *[F.col("wd").alias(d) for d in ("monday", "tuesday", "wednesday", "thursday", "friday")],
-        F.col("we").alias("saturday"), F.col("we").alias("sunday"),
-        F.lit(CALENDAR_START).cast("date").alias("start_date"),
-        F.lit(CALENDAR_END).cast("date").alias("end_date"),
-    )
-    exc = F.array(*[F.struct(F.lit(sid).alias("service_id"), F.lit(d).cast("date").alias("date"),
-                             F.lit(et).cast("int").alias("exception_type"))
-                    for sid, d, et in CALENDAR_EXCEPTIONS])
-    calendar_dates = versions.select("feed_start_date", F.inline(exc))
-
-    k = F.col("k")
-    trip_no = F.col("trip_no")
-    step = (trip_no * 2700 + (k % 5 + 1) * 600 + F.floor(F.col("value") * 5).cast("int") - 200)
-    occ = None
-    for i, status in enumerate(OCCUPANCY_BY_K8):
-        lit = F.lit(status).cast("string")
-        occ = F.when(k % 8 == i, lit) if occ is None else occ.when(k % 8 == i, lit)
-    vp = ev.select(
-        "service_date", "hour",
-        F.col("ts").alias("snapshot_timestamp"),
-        F.col("event_id").cast("string").alias("entity_id"),
-        _flag3(k).alias("is_deleted"),
-        F.concat(F.lit("T"), trip_no.cast("string")).alias("trip_id"),
-        F.concat(F.lit("R"), (trip_no % 10).cast("string")).alias("route_id"),
-        "trip_start_date",
-        (k % 5 + 1).cast("int").alias("current_stop_sequence"),
-        F.concat(F.lit("P"), ((trip_no + k % 5 + 1) % 25).cast("string")).alias("stop_id"),
-        F.when(F.col("event_type").isin("view", "click"), F.lit("STOPPED_AT"))
-         .otherwise(F.lit("IN_TRANSIT_TO")).alias("current_status"),
-        F.when(F.col("value") < 80, F.floor(F.col("value")).cast("int")).alias("occupancy_percentage"),
-        occ.alias("occupancy_status"),
-        F.timestamp_add("SECOND", step, F.col("trip_start_date").cast("timestamp_ntz")).alias("position_timestamp"),
-    )
+class TransitData:
+    """The transit tables derived from one driver data directory; each table is built on first
+    use (plan construction costs py4j round trips, so unused tables are never built)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return event_base(self.spark, self.sf_dir)
+
+    @cached_property
+    def dim_static_versions(self) -> DataFrame:
+        return static_versions(self.spark)
+
+    @cached_property
+    def dim_routes(self) -> DataFrame:
+        sk = F.col("s_suppkey")
+        return self._read("supplier").select(
+            _explode_versions().alias("feed_start_date"),
+            F.concat(F.lit("R"), sk.cast("string")).alias("route_id"),
+            F.when(sk % 4 == 3, F.concat(F.lit("SL"), sk.cast("string"))).otherwise(sk.cast("string"))
+             .alias("route_short_name"),
+            F.when(sk % 3 == 2, F.lit(1)).otherwise(F.lit(3)).cast("int").alias("route_type"),
+        )
+
+    @cached_property
+    def dim_stops(self) -> DataFrame:
+        n = F.col("n_nationkey")
+        return self._read("nation").select(
+            _explode_versions().alias("feed_start_date"),
+            F.concat(F.lit("P"), n.cast("string")).alias("stop_id"),
+            F.concat(F.lit("Stop "), (n % 20).cast("string")).alias("stop_name"),
+            (F.lit(42.0).cast("double") + n.cast("double") / 1000.0).alias("stop_lat"),
+            (F.lit(-71.0).cast("double") - n.cast("double") / 1000.0).alias("stop_lon"),
+        )
+
+    @cached_property
+    def dim_trips(self) -> DataFrame:
+        n = F.col("n_nationkey")
+        return self._read("nation").select(
+            _explode_versions().alias("feed_start_date"),
+            F.concat(F.lit("T"), n.cast("string")).alias("trip_id"),
+            F.concat(F.lit("R"), (n % 10).cast("string")).alias("route_id"),
+            F.concat(F.lit("S"), (n % 4).cast("string")).alias("service_id"),
+            F.when(n % 3 == 0, F.lit(0)).when(n % 3 == 1, F.lit(1)).cast("int").alias("direction_id"),
+        )
+
+    @cached_property
+    def dim_stop_times(self) -> DataFrame:
+        n = F.col("n_nationkey")
+        st = (self._read("nation").select(n, _explode_versions().alias("feed_start_date"))
+              .select("n_nationkey", "feed_start_date", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("s")))
+        sec = (n * 2700 + F.col("s") * 600 + F.when(n == 24, F.lit(86400)).otherwise(F.lit(0))).cast("int")
+        return st.select(
+            "feed_start_date",
+            F.concat(F.lit("T"), n.cast("string")).alias("trip_id"),
+            F.col("s").cast("int").alias("stop_sequence"),
+            F.concat(F.lit("P"), ((n + F.col("s")) % 25).cast("string")).alias("stop_id"),
+            sec.alias("arrival_seconds"),
+            _hms(sec).alias("arrival_time"),
+            F.when((n == 23) & (F.col("s") == 1), F.lit(None).cast("string")).otherwise(_hms(sec))
+             .alias("departure_time"),
+        )
+
+    @cached_property
+    def dim_calendar(self) -> DataFrame:
+        svc = F.array(*[F.struct(F.lit(sid).alias("service_id"), F.lit(wd).alias("wd"), F.lit(we).alias("we"))
+                        for sid, wd, we in CALENDAR_SERVICES])
+        cal = self.dim_static_versions.select("feed_start_date", F.inline(svc))
+        return cal.select(
+            "feed_start_date", "service_id",
+            *[F.col("wd").alias(d) for d in ("monday", "tuesday", "wednesday", "thursday", "friday")],
+            F.col("we").alias("saturday"), F.col("we").alias("sunday"),
+            F.lit(CALENDAR_START).cast("date").alias("start_date"),
+            F.lit(CALENDAR_END).cast("date").alias("end_date"),
+        )
+
+    @cached_property
+    def dim_calendar_dates(self) -> DataFrame:
+        exc = F.array(*[F.struct(F.lit(sid).alias("service_id"), F.lit(d).cast("date").alias("date"),
+                                 F.lit(et).cast("int").alias("exception_type"))
+                        for sid, d, et in CALENDAR_EXCEPTIONS])
+        return self.dim_static_versions.select("feed_start_date", F.inline(exc))
+
+    @cached_property
+    def raw_vehicle_positions(self) -> DataFrame:
+        k = F.col("k")
+        trip_no = F.col("trip_no")
+        step = (trip_no * 2700 + (k % 5 + 1) * 600 + F.floor(F.col("value") * 5).cast("int") - 200)
+        occ = None
+        for i, status in enumerate(OCCUPANCY_BY_K8):
+            lit = F.lit(status).cast("string")
+            occ = F.when(k % 8 == i, lit) if occ is None else occ.when(k % 8 == i, lit)
+        return self.events.select(
+            "service_date", "hour",
+            F.col("ts").alias("snapshot_timestamp"),
+            F.col("event_id").cast("string").alias("entity_id"),
+            _flag3(k).alias("is_deleted"),
+            F.concat(F.lit("T"), trip_no.cast("string")).alias("trip_id"),
+            F.concat(F.lit("R"), (trip_no % 10).cast("string")).alias("route_id"),
+            "trip_start_date",
+            (k % 5 + 1).cast("int").alias("current_stop_sequence"),
+            F.concat(F.lit("P"), ((trip_no + k % 5 + 1) % 25).cast("string")).alias("stop_id"),
+            F.when(F.col("event_type").isin("view", "click"), F.lit("STOPPED_AT"))
+             .otherwise(F.lit("IN_TRANSIT_TO")).alias("current_status"),
+            F.when(F.col("value") < 80, F.floor(F.col("value")).cast("int")).alias("occupancy_percentage"),
+            occ.alias("occupancy_status"),
+            F.timestamp_add("SECOND", step, F.col("trip_start_date").cast("timestamp_ntz"))
+             .alias("position_timestamp"),
+        )
+
+    @cached_property
+    def raw_trip_updates(self) -> DataFrame:
+        k = F.col("k")
+        trip_no = F.col("trip_no")
+        added = (F.col("event_type") == "signup") & (k < 10)
+        et = F.col("event_type")
+        return self.events.select(
+            "service_date", "hour",
+            F.col("ts").alias("snapshot_timestamp"),
+            F.col("ts").alias("ingested_at"),
+            F.col("event_id").cast("string").alias("entity_id"),
+            _flag3(k).alias("is_deleted"),
+            F.when(added, F.concat(F.lit("X"), k.cast("string")))
+             .otherwise(F.concat(F.lit("T"), trip_no.cast("string"))).alias("trip_id"),
+            F.concat(F.lit("R"), (trip_no % 10).cast("string")).alias("route_id"),
+            F.when(trip_no % 3 == 0, F.lit(0)).when(trip_no % 3 == 1, F.lit(1)).cast("int").alias("direction_id"),
+            "trip_start_date",
+            F.when(et == "error", F.lit("CANCELED")).when(added, F.lit("ADDED"))
+             .when(et == "view", F.lit(" ")).when(et == "click", F.lit(None).cast("string"))
+             .otherwise(F.lit("SCHEDULED")).alias("trip_schedule_rel"),
+        )
+
+    @cached_property
+    def alert_snapshots(self) -> DataFrame:
+        return alert_snapshots(self.events)
 
-    added = (F.col("event_type") == "signup") & (k < 10)
-    et = F.col("event_type")
-    tu = ev.select(
-        "service_date", "hour",
-        F.col("ts").alias("snapshot_timestamp"),
-        F.col("ts").alias("ingested_at"),
-        F.col("event_id").cast("string").alias("entity_id"),
-        _flag3(k).alias("is_deleted"),
-        F.when(added, F.concat(F.lit("X"), k.cast("string")))
-         .otherwise(F.concat(F.lit("T"), trip_no.cast("string"))).alias("trip_id"),
-        F.concat(F.lit("R"), (trip_no % 10).cast("string")).alias("route_id"),
-        F.when(trip_no % 3 == 0, F.lit(0)).when(trip_no % 3 == 1, F.lit(1)).cast("int").alias("direction_id"),
-        "trip_start_date",
-        F.when(et == "error", F.lit("CANCELED")).when(added, F.lit("ADDED"))
-         .when(et == "view", F.lit(" ")).when(et == "click", F.lit(None).cast("string"))
-         .otherwise(F.lit("SCHEDULED")).alias("trip_schedule_rel"),
-    )
 
-    return TransitData(
-        events=ev, dim_static_versions=versions, dim_routes=routes, dim_stops=stops, dim_trips=trips,
-        dim_stop_times=stop_times, dim_calendar=calendar, dim_calendar_dates=calendar_dates,
-        raw_vehicle_positions=vp, raw_trip_updates=tu, alert_snapshots=alert_snapshots(ev),
-    )
+def load(spark: SparkSession, sf_dir: str) -> TransitData:
+    return TransitData(spark, sf_dir)
 
 
 def _text(c: Column) -> Column:
