@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from headway.functions import first_translation_text, hms_to_seconds
 from headway.operators import active_on_dates, resolve_dates
-from headway.plans import facts, marts, raw, reports
+from headway.plans import facts, marts, quality, raw, reports
 from headway.plans.model import TransitModel
+from headway.schemas import conform, schema
+from headway.session import scratch_path
+from headway.sinks import tables as sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +77,51 @@ def _asof(spark, d):
     return resolve_dates(t.raw_vehicle_positions, "trip_start_date", t.dim_static_versions)
 
 
+def quality_tables(m: TransitModel) -> dict[str, DataFrame]:
+    t = m.t
+    return {
+        "dim_static_versions": t.dim_static_versions, "dim_routes": t.dim_routes, "dim_stops": t.dim_stops,
+        "dim_trips": t.dim_trips, "dim_stop_times": t.dim_stop_times, "dim_calendar": t.dim_calendar,
+        "dim_calendar_dates": t.dim_calendar_dates,
+        "fact_vehicle_positions": m.fact_vehicle_positions, "fact_trip_updates": m.fact_trip_updates,
+        "fact_alerts": m.fact_alerts, "fact_alerts_routes": m.fact_alerts_routes,
+        "fact_alerts_active_periods": m.fact_alerts_active_periods,
+        "metric_stop_events": m.mart_stop_events, "metric_occupancy_route_hour": m.mart_occupancy_route_hour,
+        "metric_alerts_by_day": m.mart_alerts_by_day, "metric_alerts_by_day_stops": m.mart_alerts_by_day_stops,
+        "metric_service_delivered": m.mart_service_delivered,
+    }
+
+
+def _quality(spark, d):
+    m = _m(spark, d)
+    extra = {"fact_alerts_active_periods:periods_without_start": quality.periods_without_start(m.raw_alerts)}
+    return quality.quality_report(quality_tables(m), extra)
+
+
+def _sink_replace_slices(spark, d):
+    """Write the occupancy mart by day slices twice (idempotent re-run), clear a requested slice
+    that has no rows, and read the table back."""
+    occ = conform(_m(spark, d).mart_occupancy_route_hour, "metric_occupancy_route_hour")
+    path = scratch_path(spark, "occupancy")
+    sinks.write_table(occ, path, ["service_date"], ["route_id"])
+    sinks.write_table(occ, path, ["service_date"], ["route_id"], mode="overwrite")
+    empty = occ.where(F.lit(False))
+    sinks.replace_days(empty, path, "service_date", ["2023-06-30"])
+    back = sinks.read_table(spark, path, schema("metric_occupancy_route_hour"))
+    return back.select(*occ.columns)
+
+
+def _sink_upsert_backfill(spark, d):
+    """Maintain FACT_ALERTS as a snapshot table: apply later days first, then earlier days."""
+    m = _m(spark, d)
+    split = F.lit(UPSERT_SPLIT_DAY).cast("date")
+    path = scratch_path(spark, "fact_alerts")
+    for part in (m.raw_alerts.where(F.col("service_date") >= split), m.raw_alerts.where(F.col("service_date") < split)):
+        src = facts.fact_alerts(part, m.t.dim_static_versions)
+        sinks.upsert_table(src, path, ["entity_id"])
+    return sinks.read_current(spark, path)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "mart_occupancy_route_hour": lambda s, d: _m(s, d).mart_occupancy_route_hour,
@@ -113,5 +161,9 @@ def registry() -> dict[str, Query]:
         "report_service_delivered_daily": lambda s, d: reports.service_delivered_daily(
             _m(s, d).mart_service_delivered),
         "report_route_list": lambda s, d: reports.route_list(_m(s, d).mart_occupancy_route_hour),
+        # table maintenance and quality
+        "quality_violations": _quality,
+        "sink_replace_slices": _sink_replace_slices,
+        "sink_upsert_backfill": _sink_upsert_backfill,
     }
     return q
