@@ -122,6 +122,62 @@ def _sink_upsert_backfill(spark, d):
     return sinks.read_current(spark, path)
 
 
+def _publish_gtfs(spark, d) -> str:
+    """Publish the schedule versions of the data set as GTFS folders (``v_<date>_000000``) in
+    the scratch area: feed_info for every version, all files for the newest one (older folders
+    lack the optional files)."""
+    from headway.plans import static
+
+    t = _m(spark, d).t
+    root = scratch_path(spark, "gtfs")
+    newest = t.dim_static_versions.select(F.max("feed_start_date")).scalar()
+    for v in [r[0] for r in t.dim_static_versions.collect()]:
+        vdir = f"{root}/v_{v.strftime('%Y%m%d')}_000000"
+        info = t.dim_static_versions.where(F.col("feed_start_date") == F.lit(v)).select(
+            "feed_start_date", F.date_add("feed_start_date", 90).alias("feed_end_date"),
+            F.lit("fixture").alias("feed_version"), F.lit("Transit Authority").alias("feed_publisher_name"),
+            F.lit("en").alias("feed_lang"))
+        static.write_gtfs_csv(info, f"{vdir}/feed_info.txt")
+    vnew = f"{root}/v_" + t.dim_static_versions.agg(F.date_format(F.max("feed_start_date"), "yyyyMMdd")).first()[0] + "_000000"
+    files = {"routes": t.dim_routes, "stops": t.dim_stops, "trips": t.dim_trips, "stop_times": t.dim_stop_times,
+             "calendar": t.dim_calendar, "calendar_dates": t.dim_calendar_dates}
+    for f, df in files.items():
+        pub = df.where(F.col("feed_start_date") == newest).drop("feed_start_date")
+        if f == "stop_times":
+            pub = pub.drop("arrival_seconds")
+        static.write_gtfs_csv(pub, f"{vnew}/{f}.txt")
+    return root
+
+
+def _static_load(spark, d):
+    from headway.plans import static
+    from headway.sources.gtfs_static import latest_version_dir
+
+    root = _publish_gtfs(spark, d)
+    warehouse = scratch_path(spark, "static")
+    return static.load_static_version(spark, latest_version_dir(spark, root), warehouse)
+
+
+def _static_dims(spark, d):
+    paths = _static_load(spark, d)
+    parts = []
+    for table, path in paths.items():
+        df = sinks.read_table(spark, path, schema(table))
+        parts.append(df.agg(F.lit(table).alias("table_name"), F.max("feed_start_date").alias("feed_start_date"),
+                            F.count(F.lit(1)).alias("row_count")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _static_stop_times(spark, d):
+    paths = _static_load(spark, d)
+    st = sinks.read_table(spark, paths["dim_stop_times"], schema("dim_stop_times"))
+    return st.select("feed_start_date", "trip_id", "stop_sequence", "stop_id", "arrival_time", "departure_time",
+                     "arrival_seconds", "departure_seconds")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "mart_occupancy_route_hour": lambda s, d: _m(s, d).mart_occupancy_route_hour,
@@ -165,5 +221,8 @@ def registry() -> dict[str, Query]:
         "quality_violations": _quality,
         "sink_replace_slices": _sink_replace_slices,
         "sink_upsert_backfill": _sink_upsert_backfill,
+        # schedule (GTFS static) load
+        "static_dims": _static_dims,
+        "static_stop_times": _static_stop_times,
     }
     return q
