@@ -58,3 +58,26 @@ def raw_trip_updates(tu_snapshots: DataFrame, stride: int = 5, dates: DateSet =
     df = df.join(kept, "__path", "left_semi").drop("__path")
     return latest_per_key(df, ["service_date", "hour", "trip_id", "trip_start_date"], "snapshot_timestamp",
                           tiebreak=[F.col("entity_id").desc()])
+
+
+def raw_from_feed(snapshots: DataFrame, feed: str, stride: int = 5) -> DataFrame:
+    """RAW rows of one feed from landed snapshots ``(path, content)``: decode + flatten, then the
+    feed's RAW dedupe (alerts: newest per day and entity; trip updates: stride then newest per
+    hour and trip instance; vehicle positions: every entity of every snapshot)."""
+    from headway.schemas import conform
+    from headway.sources import gtfs_rt
+
+    kind = gtfs_rt.KINDS[feed]
+    if feed == "trip_updates" and stride > 1:
+        files = snapshots.select("path", *path_partitions("path"))
+        kept = stride_files(files, stride).select("path")
+        snapshots = snapshots.join(kept, "path", "left_semi")
+    rows = gtfs_rt.flatten(gtfs_rt.decode(snapshots, kind), kind)
+    if feed == "alerts":
+        rows = latest_per_key(rows, ["service_date", "entity_id"], "snapshot_timestamp")
+        return conform(rows, "raw_alerts")
+    if feed == "trip_updates":
+        rows = latest_per_key(rows, ["service_date", "hour", "trip_id", "trip_start_date"], "snapshot_timestamp",
+                              tiebreak=[F.col("entity_id").desc()])
+        return conform(rows, "raw_trip_updates")
+    return conform(rows, "raw_vehicle_positions")

@@ -92,6 +92,20 @@ def quality_tables(m: TransitModel) -> dict[str, DataFrame]:
     }
 
 
+ADAPTER_VP_COLUMNS = ("service_date", "hour", "snapshot_timestamp", "entity_id", "is_deleted", "trip_id", "route_id",
+                      "trip_start_date", "current_stop_sequence", "stop_id", "current_status",
+                      "occupancy_percentage", "occupancy_status", "position_timestamp")
+
+
+def _raw_vehicle_positions(spark, d):
+    """Land the vehicle-position feed as GTFS-realtime snapshots (one FeedMessage per poll),
+    then load RAW from them: decode, flatten, path partitions, DST-aware wall clock."""
+    from headway.sources.gtfs_rt import publish_vehicle_snapshots
+
+    snaps = publish_vehicle_snapshots(_m(spark, d).t.raw_vehicle_positions)
+    return raw.raw_from_feed(snaps, "vehicle_positions").select(*ADAPTER_VP_COLUMNS)
+
+
 def _quality(spark, d):
     m = _m(spark, d)
     extra = {"fact_alerts_active_periods:periods_without_start": quality.periods_without_start(m.raw_alerts)}
@@ -200,6 +214,7 @@ def registry() -> dict[str, Query]:
         "time_to_seconds": _time_to_seconds,
         "stride_sample": _stride,
         "raw_trip_updates": lambda s, d: raw.raw_trip_updates(_m(s, d).t.raw_trip_updates, stride=5),
+        "raw_vehicle_positions": _raw_vehicle_positions,
         # reports
         "report_occupancy_trend_daily": lambda s, d: reports.occupancy_trend(
             _m(s, d).mart_occupancy_route_hour, bucket="service_date"),
