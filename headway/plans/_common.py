@@ -49,3 +49,10 @@ def date_frame(df: DataFrame, col: str, dates: DateSet, out: str | None = None)
     spark = df.sparkSession
     arr = F.array(*[F.lit(d) for d in ds])
     return spark.range(1).select(F.explode(arr).alias(out))
+
+
+def lagged_day(run_day: str | _dt.date, lag_days: int) -> _dt.date:
+    """The data day a scheduled run processes: ``run_day - lag_days`` (RAW loads lag one day, facts
+    and marts two, so late snapshots have landed)."""
+    d = run_day if isinstance(run_day, _dt.date) else _dt.date.fromisoformat(str(run_day))
+    return d - _dt.timedelta(days=lag_days)

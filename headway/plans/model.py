@@ -12,48 +12,71 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.plans import facts, marts, raw
+from headway.session import scratch_path
 from headway.sources import adapters
 
 
+def _layer(fn):
+    """A model layer: a lazy plan, or -- with ``materialize`` -- a table written once to the shared
+    scratch folder and read back (cuts lineage: downstream layers and checks scan the written
+    table instead of re-deriving it, and a lost executor never forces recomputation from RAW)."""
+    name = fn.__name__
+
+    def get(self):
+        if name not in self._layers:
+            df = fn(self)
+            if self.materialize:
+                path = scratch_path(self.spark, f"layer-{name}")
+                df.write.mode("errorifexists").parquet(path)
+                df = self.spark.read.parquet(path)
+            self._layers[name] = df
+        return self._layers[name]
+
+    get.__doc__ = fn.__doc__
+    return property(get)
+
+
 class TransitModel:
-    def __init__(self, spark: SparkSession, sf_dir: str, tu_stride: int = 5):
+    def __init__(self, spark: SparkSession, sf_dir: str, tu_stride: int = 5, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.tu_stride = tu_stride
+        self.materialize = materialize
+        self._layers: dict[str, DataFrame] = {}
         self.t = adapters.load(spark, sf_dir)
 
     # RAW
-    @cached_property
+    @_layer
     def raw_alerts(self) -> DataFrame:
         return raw.raw_alerts(self.t.alert_snapshots)
 
     # FACT
-    @cached_property
+    @_layer
     def fact_vehicle_positions(self) -> DataFrame:
         return facts.fact_vehicle_positions(self.t.raw_vehicle_positions, self.t.dim_static_versions)
 
-    @cached_property
+    @_layer
     def fact_trip_updates(self) -> DataFrame:
         return facts.fact_trip_updates(self.t.raw_trip_updates, self.t.dim_static_versions)
 
-    @cached_property
+    @_layer
     def fact_alerts(self) -> DataFrame:
         return facts.fact_alerts(self.raw_alerts, self.t.dim_static_versions)
 
-    @cached_property
+    @_layer
     def fact_alerts_routes(self) -> DataFrame:
         return facts.fact_alerts_routes(self.raw_alerts)
 
-    @cached_property
+    @_layer
     def fact_alerts_active_periods(self) -> DataFrame:
         return facts.fact_alerts_active_periods(self.raw_alerts)
 
     # MART
-    @cached_property
+    @_layer
     def mart_stop_events(self) -> DataFrame:
         return marts.mart_stop_events(self.fact_vehicle_positions, self.t.dim_stop_times, self.t.dim_routes)
 
-    @cached_property
+    @_layer
     def mart_occupancy_route_hour(self) -> DataFrame:
         return marts.mart_occupancy_route_hour(self.fact_vehicle_positions, self.t.dim_routes)
 
@@ -62,12 +85,12 @@ class TransitModel:
         """Days the alert marts are built for: every day with alert snapshots."""
         return self.t.alert_snapshots.select("service_date")
 
-    @cached_property
+    @_layer
     def mart_alerts_by_day(self) -> DataFrame:
         return marts.mart_alerts_by_day(self.fact_alerts_active_periods, self.fact_alerts_routes,
                                         self.fact_alerts, self.t.dim_routes, run_days=self.alert_run_days)
 
-    @cached_property
+    @_layer
     def mart_alerts_by_day_stops(self) -> DataFrame:
         return marts.mart_alerts_by_day_stops(self.fact_alerts_active_periods, self.fact_alerts_routes,
                                               self.fact_alerts, self.t.dim_stops, run_days=self.alert_run_days)
@@ -88,6 +111,6 @@ class TransitModel:
         return marts.scheduled_bus_trips(t.dim_trips, t.dim_routes, t.dim_stop_times, t.dim_calendar,
                                          t.dim_calendar_dates, t.dim_static_versions, self.service_days)
 
-    @cached_property
+    @_layer
     def mart_service_delivered(self) -> DataFrame:
         return marts.mart_service_delivered(self.scheduled_bus_trips, self.fact_trip_updates)

@@ -107,7 +107,8 @@ def _raw_vehicle_positions(spark, d):
 
 
 def _quality(spark, d):
-    m = _m(spark, d)
+    # every layer is checked and most feed other layers: write each once, check the tables
+    m = TransitModel(spark, d, materialize=True)
     extra = {"fact_alerts_active_periods:periods_without_start": quality.periods_without_start(m.raw_alerts)}
     return quality.quality_report(quality_tables(m), extra)
 

@@ -290,10 +290,22 @@ def encode_vehicle_snapshot(rows: list[dict], header_epoch: int, version: str =
     return msg.SerializeToString()
 
 
-def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York") -> DataFrame:
+MAX_ENTITIES_PER_MESSAGE = 50_000
+
+
+def _part_name(path: str, index: int) -> str:
+    """The first message of a path keeps the path; overflow messages get ``-c<n>`` suffixes."""
+    return path if index == 0 else f"{path[:-3]}-c{index}.pb"
+
+
+def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York", parts_per_snapshot: int = 1,
+                              max_entities_per_message: int = MAX_ENTITIES_PER_MESSAGE) -> DataFrame:
     """Group vehicle rows (RAW-like, wall-clock ``snapshot_timestamp``/``position_timestamp`` in
-    ``tz``) into one FeedMessage per landing path: ``(path, content)``, the shape ``binaryFile``
-    returns.  A group is one poll of the fleet (bounded by fleet size)."""
+    ``tz``) into FeedMessages per landing path: ``(path, content)``, the shape ``binaryFile``
+    returns.  A poll is normally one message (bounded by fleet size); a poll larger than
+    ``MAX_ENTITIES_PER_MESSAGE`` is written as several part files, and ``parts_per_snapshot > 1``
+    spreads one poll over that many tasks (hash of the entity id), so no single task has to
+    encode an oversized poll."""
     from headway.functions import ntz_epoch_seconds
     from headway.plans.raw import snapshot_path
     from headway.session import ship_package
@@ -318,31 +330,42 @@ def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York") -> Da
 
     # One task per hash partition of paths; rows of a path are contiguous after the sort, so a
     # single pass emits one message per path (no per-group Python call).
+    if parts_per_snapshot > 1:
+        part = F.pmod(F.xxhash64("entity_id"), F.lit(parts_per_snapshot))
+        df = df.withColumn("path", F.when(part == 0, F.col("path")).otherwise(
+            F.regexp_replace("path", r"\.pb$", F.concat(F.lit("-p"), part.cast("string"), F.lit(".pb")))))
     clustered = df.repartition("path").sortWithinPartitions("path")
 
+    cap = int(max_entities_per_message)
+
     def encode_batches(batches):
         import pyarrow as pa
 
+        schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
         paths, contents = [], []
-        cur_path, cur_rows, cur_epoch = None, [], None
+        cur_path, cur_rows, cur_epoch, cur_part = None, [], None, 0
+
+        def flush_message():
+            paths.append(_part_name(cur_path, cur_part))
+            contents.append(encode_vehicle_snapshot(cur_rows, cur_epoch))
+
         for batch in batches:
             for r in batch.to_pylist():
                 if r["path"] != cur_path:
                     if cur_path is not None:
-                        paths.append(cur_path)
-                        contents.append(encode_vehicle_snapshot(cur_rows, cur_epoch))
-                    cur_path, cur_rows, cur_epoch = r["path"], [], r["header_epoch"]
+                        flush_message()
+                    cur_path, cur_rows, cur_epoch, cur_part = r["path"], [], r["header_epoch"], 0
+                elif len(cur_rows) >= cap:
+                    flush_message()
+                    cur_rows, cur_part = [], cur_part + 1
                 cur_rows.append(r)
                 cur_epoch = min(cur_epoch, r["header_epoch"])
             if len(paths) >= 1024:
-                yield pa.RecordBatch.from_pydict({"path": paths, "content": contents},
-                                                  schema=pa.schema([("path", pa.string()), ("content", pa.binary())]))
+                yield pa.RecordBatch.from_pydict({"path": paths, "content": contents}, schema=schema)
                 paths, contents = [], []
         if cur_path is not None:
-            paths.append(cur_path)
-            contents.append(encode_vehicle_snapshot(cur_rows, cur_epoch))
+            flush_message()
         if paths:
-            yield pa.RecordBatch.from_pydict({"path": paths, "content": contents},
-                                              schema=pa.schema([("path", pa.string()), ("content", pa.binary())]))
+            yield pa.RecordBatch.from_pydict({"path": paths, "content": contents}, schema=schema)
 
     return clustered.mapInArrow(encode_batches, "path string, content binary")

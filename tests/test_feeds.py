@@ -115,3 +115,17 @@ def test_day_filter_prunes_partitions(spark, tmpdir_path):
     plan = snaps._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan or "dt" in plan
     assert [r.entity_id for r in raw.raw_from_feed(snaps, "vehicle_positions").collect()] == ["v2024-01-11"]
+
+
+def test_publish_splits_oversized_polls(spark):
+    """A poll larger than the per-message cap becomes several part files; nothing is lost."""
+    rows = [(dt.datetime(2024, 1, 10, 5, 0, 0), f"v{i}", "T1", dt.date(2024, 1, 10), dt.datetime(2024, 1, 10, 4, 59))
+            for i in range(25)]
+    vp = spark.createDataFrame(rows, "snapshot_timestamp timestamp_ntz, entity_id string, trip_id string, "
+                                     "trip_start_date date, position_timestamp timestamp_ntz")
+    snaps = gtfs_rt.publish_vehicle_snapshots(vp, max_entities_per_message=10, parts_per_snapshot=2)
+    files = snaps.select("path").collect()
+    assert len(files) >= 3
+    back = raw.raw_from_feed(snaps, "vehicle_positions")
+    assert sorted(r.entity_id for r in back.collect()) == sorted(f"v{i}" for i in range(25))
+    assert {r.snapshot_timestamp for r in back.collect()} == {dt.datetime(2024, 1, 10, 5, 0)}
