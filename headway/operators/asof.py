@@ -23,10 +23,13 @@ _DAY = "__asof_day"
 def version_days(versions: DataFrame, version_col: str = "feed_start_date") -> DataFrame:
     """``(version, day)`` for every day a version is the current one, open end = its first day.
 
-    The ``lead`` runs over the version dimension only (distinct version dates)."""
-    v = versions.select(F.col(version_col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    The ``lead`` runs over the version dimension only (one row per published schedule version;
+    its size follows the publication history, not the data).  A repeated version date keeps only
+    its last copy (``next > v``), so duplicates cannot multiply days and no extra exchange is
+    spent on a distinct."""
+    v = versions.select(F.col(version_col).alias("__v")).where(F.col("__v").isNotNull())
     nxt = F.lead("__v").over(Window.orderBy("__v"))
-    iv = v.withColumn("__next", nxt)
+    iv = v.withColumn("__next", nxt).where(F.col("__next").isNull() | (F.col("__next") > F.col("__v")))
     last_day = F.coalesce(F.date_sub(F.col("__next"), 1), F.col("__v"))
     return iv.select(F.col("__v").alias(version_col),
                      F.explode(F.sequence(F.col("__v"), last_day)).alias(_DAY))

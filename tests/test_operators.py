@@ -206,3 +206,9 @@ def test_lagged_run_day():
     from headway.plans._common import lagged_day
 
     assert lagged_day("2024-03-03", 2) == D(2024, 3, 1)
+
+
+def test_asof_duplicate_versions(spark):
+    versions = spark.createDataFrame([(D(2024, 1, 1),), (D(2024, 1, 1),), (D(2024, 1, 3),)], "feed_start_date date")
+    days = sorted((r.feed_start_date, r[1]) for r in O.version_days(versions).collect())
+    assert days == [(D(2024, 1, 1), D(2024, 1, 1)), (D(2024, 1, 1), D(2024, 1, 2)), (D(2024, 1, 3), D(2024, 1, 3))]
