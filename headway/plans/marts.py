@@ -172,11 +172,9 @@ def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts
 
 # --- service delivered ------------------------------------------------------------------------
 
-def active_services(calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
-                    days: DataFrame) -> DataFrame:
-    """Effective services per requested day under the version in force that day:
-    (weekday services within their window  UNION  added exceptions)  minus removed exceptions.
-    ``days`` has a ``trip_start_date`` column.  Output: (trip_start_date, feed_start_date, service_id)."""
+def _service_exceptions(calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
+                        days: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(weekly, added, removed) service ids per requested day under the version in force."""
     dv = resolve_dates(days, "trip_start_date", versions).withColumnRenamed("static_version_date", "feed_start_date")
     d = F.col("trip_start_date")
     weekly = (calendar.join(dv, "feed_start_date")
@@ -187,6 +185,22 @@ def active_services(calendar: DataFrame, calendar_dates: DataFrame, versions: Da
                          .select("trip_start_date", "feed_start_date", "service_id", "exception_type"))
     added = exc.where(F.col("exception_type") == 1).drop("exception_type")
     removed = exc.where(F.col("exception_type") == 2).drop("exception_type")
+    return weekly, added, removed
+
+
+def service_union(calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
+                  days: DataFrame) -> DataFrame:
+    """Weekly services within their window UNION (distinct) services added by exception."""
+    weekly, added, _ = _service_exceptions(calendar, calendar_dates, versions, days)
+    return weekly.union(added).distinct()
+
+
+def active_services(calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
+                    days: DataFrame) -> DataFrame:
+    """Effective services per requested day under the version in force that day:
+    (weekday services within their window  UNION  added exceptions)  minus removed exceptions.
+    ``days`` has a ``trip_start_date`` column.  Output: (trip_start_date, feed_start_date, service_id)."""
+    weekly, added, removed = _service_exceptions(calendar, calendar_dates, versions, days)
     keys = ["trip_start_date", "feed_start_date", "service_id"]
     return weekly.union(added).distinct().join(removed, keys, "left_anti")
 

@@ -193,6 +193,49 @@ def _static_stop_times(spark, d):
                      "arrival_seconds", "departure_seconds")
 
 
+def _multi_date_build(spark, d):
+    """PAR-4: the occupancy mart for an explicit set of days in one job -- here every service day
+    of the data (a bounded list of partition keys) -- with the fact built for exactly the trip days
+    those service days need (each day and the day before, for overnight continuations)."""
+    import datetime as _dt
+
+    m = _m(spark, d)
+    days = sorted(r[0] for r in m.t.raw_vehicle_positions.select("service_date").distinct().collect())
+    trip_days = sorted(set(days) | {x - _dt.timedelta(days=1) for x in days})
+    fact = facts.fact_vehicle_positions(m.t.raw_vehicle_positions, m.t.dim_static_versions, trip_days)
+    return marts.mart_occupancy_route_hour(fact, m.t.dim_routes, days)
+
+
+def _status_mix(spark, d):
+    from headway.operators import OCCUPANCY_STATUS_COLUMNS, status_mix
+
+    f = _m(spark, d).fact_vehicle_positions
+    return f.groupBy("route_id").agg(F.count(F.lit(1)).alias("snapshot_count"),
+                                     *status_mix("occupancy_status", OCCUPANCY_STATUS_COLUMNS))
+
+
+def _weighted_mean(spark, d):
+    from headway.operators import weighted_mean
+
+    occ = _m(spark, d).mart_occupancy_route_hour
+    n = F.col("snapshot_count")
+    return occ.groupBy("route_name").agg(
+        F.sum(n).alias("snapshot_count"),
+        F.round(weighted_mean("avg_occupancy_pct", n, null_aware=True), 9).alias("avg_occupancy_pct"),
+        F.round(weighted_mean("pct_full", n, null_aware=False), 9).alias("pct_full"))
+
+
+def _numeric_first_sort(spark, d):
+    r = _m(spark, d).t.dim_routes.select("route_short_name").distinct()
+    num = F.col("route_short_name").try_cast("int")
+    return r.select("route_short_name", num.isNull().cast("int").alias("sort_group"), num.alias("route_number"))
+
+
+def _union_distinct(spark, d):
+    m = _m(spark, d)
+    return marts.service_union(m.t.dim_calendar, m.t.dim_calendar_dates, m.t.dim_static_versions, m.service_days)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "mart_occupancy_route_hour": lambda s, d: _m(s, d).mart_occupancy_route_hour,
@@ -216,6 +259,11 @@ def registry() -> dict[str, Query]:
         "stride_sample": _stride,
         "raw_trip_updates": lambda s, d: raw.raw_trip_updates(_m(s, d).t.raw_trip_updates, stride=5),
         "raw_vehicle_positions": _raw_vehicle_positions,
+        "multi_date_build": _multi_date_build,
+        "status_mix": _status_mix,
+        "weighted_mean": _weighted_mean,
+        "numeric_first_sort": _numeric_first_sort,
+        "union_distinct": _union_distinct,
         # reports
         "report_occupancy_trend_daily": lambda s, d: reports.occupancy_trend(
             _m(s, d).mart_occupancy_route_hour, bucket="service_date"),
