@@ -18,8 +18,8 @@ def active_on_dates(intervals: DataFrame, dates: DataFrame, start_col: str, end_
     """Rows of ``intervals`` repeated once per date of ``dates[date_col]`` on which they are active;
     the date is added as ``date_col``."""
     days = dates.select(F.col(date_col)).where(F.col(date_col).isNotNull()).distinct()
-    lo = days.select(F.min(date_col)).scalar()
-    hi = days.select(F.max(date_col)).scalar()
+    bounds = days.select(F.struct(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     s = F.to_date(F.col(start_col))
     e = F.to_date(F.col(end_col))
     first = F.greatest(s, lo)
