@@ -21,6 +21,7 @@ from headway.functions.transit import (  # noqa: F401
     NO_RT_DATA,
     delivery_status,
     first_translation_text,
+    first_translation_text_json,
     in_late_window,
     in_overnight_window,
     is_on_time,

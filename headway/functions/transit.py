@@ -47,6 +47,11 @@ def first_translation_text(c) -> Column:
     return F.try_element_at(as_col(c).getField("translation"), F.lit(1)).getField("text")
 
 
+def first_translation_text_json(c) -> Column:
+    """Same as :func:`first_translation_text` for a column holding the struct as JSON text."""
+    return F.get_json_object(as_col(c), "$.translation[0].text")
+
+
 def share_pct(part, whole, scale: int = 2) -> Column:
     """``round(part / whole * 100, scale)`` as DOUBLE; NULL when ``whole`` is 0 or NULL."""
     ratio = as_col(part).cast("double") / F.nullif(as_col(whole), F.lit(0)).cast("double")

@@ -44,6 +44,22 @@ def orphans(child: DataFrame, cols, parent: DataFrame, pcols) -> DataFrame:
     return c.join(p, list(cols), "left_anti").agg(F.count(F.lit(1)).alias("violations"))
 
 
+def key_checks(df: DataFrame, keys, table: str) -> DataFrame:
+    """Duplicate-key and NULL-key counts of one table in a single pass: one grouping by the key
+    (partial aggregation per task), then one global aggregate over the groups."""
+    anynull = None
+    for k in keys:
+        c = F.col(k).isNull()
+        anynull = c if anynull is None else (anynull | c)
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    a = g.agg(F.count_if(F.col("n") > 1).alias("dup"),
+              F.coalesce(F.sum(F.when(anynull, F.col("n"))), F.lit(0)).alias("nul"))
+    rows = F.array(F.struct(F.lit("duplicate_key").alias("check_name"), F.col("dup").alias("violations")),
+                   F.struct(F.lit("null_key").alias("check_name"), F.col("nul").alias("violations")))
+    return a.select(F.lit(table).alias("table_name"), F.inline(rows)).select(
+        "table_name", "check_name", F.col("violations").cast("bigint").alias("violations"))
+
+
 def quality_report(tables: Mapping[str, DataFrame], extra: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Run every applicable check over ``tables`` (name -> DataFrame).  ``extra`` adds
     precomputed ``violations`` aggregates keyed by ``"table:check"``."""
@@ -52,8 +68,7 @@ def quality_report(tables: Mapping[str, DataFrame], extra: Mapping[str, DataFram
         keys = PRIMARY_KEYS.get(name)
         if not keys or any(k not in df.columns for k in keys):
             continue
-        parts.append(_row(duplicate_keys(df, keys), name, "duplicate_key"))
-        parts.append(_row(null_keys(df, keys), name, "null_key"))
+        parts.append(key_checks(df, keys, name))
     for child, cols, parent, pcols in FOREIGN_KEYS:
         if child in tables and parent in tables:
             c, p = tables[child], tables[parent]

@@ -84,6 +84,15 @@ def alerts_daily(alerts_day: DataFrame, start=None, end=None, routes=None) -> Da
               .agg(*[F.sum(c).alias(c) for c in SEVERITY_COLUMNS.values()]))
 
 
+def daily_total_scale(daily: DataFrame, severities: Sequence[str] = ("SEVERE", "WARNING", "INFO"),
+                      ticks: int = 10) -> DataFrame:
+    """Axis scale of the daily chart: the largest daily total and a tick step
+    ``max(1, ceil(max / ticks))`` (one row)."""
+    m = daily.agg(F.max(_severity_total(severities)).alias("max_daily_total"))
+    return m.select("max_daily_total",
+                    F.greatest(F.lit(1), F.ceil(F.col("max_daily_total") / ticks)).cast("int").alias("tick_step"))
+
+
 def _severity_total(severities: Sequence[str]) -> Column:
     cols = [F.col(SEVERITY_COLUMNS[s]) for s in severities]
     total = cols[0]

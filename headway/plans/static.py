@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from headway.functions import hms_to_seconds, yyyymmdd_to_date
 from headway.schemas import LAYOUT, conform, empty
-from headway.sinks.tables import write_table
 from headway.sources.gtfs_static import GTFS_FILES, collection_columns, file_exists, read_gtfs_csv
 
 
@@ -136,4 +135,4 @@ def write_gtfs_csv(df: DataFrame, path: str) -> None:
        .option("quote", '"').option("escape", '"').csv(path))
 
 
-__all__ = ["build_dims", "load_static_version", "write_gtfs_csv", "typed", "COLUMNS", "write_table"]
+__all__ = ["build_dims", "load_static_version", "write_gtfs_csv", "typed", "COLUMNS"]

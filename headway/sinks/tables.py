@@ -19,7 +19,6 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from headway.operators.upsert import upsert_latest
 
@@ -149,8 +148,3 @@ def _prune_snapshots(spark: SparkSession, path: str, keep: int) -> None:
                    if st.isDirectory() and st.getPath().getName().startswith("snapshot_"))
     for old in names[:-keep] if keep > 0 else []:
         delete_path(spark, f"{path.rstrip('/')}/{old}")
-
-
-def distinct_days(df: DataFrame, col: str) -> DataFrame:
-    """Slice keys present in ``df`` (for callers that replace what a result covers)."""
-    return df.select(F.col(col)).distinct()

@@ -102,3 +102,8 @@ def test_weekday_flag(spark):
         df = df.withColumn(name, F.lit(None).cast("boolean"))
     got = [r[0] for r in df.select(H.weekday_flag("d", H.GTFS_WEEKDAY_COLUMNS)).collect()]
     assert got == [True, False]  # Sunday flag, then Monday flag
+
+
+def test_first_translation_text_json(spark):
+    rows = [('{"translation": [{"text": "a", "language": "en"}, {"text": "b"}]}',), ('{"translation": []}',), (None,)]
+    assert _col(spark, rows, "x string", H.first_translation_text_json("x")) == ["a", None, None]

@@ -212,3 +212,12 @@ def test_asof_duplicate_versions(spark):
     versions = spark.createDataFrame([(D(2024, 1, 1),), (D(2024, 1, 1),), (D(2024, 1, 3),)], "feed_start_date date")
     days = sorted((r.feed_start_date, r[1]) for r in O.version_days(versions).collect())
     assert days == [(D(2024, 1, 1), D(2024, 1, 1)), (D(2024, 1, 1), D(2024, 1, 2)), (D(2024, 1, 3), D(2024, 1, 3))]
+
+
+def test_daily_total_scale(spark):
+    daily = spark.createDataFrame([(D(2024, 1, 1), 3, 4, 5), (D(2024, 1, 2), 30, 40, 31)],
+                                  "alert_date date, severe_count long, warning_count long, info_count long")
+    r = reports.daily_total_scale(daily).collect()[0]
+    assert (r.max_daily_total, r.tick_step) == (101, 11)
+    r = reports.daily_total_scale(daily, ["SEVERE"]).collect()[0]
+    assert (r.max_daily_total, r.tick_step) == (30, 3)
