@@ -29,6 +29,11 @@ def _norm(v):
     return v
 
 
+# Spark simple type -> DuckDB type name
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 def _canon(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rows)
@@ -60,6 +65,9 @@ def test_query_matches_oracle(spark, duck, name):
         pytest.skip("driver data not present")
     df = E.queries()[name](spark, DATA)
     rows, cols = [tuple(r) for r in df.collect()], df.columns
+    rel = duck.sql(E.oracle_sql()[name])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: DUCK_TYPES.get(t, t) for c, t in df.dtypes} == otypes
     cur = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
