@@ -174,14 +174,21 @@ def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts
 
 def _service_exceptions(calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
                         days: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(weekly, added, removed) service ids per requested day under the version in force."""
+    """(weekly, added, removed) service ids per requested day under the version in force.
+
+    Weekly services: each calendar window is expanded to its days within the requested range
+    (interval operator), then equi-joined on (version, day) with the version in force that day --
+    only matching (service, day) pairs are ever produced."""
     dv = resolve_dates(days, "trip_start_date", versions).withColumnRenamed("static_version_date", "feed_start_date")
     d = F.col("trip_start_date")
-    weekly = (calendar.join(dv, "feed_start_date")
-                      .where(d.between(F.col("start_date"), F.col("end_date"))
-                             & (weekday_flag(d, GTFS_WEEKDAY_COLUMNS) == F.lit(True)))
-                      .select("trip_start_date", "feed_start_date", "service_id"))
-    exc = (calendar_dates.join(dv, "feed_start_date").where(F.col("date") == d)
+    windows = calendar.select("feed_start_date", "service_id", "start_date", "end_date",
+                              *GTFS_WEEKDAY_COLUMNS.values())
+    on_days = active_on_dates(windows, dv.select("trip_start_date"), "start_date", "end_date", "trip_start_date")
+    weekly = (on_days.join(dv, ["trip_start_date", "feed_start_date"])
+                     .where(weekday_flag(d, GTFS_WEEKDAY_COLUMNS) == F.lit(True))
+                     .select("trip_start_date", "feed_start_date", "service_id"))
+    exc = (calendar_dates.withColumnRenamed("date", "trip_start_date")
+                         .join(dv, ["trip_start_date", "feed_start_date"])
                          .select("trip_start_date", "feed_start_date", "service_id", "exception_type"))
     added = exc.where(F.col("exception_type") == 1).drop("exception_type")
     removed = exc.where(F.col("exception_type") == 2).drop("exception_type")
