@@ -45,6 +45,21 @@ class TransitModel:
         self._layers: dict[str, DataFrame] = {}
         self.t = adapters.load(spark, sf_dir)
 
+    # Layers in dependency waves: every layer of a wave only reads layers of earlier waves.
+    WAVES = (("raw_alerts", "fact_vehicle_positions", "fact_trip_updates"),
+             ("fact_alerts", "fact_alerts_routes", "fact_alerts_active_periods", "mart_stop_events",
+              "mart_occupancy_route_hour", "mart_service_delivered"),
+             ("mart_alerts_by_day", "mart_alerts_by_day_stops"))
+
+    def build_all(self, parallel_jobs: int = 4) -> None:
+        """Resolve every layer; with ``materialize`` the independent layers of a wave are written
+        by concurrent jobs (one driver thread each)."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+            for wave in self.WAVES:
+                list(pool.map(lambda n: getattr(self, n), wave))
+
     # RAW
     @_layer
     def raw_alerts(self) -> DataFrame:

@@ -103,19 +103,25 @@ def build_dims(spark: SparkSession, version_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-def load_static_version(spark: SparkSession, version_dir: str, warehouse: str) -> dict[str, str]:
+def load_static_version(spark: SparkSession, version_dir: str, warehouse: str, parallel_jobs: int = 4) -> dict[str, str]:
     """Write the eight DIM tables of ``version_dir`` under ``warehouse/<table>``; each write
-    replaces only that version's ``feed_start_date`` slice.  Returns table -> path."""
+    replaces only that version's ``feed_start_date`` slice.  The tables are independent, so their
+    write jobs are submitted concurrently (``parallel_jobs`` driver threads).  Returns table -> path."""
+    from concurrent.futures import ThreadPoolExecutor
+
     dims = build_dims(spark, version_dir)
-    paths = {}
-    for table, df in dims.items():
+    paths = {t: f"{warehouse.rstrip('/')}/{t}" for t in dims}
+
+    def write(table: str) -> None:
+        df = dims[table]
         part, cluster = LAYOUT[table]
-        path = f"{warehouse.rstrip('/')}/{table}"
         if cluster:
             df = df.sortWithinPartitions(*cluster)
         (df.write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(*part).parquet(path))
-        paths[table] = path
+           .option("partitionOverwriteMode", "dynamic").partitionBy(*part).parquet(paths[table]))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        list(pool.map(write, dims))
     return paths
 
 
