@@ -221,6 +221,18 @@ def _multi_date_build(spark, d):
     return marts.mart_occupancy_route_hour(fact, m.t.dim_routes, days)
 
 
+def _latest_snapshot_per_entity(spark, d):
+    """Last known position of every trip on every service day (newest snapshot; ties to the
+    higher entity id)."""
+    from headway.operators import latest_per_key
+
+    vp = _m(spark, d).t.raw_vehicle_positions
+    last = latest_per_key(vp, ["service_date", "trip_id"], "snapshot_timestamp",
+                          tiebreak=[F.col("entity_id").desc()])
+    return last.select("service_date", "trip_id", "snapshot_timestamp", "entity_id", "stop_id",
+                       "current_stop_sequence", "current_status")
+
+
 def _status_mix(spark, d):
     from headway.operators import OCCUPANCY_STATUS_COLUMNS, status_mix
 
@@ -276,6 +288,7 @@ def registry() -> dict[str, Query]:
         "raw_vehicle_positions": _raw_vehicle_positions,
         "multi_date_build": _multi_date_build,
         "status_mix": _status_mix,
+        "latest_snapshot_per_entity": _latest_snapshot_per_entity,
         "weighted_mean": _weighted_mean,
         "numeric_first_sort": _numeric_first_sort,
         "union_distinct": _union_distinct,
