@@ -199,6 +199,32 @@ def read_snapshots(spark: SparkSession, root: str, feed: str, days: list[str] |
     return df.select("path", "content")
 
 
+def list_snapshots(spark: SparkSession, root: str, feed: str, days: list[str] | None = None) -> DataFrame:
+    """Path-only listing of landed snapshot files with their partition values (the binaryFile
+    reader skips ``content`` when it is not selected, so no file body is read)."""
+    from headway.plans.raw import path_partitions
+
+    files = read_snapshots(spark, root, feed, days).select("path")
+    return files.select("path", *path_partitions("path"))
+
+
+def read_strided_snapshots(spark: SparkSession, root: str, feed: str, stride: int = 5,
+                           days: list[str] | None = None) -> DataFrame:
+    """``(path, content)`` of every ``stride``-th snapshot per landing hour, reading the bodies of
+    the kept files only.  The kept paths (a file listing, ~1/stride of the polls) are handed to
+    the reader, so skipped files are never opened."""
+    from headway.operators import stride_sample
+
+    listing = list_snapshots(spark, root, feed, days)
+    if stride <= 1:
+        return read_snapshots(spark, root, feed, days)
+    kept = [r[0] for r in stride_sample(listing, ["service_date", "hour"], "path", stride).select("path").collect()]
+    if not kept:
+        return read_snapshots(spark, root, feed, days).where(F.lit(False))
+    return (spark.read.format("binaryFile").option("basePath", f"{root.rstrip('/')}/{feed}")
+            .load(kept).select("path", "content"))
+
+
 def decode(snapshots: DataFrame, kind: str) -> DataFrame:
     """Decode ``(path, content)`` rows into one row per entity of ``kind``."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -103,6 +103,11 @@ def test_trip_updates_from_files_stride_and_dedupe(spark, tmpdir_path):
     assert rows[0].stop_time_update[0].arrival.delay == 30
     exact = raw.raw_from_feed(snaps, "trip_updates", stride=1).collect()
     assert [(r.delay, r.trip_schedule_rel) for r in exact] == [(6, "CANCELED")]
+    # reading only the kept files gives the same RAW rows
+    kept = gtfs_rt.read_strided_snapshots(spark, root, "trip_updates", stride=5)
+    assert kept.count() == 2
+    same = raw.raw_from_feed(kept, "trip_updates", stride=1).collect()
+    assert [(r.delay, r.trip_schedule_rel) for r in same] == [(5, "SCHEDULED")]
 
 
 def test_day_filter_prunes_partitions(spark, tmpdir_path):
