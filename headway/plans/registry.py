@@ -1,7 +1,9 @@
 """Registered queries: name -> callable(spark, data_dir) -> DataFrame.
 
 Every query reads the driver tables of ``data_dir`` whole (through the adapters) and returns a
-lazy DataFrame; nothing is collected.
+DataFrame.  Analytic queries are lazy plans; maintenance queries (sinks, static load, quality)
+first write to the shared scratch folder and return the table they read back.  The only values
+brought to the driver are bounded key lists (schedule versions, service days).
 """
 
 from __future__ import annotations
