@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from headway.functions import first_translation_text, hms_to_seconds
 from headway.operators import active_on_dates, resolve_dates
@@ -129,6 +130,19 @@ def _sink_replace_slices(spark, d):
     return back.select(*occ.columns)
 
 
+def _sink_replace_hours(spark, d):
+    """RAW trip updates written by (service_date, hour) slices (dynamic overwrite replaces exactly
+    the slices present), a requested empty slice cleared, then read back."""
+    tu = raw.raw_trip_updates(_m(spark, d).t.raw_trip_updates, stride=5)
+    path = scratch_path(spark, "raw_trip_updates")
+    part, cluster = ("service_date", "hour"), ("trip_id",)
+    (sinks.clustered(tu, part, cluster).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(*part).parquet(path))
+    sinks.replace_slices(tu.where(F.lit(False)), path, part, [{"service_date": "2023-06-30", "hour": 1}])
+    back = sinks.read_table(spark, path, StructType([f for f in tu.schema.fields]))
+    return back.select(*tu.columns)
+
+
 def _sink_upsert_backfill(spark, d):
     """Maintain FACT_ALERTS as a snapshot table: apply later days first, then earlier days."""
     m = _m(spark, d)
@@ -315,6 +329,7 @@ def registry() -> dict[str, Query]:
         "quality_violations": _quality,
         "sink_replace_slices": _sink_replace_slices,
         "sink_upsert_backfill": _sink_upsert_backfill,
+        "sink_replace_hours": _sink_replace_hours,
         # schedule (GTFS static) load
         "static_dims": _static_dims,
         "static_stop_times": _static_stop_times,
