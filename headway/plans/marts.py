@@ -172,14 +172,20 @@ def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts
 
 # --- service delivered ------------------------------------------------------------------------
 
+def day_versions(days: DataFrame, versions: DataFrame) -> DataFrame:
+    """(trip_start_date, feed_start_date): the schedule version in force on each requested day."""
+    return resolve_dates(days, "trip_start_date", versions).withColumnRenamed("static_version_date", "feed_start_date")
+
+
 def _service_exceptions(calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
-                        days: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(weekly, added, removed) service ids per requested day under the version in force.
+                        days: DataFrame, dv: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(weekly, added, removed) service ids per requested day under the version in force
+    (``dv``: precomputed :func:`day_versions`, else resolved here).
 
     Weekly services: each calendar window is expanded to its days within the requested range
     (interval operator), then equi-joined on (version, day) with the version in force that day --
     only matching (service, day) pairs are ever produced."""
-    dv = resolve_dates(days, "trip_start_date", versions).withColumnRenamed("static_version_date", "feed_start_date")
+    dv = day_versions(days, versions) if dv is None else dv
     d = F.col("trip_start_date")
     windows = calendar.select("feed_start_date", "service_id", "start_date", "end_date",
                               *GTFS_WEEKDAY_COLUMNS.values())
@@ -196,18 +202,18 @@ def _service_exceptions(calendar: DataFrame, calendar_dates: DataFrame, versions
 
 
 def service_union(calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
-                  days: DataFrame) -> DataFrame:
+                  days: DataFrame, dv: DataFrame | None = None) -> DataFrame:
     """Weekly services within their window UNION (distinct) services added by exception."""
-    weekly, added, _ = _service_exceptions(calendar, calendar_dates, versions, days)
+    weekly, added, _ = _service_exceptions(calendar, calendar_dates, versions, days, dv)
     return weekly.union(added).distinct()
 
 
 def active_services(calendar: DataFrame, calendar_dates: DataFrame, versions: DataFrame,
-                    days: DataFrame) -> DataFrame:
+                    days: DataFrame, dv: DataFrame | None = None) -> DataFrame:
     """Effective services per requested day under the version in force that day:
     (weekday services within their window  UNION  added exceptions)  minus removed exceptions.
     ``days`` has a ``trip_start_date`` column.  Output: (trip_start_date, feed_start_date, service_id)."""
-    weekly, added, removed = _service_exceptions(calendar, calendar_dates, versions, days)
+    weekly, added, removed = _service_exceptions(calendar, calendar_dates, versions, days, dv)
     keys = ["trip_start_date", "feed_start_date", "service_id"]
     return weekly.union(added).distinct().join(removed, keys, "left_anti")
 
@@ -223,9 +229,10 @@ def first_departures(stop_times: DataFrame, versions_in_use: DataFrame | None =
 
 
 def scheduled_bus_trips(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, calendar: DataFrame,
-                        calendar_dates: DataFrame, versions: DataFrame, days: DataFrame) -> DataFrame:
+                        calendar_dates: DataFrame, versions: DataFrame, days: DataFrame,
+                        dv: DataFrame | None = None) -> DataFrame:
     """Bus trips scheduled on each requested day whose first departure is before 24:00."""
-    act = active_services(calendar, calendar_dates, versions, days)
+    act = active_services(calendar, calendar_dates, versions, days, dv)
     used = act.select("feed_start_date").distinct()
     first = first_departures(stop_times, used).where(hms_hour("first_departure_time") < 24)
     r = _bus_routes(routes).select("feed_start_date", "route_id", "route_name")

@@ -10,8 +10,10 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.plans import facts, marts, raw
+from headway.plans._common import date_frame
 from headway.session import scratch_path
 from headway.sources import adapters
 
@@ -95,10 +97,17 @@ class TransitModel:
     def mart_occupancy_route_hour(self) -> DataFrame:
         return marts.mart_occupancy_route_hour(self.fact_vehicle_positions, self.t.dim_routes)
 
+    def _day_list(self, df: DataFrame, col: str) -> DataFrame:
+        """The distinct days of ``df[col]`` as a literal one-column frame.  The day set is a
+        bounded list of partition keys (like a run date); deriving it once keeps every later
+        use -- as-of versions, interval bounds, calendar expansion -- from rescanning the source."""
+        days = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+        return date_frame(df, col, days)
+
     @cached_property
     def alert_run_days(self) -> DataFrame:
         """Days the alert marts are built for: every day with alert snapshots."""
-        return self.t.alert_snapshots.select("service_date")
+        return self._day_list(self.t.alert_snapshots, "service_date")
 
     @_layer
     def mart_alerts_by_day(self) -> DataFrame:
@@ -113,18 +122,26 @@ class TransitModel:
     @cached_property
     def service_days(self) -> DataFrame:
         """Trip days the service metric is built for: every trip start date seen in realtime."""
-        return self.t.raw_trip_updates.select("trip_start_date").distinct()
+        return self._day_list(self.t.raw_trip_updates, "trip_start_date")
+
+    @cached_property
+    def service_day_versions(self) -> DataFrame:
+        """(trip_start_date, feed_start_date) for every service day, resolved once (the source
+        resolves the version of a run day once, as a constant); a bounded literal mapping."""
+        pairs = sorted(tuple(r) for r in marts.day_versions(self.service_days, self.t.dim_static_versions).collect())
+        return self.spark.createDataFrame(pairs, "trip_start_date date, feed_start_date date")
 
     @cached_property
     def active_services(self) -> DataFrame:
         return marts.active_services(self.t.dim_calendar, self.t.dim_calendar_dates,
-                                     self.t.dim_static_versions, self.service_days)
+                                     self.t.dim_static_versions, self.service_days, self.service_day_versions)
 
     @cached_property
     def scheduled_bus_trips(self) -> DataFrame:
         t = self.t
         return marts.scheduled_bus_trips(t.dim_trips, t.dim_routes, t.dim_stop_times, t.dim_calendar,
-                                         t.dim_calendar_dates, t.dim_static_versions, self.service_days)
+                                         t.dim_calendar_dates, t.dim_static_versions, self.service_days,
+                                         self.service_day_versions)
 
     @_layer
     def mart_service_delivered(self) -> DataFrame:

@@ -276,7 +276,8 @@ def _numeric_first_sort(spark, d):
 
 def _union_distinct(spark, d):
     m = _m(spark, d)
-    return marts.service_union(m.t.dim_calendar, m.t.dim_calendar_dates, m.t.dim_static_versions, m.service_days)
+    return marts.service_union(m.t.dim_calendar, m.t.dim_calendar_dates, m.t.dim_static_versions, m.service_days,
+                               m.service_day_versions)
 
 
 def registry() -> dict[str, Query]:
