@@ -88,6 +88,10 @@ def ship_package(spark: SparkSession) -> None:
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     target = scratch_path(spark, "pyfiles")
+    if "://" in target:
+        # shared storage is not writable with Python file I/O: build the archive on the driver;
+        # addPyFile serves it to every executor through Spark's own file server
+        target = tempfile.mkdtemp(prefix="headway-pyfiles-")
     os.makedirs(target, exist_ok=True)
     archive = shutil.make_archive(os.path.join(target, "headway"), "zip",
                                   root_dir=os.path.dirname(pkg_dir), base_dir="headway")
