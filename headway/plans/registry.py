@@ -109,6 +109,19 @@ def _raw_vehicle_positions(spark, d):
     return raw.raw_from_feed(snaps, "vehicle_positions").select(*ADAPTER_VP_COLUMNS)
 
 
+TU_FEED_COLUMNS = ("service_date", "hour", "snapshot_timestamp", "entity_id", "is_deleted", "trip_id", "route_id",
+                   "direction_id", "trip_start_date", "trip_schedule_rel")
+
+
+def _raw_trip_updates_feed(spark, d):
+    """Land trip updates as GTFS-realtime snapshots, then load RAW from them: stride over the
+    landed files of each hour, decode, newest row per (day, hour, trip instance)."""
+    from headway.sources.gtfs_rt import publish_trip_update_snapshots
+
+    snaps = publish_trip_update_snapshots(_m(spark, d).t.raw_trip_updates)
+    return raw.raw_from_feed(snaps, "trip_updates", stride=5).select(*TU_FEED_COLUMNS)
+
+
 def _quality(spark, d):
     # every layer is checked and most feed other layers: write each once, check the tables
     m = TransitModel(spark, d, materialize=True)
@@ -303,6 +316,7 @@ def registry() -> dict[str, Query]:
         "stride_sample": _stride,
         "raw_trip_updates": lambda s, d: raw.raw_trip_updates(_m(s, d).t.raw_trip_updates, stride=5),
         "raw_vehicle_positions": _raw_vehicle_positions,
+        "raw_trip_updates_feed": _raw_trip_updates_feed,
         "multi_date_build": _multi_date_build,
         "status_mix": _status_mix,
         "latest_snapshot_per_entity": _latest_snapshot_per_entity,

@@ -316,6 +316,31 @@ def encode_vehicle_snapshot(rows: list[dict], header_epoch: int, version: str =
     return msg.SerializeToString()
 
 
+def encode_trip_update_snapshot(rows: list[dict], header_epoch: int, version: str = "2.0") -> bytes:
+    """One FeedMessage with a trip_update entity per row (trip descriptor fields, deletion flag).
+    A schedule relationship that is not a GTFS-realtime enum name (e.g. blank) is left unset."""
+    from headway.sources.gtfs_rt_proto import ENUMS, FeedMessage, enum_number
+
+    valid = {n for n, _ in ENUMS["ScheduleRelationship"]}
+    msg = FeedMessage()
+    msg.header.gtfs_realtime_version = version
+    msg.header.timestamp = int(header_epoch)
+    for r in rows:
+        e = msg.entity.add()
+        e.id = str(r["entity_id"])
+        if r.get("is_deleted") is not None:
+            e.is_deleted = bool(r["is_deleted"])
+        trip = e.trip_update.trip
+        for src, dst in (("trip_id", "trip_id"), ("route_id", "route_id"), ("trip_start_date_text", "start_date")):
+            if r.get(src) is not None:
+                setattr(trip, dst, r[src])
+        if r.get("direction_id") is not None:
+            trip.direction_id = int(r["direction_id"])
+        if r.get("trip_schedule_rel") in valid:
+            trip.schedule_relationship = enum_number("ScheduleRelationship", r["trip_schedule_rel"])
+    return msg.SerializeToString()
+
+
 MAX_ENTITIES_PER_MESSAGE = 50_000
 
 
@@ -324,8 +349,16 @@ def _part_name(path: str, index: int) -> str:
     return path if index == 0 else f"{path[:-3]}-c{index}.pb"
 
 
+def publish_trip_update_snapshots(tu: DataFrame, tz: str = "America/New_York",
+                                  max_entities_per_message: int = MAX_ENTITIES_PER_MESSAGE) -> DataFrame:
+    """Trip-update rows (RAW-like) -> one FeedMessage per landing path, like
+    :func:`publish_vehicle_snapshots`."""
+    return publish_vehicle_snapshots(tu, tz, 1, max_entities_per_message, feed="trip_updates")
+
+
 def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York", parts_per_snapshot: int = 1,
-                              max_entities_per_message: int = MAX_ENTITIES_PER_MESSAGE) -> DataFrame:
+                              max_entities_per_message: int = MAX_ENTITIES_PER_MESSAGE,
+                              feed: str = "vehicle_positions") -> DataFrame:
     """Group vehicle rows (RAW-like, wall-clock ``snapshot_timestamp``/``position_timestamp`` in
     ``tz``) into FeedMessages per landing path: ``(path, content)``, the shape ``binaryFile``
     returns.  A poll is normally one message (bounded by fleet size); a poll larger than
@@ -342,7 +375,7 @@ def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York", parts
         return ntz_epoch_seconds(F.convert_timezone(F.lit(tz), F.lit("UTC"), F.col(c)))
 
     df = vp.select(
-        snapshot_path("vehicle_positions", "snapshot_timestamp").alias("path"),
+        snapshot_path(feed, "snapshot_timestamp").alias("path"),
         utc_epoch("snapshot_timestamp").alias("header_epoch"),
         *[F.col(c) if c in vp.columns else F.lit(None).alias(c) for c in
           ("entity_id", "is_deleted", "trip_id", "route_id", "direction_id", "trip_start_time")],
@@ -350,7 +383,8 @@ def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York", parts
         *[F.col(c) if c in vp.columns else F.lit(None).alias(c) for c in
           ("trip_schedule_rel", "current_stop_sequence", "stop_id", "current_status", "occupancy_status",
            "occupancy_percentage")],
-        utc_epoch("position_timestamp").alias("position_epoch"),
+        (utc_epoch("position_timestamp") if "position_timestamp" in vp.columns
+         else F.lit(None).cast("bigint")).alias("position_epoch"),
         *[F.col(c) if c in vp.columns else F.lit(None).cast("double").alias(c) for c in ("latitude", "longitude")],
     )
 
@@ -363,6 +397,7 @@ def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York", parts
     clustered = df.repartition("path").sortWithinPartitions("path")
 
     cap = int(max_entities_per_message)
+    encoder = encode_trip_update_snapshot if feed == "trip_updates" else encode_vehicle_snapshot
 
     def encode_batches(batches):
         import pyarrow as pa
@@ -373,7 +408,7 @@ def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York", parts
 
         def flush_message():
             paths.append(_part_name(cur_path, cur_part))
-            contents.append(encode_vehicle_snapshot(cur_rows, cur_epoch))
+            contents.append(encoder(cur_rows, cur_epoch))
 
         for batch in batches:
             for r in batch.to_pylist():
