@@ -5,13 +5,14 @@ overlapping per kind.  A text is split at the matches of a kind; the lengths of
 add up to the positions (two-level sums, so a text with very many matches stays near linear).
 
 Bootstrapping: identifier-like strings (runs of words that hold a digit or ``@``) are *instances*; a
-*pattern* is the word before, the shape of the instance (digits 9, letters a, runs counted in classes)
-or the word before alone.  Instances that hold a base span are the seeds of their kind.  Pattern and
-instance scores are then refined in turn over the bipartite graph with grouped sums: a pattern's
-score is the mean score of its distinct instances, shrunk towards zero for small support; an
-unseeded instance takes the score of its best pattern.  After ``ROUNDS`` rounds, instances that a
-pattern of at least ``MIN_SEEDS`` distinct seeds and a score of ``MIN_SCORE`` proposes become spans of
-the pattern's kind.
+lexical *pattern* is the word before with the shape of the instance (digits 9, letters a, runs counted
+in classes), or the word before alone.  Instances that hold a valid base span are the seeds of their
+kind; those that only look like one and fail its check (Luhn, byte range, digits) are counter-examples.
+Pattern and instance scores are then refined in turn over the bipartite graph with grouped sums: a
+pattern's score is the mean score of its distinct instances, shrunk towards zero for small support;
+an unseeded instance takes, for each pattern, the mean score of its *other* patterns, so that no
+pattern confirms itself.  After ``ROUNDS`` rounds, unseeded instances that a pattern of at least
+``MIN_SEEDS`` distinct seeds and a score of ``MIN_SCORE`` proposes become spans of the pattern's kind.
 
 The regular expressions are the contract's, written with possessive quantifiers and a guard that
 begins only at the start of a run (or at the end of the last match): same matches, linear time.
@@ -109,25 +110,23 @@ def base_spans(df: DataFrame, text: str) -> DataFrame:
     """Adds ``base``: array of (start, kind number, end, kind) in the contract's order (never null)."""
     for kind, regex in KINDS.items():
         df = _located(_split(df, text, kind, regex, GUARDS[kind]), kind).drop(f"{kind}_p")
-    parts = []
-    for no, kind in enumerate(KINDS):
-        zipped = F.transform(
-            F.col(f"{kind}_m"),
-            lambda m, k, kind=kind, no=no: F.struct(
-                F.element_at(F.col(f"{kind}_s"), k + 1).cast("int").alias("start"), F.lit(no).alias("no"),
-                (F.element_at(F.col(f"{kind}_s"), k + 1) + F.length(m)).cast("int").alias("end"),
-                F.lit(kind).alias("kind"), m.alias("hit")))
-        ok = F.filter(zipped, lambda x, kind=kind: _valid(kind, x["hit"]))
-        bare = F.transform(ok, lambda x: F.struct(x["start"].alias("start"), x["no"].alias("no"),
-                                                  x["end"].alias("end"), x["kind"].alias("kind")))
-        parts.append(F.when(F.size(f"{kind}_m") > 0, bare).otherwise(
-            F.from_json(F.lit("[]"), "array<struct<start:int,no:int,end:int,kind:string>>")))
+    none = F.array().cast("array<struct<start:int,no:int,end:int,kind:string>>")
+    parts = [F.when(F.size(f"{kind}_m") > 0, _kind_spans(no, kind)).otherwise(none) for no, kind in enumerate(KINDS)]
     any_hit = F.coalesce(*[F.when(F.size(f"{k}_m") > 0, True) for k in KINDS], F.lit(False))
-    none = F.from_json(F.lit("[]"), "array<struct<start:int,no:int,end:int,kind:string>>")
     df = df.withColumn("base", F.when(any_hit, F.array_sort(F.concat(*parts))).otherwise(none))
     return df.drop(*[f"{k}_{x}" for k in KINDS for x in "ms"])
 
 
+def _kind_spans(no: int, kind: str) -> Column:
+    """Valid matches of one kind as spans."""
+    at = lambda k: F.element_at(F.col(f"{kind}_s"), k + 1).cast("int")
+    hits = F.transform(F.col(f"{kind}_m"), lambda m, k: F.struct(m.alias("hit"), at(k).alias("start")))
+    valid = F.filter(hits, lambda x: _valid(kind, x["hit"]))
+    return F.transform(valid, lambda x: F.struct(
+        x["start"].alias("start"), F.lit(no).alias("no"),
+        (x["start"] + F.length(x["hit"])).cast("int").alias("end"), F.lit(kind).alias("kind")))
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(
         ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
@@ -161,11 +160,15 @@ def _shape(c: Column) -> Column:
 
 
 def seed_kind(hit: Column) -> Column:
-    """The first kind with a valid base match inside an instance, else null."""
-    return F.coalesce(*[
-        F.when(hit.rlike(GUARDS[k]), F.when(F.exists(
-            F.regexp_extract_all(hit, F.lit(KINDS[k]), F.lit(0)), lambda m, k=k: _valid(k, m)), F.lit(k)))
-        for k in KINDS])
+    """The first kind with a valid base match inside an instance; "none" if it only looks like one of a
+    kind and fails its check; else null."""
+    looks = [hit.rlike(GUARDS[k]) & hit.rlike(KINDS[k]) for k in KINDS]
+    return F.coalesce(*[F.when(x & _holds(k, hit), F.lit(k)) for k, x in zip(KINDS, looks)],
+                      *[F.when(x, F.lit("none")) for x in looks])
+
+
+def _holds(kind: str, hit: Column) -> Column:
+    return F.exists(F.regexp_extract_all(hit, F.lit(KINDS[kind]), F.lit(0)), lambda m: _valid(kind, m))
 
 
 def discovered(found: DataFrame, key: list[str], rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
@@ -176,25 +179,25 @@ def discovered(found: DataFrame, key: list[str], rounds: int = ROUNDS, min_seeds
     named = text.select("hit", "left").withColumn("kind", seed_kind(F.col("hit"))) \
                 .withColumn("shape", _shape(F.col("hit")))
     edges = stored(named.select(
-        "hit", "kind", F.explode(F.array(F.concat_ws(" ", "left", "shape"), F.concat_ws(" ", "left", F.lit("*")),
-                                         F.concat_ws(" ", F.lit("*"), "shape"))).alias("pattern")).distinct(),
-        "pii-edges")
+        "hit", "kind", F.explode(F.array(F.concat_ws(" ", "left", "shape"), F.concat_ws(" ", "left", F.lit("*"))))
+        .alias("pattern")).distinct(), "pii-edges")
     # a pattern belongs to the kind that most of its seeds have
-    votes = edges.where("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
+    votes = edges.where("kind != 'none'").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
     owner = votes.groupBy("pattern").agg(F.max(F.struct("seeds", "kind")).alias("o")) \
                  .select("pattern", F.col("o.kind").alias("own"), F.col("o.seeds").alias("seeds"))
     owner = owner.where(F.col("seeds") >= min_seeds)
     graph = stored(edges.join(owner, "pattern"), "pii-graph")
-    # instances: 1 for seeds of the pattern's kind, 0 for seeds of another, else the best pattern so far
+    # instances: 1 for seeds of the pattern's kind, 0 for other seeds and counter-examples
     score = None
     for _ in range(rounds):
         here = F.when(F.col("kind") == F.col("own"), 1.0).when(F.col("kind").isNotNull(), 0.0)
         rows = graph
         if score is not None:
-            best = (graph.where("kind is null").join(score, "pattern").groupBy("hit", "own")
-                    .agg(F.max("score").alias("belief")))
-            rows = graph.join(best, ["hit", "own"], "left")
-            here = here.otherwise(F.coalesce(F.col("belief"), F.lit(0.0)))
+            scored = graph.join(score, "pattern")
+            known = (scored.where("kind is null").groupBy("hit", "own")
+                     .agg(F.sum("score").alias("all"), F.count(F.lit(1)).alias("n")))
+            rows = scored.join(known, ["hit", "own"], "left")
+            here = here.otherwise(F.when(F.col("n") > 1, (F.col("all") - F.col("score")) / (F.col("n") - 1)).otherwise(0.0))
         else:
             here = here.otherwise(0.0)
         score = stored(rows.groupBy("pattern").agg(
@@ -233,6 +236,10 @@ def find(docs: DataFrame) -> DataFrame:
                        _joined(spans).alias("spans"))
 
 
+def _masked(kind: str) -> Column:
+    return F.transform("k_m", lambda m: F.when(_valid(kind, m), F.lit(MASKS[kind])).otherwise(m))
+
+
 def mask(docs: DataFrame) -> DataFrame:
     """The documents table with every span replaced by its kind's mark; ``n_chars``, if the table has
     it, follows the new text."""
@@ -254,7 +261,7 @@ def mask(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("t", F.when(F.size("extra") > 0, rebuilt).otherwise(F.col("t"))).drop("extra")
     for kind, regex in KINDS.items():
         rows = _split(rows, "t", "k", regex, GUARDS[kind])
-        ok = F.transform("k_m", lambda m, kind=kind: F.when(_valid(kind, m), F.lit(MASKS[kind])).otherwise(m))
+        ok = _masked(kind)
         whole = F.array_join(F.flatten(F.transform(
             F.arrays_zip(F.col("k_p"), F.concat(ok, F.array(F.lit("")))),
             lambda x: F.array(x["k_p"], x["1"]))), "")
