@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -96,3 +97,65 @@ def rows_of(docs: DataFrame) -> Column:
 
 def unpack(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(f"__row.`{c}`").alias(c) for c in columns])
+
+
+class WordMemo:
+    """Codes of words met so far in a Python worker: ``learn`` turns new words into rows of a table.
+
+    A bounded memo, not a vocabulary: when it is full it starts anew and words are learnt again.
+    """
+
+    def __init__(self, learn, limit: int = 700_000):
+        self.learn, self.limit = learn, limit
+        self.reset()
+
+    def reset(self) -> None:
+        self.code: dict[bytes, int] = {}
+        self.rows: np.ndarray | None = None
+        self.used = 0
+
+    def rows_of(self, words: list[bytes]) -> np.ndarray:
+        """The row of every word."""
+        at = self.codes(words)
+        return self.rows[at] if self.rows is not None else self.learn([])
+
+    def codes(self, words: list[bytes]) -> np.ndarray:
+        """Row number of every word, valid until the next call."""
+        if self.used > self.limit:
+            self.reset()
+        out = np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            fresh = [words[i] for i in new.tolist()]
+            distinct = list(dict.fromkeys(fresh))
+            rows = self.learn(distinct)
+            if self.rows is None:
+                self.rows = np.zeros((1 << 16, *rows.shape[1:]), rows.dtype)
+            while self.used + len(rows) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[self.used: self.used + len(rows)] = rows
+            self.code.update(zip(distinct, range(self.used, self.used + len(rows))))
+            self.used += len(rows)
+            out[new] = np.fromiter(map(self.code.__getitem__, fresh), np.int64, len(fresh))
+        return out
+
+
+def sum_blocks(parts: DataFrame) -> DataFrame:
+    """``(name, block, counts)`` with equally long little-endian int64 blocks -> their sums per (name,
+    block).  Rows are streamed, a task holds one running block per name and block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, np.ndarray] = {}
+        for b in batches:
+            for name, block, counts in zip(*(b.column(i).to_pylist() for i in range(3))):
+                one = np.frombuffer(counts, "<i8")
+                if (name, block) in total:
+                    total[name, block] += one
+                else:
+                    total[name, block] = one.copy()
+        if total:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.int32()),
+                 pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["name", "block", "counts"])
+
+    return parts.repartition("name", "block").mapInArrow(run, "name string, block int, counts binary")

@@ -9,11 +9,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import mixing, packing, pii, quality_rules, simhash
+from headway.llm import language, mixing, packing, pii, quality_model, quality_rules, simhash
 from headway.llm.common import table
 from headway.llm.oracle import MIX_SQL
 
 
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -34,13 +38,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_model": op1_quality_model,
         "op3_pii": op3_pii,
         "op4_quality_rules": op4_quality_rules,
         "op7_packing": op7_packing,
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
+        "op10_language": op10_language,
     }
 
 
