@@ -41,3 +41,26 @@ SELECT doc_id, size, source_size, target,
             ELSE 0 END AS BIGINT) AS taken
 FROM queue, cut
 """
+
+PREFERENCE_SQL = """
+WITH t AS (
+  SELECT DISTINCT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, ((conv_id % 2) + 2) % 2 AS side, turn,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side, turn ORDER BY role, text) AS nth FROM t),
+differs AS (
+  SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.turn, r.turn) AS turn, coalesce(c.nth, r.nth) AS nth
+  FROM (SELECT * FROM n WHERE side = 0) c FULL OUTER JOIN (SELECT * FROM n WHERE side = 1) r
+    ON c.pair_id = r.pair_id AND c.turn = r.turn AND c.nth = r.nth
+  WHERE c.pair_id IS NULL OR r.pair_id IS NULL OR c.role <> r.role OR c.text <> r.text),
+cut AS (SELECT pair_id, min((turn, nth)) AS at FROM differs GROUP BY pair_id),
+seg AS (
+  SELECT n.pair_id, CASE WHEN cut.at IS NULL OR (n.turn, n.nth) < cut.at THEN 'prompt'
+                         WHEN n.side = 0 THEN 'chosen' ELSE 'rejected' END AS part, n.turn, n.nth, n.role, n.side,
+         '<|' || n.role || '|>' || chr(10) || n.text || '<|end|>' || chr(10) AS rendered
+  FROM n LEFT JOIN cut ON n.pair_id = cut.pair_id)
+SELECT pair_id, part, turn, CAST(nth AS INTEGER) AS nth, role, rendered,
+       CAST(sum(length(rendered)) OVER (PARTITION BY pair_id, part ORDER BY turn, nth) - length(rendered) AS BIGINT) AS start,
+       CAST(length(rendered) AS BIGINT) AS length, part <> 'prompt' AND role = 'assistant' AS trained
+FROM seg WHERE NOT (part = 'prompt' AND side = 1)
+"""

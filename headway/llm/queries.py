@@ -9,9 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import language, mixing, packing, pii, quality_model, quality_rules, simhash
+from headway.llm import language, mixing, neighbours, packing, pii, preferences, quality_model, quality_rules, simhash
 from headway.llm.common import table
-from headway.llm.oracle import MIX_SQL
+from headway.llm.oracle import MIX_SQL, PREFERENCE_SQL
 
 
 def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.preference_report(table(spark, sf_dir, "conversations"))
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbour_report(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -47,6 +55,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_model": op1_quality_model,
         "op3_pii": op3_pii,
         "op4_quality_rules": op4_quality_rules,
+        "op5_preferences": op5_preferences,
+        "op6_neighbours": op6_neighbours,
         "op7_packing": op7_packing,
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
@@ -55,4 +65,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": MIX_SQL}
+    return {"op5_preferences": PREFERENCE_SQL, "op8_mixing": MIX_SQL}
