@@ -2,18 +2,22 @@
 
 The tokenizer never joins across ASCII blanks, so a text's ids are those of its blank-separated
 words.  Each Python worker keeps the ids of the words it has met (a bounded memo; a word that was
-dropped is simply encoded again), new words are encoded together in one call.
+dropped is simply encoded again).  A new word of plain Latin letters, with or without ASCII marks
+after it, is one piece of letters and one of marks for the tokenizer's model; every other new word
+goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import gc
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 
 MEMO_WORDS = 700_000
-MARK = "\x01"
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"   # all ASCII marks but the apostrophe (contractions)
+LAST_LEAD = 0xC8      # first UTF-8 byte of the last code points taken as plain letters (below U+0240)
 
 
 def default_path() -> str:
@@ -29,12 +33,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        mark = self.tok.encode(MARK, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        self.model = self.tok.model
         self.reset()
 
     def reset(self) -> None:
         self.code: dict[bytes, int] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.pool = np.zeros(1 << 16, np.int32)
         self.used = 1                                  # entry 0: the closing id 0
         self.first = np.zeros(1 << 16, np.int64)
@@ -42,7 +46,7 @@ class WordEncoder:
         self.n[0] = 1
         self.entries = 1
 
-    def _add(self, words: list[bytes], ids: list[np.ndarray] | tuple[np.ndarray, np.ndarray]) -> None:
+    def _add(self, words: list[bytes], ids: tuple[np.ndarray, np.ndarray]) -> None:
         flat, sizes = ids
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
@@ -57,26 +61,52 @@ class WordEncoder:
         self.used += len(flat)
         self.entries = b
 
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        """Ids of one piece that the tokenizer would not split or change any more."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = tuple([t.id for t in self.model.tokenize(piece)])
+            self.pieces[piece] = ids
+        return ids
+
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"\x01" not in w and b"<|" not in w] if self.mark is not None else []
-        odd = [w for w in words if b"\x01" in w or b"<|" in w] if self.mark is not None else words
-        for at in range(0, len(plain), 20_000):
-            part = plain[at: at + 20_000]
-            text = f" {MARK} ".join([w.decode("utf-8", "replace") for w in part])
-            ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.int32)
-            cut = np.flatnonzero(ids == self.mark)
-            if len(cut) != len(part) - 1:
-                odd.extend(part)
+        got: list[tuple[int, ...] | None] = []
+        odd: list[int] = []
+        for i, w in enumerate(words):
+            stem = w.rstrip(MARKS)
+            if not stem:
+                got.append(self._piece(w.decode()))
                 continue
-            sizes = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1
-            self._add(part, (np.delete(ids, cut), sizes))
+            if max(stem) <= LAST_LEAD:
+                letters = stem.decode("utf-8", "replace").lower()
+                if letters.isalpha():
+                    # the byte-level alphabet of the vocabulary: Latin-1 view of the UTF-8 bytes
+                    ids = self._piece(letters if stem.isascii() else _byte_level(letters))
+                    if len(stem) < len(w):
+                        ids = ids + self._piece(w[len(stem):].decode())
+                    got.append(ids)
+                    continue
+            got.append(None)
+            odd.append(i)
         if odd:
-            encs = self.tok.encode_batch([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False)
-            got = [np.array(e.ids, np.int32) for e in encs]
-            self._add(odd, (np.concatenate(got), np.array([len(g) for g in got])))
+            texts = [words[i].decode("utf-8", "replace") for i in odd]
+            for i, e in zip(odd, self.tok.encode_batch(texts, add_special_tokens=False)):
+                got[i] = tuple(e.ids)
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        flat = np.fromiter(chain.from_iterable(got), np.int32, int(sizes.sum()))
+        self._add(words, (flat, sizes))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the n + 1 bounds of the texts, each closed by id 0."""
+        collects = gc.isenabled()
+        gc.disable()                                   # many small objects, no cycles
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if self.entries > MEMO_WORDS:
             self.reset()
         split = [t.split() for t in texts]
@@ -98,6 +128,19 @@ class WordEncoder:
         return flat, bounds
 
 
+@lru_cache(1)
+def _byte_letters() -> dict[int, int]:
+    """Bytes of letters to the printable code points that stand for them in byte-level vocabularies:
+    printable Latin-1 stays, the others follow from U+0100 in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 0x100 + i for i, b in enumerate(hidden)}
+
+
+def _byte_level(piece: str) -> str:
+    return piece.encode().decode("latin-1").translate(_byte_letters())
+
+
 @lru_cache(2)
 def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
