@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import language, mixing, neighbours, packing, pii, preferences, quality_model, quality_rules, simhash
+from headway.llm import (language, mixing, neighbours, packing, pii, preferences, quality_model, quality_rules,
+                         simhash, substrings)
 from headway.llm.common import table
 from headway.llm.oracle import MIX_SQL, PREFERENCE_SQL
 
@@ -18,6 +19,10 @@ def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_model": op1_quality_model,
+        "op2_substrings": op2_substrings,
         "op3_pii": op3_pii,
         "op4_quality_rules": op4_quality_rules,
         "op5_preferences": op5_preferences,
