@@ -11,7 +11,7 @@ slices those days own, so re-running a job is idempotent:
 * :func:`build_marts` -- FACT -> the five METRIC tables (their day slices).
 
 Warehouse layout: ``<root>/<table>`` partitioned parquet; alert facts are snapshot tables
-(``<root>/<table>/_CURRENT`` points at the current snapshot folder).
+(the newest ``<root>/<table>/_CURRENT-<n>`` file names the current snapshot folder).
 """
 
 from __future__ import annotations
@@ -49,11 +49,9 @@ class Warehouse:
         return sinks.read_table(self.spark, self.path(table), schema(table))
 
     def replace(self, df: DataFrame, table: str, day_col: str, days: Iterable[_dt.date]) -> None:
-        """Clear the requested day slices of ``table`` (all sub-partitions), then append ``df``."""
+        """Make the requested day slices of ``table`` (all sub-partitions) equal to ``df``."""
         part, cluster = LAYOUT[table]
-        for d in days:
-            sinks.delete_path(self.spark, f"{self.path(table)}/{day_col}={d.isoformat()}")
-        sinks.write_table(conform(df, table), self.path(table), part, cluster, mode="append")
+        sinks.replace_slices(conform(df, table), self.path(table), part, [{day_col: d} for d in days], cluster)
 
 
 def load_realtime(wh: Warehouse, landing_root: str, feed: str, days, stride: int = 5) -> None:
@@ -110,5 +108,5 @@ def build_marts(wh: Warehouse, days) -> None:
     day_frame = wh.spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in ds])).alias("trip_start_date"))
     sched = marts.scheduled_bus_trips(wh.read("dim_trips"), routes, stop_times, wh.read("dim_calendar"),
                                       wh.read("dim_calendar_dates"), versions, day_frame)
-    wh.replace(marts.mart_service_delivered(sched, wh.read("fact_trip_updates")), "metric_service_delivered",
+    wh.replace(marts.mart_service_delivered(sched, wh.read("fact_trip_updates"), ds), "metric_service_delivered",
                "trip_start_date", ds)

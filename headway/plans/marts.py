@@ -82,6 +82,8 @@ def mart_occupancy_route_hour(fact_vp: DataFrame, routes: DataFrame, dates: Date
     roll-up over versions.  Every output equals the row-level formula: shares are counts over the
     row count, the mean is sum / count of the reported percentages."""
     f = where_opt(fact_vp, in_dates("service_date", dates))
+    # the fact is partitioned by trip day: a service day holds trips of that day and the day before
+    f = where_opt(f, in_dates("trip_start_date", dates, shift_days=(0, -1)))
     f = f.where(F.col("current_stop_sequence") != 1)
     occ, status = F.col("occupancy_percentage"), F.col("occupancy_status")
     shares = list(OCCUPANCY_STATUS_COLUMNS.items())
@@ -244,10 +246,11 @@ def scheduled_bus_trips(trips: DataFrame, routes: DataFrame, stop_times: DataFra
                     "route_name", "direction_id", F.col("feed_start_date").alias("static_version_date"))
 
 
-def mart_service_delivered(scheduled: DataFrame, fact_tu: DataFrame) -> DataFrame:
+def mart_service_delivered(scheduled: DataFrame, fact_tu: DataFrame, dates: DateSet = None) -> DataFrame:
     """Share of scheduled bus service delivered per (day, route, direction).  Trips the realtime
     feed marks ADDED leave the denominator and are counted separately; NULL direction is a group
     of its own and matches NULL direction null-safely."""
+    fact_tu = where_opt(fact_tu, in_dates("trip_start_date", dates))
     rt = fact_tu.select("trip_id", "trip_start_date", "route_id", "direction_id", "static_version_date",
                         schedule_relationship("trip_schedule_rel").alias("rt_rel"))
     rt_key = rt.select("trip_id", "trip_start_date", "static_version_date", "rt_rel",

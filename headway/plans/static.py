@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import hms_to_seconds, yyyymmdd_to_date
 from headway.schemas import LAYOUT, conform, empty
+from headway.sinks import tables as sinks
 from headway.sources.gtfs_static import GTFS_FILES, collection_columns, file_exists, read_gtfs_csv
 
 
@@ -112,13 +113,11 @@ def load_static_version(spark: SparkSession, version_dir: str, warehouse: str, p
     dims = build_dims(spark, version_dir)
     paths = {t: f"{warehouse.rstrip('/')}/{t}" for t in dims}
 
+    anchor = dims["dim_static_versions"].agg(F.min("feed_start_date")).first()[0]
+
     def write(table: str) -> None:
-        df = dims[table]
         part, cluster = LAYOUT[table]
-        if cluster:
-            df = df.sortWithinPartitions(*cluster)
-        (df.write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(*part).parquet(paths[table]))
+        sinks.replace_slices(dims[table], paths[table], part, [{"feed_start_date": anchor}], cluster)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
         list(pool.map(write, dims))

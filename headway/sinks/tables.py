@@ -1,15 +1,17 @@
 """Table sinks on plain partitioned parquet (no table format needed).
 
-* :func:`write_table` -- clustered layout: range-partition on (partition, cluster) columns so a
-  hot day is spread over many tasks, sort within tasks, ``partitionBy`` the day column.
-* :func:`replace_slices` -- idempotent replacement of whole slices (days): the requested slices are
-  cleared, then the new rows appended; a slice whose new result is empty ends up empty.
+* :func:`write_table` -- clustered layout: rebalanced by the partition columns (adaptive execution
+  splits a hot day and merges small ones; no sampling pass, so the plan that feeds the write runs
+  once), sorted within tasks, ``partitionBy`` the day column.
+* :func:`replace_slices` -- idempotent replacement of whole slices (days): the new rows are computed
+  and committed first, then the old files of the requested slices go; a failed job leaves the old
+  slices, a slice whose new result is empty ends up empty.
 * :func:`upsert_table` -- guarded latest-wins upsert: the new state is written to a fresh snapshot
-  folder and a pointer file is switched afterwards, so a path is never overwritten while it is
-  read and a failed job leaves the previous snapshot current.
+  folder, then a new pointer file names it.  Pointer files are numbered and never replaced; readers
+  take the newest one whose folder is complete.  Old snapshots stay until :func:`remove_old_snapshots`.
 
 All writes go through Spark's commit protocol (task retries on lost executors are safe); file
-system calls are limited to listing, deleting slice folders and the pointer file.
+system calls are limited to listing, deleting old files and the pointer files.
 """
 
 from __future__ import annotations
@@ -52,18 +54,34 @@ def _slice_dir(partition_cols: Sequence[str], values: Mapping[str, object]) -> s
     return "/".join(parts)
 
 
+def _glob_dir(path: str, slice_: Mapping[str, object], partition_cols: Sequence[str]) -> str:
+    return f"{path.rstrip('/')}/{_slice_dir([c for c in partition_cols if c in slice_], slice_)}"
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a folder, at any depth."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    found, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        found.append(it.next().getPath().toString())
+    return found
+
+
 def clustered(df: DataFrame, partition_cols: Sequence[str], cluster_cols: Sequence[str] = ()) -> DataFrame:
-    """Range-partition by (partition, cluster) columns and sort within tasks.  Range bounds are
-    sampled, so a skewed day is split across tasks instead of landing in one."""
+    """Rebalance by the partition columns and sort within tasks by (partition, cluster) columns."""
     keys = [*partition_cols, *cluster_cols]
     if not keys:
         return df
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    spread = df.hint("rebalance", *partition_cols) if partition_cols else df
+    return spread.sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), cluster_cols: Sequence[str] = (),
                 mode: str = "overwrite") -> None:
-    w = clustered(df, partition_cols, cluster_cols).write.mode(mode)
+    """Write the whole table; ``overwrite`` replaces all of it whatever the session's overwrite mode is."""
+    w = clustered(df, partition_cols, cluster_cols).write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)
@@ -71,12 +89,14 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), cl
 
 def replace_slices(df: DataFrame, path: str, partition_cols: Sequence[str],
                    slices: Iterable[Mapping[str, object]], cluster_cols: Sequence[str] = ()) -> None:
-    """Make the table's requested slices equal to ``df`` (which must only hold rows of those
-    slices).  Other slices are untouched."""
+    """Make the table's requested slices equal to ``df`` (which must only hold rows of those slices).
+    A slice names a prefix of the partition columns.  Other slices are untouched."""
     spark = df.sparkSession
-    for s in slices:
-        delete_path(spark, f"{path.rstrip('/')}/{_slice_dir(partition_cols, s)}")
-    write_table(df, path, partition_cols, cluster_cols, mode="append")
+    old = [f for s in slices for f in _files(spark, _glob_dir(path, s, partition_cols))]
+    (clustered(df, partition_cols, cluster_cols).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+    for f in old:                       # the commit replaced the slices that have rows; the others still hold these
+        delete_path(spark, f)
 
 
 def replace_days(df: DataFrame, path: str, day_col: str, days: Iterable, cluster_cols: Sequence[str] = ()) -> None:
@@ -93,18 +113,31 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 # --- snapshot tables (upsert targets) -------------------------------------------------------
 
-def current_snapshot(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, f"{path.rstrip('/')}/{POINTER}")
-    if not fs.exists(p):
-        return None
+def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if st.getPath().getName().startswith(prefix)) if fs.exists(p) else []
+
+
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
     stream = fs.open(p)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        name = reader.readLine()
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
         stream.close()
-    return f"{path.rstrip('/')}/{name.strip()}" if name else None
+    return line.strip() if line else None
+
+
+def current_snapshot(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest pointer whose snapshot is complete."""
+    base = path.rstrip("/")
+    for pointer in reversed(_names(spark, base, f"{POINTER}-")):
+        name = _first_line(spark, f"{base}/{pointer}")
+        if name and path_exists(spark, f"{base}/{name}/_SUCCESS"):
+            return f"{base}/{name}"
+    return None
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
@@ -112,39 +145,47 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     return None if snap is None else spark.read.parquet(snap)
 
 
-def _switch_pointer(spark: SparkSession, path: str, name: str) -> None:
+def _point_to(spark: SparkSession, path: str, name: str) -> None:
+    """Add a pointer file after the newest one.  It is renamed into place whole; a name that another
+    writer took meanwhile is an error, and the table keeps that writer's state."""
     base = path.rstrip("/")
-    tmp = f"{base}/.{POINTER}.{uuid.uuid4().hex}"
-    fs, tp = _fs(spark, tmp)
-    out = fs.create(tp, True)
+    last = _names(spark, base, f"{POINTER}-")
+    number = int(last[-1].rsplit("-", 1)[1]) + 1 if last else 0
+    fs, made = _fs(spark, f"{base}/.{POINTER}.{uuid.uuid4().hex}")
+    out = fs.create(made, False)
     try:
         out.write(bytearray(name.encode("utf-8")))
     finally:
         out.close()
-    _, final = _fs(spark, f"{base}/{POINTER}")
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(tp, final)
+    _, final = _fs(spark, f"{base}/{POINTER}-{number:012d}")
+    if fs.exists(final) or not fs.rename(made, final):
+        raise RuntimeError(f"{path}: another writer added {final.getName()}; the upsert was not applied")
 
 
-def upsert_table(source: DataFrame, path: str, keys: Sequence[str], ts: str = "snapshot_timestamp",
-                 keep_snapshots: int = 2) -> str:
+def upsert_table(source: DataFrame, path: str, keys: Sequence[str], ts: str = "snapshot_timestamp") -> str:
     """Apply ``source`` (one row per key) to the snapshot table at ``path``; returns the new
     snapshot folder."""
     spark = source.sparkSession
     target = read_current(spark, path)
+    if target is None and _names(spark, path, f"{POINTER}-"):
+        raise RuntimeError(f"{path}: pointers exist but no snapshot is complete; refusing to start anew")
     new_state = upsert_latest(target, source, keys, ts)
-    name = f"snapshot_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%dT%H%M%S')}_{uuid.uuid4().hex[:8]}"
+    name = f"snapshot_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}_{uuid.uuid4().hex[:8]}"
     out = f"{path.rstrip('/')}/{name}"
     new_state.write.mode("errorifexists").parquet(out)
-    _switch_pointer(spark, path, name)
-    _prune_snapshots(spark, path, keep_snapshots)
+    _point_to(spark, path, name)
     return out
 
 
-def _prune_snapshots(spark: SparkSession, path: str, keep: int) -> None:
-    fs, p = _fs(spark, path)
-    names = sorted(st.getPath().getName() for st in fs.listStatus(p)
-                   if st.isDirectory() and st.getPath().getName().startswith("snapshot_"))
-    for old in names[:-keep] if keep > 0 else []:
-        delete_path(spark, f"{path.rstrip('/')}/{old}")
+def remove_old_snapshots(spark: SparkSession, path: str, older_than_hours: float = 72.0) -> int:
+    """Delete snapshots that were replaced longer ago than any reader runs; the current one stays."""
+    base = path.rstrip("/")
+    current = (current_snapshot(spark, path) or "").rsplit("/", 1)[-1]
+    limit = _dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(hours=older_than_hours)
+    gone = 0
+    for name in _names(spark, base, "snapshot_"):
+        made = _dt.datetime.strptime(name.split("_")[1], "%Y%m%dT%H%M%S%f").replace(tzinfo=_dt.timezone.utc)
+        if name != current and made < limit:
+            delete_path(spark, f"{base}/{name}")
+            gone += 1
+    return gone

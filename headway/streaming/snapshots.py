@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.plans import facts, raw
+from headway.session import scratch_path
 from headway.sinks import tables as sinks
 
 BINARY_FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -33,6 +34,9 @@ def alert_batch_to_facts(batch: DataFrame, versions: DataFrame, fact_root: str)
     """One micro-batch of alert snapshots -> RAW dedupe -> guarded upserts of the three alert
     facts (entity state, informed entities, active periods)."""
     raw_alerts = raw.raw_from_feed(batch, "alerts")
+    path = scratch_path(batch.sparkSession, "alert-batch")      # decoded once, read by three upserts
+    raw_alerts.write.parquet(path)
+    raw_alerts = batch.sparkSession.read.schema(raw_alerts.schema).parquet(path)
     base = fact_root.rstrip("/")
     sinks.upsert_table(facts.fact_alerts(raw_alerts, versions), f"{base}/fact_alerts", ["entity_id"])
     sinks.upsert_table(facts.fact_alerts_routes(raw_alerts), f"{base}/fact_alerts_routes",
