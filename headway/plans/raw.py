@@ -69,15 +69,19 @@ def raw_from_feed(snapshots: DataFrame, feed: str, stride: int = 5) -> DataFrame
 
     kind = gtfs_rt.KINDS[feed]
     if feed == "trip_updates" and stride > 1:
-        files = snapshots.select("path", *path_partitions("path"))
-        kept = stride_files(files, stride).select("path")
-        snapshots = snapshots.join(kept, "path", "left_semi")
+        poll = gtfs_rt.poll_of("path")
+        polls = snapshots.select(poll.alias("path")).distinct().select("path", *path_partitions("path"))
+        kept = stride_files(polls, stride).select(F.col("path").alias("poll"))
+        snapshots = snapshots.withColumn("poll", poll).join(kept, "poll", "left_semi")
     rows = gtfs_rt.flatten(gtfs_rt.decode(snapshots, kind), kind)
     if feed == "alerts":
-        rows = latest_per_key(rows, ["service_date", "entity_id"], "snapshot_timestamp")
+        # equal header times: the greater content wins, whatever file or part it came in
+        rows = latest_per_key(rows, ["service_date", "entity_id"], "snapshot_timestamp",
+                              tiebreak=[F.xxhash64(*[c for c in rows.columns if c != "ingested_at"]).desc()])
         return conform(rows, "raw_alerts")
     if feed == "trip_updates":
         rows = latest_per_key(rows, ["service_date", "hour", "trip_id", "trip_start_date"], "snapshot_timestamp",
-                              tiebreak=[F.col("entity_id").desc()])
+                              tiebreak=[F.col("entity_id").desc(),
+                                        F.xxhash64(*[c for c in rows.columns if c != "ingested_at"]).desc()])
         return conform(rows, "raw_trip_updates")
     return conform(rows, "raw_vehicle_positions")

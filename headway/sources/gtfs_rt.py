@@ -25,6 +25,8 @@ from headway.schemas import (
     TRIP_PROPERTIES,
 )
 
+from headway.sources.gtfs_static import file_exists
+
 KINDS = {"vehicle_positions": "vehicle", "alerts": "alert", "trip_updates": "trip_update"}
 
 _HEAD = ("path STRING, header_timestamp BIGINT, gtfs_realtime_version STRING, entity_id STRING, "
@@ -190,13 +192,16 @@ def decode_batches(batches: Iterator, kind: str, arrow_schema) -> Iterator:
 # --- Spark side ---------------------------------------------------------------------------------
 
 def read_snapshots(spark: SparkSession, root: str, feed: str, days: list[str] | None = None) -> DataFrame:
-    """``(path, content)`` of the landed snapshots of ``feed`` (optionally only some ``dt`` days;
-    the day filter is on the partition column, so other days are never listed or read)."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.pb")
-          .option("basePath", f"{root.rstrip('/')}/{feed}").load(f"{root.rstrip('/')}/{feed}"))
-    if days is not None:
-        df = df.where(F.col("dt").cast("string").isin(list(days)))
-    return df.select("path", "content")
+    """``(path, content)`` of the landed snapshots of ``feed`` (optionally only some ``dt`` days: their
+    folders are the paths that are loaded, so other days are never listed)."""
+    base = f"{root.rstrip('/')}/{feed}"
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb").option("basePath", base)
+    if days is None:
+        return reader.load(base).select("path", "content")
+    there = [p for p in (f"{base}/dt={d}" for d in days) if file_exists(spark, p)]
+    if not there:
+        return spark.createDataFrame([], "path string, content binary")
+    return reader.load(there).select("path", "content")
 
 
 def list_snapshots(spark: SparkSession, root: str, feed: str, days: list[str] | None = None) -> DataFrame:
@@ -218,7 +223,10 @@ def read_strided_snapshots(spark: SparkSession, root: str, feed: str, stride: in
     listing = list_snapshots(spark, root, feed, days)
     if stride <= 1:
         return read_snapshots(spark, root, feed, days)
-    kept = [r[0] for r in stride_sample(listing, ["service_date", "hour"], "path", stride).select("path").collect()]
+    polls = listing.select("service_date", "hour", poll_of("path").alias("poll")).distinct()
+    kept_polls = stride_sample(polls, ["service_date", "hour"], "poll", stride).select("poll")
+    kept = [r[0] for r in listing.withColumn("poll", poll_of("path")).join(kept_polls, "poll", "left_semi")
+            .select("path").collect()]
     if not kept:
         return read_snapshots(spark, root, feed, days).where(F.lit(False))
     return (spark.read.format("binaryFile").option("basePath", f"{root.rstrip('/')}/{feed}")
@@ -249,6 +257,11 @@ def _path_cols(path: Column) -> list[Column]:
     return path_partitions(path)
 
 
+def poll_of(path) -> Column:
+    """The poll a landed file belongs to: its path without the suffix of a part file."""
+    return F.regexp_replace(F.col(path) if isinstance(path, str) else path, r"(?:-[cp][0-9]+)+\.pb$", ".pb")
+
+
 def flatten(decoded: DataFrame, kind: str, tz: str = "America/New_York") -> DataFrame:
     """Decoded rows -> RAW table columns (JVM expressions): partition values from the path,
     epoch seconds to ``tz`` wall clock, ``YYYYMMDD`` start dates to DATE."""
@@ -361,10 +374,10 @@ def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York", parts
                               feed: str = "vehicle_positions") -> DataFrame:
     """Group vehicle rows (RAW-like, wall-clock ``snapshot_timestamp``/``position_timestamp`` in
     ``tz``) into FeedMessages per landing path: ``(path, content)``, the shape ``binaryFile``
-    returns.  A poll is normally one message (bounded by fleet size); a poll larger than
-    ``MAX_ENTITIES_PER_MESSAGE`` is written as several part files, and ``parts_per_snapshot > 1``
-    spreads one poll over that many tasks (hash of the entity id), so no single task has to
-    encode an oversized poll."""
+    returns.  A poll is normally one message (bounded by fleet size); a larger poll is written as
+    several part files, and ``parts_per_snapshot > 1`` spreads one poll over that many tasks (hash of
+    the entity id).  Readers that pick polls (stride) go by :func:`poll_of`, so parts never count
+    as polls of their own."""
     from headway.functions import ntz_epoch_seconds
     from headway.plans.raw import snapshot_path
     from headway.session import ship_package
