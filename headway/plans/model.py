@@ -98,11 +98,8 @@ class TransitModel:
         return marts.mart_occupancy_route_hour(self.fact_vehicle_positions, self.t.dim_routes)
 
     def _day_list(self, df: DataFrame, col: str) -> DataFrame:
-        """The distinct days of ``df[col]`` as a literal one-column frame.  The day set is a
-        bounded list of partition keys (like a run date); deriving it once keeps every later
-        use -- as-of versions, interval bounds, calendar expansion -- from rescanning the source."""
-        days = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
-        return date_frame(df, col, days)
+        """The distinct days of ``df[col]``, lazily: a grouping of one column, never a collected list."""
+        return date_frame(df, col, None)
 
     @cached_property
     def alert_run_days(self) -> DataFrame:
@@ -126,10 +123,8 @@ class TransitModel:
 
     @cached_property
     def service_day_versions(self) -> DataFrame:
-        """(trip_start_date, feed_start_date) for every service day, resolved once (the source
-        resolves the version of a run day once, as a constant); a bounded literal mapping."""
-        pairs = sorted(tuple(r) for r in marts.day_versions(self.service_days, self.t.dim_static_versions).collect())
-        return self.spark.createDataFrame(pairs, "trip_start_date date, feed_start_date date")
+        """(trip_start_date, feed_start_date) for every service day."""
+        return marts.day_versions(self.service_days, self.t.dim_static_versions)
 
     @cached_property
     def active_services(self) -> DataFrame:

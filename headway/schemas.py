@@ -138,12 +138,15 @@ PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
     "metric_service_delivered": ("trip_start_date", "route_id", "direction_id"),
 }
 
-# Declared foreign keys (child table, child columns, parent table, parent columns).
+# Foreign keys (child table, child columns, parent table, parent columns).  Every schedule
+# table refers to its version; the last three are the keys that joins between schedule tables rely on.
 FOREIGN_KEYS: tuple[tuple[str, tuple[str, ...], str, tuple[str, ...]], ...] = (
+    *((t, ("feed_start_date",), "dim_static_versions", ("feed_start_date",))
+      for t in ("dim_agency", "dim_routes", "dim_stops", "dim_trips", "dim_stop_times", "dim_calendar",
+                "dim_calendar_dates")),
     ("dim_trips", ("feed_start_date", "route_id"), "dim_routes", ("feed_start_date", "route_id")),
     ("dim_stop_times", ("feed_start_date", "trip_id"), "dim_trips", ("feed_start_date", "trip_id")),
     ("dim_stop_times", ("feed_start_date", "stop_id"), "dim_stops", ("feed_start_date", "stop_id")),
-    ("dim_routes", ("feed_start_date",), "dim_static_versions", ("feed_start_date",)),
 )
 
 # Physical layout: partition column and clustering (sort) columns per written table.

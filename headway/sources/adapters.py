@@ -107,10 +107,17 @@ class TransitData:
             (F.lit(-71.0).cast("double") - n.cast("double") / 1000.0).alias("stop_lon"),
         )
 
+    @cached_property
+    def dim_agency(self) -> DataFrame:
+        return self._read("region").select(
+            _explode_versions().alias("feed_start_date"),
+            F.concat(F.lit("A"), F.col("r_regionkey").cast("string")).alias("agency_id"),
+            F.col("r_name").alias("agency_name"))
+
     @cached_property
     def dim_trips(self) -> DataFrame:
-        n = F.col("n_nationkey")
-        return self._read("nation").select(
+        n = F.col("c_custkey")
+        return self._read("customer").select(
             _explode_versions().alias("feed_start_date"),
             F.concat(F.lit("T"), n.cast("string")).alias("trip_id"),
             F.concat(F.lit("R"), (n % 10).cast("string")).alias("route_id"),
@@ -120,10 +127,11 @@ class TransitData:
 
     @cached_property
     def dim_stop_times(self) -> DataFrame:
-        n = F.col("n_nationkey")
-        st = (self._read("nation").select(n, _explode_versions().alias("feed_start_date"))
-              .select("n_nationkey", "feed_start_date", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("s")))
-        sec = (n * 2700 + F.col("s") * 600 + F.when(n == 24, F.lit(86400)).otherwise(F.lit(0))).cast("int")
+        n = F.col("c_custkey")
+        st = (self._read("customer").select(n.cast("bigint").alias("c_custkey"), _explode_versions().alias("feed_start_date"))
+              .select("c_custkey", "feed_start_date", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("s")))
+        sec = ((n % 25) * 2700 + F.col("s") * 600
+               + F.when(n % 25 == 24, F.lit(86400)).otherwise(F.lit(0))).cast("int")
         return st.select(
             "feed_start_date",
             F.concat(F.lit("T"), n.cast("string")).alias("trip_id"),
