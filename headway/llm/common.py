@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -14,13 +15,16 @@ from headway.session import ensure_checkpoint_dir, scratch_path, ship_package
 
 # word bytes are everything but ASCII blank and \t \n \v \f \r (bytes.split() splits on exactly these)
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = 2000      # rows of an Arrow batch: texts of this many documents are in a Python worker at a time
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Checkpoint folder set, package importable on the executors."""
+    """Checkpoint folder set, package importable on the executors, Arrow batches of whole texts small."""
     ensure_checkpoint_dir(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     ship_package(spark)
     return spark
 
@@ -121,6 +125,15 @@ class WordMemo:
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         """Row number of every word, valid until the next call."""
+        collects = gc.isenabled()
+        gc.disable()                                   # many small objects, no cycles
+        try:
+            return self._codes(words)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _codes(self, words: list[bytes]) -> np.ndarray:
         if self.used > self.limit:
             self.reset()
         out = np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))

@@ -39,6 +39,7 @@ REPLICA = 1.05
 REPLICAS = 4
 PRUNE = 1.1
 BLOCK_ROWS = 512
+HELD_ROWS = 1 << 20    # candidates a scoring task keeps before it cuts them down per query
 DEGREE = 24            # neighbours of a centroid in the graph
 BEAM = 64              # candidates kept during a walk, at least
 
@@ -170,12 +171,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     schema = "query_id long, rank int, vec_id long, score double"
     if not width:
         return spark.createDataFrame([], schema)
-    rows = rows.where(F.size("v") == width[0]["w"]).distinct()
+    rows = rows.where(F.size("v") == width[0]["w"])
     # distinct vectors with the k + 1 smallest ids: enough for any answer, ties go to the smaller id
     # (a vector with a third of all rows is one group, so ids are first cut down per salt)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
     ranked = Window.partitionBy("v", "salt").orderBy("id")
-    few = salted.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k + 1)
+    few = salted.withColumn("r", F.dense_rank().over(ranked)).where(F.col("r") <= k + 1)
     distinct = stored(few.groupBy("v").agg(
         F.slice(F.sort_array(F.collect_set("id")), 1, k + 1).alias("ids")).select(
         "v", "ids", F.element_at("ids", 1).alias("least")), "ann-vectors")
@@ -187,37 +188,66 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     asked = stored(asked.join(distinct.select("v", F.col("least").alias("q")), "v").select("query_id", "q", "v"),
                    "ann-queries")
 
-    def block(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
-        """(list, ids, matrix) blocks of at most BLOCK_ROWS rows."""
-        open_: dict[int, list] = {}
-
-        def close(at: int) -> pa.RecordBatch:
-            ids, mats = zip(*open_.pop(at))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([at], pa.int32()), pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
-                 pa.array([np.stack(mats).astype("<f8").tobytes()], pa.binary())], names=["list", "ids", "m"])
-
+    def deal(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
+        """(list, id, vector) rows: a vector in every list it belongs to, a query in every list it visits."""
         for b in batches:
-            ids, v = b.column(0).to_numpy(), _matrix(b.column(1))
-            if not len(ids):
+            v = _matrix(b.column(1))
+            if not len(v):
                 continue
             if kind == "rows":
                 r, at = lists.assign(v)
-                pairs = zip(r.tolist(), at.tolist())
             else:
-                pairs = ((i, j) for i in range(len(ids)) for j in lists.visit(v[i], prune).tolist())
-            for i, j in pairs:
-                open_.setdefault(j, []).append((ids[i], v[i]))
-                if len(open_[j]) >= BLOCK_ROWS:
-                    yield close(j)
-        for j in list(open_):
-            yield close(j)
-
-    blocks = "list int, ids binary, m binary"
-    postings = distinct.select("least", "v").mapInArrow(lambda it: block(it, "rows"), blocks)
-    questions = asked.dropDuplicates(["q"]).select("q", "v").mapInArrow(lambda it: block(it, "queries"), blocks)
+                visited = [lists.visit(x, prune) for x in v]
+                r, at = np.repeat(np.arange(len(v)), [len(x) for x in visited]), np.concatenate(visited)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int32()), b.column(0).take(pa.array(r)),
+                 pa.array([x.tobytes() for x in v[r].astype("<f8")], pa.binary())], names=["list", "id", "row"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by list -> (list, ids, matrix) blocks of at most BLOCK_ROWS rows."""
+        now, ids, rows = None, [], []
+
+        def close() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([now], pa.int32()), pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
+                 pa.array([b"".join(rows)], pa.binary())], names=["list", "ids", "m"])
+
+        for b in batches:
+            for at, i, row in zip(*(b.column(k).to_pylist() for k in range(3))):
+                if ids and (at != now or len(ids) >= BLOCK_ROWS):
+                    yield close()
+                    ids, rows = [], []
+                now = at
+                ids.append(i)
+                rows.append(row)
+        if ids:
+            yield close()
+
+    def blocked(rows: DataFrame, kind: str) -> DataFrame:
+        dealt = rows.mapInArrow(lambda it: deal(it, kind), "list int, id long, row binary")
+        return dealt.repartition("list").sortWithinPartitions("list").mapInArrow(
+            blocks, "list int, ids binary, m binary")
+
+    postings = blocked(distinct.select("least", "v"), "rows")
+    questions = blocked(asked.dropDuplicates(["q"]).select("q", "v"), "queries")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k + 1 best of every query among the lists of this task."""
+        held: list[tuple] = []
+        rows = 0
+
+        def best() -> tuple:
+            q, at, near = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((-near, at, q))                 # a vector met in several lists counts once
+            q, at, near = q[order], at[order], near[order]
+            new = np.concatenate([[True], (q[1:] != q[:-1]) | (at[1:] != at[:-1])])
+            q, at, near = q[new], at[new], near[new]
+            order = np.lexsort((at, -near, q))
+            q, at, near = q[order], at[order], near[order]
+            first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+            nth = np.arange(len(q)) - np.repeat(first, np.diff(np.concatenate([first, [len(q)]])))
+            return q[nth <= k], at[nth <= k], near[nth <= k]
+
         for b in batches:
             for ids, m, qids, qm in zip(*(b.column(i).to_pylist() for i in range(4))):
                 ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
@@ -225,8 +255,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
                 top = min(k + 1, len(ids))
                 cut = -np.partition(-s, top - 1, axis=1)[:, top - 1:top]
                 q, at = np.nonzero(s >= cut - 1e-12)           # all ties of the last place
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(qids[q]), pa.array(ids[at]), pa.array(s[q, at])], names=["q", "least", "near"])
+                held.append((qids[q], ids[at], s[q, at]))
+                rows += len(q)
+                if rows > HELD_ROWS:
+                    held = [best()]
+                    rows = len(held[0][0])
+                    if rows > HELD_ROWS // 2:                  # many queries: give them out
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["q", "least", "near"])
+                        held, rows = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best()], names=["q", "least", "near"])
 
     pairs = (questions.withColumnsRenamed({"ids": "qids", "m": "qm"}).join(postings, "list")
              .select("ids", "m", "qids", "qm").mapInArrow(score, "q long, least long, near double"))

@@ -1,8 +1,8 @@
 """Personal data by fixed rules and bootstrapped contextual extraction, with DataFrame functions only.
 
 Base spans: e-mail addresses, IPv4 addresses, card numbers (Luhn) and phone numbers, leftmost and not
-overlapping per kind.  A text is split at the matches of a kind; the lengths of the pieces and matches
-add up to the positions (two-level sums, so a text with very many matches stays near linear).
+overlapping per kind.  A text is split at the matches of a kind; running sums of the lengths of pieces
+and matches are the positions.
 
 Bootstrapping: identifier-like strings (runs of words that hold a digit or ``@``) are *instances*; a
 lexical *pattern* is the word before with the shape of the instance (digits 9, letters a, runs counted
@@ -23,7 +23,7 @@ all their spans; an empty table gives an empty result; other columns are ignored
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import prepare, rows_of, stored, unpack
@@ -40,7 +40,7 @@ _IP_PART = "0*(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 CANDIDATE = r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*+(?:\x20[(+]?[0-9][^\x20\x09-\x0D]*+)*+"
-STEP = 256
+_SEARCHES = [*((k, KINDS[k], GUARDS[k]) for k in KINDS), ("c", CANDIDATE, "[0-9@]")]   # name, pattern, guard
 ROUNDS = 3
 MIN_SEEDS = 5
 MIN_SCORE = 0.9
@@ -75,20 +75,6 @@ def _valid(kind: str, m: Column) -> Column:
     return n.between(9, 15)
 
 
-def _starts(pieces: Column, found: Column) -> Column:
-    """Start of every match from the lengths of pieces and matches: sums of whole steps plus a rest."""
-    steps = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(found) / STEP).cast("int")),
-        lambda b: F.aggregate(F.slice(pieces, b * STEP + 1, STEP), F.lit(0), lambda a, x: a + x)
-        + F.aggregate(F.slice(found, b * STEP + 1, STEP), F.lit(0), lambda a, x: a + x))
-    bases = F.transform(F.sequence(F.lit(0), F.size(steps) - 1),
-                        lambda b: F.aggregate(F.slice(steps, F.lit(1), b), F.lit(0), lambda a, x: a + x))
-    return F.transform(
-        found, lambda _, k: F.element_at(bases, F.floor(k / STEP).cast("int") + 1)
-        + F.aggregate(F.slice(pieces, k - k % STEP + 1, k % STEP + 1), F.lit(0), lambda a, x: a + x)
-        + F.aggregate(F.slice(found, k - k % STEP + 1, k % STEP), F.lit(0), lambda a, x: a + x))
-
-
 def _split(df: DataFrame, text: str, name: str, regex: str, guard: str) -> DataFrame:
     """``<name>_m`` matches and ``<name>_p`` the pieces between them; both null if the guard fails."""
     t = F.col(text)
@@ -96,35 +82,47 @@ def _split(df: DataFrame, text: str, name: str, regex: str, guard: str) -> DataF
             .withColumn(f"{name}_p", F.when(F.size(f"{name}_m") > 0, F.split(t, regex, -1))))
 
 
-def _located(df: DataFrame, name: str) -> DataFrame:
-    """``<name>_s``: starts of the matches in code points."""
-    lengths = lambda c: F.transform(c, lambda x: F.length(x))
-    some = F.size(f"{name}_m") > 0
-    df = (df.withColumn(f"{name}_pl", F.when(some, lengths(F.col(f"{name}_p"))))
-          .withColumn(f"{name}_ml", F.when(some, lengths(F.col(f"{name}_m")))))
-    return (df.withColumn(f"{name}_s", F.when(some, _starts(F.col(f"{name}_pl"), F.col(f"{name}_ml"))))
-            .drop(f"{name}_pl", f"{name}_ml"))
-
-
-def base_spans(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``base``: array of (start, kind number, end, kind) in the contract's order (never null)."""
-    for kind, regex in KINDS.items():
-        df = _located(_split(df, text, kind, regex, GUARDS[kind]), kind).drop(f"{kind}_p")
-    none = F.array().cast("array<struct<start:int,no:int,end:int,kind:string>>")
-    parts = [F.when(F.size(f"{kind}_m") > 0, _kind_spans(no, kind)).otherwise(none) for no, kind in enumerate(KINDS)]
-    any_hit = F.coalesce(*[F.when(F.size(f"{k}_m") > 0, True) for k in KINDS], F.lit(False))
-    df = df.withColumn("base", F.when(any_hit, F.array_sort(F.concat(*parts))).otherwise(none))
-    return df.drop(*[f"{k}_{x}" for k in KINDS for x in "ms"])
+def _before(piece: Column) -> Column:
+    """The last word of the piece before an instance, in lower case."""
+    return F.lower(F.regexp_extract(F.substring(piece, -80, 80), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
+
+
+def matches(df: DataFrame, key: list[str], text: str) -> DataFrame:
+    """One row per match of a kind, and per instance (kind ``c``), of each distinct (key): hit, start in
+    code points and, for instances, the word before.  Stored: every text is split once.
+
+    Starts are running sums of the lengths of pieces and matches, over the matches of one text."""
+    for name, regex, guard in _SEARCHES:
+        df = _split(df, text, name, regex, guard)
+    none = F.array().cast("array<string>")
+    lists = F.array(*[F.struct(
+        F.lit(name).alias("kind"), F.col(f"{name}_m").alias("hits"),
+        F.transform(f"{name}_p", lambda x: F.length(x)).alias("gaps"),
+        (F.transform(f"{name}_p", _before) if name == "c" else none).alias("lefts")) for name, _, _ in _SEARCHES])
+    found = stored(df.select(*key, F.explode(F.filter(lists, lambda x: F.size(x["hits"]) > 0)).alias("x")), "pii-found")
+    one = found.dropDuplicates([*key, "x"])                        # repeated rows are looked at once
+    rows = one.select(*key, F.col("x.kind").alias("kind"),
+                      F.posexplode(F.arrays_zip("x.hits", "x.gaps", "x.lefts")).alias("k", "y"))
+    rows = rows.where("y.hits is not null").select(
+        *key, "kind", "k", F.col("y.hits").alias("hit"), F.col("y.gaps").alias("gap"), F.col("y.lefts").alias("left"))
+    upto = Window.partitionBy(*key, "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("gap") + F.length("hit")).over(upto)
+    return rows.withColumn("start", (end - F.length("hit")).cast("int"))
+
+
+def _spans(rows: DataFrame, key: list[str], name: str) -> DataFrame:
+    """Rows (key, start, end, kind) -> array of (start, number, end, kind) per key, in the contract's order."""
+    no = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KINDS)])
+    span = F.struct("start", no.alias("no"), "end", "kind")
+    return rows.groupBy(*key).agg(F.array_sort(F.collect_set(span)).alias(name))
 
 
-def _kind_spans(no: int, kind: str) -> Column:
-    """Valid matches of one kind as spans."""
-    at = lambda k: F.element_at(F.col(f"{kind}_s"), k + 1).cast("int")
-    hits = F.transform(F.col(f"{kind}_m"), lambda m, k: F.struct(m.alias("hit"), at(k).alias("start")))
-    valid = F.filter(hits, lambda x: _valid(kind, x["hit"]))
-    return F.transform(valid, lambda x: F.struct(
-        x["start"].alias("start"), F.lit(no).alias("no"),
-        (x["start"] + F.length(x["hit"])).cast("int").alias("end"), F.lit(kind).alias("kind")))
+def base_spans(found: DataFrame, key: list[str]) -> DataFrame:
+    """``base`` spans of every key that has any."""
+    rows = found.where("kind != 'c'")
+    ok = F.coalesce(*[F.when(F.col("kind") == k, _valid(k, F.col("hit"))) for k in KINDS])
+    rows = rows.where(ok).select(*key, "start", (F.col("start") + F.length("hit")).cast("int").alias("end"), "kind")
+    return _spans(rows, key, "base")
 
 
 def _joined(spans: Column) -> Column:
@@ -134,18 +132,14 @@ def _joined(spans: Column) -> Column:
 
 # ---------------------------------------------------------------- bootstrapping
 
-def instances(df: DataFrame, key: list[str], text: str) -> DataFrame:
+def instances(found: DataFrame, key: list[str]) -> DataFrame:
     """One row per identifier-like string: key, start, end, hit, left (the word before, lower case)."""
-    df = _located(_split(df.where(F.col(text).rlike("[0-9@]")), text, "c", CANDIDATE, "[0-9@]"), "c")
-    rows = df.select(*key, F.posexplode(F.arrays_zip(
-        F.col("c_m"), F.col("c_s"), F.slice(F.col("c_p"), F.lit(1), F.size("c_m")))).alias("k", "x"))
-    rows = rows.select(*key, F.col("x.c_m").alias("raw"), F.col("x.c_s").alias("at"), F.col("x.2").alias("lead"))
+    rows = found.where("kind = 'c'").withColumnRenamed("hit", "raw").withColumnRenamed("start", "at")
     # quotes and closing punctuation are not part of an identifier
-    bare = F.regexp_replace(F.regexp_replace("raw", r"^[^A-Za-z0-9+(]++", ""), r"[^A-Za-z0-9)]++$", "")
-    skip = F.length("raw") - F.length(F.regexp_replace("raw", r"^[^A-Za-z0-9+(]++", ""))
-    left = F.lower(F.regexp_extract(F.substring("lead", -80, 80), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
-    return (rows.withColumn("hit", bare).withColumn("start", (F.col("at") + skip).cast("int"))
-            .withColumn("left", left).where("length(hit) >= 4")
+    opened = F.regexp_replace("raw", r"^[^A-Za-z0-9+(]++", "")
+    bare = F.regexp_replace(opened, r"[^A-Za-z0-9)]++$", "")
+    return (rows.withColumn("hit", bare)
+            .withColumn("start", (F.col("at") + F.length("raw") - F.length(opened)).cast("int")).where("length(hit) >= 4")
             .select(*key, "start", (F.col("start") + F.length("hit")).cast("int").alias("end"), "hit", "left"))
 
 
@@ -211,29 +205,36 @@ def _keys(docs: DataFrame) -> list[Column]:
     return [F.col("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("sign")]
 
 
-def _new_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, sign, extra): the method's spans of each text that has any."""
+_KEY = ["doc_id", "sign"]
+
+
+def _found(docs: DataFrame) -> DataFrame:
     texts = docs.select(*_keys(docs), F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    found = stored(instances(texts, ["doc_id", "sign"], "t"), "pii-instances")
-    new = discovered(found, ["doc_id", "sign"]).distinct()            # repeated rows count once
-    no = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KINDS)])
-    span = F.struct("start", no.alias("no"), "end", "kind")
-    return new.groupBy("doc_id", "sign").agg(F.array_sort(F.collect_list(span)).alias("extra")) \
-              .withColumnsRenamed({"doc_id": "__id", "sign": "__sign"})
+    return stored(matches(texts, _KEY, "t"), "pii-matches")
+
+
+def _new_spans(found: DataFrame) -> DataFrame:
+    """(__id, __sign, extra): the method's spans of each text that has any."""
+    new = discovered(stored(instances(found, _KEY), "pii-instances"), _KEY)
+    return _spans(new, _KEY, "extra").withColumnsRenamed({"doc_id": "__id", "sign": "__sign"})
+
+
+def _with(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    return rows.join(spans, rows["doc_id"].eqNullSafe(spans["__id"]) & (rows["sign"] == spans["__sign"]), "left") \
+               .drop("__id", "__sign")
 
 
 def find(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, counts of the base kinds, base_sha256, spans."""
     prepare(docs.sparkSession)
-    texts = docs.select(*_keys(docs), F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    base = stored(base_spans(texts, "t").select("doc_id", "sign", "base"), "pii-base")
-    new = _new_spans(docs)
-    both = base.join(new, base["doc_id"].eqNullSafe(new["__id"]) & (base["sign"] == new["__sign"]), "left")
+    found = _found(docs)
+    base = base_spans(found, _KEY).withColumnsRenamed({"doc_id": "__id", "sign": "__sign"})
+    both = _with(_with(docs.select(*_keys(docs)), base), _new_spans(found))
+    empty = F.array().cast("array<struct<start:int,no:int,end:int,kind:string>>")
+    both = both.withColumn("base", F.coalesce("base", empty)).withColumn("extra", F.coalesce("extra", empty))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
-    spans = F.when(F.col("extra").isNull(), F.col("base")).otherwise(
-        F.array_sort(F.array_union("base", "extra")))
     return both.select("doc_id", *[count(k) for k in KINDS], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
-                       _joined(spans).alias("spans"))
+                       _joined(F.array_sort(F.array_union("base", "extra"))).alias("spans"))
 
 
 def _masked(kind: str) -> Column:
@@ -244,10 +245,8 @@ def mask(docs: DataFrame) -> DataFrame:
     """The documents table with every span replaced by its kind's mark; ``n_chars``, if the table has
     it, follows the new text."""
     prepare(docs.sparkSession)
-    new = _new_spans(docs)
     rows = docs.select(rows_of(docs), *_keys(docs), F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    rows = rows.join(new, rows["doc_id"].eqNullSafe(new["__id"]) & (rows["sign"] == new["__sign"]), "left") \
-               .select("__row", "t", "extra")
+    rows = _with(rows, _new_spans(_found(docs))).select("__row", "t", "extra")
     # the method's spans first (their positions are those of the original text), then each base kind
     cuts = F.col("extra")
     piece = lambda k: F.substring(

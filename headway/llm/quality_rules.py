@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headway.llm.common import prepare, rows_of, stored, unpack
 
@@ -101,15 +102,34 @@ def measures(docs: DataFrame, keep: list[Column | str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()
-            got = np.array([measure(t or b"") for t in texts], np.int64).reshape(-1, len(MEASURES + EXTRA))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], *(pa.array(got[:, i].copy()) for i in range(got.shape[1]))],
-                names=[*b.schema.names[:-1], *MEASURES, *EXTRA])
+            yield _measured(b.columns[:-1], b.schema.names[:-1], b.column(b.num_columns - 1))
 
     return part.mapInArrow(run, schema)
 
 
+def measured_rows(docs: DataFrame) -> DataFrame:
+    """Whole rows as ``__row`` plus their figures; the text crosses to Python once, inside its row."""
+    part = docs.select(rows_of(docs))
+    schema = T.StructType(list(part.schema.fields))
+    for c in MEASURES + EXTRA:
+        schema = schema.add(c, "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _measured(b.columns, b.schema.names, b.column(0).field("text"))
+
+    return part.mapInArrow(run, schema)
+
+
+def _measured(columns: list[pa.Array], names: list[str], texts: pa.Array) -> pa.RecordBatch:
+    got = np.empty((len(texts), len(MEASURES + EXTRA)), np.int64)
+    for i, t in enumerate(texts):
+        body = t.as_py()
+        got[i] = measure(body.encode("utf-8", "replace") if body else b"")
+    return pa.RecordBatch.from_arrays([*columns, *(pa.array(got[:, i].copy()) for i in range(got.shape[1]))],
+                                      names=[*names, *MEASURES, *EXTRA])
+
+
 # ---------------------------------------------------------------- rules
 
 def _vote(reject: Column, keep: Column) -> Column:
@@ -202,5 +222,5 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def filter_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents table without the rejected rows."""
     prepare(docs.sparkSession)
-    kept = judged(stored(measures(docs, [rows_of(docs)]), "rules-stage"), threshold).where("kept")
+    kept = judged(stored(measured_rows(docs), "rules-stage"), threshold).where("kept")
     return unpack(kept, docs.columns)

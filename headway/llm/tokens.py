@@ -15,7 +15,7 @@ from itertools import chain, repeat
 
 import numpy as np
 
-MEMO_WORDS = 700_000
+MEMO_WORDS = 500_000
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"   # all ASCII marks but the apostrophe (contractions)
 LAST_LEAD = 0xC8      # first UTF-8 byte of the last code points taken as plain letters (below U+0240)
 
@@ -26,6 +26,19 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# texts of nothing but Latin letters, digits, blanks, full stops and commas: marks can stand alone
+_PLAIN = bytes(b for b in range(128) if chr(b).isalnum()) + b" \t\n\v\f\r.," + bytes(range(0x80, 0xC0)) + bytes(range(0xC3, 0xC9))
+_JOINED = (b"..", b".,", b",.", b",,", b"\xc3\x97", b"\xc3\xb7")
+
+
+def split_words(text: bytes) -> list[bytes]:
+    """Parts of a text that the tokenizer treats alone: blank-separated words and, where every full stop
+    and comma follows a letter, a digit or a blank, these marks by themselves (far fewer distinct words)."""
+    if text.translate(None, _PLAIN) or any(j in text for j in _JOINED):
+        return text.split()
+    return text.lower().replace(b",", b" , ").replace(b".", b" . ").split()
+
+
 class WordEncoder:
     """Ids of texts as one flat vector; ``end`` closes every text with id 0."""
 
@@ -109,7 +122,7 @@ class WordEncoder:
     def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if self.entries > MEMO_WORDS:
             self.reset()
-        split = [t.split() for t in texts]
+        split = [split_words(t) for t in texts]
         words = [w for part in split for w in part]
         codes = np.fromiter(map(self.code.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(codes < 0)
