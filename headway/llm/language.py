@@ -111,7 +111,8 @@ class Model:
         self.langs = langs
         total = counts.sum(axis=0, keepdims=True)
         self.logp = np.log((counts + SMOOTH) / (total + SMOOTH * BINS)).astype(np.float32)
-        self.logp -= self.logp.mean(axis=1, keepdims=True)
+        if len(langs):
+            self.logp -= self.logp.mean(axis=1, keepdims=True)
         share = scripts / np.maximum(scripts.sum(axis=0, keepdims=True), 1)
         self.uses = share >= SCRIPT_SHARE                     # [script, language]
         self.common = int(scripts.sum(axis=0).argmax()) if len(langs) else -1

@@ -35,7 +35,7 @@ FUNCTION_WORDS = frozenset((
     b"el los las y es por con para se del al su lo como "
     b"der die das und zu den von mit ist ein eine im sich auf nicht dem auch").split())
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-EXTRA = ("n_lines", "n_upper", "n_letters", "n_function", "n_marks")
+EXTRA = ("n_lines", "n_upper", "n_letters", "n_function", "n_marks", "n_symbol_words")
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -87,7 +87,8 @@ def measure(text: bytes) -> tuple[int, ...]:
         upper = sum(map(str.isupper, body))
     marks = text.count(b"!")
     function = sum(1 for w in words if w.lower() in FUNCTION_WORDS) if n else 0
-    return n, chars, symbols, dup, repeat_words(words), lines, upper, letters, function, marks
+    marked = sum(1 for w in words if len(w.translate(None, SYMBOLS)) < len(w)) if symbols else 0
+    return n, chars, symbols, dup, repeat_words(words), lines, upper, letters, function, marks, marked
 
 
 _NOT_LETTERS = bytes(b for b in range(256) if not chr(b).isalpha() or b > 127)
@@ -143,6 +144,7 @@ def rules() -> dict[str, Column]:
     some = words > 0
     return {
         "symbols": _vote(some & (per_word("n_symbols") > 0.3), some & (per_word("n_symbols") < 0.05)),
+        "symbol_words": _vote(some & (per_word("n_symbol_words") > 0.3), some & (per_word("n_symbol_words") < 0.05)),
         "repeats": _vote(some & (per_word("n_repeat_words") > 0.3), some & (per_word("n_repeat_words") < 0.1)),
         "lines": _vote(F.col("n_dup_lines") > 0.3 * lines, (lines >= 3) & (F.col("n_dup_lines") <= 0.05 * lines)),
         "length": _vote(words < MIN_WORDS, words >= 2 * MIN_WORDS),
@@ -171,14 +173,15 @@ def vote_code() -> Column:
 def posteriors(codes: np.ndarray, counts: np.ndarray, n_rules: int, rounds: int = 200) -> np.ndarray:
     """Probability of a good document per vote code, by expectation maximisation.
 
-    A rule that votes is right with its own probability on good and on bad documents (Beta(8, 2)
-    prior, so a rule that hardly ever votes stays at 0.8); abstentions tell nothing.
+    A rule that votes is right with its own probability on good and on bad documents.  The start and the
+    prior say what such rules are like: a reject is rare on good documents (Beta(99, 1)), a keep says
+    little, for bad documents are bad in one way or another (Beta(2, 8)); abstentions tell nothing.
     """
     if not len(codes):
         return np.zeros(0)
     votes = np.stack([codes // 3 ** (n_rules - 1 - i) % 3 for i in range(n_rules)], axis=1)
     keep, reject = votes == KEEP, votes == REJECT
-    right = np.full((2, n_rules), 0.8)          # on good, on bad documents
+    right = np.repeat([[0.99], [0.2]], n_rules, axis=1)         # on good, on bad documents
     prior = 0.8
     good = np.full(len(codes), prior)
     for _ in range(rounds):
@@ -188,8 +191,8 @@ def posteriors(codes: np.ndarray, counts: np.ndarray, n_rules: int, rounds: int
         w_good, w_bad = new * counts, (1 - new) * counts
         prior = float(np.clip((w_good.sum() + 8) / (counts.sum() + 10), 0.01, 0.99))
         cast = (keep | reject).astype(float)
-        right = np.stack([(w_good @ keep + 8) / (w_good @ cast + 10), (w_bad @ reject + 8) / (w_bad @ cast + 10)])
-        right = np.clip(right, 0.01, 0.99)
+        right = np.stack([(w_good @ keep + 99) / (w_good @ cast + 100), (w_bad @ reject + 2) / (w_bad @ cast + 10)])
+        right = np.clip(right, 1e-4, 1 - 1e-4)
         done = np.abs(new - good).max() < 1e-9
         good = new
         if done:
