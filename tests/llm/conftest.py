@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
 
 import pytest
@@ -22,8 +23,8 @@ def small():
 def odd_documents(spark):
     """Nulls in every column, empty, blank and very long texts, repeated rows, ties, and columns whose
     names clash with working names of the operators."""
-    words = [PROSE[i * 7 % len(PROSE)] for i in range(400)]
-    text = " ".join(words)
+    rng = random.Random(7)
+    text = " ".join(rng.choice(PROSE) for _ in range(400))
     long_text = " ".join(f"{PROSE[i % len(PROSE)]}{i % 977}" for i in range(60_000))
     rows = [
         (1, text, "en", "a", 1, "x"), (1, text, "en", "a", 1, "x"), (2, text + " end", "en", "a", 2, None),
