@@ -21,21 +21,6 @@ def _row(df: DataFrame, table: str, check: str) -> DataFrame:
                      F.col("violations").cast("bigint").alias("violations"))
 
 
-def duplicate_keys(df: DataFrame, keys) -> DataFrame:
-    """Number of key values that occur more than once."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return g.agg(F.count(F.lit(1)).alias("violations"))
-
-
-def null_keys(df: DataFrame, keys) -> DataFrame:
-    """Rows with a NULL in any key column."""
-    cond = None
-    for k in keys:
-        c = F.col(k).isNull()
-        cond = c if cond is None else (cond | c)
-    return df.agg(F.count_if(cond).alias("violations"))
-
-
 def orphans(child: DataFrame, cols, parent: DataFrame, pcols) -> DataFrame:
     """Child rows (with all FK columns present) that have no parent row."""
     p = parent.select(*[F.col(a).alias(b) for a, b in zip(pcols, cols)]).distinct()

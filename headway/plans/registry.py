@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from headway.functions import first_translation_text, hms_to_seconds
-from headway.operators import active_on_dates, resolve_dates
+from headway.operators import active_on_dates, numeric_first_order, resolve_dates
 from headway.plans import facts, marts, quality, raw, reports
 from headway.plans.model import TransitModel
-from headway.schemas import conform, schema
+from headway.schemas import LAYOUT, conform, schema
 from headway.session import scratch_path
 from headway.sinks import tables as sinks
 
@@ -164,9 +164,9 @@ def _sink_upsert_backfill(spark, d):
     return sinks.read_current(spark, path)
 
 
-def _publish_gtfs(spark, d) -> str:
+def _publish_gtfs(spark, d, only: tuple[str, ...] | None = None) -> str:
     """Publish every schedule version of the data set as a GTFS folder (``v_<date>_000000``) in the
-    scratch area, all files of all versions; the loader picks a folder."""
+    scratch area, all files (or ``only`` some) of all versions; the loader picks a folder."""
     from concurrent.futures import ThreadPoolExecutor
 
     from headway.plans import static
@@ -180,6 +180,8 @@ def _publish_gtfs(spark, d) -> str:
              "trips": t.dim_trips, "stop_times": t.dim_stop_times.drop("arrival_seconds"),
              "calendar": t.dim_calendar, "calendar_dates": t.dim_calendar_dates}
 
+    files = {f: df for f, df in files.items() if only is None or f in only}
+
     def publish(job) -> None:
         version, name = job
         rows = files[name].where(F.col("feed_start_date") == F.lit(version))
@@ -271,6 +273,66 @@ def _numeric_first_sort(spark, d):
     return r.select("route_short_name", num.isNull().cast("int").alias("sort_group"), num.alias("route_number"))
 
 
+def _stored_mart(spark, d, name: str) -> DataFrame:
+    """A mart as the daily jobs leave it: written by day slices, then scanned."""
+    table = f"metric_{name}"
+    part, cluster = LAYOUT[table]
+    path = scratch_path(spark, table)
+    sinks.write_table(conform(getattr(_m(spark, d), f"mart_{name}"), table), path, part, cluster)
+    return sinks.read_table(spark, path, schema(table))
+
+
+REPORT_RANGE = ("2024-01-08", "2024-01-20")
+REPORT_DAY = "2024-01-15"
+REPORT_ROUTES = ("1", "4", "6", "SL3")
+
+
+def _report_occupancy_range(spark, d):
+    out = reports.occupancy_trend(_stored_mart(spark, d, "occupancy_route_hour"), *REPORT_RANGE, routes=REPORT_ROUTES)
+    return reports.numbered(out, [F.col("bucket")])
+
+
+def _report_otp_day(spark, d):
+    """A single day: hour buckets without being asked for."""
+    out = reports.otp_trend(_stored_mart(spark, d, "stop_events"), REPORT_DAY, REPORT_DAY)
+    return reports.numbered(out, [F.col("bucket")])
+
+
+def _report_service_range(spark, d):
+    out = reports.service_delivered_daily(_stored_mart(spark, d, "service_delivered"), *REPORT_RANGE, routes=REPORT_ROUTES)
+    return reports.numbered(out, [F.col("bucket")])
+
+
+def _report_alert_routes_chart(spark, d):
+    """The ranking by two severities within a range, in chart order (ascending)."""
+    top = reports.top_alert_routes(_stored_mart(spark, d, "alerts_by_day"), *REPORT_RANGE, severities=("SEVERE", "WARNING"))
+    return reports.numbered(reports.ascending(top, "total", "route_name"), [F.col("total"), F.col("route_name").desc()])
+
+
+def _report_alerts_axis(spark, d):
+    return reports.daily_total_scale(reports.alerts_daily(_stored_mart(spark, d, "alerts_by_day"), *REPORT_RANGE))
+
+
+def _report_route_order(spark, d):
+    out = reports.route_list(_stored_mart(spark, d, "occupancy_route_hour"))
+    return reports.numbered(out, [*numeric_first_order("route_name"), F.col("route_id")])
+
+
+def _dim_loaded(table: str) -> Query:
+    """One schedule table with every version landed as GTFS files and loaded, by value."""
+    def query(spark, d):
+        from headway.plans import static
+        from headway.sources.gtfs_static import version_dirs
+
+        root = _publish_gtfs(spark, d, ("feed_info", table.removeprefix("dim_")))
+        warehouse = scratch_path(spark, "static")
+        for name in version_dirs(spark, root):
+            paths = static.load_static_version(spark, f"{root}/{name}", warehouse)
+        return sinks.read_table(spark, paths[table], schema(table)).drop("ingested_at")
+
+    return query
+
+
 def _union_distinct(spark, d):
     m = _m(spark, d)
     return marts.service_union(m.t.dim_calendar, m.t.dim_calendar_dates, m.t.dim_static_versions, m.service_days,
@@ -324,6 +386,13 @@ def registry() -> dict[str, Query]:
         "report_service_delivered_daily": lambda s, d: reports.service_delivered_daily(
             _m(s, d).mart_service_delivered),
         "report_route_list": lambda s, d: reports.route_list(_m(s, d).mart_occupancy_route_hour),
+        # reports over stored marts: ranges, routes, severities, order
+        "report_occupancy_range": _report_occupancy_range,
+        "report_otp_day": _report_otp_day,
+        "report_service_range": _report_service_range,
+        "report_alert_routes_chart": _report_alert_routes_chart,
+        "report_alerts_axis": _report_alerts_axis,
+        "report_route_order": _report_route_order,
         # table maintenance and quality
         "quality_violations": _quality,
         "sink_replace_slices": _sink_replace_slices,
@@ -332,5 +401,7 @@ def registry() -> dict[str, Query]:
         # schedule (GTFS static) load
         "static_dims": _static_dims,
         "static_stop_times": _static_stop_times,
+        **{f"static_{t}": _dim_loaded(f"dim_{t}")
+           for t in ("agency", "routes", "stops", "trips", "calendar", "calendar_dates")},
     }
     return q

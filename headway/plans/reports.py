@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.operators import mean_pct_of_flag, numeric_first_order, top_k, weighted_mean
@@ -56,7 +56,8 @@ def occupancy_trend(occ: DataFrame, start=None, end=None, routes=None, bucket: s
     return (df.groupBy(F.col(b).alias("bucket"))
               .agg(F.sum(n).alias("snapshot_count"),
                    _r(weighted_mean("avg_occupancy_pct", n, null_aware=True)).alias("avg_occupancy_pct"),
-                   *[_r(weighted_mean(c, n, null_aware=False)).alias(c) for c in _OCC_SHARES]))
+                   *[_r(weighted_mean(c, n, null_aware=False)).alias(c) for c in _OCC_SHARES])
+              .orderBy("bucket"))
 
 
 def top_crowded_routes(occ: DataFrame, start=None, end=None, k: int = 10) -> DataFrame:
@@ -147,7 +148,7 @@ def _otp_rows(stop_events: DataFrame, start, end) -> DataFrame:
 def otp_trend(stop_events: DataFrame, start=None, end=None, routes=None, bucket: str | None = None) -> DataFrame:
     b = bucket_column(start, end, "hour", "trip_start_date", bucket)
     df = _routes(_otp_rows(stop_events, start, end), "route_name", routes).where(F.col("hour").isNotNull())
-    return df.groupBy(F.col(b).alias("bucket")).agg(*_otp_aggs())
+    return df.groupBy(F.col(b).alias("bucket")).agg(*_otp_aggs()).orderBy("bucket")
 
 
 def worst_otp_routes(stop_events: DataFrame, start=None, end=None, min_events: int = 100, k: int = 10) -> DataFrame:
@@ -165,7 +166,17 @@ def service_delivered_daily(svc: DataFrame, start=None, end=None, routes=None) -
         ratio_pct("delivered_trips", "scheduled_trips").alias("pct_delivered"),
         ratio_pct("canceled_trips", "scheduled_trips").alias("pct_canceled"),
         ratio_pct("no_rt_data_trips", "scheduled_trips").alias("pct_no_rt_data"),
-        ratio_pct("added_trips", "scheduled_trips").alias("pct_added"))
+        ratio_pct("added_trips", "scheduled_trips").alias("pct_added")).orderBy("bucket")
+
+
+def ascending(top: DataFrame, metric: str, name: str) -> DataFrame:
+    """A ranking in chart order: smallest metric first."""
+    return top.orderBy(F.col(metric).asc(), F.col(name).desc())
+
+
+def numbered(report: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """A finished report (a bounded number of rows) with its place in the order as a column."""
+    return report.select(F.row_number().over(Window.orderBy(*order)).alias("place"), "*")
 
 
 def route_list(occ: DataFrame) -> DataFrame:

@@ -19,12 +19,18 @@ VERSION_DIR = re.compile(r"^v_(\d{8})_(\d{6})$")
 GTFS_FILES = ("feed_info", "agency", "routes", "stops", "trips", "stop_times", "calendar", "calendar_dates")
 
 
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field goes over a line end: some line then holds an odd number of quotes."""
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    return not spark.read.text(path).where(odd).isEmpty()
+
+
 def read_gtfs_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All-text read of one GTFS file: header, ``"`` quote and escape, multi-line fields; empty
-    and ``""`` fields are NULL."""
-    return (spark.read.option("header", "true").option("inferSchema", "false")
-            .option("quote", '"').option("escape", '"').option("multiLine", "true")
-            .csv(path))
+    """All-text read of one GTFS file: header, ``"`` quote and escape; empty and ``""`` fields are NULL.
+    Only a file with multi-line fields is read as a whole by one task; all others are split."""
+    reader = (spark.read.option("header", "true").option("inferSchema", "false")
+              .option("quote", '"').option("escape", '"'))
+    return reader.option("multiLine", str(has_broken_lines(spark, path)).lower()).csv(path)
 
 
 def _list_dirs(spark: SparkSession, root: str) -> list[str]:

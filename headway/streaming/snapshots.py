@@ -11,7 +11,6 @@ arriving after newer ones) never regress state -- the strict timestamp guard kee
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.plans import facts, raw
@@ -61,7 +60,3 @@ def start_alert_stream(spark: SparkSession, landing_root: str, versions: DataFra
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
-
-def landed_days(batch: DataFrame) -> DataFrame:
-    """Service days touched by a batch (for slice rebuilds downstream)."""
-    return batch.select(raw.path_partitions("path")[0]).distinct().where(F.col("service_date").isNotNull())
