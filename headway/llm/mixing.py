@@ -81,19 +81,19 @@ def cut_time(queue: DataFrame, budget: float = BUDGET, passes: int = PASSES) ->
              .select("size", F.explode(F.array(*[_finish(k) for k in range(passes)])).alias("finish")))
     ordered = times.repartitionByRange("finish").sortWithinPartitions("finish")
     placed = stored(ordered.withColumn("part", F.spark_partition_id()), "mix-times")
-    limit = queue.agg((F.sum("size").cast("double") * F.lit(float(budget))).alias("limit"))
+    limit = F.lit(float(queue.agg(F.sum("size")).first()[0] or 0) * budget)
     per = placed.groupBy("part").agg(F.sum("size").alias("s"), F.max("finish").alias("last"))
-    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per = per.withColumn("upto", F.sum("s").over(upto)).crossJoin(F.broadcast(limit))   # limit is one row
-    whole = per.where("upto <= limit").agg(F.max("last").alias("t"), F.max("upto").alias("u"))
-    torn = per.where("upto > limit").agg(F.min("part").alias("part"), F.min("limit").alias("limit"))
-    head = whole.crossJoin(torn).first()
+    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)   # a row per partition
+    per = per.withColumn("upto", F.sum("s").over(upto))
+    fits = F.col("upto") <= limit
+    head = per.agg(F.max(F.when(fits, F.col("last"))).alias("t"), F.max(F.when(fits, F.col("upto"))).alias("u"),
+                   F.min(F.when(~fits, F.col("part"))).alias("part")).first()
     if head["part"] is None:
         return head["t"]
     inner = Window.orderBy("finish").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     rest = (placed.where(F.col("part") == head["part"])
             .withColumn("upto", F.sum("size").over(inner) + F.lit(head["u"] or 0))
-            .where(F.col("upto") <= F.lit(head["limit"])).agg(F.max("finish").alias("t")).first())
+            .where(F.col("upto") <= limit).agg(F.max("finish").alias("t")).first())
     return rest["t"] if rest["t"] is not None else head["t"]
 
 
