@@ -125,20 +125,18 @@ CLASSES = _build()
 FeedMessage = CLASSES["FeedMessage"]
 
 
+_NAME_OF = {enum: {num: name for name, num in reversed(values)} for enum, values in ENUMS.items()}
+_NUMBER_OF = {enum: {name: num for name, num in reversed(values)} for enum, values in ENUMS.items()}
+
+
 def enum_name(enum: str, number: int | None) -> str | None:
     """Specification name of an enum number (e.g. ``STOPPED_AT``)."""
-    if number is None:
-        return None
-    for vname, num in ENUMS[enum]:
-        if num == number:
-            return vname
-    return None
+    return _NAME_OF[enum].get(number)
 
 
 def enum_number(enum: str, name: str | None) -> int | None:
     if name is None:
         return None
-    for vname, num in ENUMS[enum]:
-        if vname == name:
-            return num
-    raise ValueError(f"{name} is not a {enum}")
+    if name not in _NUMBER_OF[enum]:
+        raise ValueError(f"{name} is not a {enum}")
+    return _NUMBER_OF[enum][name]
