@@ -9,8 +9,10 @@ vector; queries get 0).
 term that moves centroids of small clusters into large ones.  A vector goes to its nearest centroid and is
 replicated to other near ones while its distance stays within ``REPLICA`` times the nearest, so that
 boundary vectors are found from either side.  *Search*: the centroids, held in memory, form a neighbour
-graph; a query walks it best-first and visits the lists whose distance is within ``PRUNE`` times its
-nearest centroid's.  Lists are stored as blocks of at most ``BLOCK_ROWS`` vectors and queries as blocks
+graph; a query walks it best-first and visits the lists whose distance is within a ratio of its
+nearest centroid's.  The ratio is measured on the sample: the one at which the lists hold ``RECALL`` of
+the exact neighbours of ``PROBES`` sample vectors (neighbours within a sample are farther than among all
+vectors, so the ratio errs to the safe side).  Lists are stored as blocks of at most ``BLOCK_ROWS`` vectors and queries as blocks
 too, so a list that is large all the same (or that most queries visit) is many small joins, never one task;
 no list is cut.  Scores are computed on the original vectors in double precision.
 
@@ -37,7 +39,8 @@ LIST_ROWS = 400        # aimed at vectors per list
 MAX_LISTS = 4096       # centroids in memory; beyond LIST_ROWS x MAX_LISTS vectors lists grow in blocks
 REPLICA = 1.05
 REPLICAS = 4
-PRUNE = 1.1
+RECALL = 0.97          # share of exact neighbours, within the sample, that the visited lists must hold
+PROBES = 256           # queries of the sample on which the pruning ratio is set
 BLOCK_ROWS = 512
 HELD_ROWS = 1 << 20    # candidates a scoring task keeps before it cuts them down per query
 DEGREE = 24            # neighbours of a centroid in the graph
@@ -106,7 +109,20 @@ class Lists:
         rows, cols = np.nonzero(keep)
         return rows, near[rows, cols]
 
-    def visit(self, q: np.ndarray, prune: float = PRUNE) -> np.ndarray:
+    def calibrate(self, v: np.ndarray, recall: float = RECALL, k: int = K) -> float:
+        """The distance ratio whose lists hold ``recall`` of the ``k`` nearest of some of the vectors."""
+        rows, at = self.assign(v)
+        q = self.lift(v[:PROBES], True)
+        d = np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] - 2 * q @ self.c.T + (self.c ** 2).sum(axis=1), 1e-18))
+        ratio = d / d.min(axis=1, keepdims=True)
+        near = v[:PROBES] @ v.T
+        near[np.arange(len(q)), np.arange(len(q))] = -np.inf
+        best = np.argsort(-near, axis=1)[:, :min(k, len(v) - 1)]
+        first = np.searchsorted(rows, np.arange(len(v) + 1))
+        need = [ratio[i, at[first[j]: first[j + 1]]].min() for i in range(len(q)) for j in best[i]]
+        return float(np.quantile(need, recall, method="higher")) + 1e-9 if need else 1.0
+
+    def visit(self, q: np.ndarray, prune: float) -> np.ndarray:
         """Lists within ``prune`` times the distance of the nearest, found by a best-first walk."""
         x = np.append(q, 0.0)
         dist = np.full(len(self.c), np.inf)
@@ -158,12 +174,15 @@ def build_lists(distinct: DataFrame, sample: int = SAMPLE, list_rows: int = LIST
     lists = int(min(MAX_LISTS, max(1, round(n / list_rows)), max(1, len(x) // 4)))
     longest = longest * (1 + 1e-9)
     lifted = np.concatenate([x, np.sqrt(np.maximum(longest ** 2 - (x * x).sum(axis=1), 0))[:, None]], axis=1)
-    return Lists(fit_centroids(lifted, lists), longest)
+    out = Lists(fit_centroids(lifted, lists), longest)
+    out.prune = out.calibrate(x)
+    return out
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding",
-           prune: float = PRUNE, sample: int = SAMPLE) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of every query row, by inner product."""
+           prune: float | None = None, sample: int = SAMPLE) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of every query row, by inner product.
+    ``prune`` is the distance ratio up to which lists are visited; measured on the sample if not given."""
     spark = prepare(vectors.sparkSession)
     rows = usable(vectors, id_col, vec_col)
     # one length only: that of most rows, then the longer one
@@ -181,6 +200,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
         F.slice(F.sort_array(F.collect_set("id")), 1, k + 1).alias("ids")).select(
         "v", "ids", F.element_at("ids", 1).alias("least")), "ann-vectors")
     lists = build_lists(distinct, sample)
+    if lists is None:
+        return spark.createDataFrame([], schema)
+    prune = lists.prune if prune is None else prune
     wanted = vectors.where(is_query).select(F.col(id_col), F.col(vec_col))
     asked = usable(wanted, id_col, vec_col).where(F.size("v") == width[0]["w"]).distinct() \
         .withColumnRenamed("id", "query_id")
