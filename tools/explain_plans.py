@@ -10,7 +10,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as E  # noqa: E402
+from headway.plans.registry import registry  # noqa: E402
 from headway.session import build_session  # noqa: E402
 
 
@@ -20,7 +20,7 @@ def main() -> None:
     out = os.path.join(ROOT, "docs", "plans")
     os.makedirs(out, exist_ok=True)
     spark = build_session()
-    for name, q in E.queries().items():
+    for name, q in registry().items():
         if only and name not in only:
             continue
         df = q(spark, data_dir)
