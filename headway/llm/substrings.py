@@ -24,7 +24,7 @@ probability of about 2^-20 for a corpus of 10^13 bytes per shared anchor.
 
 Defined cases: null text is empty; null doc_ids sort last; rows equal in doc_id and text are one
 document (all get its spans, none erases another); different texts of one doc_id are documents ordered
-by a hash of their text; an empty table gives an empty result; other columns are ignored.
+by ``sign``, the 64-bit hash of their text; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm import suffix_array
@@ -48,8 +48,7 @@ WINDOWS = LENGTH - GRAM + 1          # grams in a window, and most windows in a
 SEGMENT = 1 << 20                    # bytes hashed at a time
 SHARD_BYTES = 1 << 20                # suffix arrays are built over about this many bytes
 SHARD_MAX = 8 << 20                  # differing chunks of one anchor beyond this are grouped by window
-# a place packs sign (24 bits of the text's hash), start (32 bits) and number of windows (7 bits)
-SIGN_BITS, START_BITS, COUNT_BITS = 24, 32, 7
+COUNT_BITS = 7                       # a place packs a start and, in the low bits, a number of windows
 BASE = 0x9E3779B97F4A7C15 | 1
 _COPY = 0                            # digest of rows that are later copies already
 
@@ -104,8 +103,8 @@ def chunks(raw: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, ...]:
     return grams[anchor[first]], digest, first, count
 
 
-def _pack(sign: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return (sign << (START_BITS + COUNT_BITS)) | (start << COUNT_BITS) | count
+def _pack(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return (start << COUNT_BITS) | count
 
 
 def _segments(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -130,53 +129,53 @@ def _segments(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, sign, text) -> (hash, digest, doc, place), chunks equal within a batch combined."""
+    """(doc, sign, text) -> (hash, digest, doc, sign, place), chunks equal within a batch combined."""
     for b in batches:
         docs = b.column(0).to_numpy()
-        signs = b.column(1).to_numpy().astype(np.int64)
+        signs = b.column(1).to_numpy()
         found = []
         for raw, doc, start in _segments(b.column(2)):
             new_doc = np.flatnonzero(np.concatenate([doc[1:] != doc[:-1], [True]])) if len(doc) else np.zeros(0, int)
             ends = np.repeat(new_doc + 1, np.diff(np.concatenate([[-1], new_doc])))
             h, d, first, count = chunks(raw, ends)
             if len(h):
-                found.append((h.view(np.int64), d.view(np.int64), docs[doc[first]],
-                              _pack(signs[doc[first]], start[first], count)))
+                found.append((h.view(np.int64), d.view(np.int64), docs[doc[first]], signs[doc[first]],
+                              _pack(start[first], count)))
         if not found:
             continue
-        h, d, doc, place = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((place, doc, d, h))
-        h, d, doc, place = h[order], d[order], doc[order], place[order]
+        h, d, doc, sign, place = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((place, sign, doc, d, h))
+        h, d, doc, sign, place = h[order], d[order], doc[order], sign[order], place[order]
         same = np.zeros(len(h), bool)
         same[1:] = (h[1:] == h[:-1]) & (d[1:] == d[:-1])
-        again = same.copy()
-        again[1:] &= (doc[1:] == doc[:-1]) & (place[1:] == place[:-1])     # equal rows are one document
+        again = same.copy()                                                # equal rows are one document
+        again[1:] &= (doc[1:] == doc[:-1]) & (sign[1:] == sign[:-1]) & (place[1:] == place[:-1])
         first_of = np.maximum.accumulate(np.where(same, -1, np.arange(len(h))))
-        later = same & ~((doc == doc[first_of]) & (place == place[first_of]))
-        h = np.where(later, _mix((place ^ (doc * 31)).view(np.uint64)).view(np.int64), h)
+        later = same & ~((doc == doc[first_of]) & (sign == sign[first_of]) & (place == place[first_of]))
+        h = np.where(later, _mix((place ^ (doc * 31) ^ sign).view(np.uint64)).view(np.int64), h)
         d = np.where(later, _COPY, d)
         keep = ~again & ~(same & ~later)
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (h, d, doc, place)],
-                                         names=["hash", "digest", "doc", "place"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (h, d, doc, sign, place)],
+                                         names=["hash", "digest", "doc", "sign", "place"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (hash, digest, doc, place) -> repeats (hash null) and first occurrences of differing
-    chunks of one anchor (hash set)."""
-    last = None                     # last row: hash, digest, and doc, place of its chunk's first occurrence
+    """Rows sorted by (hash, digest, doc, sign, place) -> repeats (hash null) and first occurrences of
+    differing chunks of one anchor (hash set)."""
+    last = None                     # last row: hash, digest, and doc, sign, place of its chunk's first occurrence
     pending = None                  # first chunk of the last anchor, not yet known to have a differing one
 
-    def rows(h, doc, place):
-        if len(doc):
+    def rows(h, *where):
+        if len(where[0]):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h, pa.int64()) if h is not None else pa.nulls(len(doc), pa.int64()), pa.array(doc),
-                 pa.array(place)], names=["hash", "doc", "place"])
+                [pa.array(h, pa.int64()) if h is not None else pa.nulls(len(where[0]), pa.int64()),
+                 *(pa.array(x) for x in where)], names=["hash", "doc", "sign", "place"])
 
     for b in batches:
-        h, d, doc, place = (b.column(i).to_numpy() for i in range(4))
+        h, d, *where = (b.column(i).to_numpy() for i in range(5))
         copy = d == _COPY
-        yield from rows(None, doc[copy], place[copy])
-        h, d, doc, place = h[~copy], d[~copy], doc[~copy], place[~copy]
+        yield from rows(None, *(x[copy] for x in where))
+        h, d, *where = (x[~copy] for x in (h, d, *where))
         n = len(h)
         if not n:
             continue
@@ -185,15 +184,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last is not None and (h[0], d[0]) == last[:2]:
             new[0] = False
         at = np.maximum.accumulate(np.where(new, np.arange(n), -1))
-        first_doc = np.where(at >= 0, doc[np.maximum(at, 0)], last[2] if last is not None else 0)
-        first_place = np.where(at >= 0, place[np.maximum(at, 0)], last[3] if last is not None else 0)
-        repeat = ~new & ~((doc == first_doc) & (place == first_place))
-        yield from rows(None, doc[repeat], place[repeat])
-        last = (h[-1], d[-1], first_doc[-1], first_place[-1])
+        first = [np.where(at >= 0, x[np.maximum(at, 0)], last[2 + i] if last is not None else 0)
+                 for i, x in enumerate(where)]
+        repeat = ~new & ~np.logical_and.reduce([x == y for x, y in zip(where, first)])
+        yield from rows(None, *(x[repeat] for x in where))
+        last = (h[-1], d[-1], *(x[-1] for x in first))
         starts = np.flatnonzero(new)
-        sh, sd, sp = h[starts], doc[starts], place[starts]
+        held = [h[starts], *(x[starts] for x in where)]
         if pending is not None:
-            sh, sd, sp = (np.concatenate([[x], y]) for x, y in zip(pending[:3], (sh, sd, sp)))
+            held = [np.concatenate([[x], y]) for x, y in zip(pending[0], held)]
+        sh = held[0]
         if not len(sh):
             continue
         equal = sh[1:] == sh[:-1]
@@ -201,11 +201,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many[1:] |= equal
         many[:-1] |= equal
         out = many.copy()
-        if pending is not None and pending[3]:
+        if pending is not None and pending[1]:
             out[0] = False                                     # already given out
             many[0] = True
-        yield from rows(sh[out], sd[out], sp[out])
-        pending = (sh[-1], sd[-1], sp[-1], bool(many[-1]))
+        yield from rows(*(x[out] for x in held))
+        pending = ([x[-1] for x in held], bool(many[-1]))
 
 
 # ---------------------------------------------------------------- suffix arrays
@@ -242,35 +242,37 @@ def _shards(shard_bytes: int, shard_max: int):
     array as they came (text set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "place", "text"]
-        open_: list[tuple[int, int, int, bytes]] = []
+        names = ["doc", "sign", "place", "text"]
+        open_: list[tuple[int, int, int, int, bytes]] = []
         size, group_size, group, spilling = 0, 0, None, False
 
         def solve(rows: list) -> Iterator[pa.RecordBatch]:
             if len(rows) < 2:
                 return
             doc = np.array([r[1] for r in rows])
-            place = np.array([r[2] for r in rows])
+            sign = np.array([r[2] for r in rows])
+            place = np.array([r[3] for r in rows])
             order = np.empty(len(rows), np.int64)
-            order[np.lexsort((place, doc))] = np.arange(len(rows))
-            docs, places = [], []
-            for r, flags in zip(rows, _shard_repeats([r[3] for r in rows], order)):
+            order[np.lexsort((place, sign, doc))] = np.arange(len(rows))
+            docs, signs, places = [], [], []
+            for r, flags in zip(rows, _shard_repeats([r[4] for r in rows], order)):
                 for at, count in _runs(flags):
                     docs.append(r[1])
-                    places.append((r[2] >> COUNT_BITS << COUNT_BITS) + (at << COUNT_BITS) + count)
+                    signs.append(r[2])
+                    places.append((r[3] >> COUNT_BITS << COUNT_BITS) + (at << COUNT_BITS) + count)
             if docs:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs, pa.int64()), pa.array(places, pa.int64()), pa.nulls(len(docs), pa.binary())],
-                    names=names)
+                    [pa.array(docs, pa.int64()), pa.array(signs, pa.int64()), pa.array(places, pa.int64()),
+                     pa.nulls(len(docs), pa.binary())], names=names)
 
         def whole(rows: list) -> Iterator[pa.RecordBatch]:
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
-                     pa.array([r[3] for r in rows], pa.binary())], names=names)
+                    [*(pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2, 3)),
+                     pa.array([r[4] for r in rows], pa.binary())], names=names)
 
         for b in batches:
-            for row in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for row in zip(*(b.column(i).to_pylist() for i in range(5))):
                 if row[0] != group:
                     if spilling:
                         yield from whole(open_)
@@ -280,8 +282,8 @@ def _shards(shard_bytes: int, shard_max: int):
                         open_, size = [], 0
                     group, group_size = row[0], 0
                 open_.append(row)
-                size += len(row[3])
-                group_size += len(row[3])
+                size += len(row[4])
+                group_size += len(row[4])
                 if group_size > shard_max:
                     if not spilling:
                         spilling = True
@@ -296,16 +298,16 @@ def _shards(shard_bytes: int, shard_max: int):
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, place, text) chunks -> one row per window with its 128-bit digest."""
+    """(doc, sign, place, text) chunks -> one row per window with its 128-bit digest."""
     for b in batches:
-        for doc, place, text in zip(*(b.column(i).to_pylist() for i in range(3))):
+        for doc, sign, place, text in zip(*(b.column(i).to_pylist() for i in range(4))):
             n = len(text) - LENGTH + 1
             d = np.frombuffer(b"".join(hashlib.blake2b(text[i: i + LENGTH], digest_size=16).digest()
                                        for i in range(n)), np.int64).reshape(n, 2)
             at = (place >> COUNT_BITS << COUNT_BITS) + (np.arange(n) << COUNT_BITS) + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(np.full(n, doc)), pa.array(at)],
-                names=["d1", "d2", "doc", "place"])
+                [pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(np.full(n, doc)), pa.array(np.full(n, sign)),
+                 pa.array(at)], names=["d1", "d2", "doc", "sign", "place"])
 
 
 # ---------------------------------------------------------------- texts and spans
@@ -314,8 +316,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     """(doc, sign, text bytes): null doc_ids get the largest number."""
     body = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
-                       F.xxhash64(body).bitwiseAND(F.lit((1 << SIGN_BITS) - 1)).alias("sign"),
-                       F.col("doc_id"), body.alias("body"))
+                       F.xxhash64(body).alias("sign"), F.col("doc_id"), body.alias("body"))
 
 
 def _packed(rows: DataFrame) -> DataFrame:
@@ -330,50 +331,47 @@ def _packed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
-def _sign_of(place: str = "place") -> Column:
-    return F.shiftright(place, START_BITS + COUNT_BITS)
-
-
 def _cut_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, wanted[(hash, place)], zstd body) -> (hash, doc, place, text) chunks."""
+    """(doc, sign, wanted[(hash, place)], zstd body) -> (hash, doc, sign, place, text) chunks."""
     open_ = zstandard.ZstdDecompressor()
     for b in batches:
-        for doc, wanted, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+        for doc, sign, wanted, body in zip(*(b.column(i).to_pylist() for i in range(4))):
             text = open_.decompress(body)
             hashes = [w["hash"] for w in wanted]
             places = [w["place"] for w in wanted]
             cut = []
             for p in places:
-                start = (p >> COUNT_BITS) & ((1 << START_BITS) - 1)
+                start = p >> COUNT_BITS
                 cut.append(text[start: start + (p & ((1 << COUNT_BITS) - 1)) - 1 + LENGTH])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes, pa.int64()), pa.array([doc] * len(places), pa.int64()),
-                 pa.array(places, pa.int64()), pa.array(cut, pa.binary())], names=["hash", "doc", "place", "text"])
+                 pa.array([sign] * len(places), pa.int64()), pa.array(places, pa.int64()), pa.array(cut, pa.binary())],
+                names=["hash", "doc", "sign", "place", "text"])
 
 
 def repeated_windows(docs: DataFrame, shard_bytes: int = SHARD_BYTES, shard_max: int = SHARD_MAX) -> DataFrame:
-    """(doc, place): runs of windows that also start earlier; see the constants for the packing of places."""
+    """(doc, sign, place): runs of windows that also start earlier; see ``_pack`` for places."""
     keyed = _keyed(docs)
     rows = keyed.select("doc", "sign", "body").mapInArrow(
-        _chunk_rows, "hash long, digest long, doc long, place long")
-    sorted_rows = rows.repartition("hash").sortWithinPartitions("hash", "digest", "doc", "place")
-    met = stored(sorted_rows.mapInArrow(_compare, "hash long, doc long, place long"), "substrings-met")
-    wanted = (met.where("hash is not null").groupBy("doc", _sign_of().alias("sign"))
+        _chunk_rows, "hash long, digest long, doc long, sign long, place long")
+    sorted_rows = rows.repartition("hash").sortWithinPartitions("hash", "digest", "doc", "sign", "place")
+    met = stored(sorted_rows.mapInArrow(_compare, "hash long, doc long, sign long, place long"), "substrings-met")
+    wanted = (met.where("hash is not null").groupBy("doc", "sign")
               .agg(F.collect_list(F.struct("hash", "place")).alias("wanted"))
               .withColumnsRenamed({"doc": "__doc", "sign": "__sign"}))
     texts = _packed(keyed.select("doc", "sign", "body"))
     held = texts.join(wanted, (F.col("doc") == F.col("__doc")) & (F.col("sign") == F.col("__sign")))
-    one = held.dropDuplicates(["doc", "sign"]).select("doc", "wanted", "body")
-    cut = one.mapInArrow(_cut_chunks, "hash long, doc long, place long, text binary")
+    one = held.dropDuplicates(["doc", "sign"]).select("doc", "sign", "wanted", "body")
+    cut = one.mapInArrow(_cut_chunks, "hash long, doc long, sign long, place long, text binary")
     solved = stored(cut.repartition("hash").sortWithinPartitions("hash").mapInArrow(
-        _shards(shard_bytes, shard_max), "doc long, place long, text binary"), "substrings-solved")
-    windows = solved.where("text is not null").mapInArrow(_windows, "d1 long, d2 long, doc long, place long")
-    least = windows.groupBy("d1", "d2").agg(F.min(F.struct("doc", "place")).alias("least"))
+        _shards(shard_bytes, shard_max), "doc long, sign long, place long, text binary"), "substrings-solved")
+    windows = solved.where("text is not null").mapInArrow(
+        _windows, "d1 long, d2 long, doc long, sign long, place long")
+    least = windows.groupBy("d1", "d2").agg(F.min(F.struct("doc", "sign", "place")).alias("least"))
     large = (windows.join(least, ["d1", "d2"])
-             .where((F.col("doc") != F.col("least.doc")) | (F.col("place") != F.col("least.place")))
-             .select("doc", "place"))
-    return (met.where("hash is null").select("doc", "place")
-            .union(solved.where("text is null").select("doc", "place")).union(large))
+             .where(F.struct("doc", "sign", "place") != F.col("least")).select("doc", "sign", "place"))
+    return (met.where("hash is null").select("doc", "sign", "place")
+            .union(solved.where("text is null").select("doc", "sign", "place")).union(large))
 
 
 def _erase(keep_text: bool):
@@ -388,7 +386,7 @@ def _erase(keep_text: bool):
                     out.append((n, 0, 0, hashlib.sha256(text).hexdigest(), text))
                     continue
                 p = np.array(places, np.int64)
-                start = (p >> COUNT_BITS) & ((1 << START_BITS) - 1)
+                start = p >> COUNT_BITS
                 edge = np.zeros(n + 1, np.int64)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + (p & ((1 << COUNT_BITS) - 1)) - 1 + LENGTH, -1)
@@ -409,7 +407,7 @@ def deduplicate(docs: DataFrame, keep_text: bool = False, shard_bytes: int = SHA
                 shard_max: int = SHARD_MAX) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept (remaining bytes)]."""
     prepare(docs.sparkSession)
-    spans = (repeated_windows(docs, shard_bytes, shard_max).groupBy("doc", _sign_of().alias("sign"))
+    spans = (repeated_windows(docs, shard_bytes, shard_max).groupBy("doc", "sign")
              .agg(F.collect_list("place").alias("places")).withColumnsRenamed({"doc": "__doc", "sign": "__sign"}))
     texts = _packed(_keyed(docs).select("doc_id", "doc", "sign", "body"))
     rows = (texts.join(spans, (F.col("doc") == F.col("__doc")) & (F.col("sign") == F.col("__sign")), "left")

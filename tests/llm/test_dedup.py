@@ -8,6 +8,7 @@ import numpy as np
 from headway.llm import simhash, substrings, suffix_array
 from headway.llm.components import connected_components
 from headway.llm.queries import queries
+from pyspark.sql import functions as F
 
 
 def test_golay_segments_share_a_key_within_two_bits():
@@ -198,3 +199,19 @@ def test_substrings_odd_rows(spark, odd_documents, no_documents):
     assert two.n_removed > 0 and bytes(two.kept).endswith(b"end")
     assert [r.n_bytes for r in rows if r.doc_id in (3, 4)] == [0, 0]
     assert substrings.deduplicate(no_documents).count() == 0
+
+
+def test_substrings_of_one_doc_id_are_told_apart_by_the_whole_hash(spark):
+    """Two texts without a doc_id whose hashes share the low 24 bits: each loses its own repeats only."""
+    words = F.transform(F.sequence(F.lit(1), F.lit(5)), lambda i: F.md5(F.concat_ws("-", "id", i)))
+    texts = spark.range(20_000).select(F.array_join(words, "").alias("text"))
+    low = F.xxhash64(F.encode("text", "UTF-8")).bitwiseAND(F.lit((1 << 24) - 1))
+    pairs = texts.groupBy(low).agg(F.sort_array(F.collect_list("text")).alias("t")).where(F.size("t") == 2).limit(3).collect()
+    assert len(pairs) == 3
+    long = [(2 * i, r.t[0]) for i, r in enumerate(pairs)]                     # a copy of only one text of each pair
+    rows = [*long, *((None, t) for r in pairs for t in r.t)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = sorted((r.doc_id is None, r.n_bytes, r.n_removed, bytes(r.kept).decode())
+                 for r in substrings.deduplicate(df, keep_text=True).collect())
+    assert got == sorted([*((False, 160, 0, t) for _, t in long), *((True, 160, 160, "") for _ in pairs),
+                          *((True, 160, 0, r.t[1]) for r in pairs)])
