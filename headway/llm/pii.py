@@ -117,12 +117,29 @@ def _spans(rows: DataFrame, key: list[str], name: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.array_sort(F.collect_set(span)).alias(name))
 
 
-def base_spans(found: DataFrame, key: list[str]) -> DataFrame:
-    """``base`` spans of every key that has any."""
+def _base_rows(found: DataFrame, key: list[str]) -> DataFrame:
+    """One row per valid base span: key, start, end, kind."""
     rows = found.where("kind != 'c'")
     ok = F.coalesce(*[F.when(F.col("kind") == k, _valid(k, F.col("hit"))) for k in KINDS])
-    rows = rows.where(ok).select(*key, "start", (F.col("start") + F.length("hit")).cast("int").alias("end"), "kind")
-    return _spans(rows, key, "base")
+    return rows.where(ok).select(*key, "start", (F.col("start") + F.length("hit")).cast("int").alias("end"), "kind")
+
+
+def base_spans(found: DataFrame, key: list[str]) -> DataFrame:
+    """``base`` spans of every key that has any."""
+    return _spans(_base_rows(found, key), key, "base")
+
+
+def _cuts(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows (key, start, end, kind) -> ``cuts`` of every key: its spans without overlaps.  Spans that overlap are
+    one, of the kind of the longest (ties: the first in the contract's order)."""
+    no = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KINDS)])
+    by = Window.partitionBy(*key).orderBy("start", "no", "end")
+    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("no", no).withColumn("new", F.when(F.col("start") < reach, 0).otherwise(1))
+    rows = rows.withColumn("nth", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    best = F.min(F.struct((F.col("start") - F.col("end")).alias("size"), "start", "no", "kind"))
+    one = rows.groupBy(*key, "nth").agg(F.min("start").alias("start"), F.max("end").alias("end"), best.alias("best"))
+    return _spans(one.select(*key, "start", "end", F.col("best.kind").alias("kind")), key, "cuts")
 
 
 def _joined(spans: Column) -> Column:
@@ -213,10 +230,13 @@ def _found(docs: DataFrame) -> DataFrame:
     return stored(matches(texts, _KEY, "t"), "pii-matches")
 
 
-def _new_spans(found: DataFrame) -> DataFrame:
-    """(__id, __sign, extra): the method's spans of each text that has any."""
-    new = discovered(stored(instances(found, _KEY), "pii-instances"), _KEY)
-    return _spans(new, _KEY, "extra").withColumnsRenamed({"doc_id": "__id", "sign": "__sign"})
+def _new_rows(found: DataFrame) -> DataFrame:
+    """One row per span of the method: key, start, end, kind."""
+    return discovered(stored(instances(found, _KEY), "pii-instances"), _KEY)
+
+
+def _named(spans: DataFrame) -> DataFrame:
+    return spans.withColumnsRenamed({"doc_id": "__id", "sign": "__sign"})
 
 
 def _with(rows: DataFrame, spans: DataFrame) -> DataFrame:
@@ -228,8 +248,8 @@ def find(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, counts of the base kinds, base_sha256, spans."""
     prepare(docs.sparkSession)
     found = _found(docs)
-    base = base_spans(found, _KEY).withColumnsRenamed({"doc_id": "__id", "sign": "__sign"})
-    both = _with(_with(docs.select(*_keys(docs)), base), _new_spans(found))
+    new = _spans(_new_rows(found), _KEY, "extra")
+    both = _with(_with(docs.select(*_keys(docs)), _named(base_spans(found, _KEY))), _named(new))
     empty = F.array().cast("array<struct<start:int,no:int,end:int,kind:string>>")
     both = both.withColumn("base", F.coalesce("base", empty)).withColumn("extra", F.coalesce("extra", empty))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
@@ -241,23 +261,34 @@ def _masked(kind: str) -> Column:
     return F.transform("k_m", lambda m: F.when(_valid(kind, m), F.lit(MASKS[kind])).otherwise(m))
 
 
+def _rebuilt(text: Column, cuts: Column) -> Column:
+    """The text with a mark for each cut.  Pieces are cut from its UTF-32 bytes, where a position is an address: time
+    grows with the text, not with text times cuts.  (The array of one evaluates the bytes once.)"""
+    mark = F.create_map(*[F.lit(x) for kv in MASKS.items() for x in kv])
+
+    def pieces(wide: Column) -> Column:
+        def piece(k: Column) -> Column:
+            start = F.when(k == 0, 0).otherwise(F.get(cuts, k - 1)["end"])
+            end = F.when(k < F.size(cuts), F.get(cuts, k)["start"]).otherwise((F.octet_length(wide) / 4).cast("int"))
+            own = F.decode(F.substring(wide, start * 4 + 1, (end - start) * 4), "UTF-32")
+            return F.concat(own, F.when(k < F.size(cuts), mark[F.get(cuts, k)["kind"]]).otherwise(""))
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(cuts)), piece), "")
+
+    return F.transform(F.array(F.encode(text, "UTF-32")), pieces)[0]
+
+
 def mask(docs: DataFrame) -> DataFrame:
-    """The documents table with every span replaced by its kind's mark; ``n_chars``, if the table has
-    it, follows the new text."""
+    """The documents table with every span that ``find`` names replaced by its kind's mark, overlapping spans
+    by one; ``n_chars``, if the table has it, follows the new text."""
     prepare(docs.sparkSession)
+    found = _found(docs)
+    cuts = _cuts(_base_rows(found, _KEY).union(_new_rows(found)), _KEY)
     rows = docs.select(rows_of(docs), *_keys(docs), F.coalesce(F.col("text"), F.lit("")).alias("t"))
-    rows = _with(rows, _new_spans(_found(docs))).select("__row", "t", "extra")
-    # the method's spans first (their positions are those of the original text), then each base kind
-    cuts = F.col("extra")
-    piece = lambda k: F.substring(
-        F.col("t"), F.when(k == 0, 1).otherwise(F.element_at(cuts, F.greatest(k, F.lit(1)))["end"] + 1),
-        F.when(k < F.size(cuts), F.element_at(cuts, F.least(k + 1, F.size(cuts)))["start"]).otherwise(F.length("t"))
-        - F.when(k == 0, 0).otherwise(F.element_at(cuts, F.greatest(k, F.lit(1)))["end"]))
-    mark = F.create_map(*[F.lit(x) for kv in MASKS.items() for x in kv])
-    rebuilt = F.array_join(F.transform(F.sequence(F.lit(0), F.size(cuts)), lambda k: F.concat(
-        piece(k), F.when(k < F.size(cuts), mark[F.element_at(cuts, F.least(k + 1, F.size(cuts)))["kind"]])
-        .otherwise(""))), "")
-    rows = rows.withColumn("t", F.when(F.size("extra") > 0, rebuilt).otherwise(F.col("t"))).drop("extra")
+    rows = _with(rows, _named(cuts)).select("__row", "t", "cuts")
+    rows = rows.withColumn("t", F.when(F.size("cuts") > 0, _rebuilt(F.col("t"), F.col("cuts"))).otherwise(F.col("t")))
+    rows = rows.drop("cuts")
+    # identifiers that came to light only when a neighbour was cut off
     for kind, regex in KINDS.items():
         rows = _split(rows, "t", "k", regex, GUARDS[kind])
         ok = _masked(kind)

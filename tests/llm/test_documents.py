@@ -70,6 +70,16 @@ def test_pii_tricky_texts_and_masks(spark):
     assert masked[7] == "[PHONE] "
 
 
+def test_pii_masks_cut_the_spans_that_are_found(spark):
+    """Spans of several kinds that overlap go whole; cuts behind wide characters and at both ends are in place."""
+    texts = {"call +33 1.42.68.53.00 now": "call [PHONE] now", "+33 1.42.68.53.00": "[PHONE]",
+             "😀é 10.0.0.1 +33 1.42.68.53.00 a@b.co": "😀é [IP] [PHONE] [EMAIL]", "1.2.3.4@b.co😀": "[EMAIL]😀",
+             "a@b.c_d@e.f": "[EMAIL][EMAIL]", "no 4111 1111 1111 1111 1.2.3.4": "no [CARD] [IP]", "é": "é"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_pii_patterns_discover_unseen_identifiers(spark):
     """'write to <address>' is learned from seeds and finds an address the base rule misses; counter-examples
     that fail a check are never proposed."""
