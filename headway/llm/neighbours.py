@@ -16,8 +16,11 @@ vectors, so the ratio errs to the safe side).  Lists are stored as blocks of at
 too, so a list that is large all the same (or that most queries visit) is many small joins, never one task;
 no list is cut.  Scores are computed on the original vectors in double precision.
 
-Defined cases: vectors that are null, zero, empty, of another length than most or hold null or
-non-finite components take no part (as queries either); a null vec_id takes no part; repeated rows of one
+Vectors of different lengths have no inner product: each length is a set with lists of its own, and a query
+is answered among the vectors of its length.
+
+Defined cases: vectors that are null, zero, empty or hold null or non-finite components take no part (as
+queries either); a null vec_id takes no part; repeated rows of one
 vec_id and vector count once; fewer than ``k`` other vectors: all are returned if their lists are visited;
 an empty table gives an empty result; other columns are ignored.
 """
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,12 +189,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     ``prune`` is the distance ratio up to which lists are visited; measured on the sample if not given."""
     spark = prepare(vectors.sparkSession)
     rows = usable(vectors, id_col, vec_col)
-    # one length only: that of most rows, then the longer one
-    width = rows.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), F.desc("w")).limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not width:
-        return spark.createDataFrame([], schema)
-    rows = rows.where(F.size("v") == width[0]["w"])
     # distinct vectors with the k + 1 smallest ids: enough for any answer, ties go to the smaller id
     # (a vector with a third of all rows is one group, so ids are first cut down per salt)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
@@ -199,13 +197,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     distinct = stored(few.groupBy("v").agg(
         F.slice(F.sort_array(F.collect_set("id")), 1, k + 1).alias("ids")).select(
         "v", "ids", F.element_at("ids", 1).alias("least")), "ann-vectors")
-    lists = build_lists(distinct, sample)
-    if lists is None:
-        return spark.createDataFrame([], schema)
-    prune = lists.prune if prune is None else prune
+    widths = sorted(r[0] for r in distinct.select(F.size("v")).distinct().collect())     # a row per length
+    if not widths:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    # every length's own lists and the number of its first one
+    by_width: dict[int, tuple[Lists, int]] = {}
+    used = 0
+    for w in widths:
+        own = build_lists(distinct.where(F.size("v") == w), sample)
+        by_width[w] = own, used
+        used += len(own.c)
     wanted = vectors.where(is_query).select(F.col(id_col), F.col(vec_col))
-    asked = usable(wanted, id_col, vec_col).where(F.size("v") == width[0]["w"]).distinct() \
-        .withColumnRenamed("id", "query_id")
+    asked = usable(wanted, id_col, vec_col).distinct().withColumnRenamed("id", "query_id")
     # queries with one vector are asked once
     asked = stored(asked.join(distinct.select("v", F.col("least").alias("q")), "v").select("query_id", "q", "v"),
                    "ann-queries")
@@ -213,17 +216,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     def deal(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
         """(list, id, vector) rows: a vector in every list it belongs to, a query in every list it visits."""
         for b in batches:
-            v = _matrix(b.column(1))
-            if not len(v):
-                continue
-            if kind == "rows":
-                r, at = lists.assign(v)
-            else:
-                visited = [lists.visit(x, prune) for x in v]
-                r, at = np.repeat(np.arange(len(v)), [len(x) for x in visited]), np.concatenate(visited)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), b.column(0).take(pa.array(r)),
-                 pa.array([x.tobytes() for x in v[r].astype("<f8")], pa.binary())], names=["list", "id", "row"])
+            width = pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False)
+            for w in np.unique(width):
+                mine = np.flatnonzero(width == w)
+                lists, first = by_width[int(w)]
+                v = _matrix(b.column(1).take(pa.array(mine)))
+                if kind == "rows":
+                    r, at = lists.assign(v)
+                else:
+                    visited = [lists.visit(x, lists.prune if prune is None else prune) for x in v]
+                    r, at = np.repeat(np.arange(len(v)), [len(x) for x in visited]), np.concatenate(visited)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at + first, pa.int32()), b.column(0).take(pa.array(mine[r])),
+                     pa.array([x.tobytes() for x in v[r].astype("<f8")], pa.binary())], names=["list", "id", "row"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by list -> (list, ids, matrix) blocks of at most BLOCK_ROWS rows."""

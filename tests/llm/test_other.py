@@ -106,6 +106,22 @@ def test_neighbours_odd_rows(spark):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_every_vector_length(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=5 if i % 3 == 0 else 8).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(df, F.col("vec_id") % 20 == 0, prune=100.0).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    for n in (5, 8):
+        ids = np.array([i for i, v in rows if len(v) == n])
+        x = np.array([v for _, v in rows if len(v) == n])
+        for q in ids[ids % 20 == 0].tolist():
+            want = [v for v, _ in _exact(ids, x, int(np.flatnonzero(ids == q)[0]))]
+            assert [got[q][k] for k in range(1, 21)] == want
+    assert set(got) == set(range(0, 300, 20))
+
+
 # ---------------------------------------------------------------- registration and pipeline
 
 def test_every_operator_is_registered():
