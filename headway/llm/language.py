@@ -197,15 +197,16 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, switch: float = SWITCH) -> n
             enter[which[r]] = value[docs]
             value[docs] = (value[docs][:, :, None] + state[r]).max(axis=1)
     # forward with back pointers
-    back_top = np.zeros((steps, rows), np.int8)
+    kind = np.min_scalar_type(-k)                              # the smallest integers that hold every state
+    back_top = np.zeros((steps, rows), kind)
     back_jump = np.zeros((steps, rows, k), bool)
     state = enter
     for t in range(steps):
         a = live[t]
         state[:a], back_top[t, :a], back_jump[t, :a] = step(state[:a], scores[first[:a] + t])
     # backward from every end state
-    path = np.zeros((steps, rows, k), np.int8)
-    now = np.tile(np.arange(k, dtype=np.int8), (rows, 1))
+    path = np.zeros((steps, rows, k), kind)
+    now = np.tile(np.arange(k, dtype=kind), (rows, 1))
     for t in range(steps - 1, -1, -1):
         a = live[t]
         path[t, :a] = now[:a]
@@ -242,10 +243,12 @@ def _predict(model: Model, switch: float, spans: bool):
         scores = rows[:, :-1].astype(np.float64)
         return split, bounds, viterbi(scores, bounds, switch), rows[:, -1].astype(np.int64), scores
 
+    few = max(1, min(2000, 2000 * 1024 // max(k * k, 1)))     # a row's paths are k x k numbers
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                b = whole.slice(at, 2000)
+            for at in range(0, whole.num_rows, few):
+                b = whole.slice(at, few)
                 texts = b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()
                 split, bounds, lang, letters, scores = label(texts)
                 n = len(texts)

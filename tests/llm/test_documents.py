@@ -316,6 +316,17 @@ def test_language_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in rows.values())
 
 
+def test_viterbi_of_more_than_128_languages():
+    rng = np.random.default_rng(6)
+    for k in (2, 128, 129, 300):
+        truth = np.repeat(rng.permutation(k)[:20] if k > 20 else np.arange(20) % k, 30)
+        truth[:30] = k - 1
+        scores = rng.random((len(truth), k))
+        scores[np.arange(len(truth)), truth] += 20
+        got = language.viterbi(scores, np.array([0, 30, 60, len(truth)]))    # short texts and one of several rows
+        assert got.tolist() == truth.tolist()
+
+
 def test_language_spans_of_mixed_text(spark):
     german, french = "der hund und die katze sind nicht in dem haus ", "le chat est dans la maison avec les enfants "
     train = spark.createDataFrame([(german * 20, "de"), (french * 20, "fr"), ("привет мир это дом " * 20, "ru")], "text string, lang string")
