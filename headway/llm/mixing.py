@@ -5,10 +5,11 @@ most ``passes`` times.  A document's virtual finish time is the running number o
 divided by the source's target.  All finish times are sorted globally (range partitioned) and the
 sorted stream is cut where its running total would exceed the budget; ties stay together.
 
-Running totals are two-level prefix sums: the shuffled order is uniform, so it is cut into equal
-ranges of about ``RANGE_DOCS`` documents, summed per range (partially aggregated), and finished inside
-each range.  A source with a third of all rows is thereby many small ranges, never one window.  Only
-one row per source, one per range and one partition of the global sort meet a single task.
+Running totals are two-level prefix sums: equal rows are counted first, the distinct ones are cut into
+ranges of the whole shuffled order (doc_id's MD5, doc_id, size, text), summed per range, and finished inside
+each range.  A source or a doc_id with a third of all rows is thereby many ranges, never one window; equal
+rows are one row until they are dealt out, in blocks of ``RANGE_DOCS``.  Only one row per source, one per source and
+range and one partition of a global sort meet a single task.
 
 Defined cases: null text has size 0; documents of size 0 are never taken; null sources are one
 source, sorted last; repeated rows are rows of their own; an empty table gives an empty result;
@@ -57,18 +58,23 @@ def queued(sized: DataFrame, per_source: DataFrame) -> DataFrame:
     """``sized(doc_id, sign, source, size)`` plus source figures and ``done``: words of the queue up to
     and including the document."""
     s = per_source.withColumnRenamed("source", "__source")
-    turn = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    at = F.conv(F.substring("turn", 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    rows = (sized.join(s, sized["source"].eqNullSafe(s["__source"])).drop("__source")
-            .withColumn("turn", turn)
-            .withColumn("range", F.floor(at * F.ceil(F.col("n_docs") / RANGE_DOCS)).cast("long")))
-    sums = rows.groupBy("no", "range").agg(F.sum("size").alias("s"))
+    rows = sized.groupBy("doc_id", "source", "sign", "size").agg(F.count(F.lit(1)).alias("n"))
+    rows = (rows.join(s, rows["source"].eqNullSafe(s["__source"])).drop("__source")
+            .withColumn("turn", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    order = ("turn", "doc_id", "size", "sign")
+    dealt = stored(rows.repartitionByRange("no", *order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    sums = dealt.groupBy("no", "range").agg(F.sum(F.col("size") * F.col("n")).alias("s"))
     run = Window.partitionBy("no").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("no", "range", F.coalesce(F.sum("s").over(run), F.lit(0)).alias("base"))
-    inner = (Window.partitionBy("no", "range").orderBy("turn", "doc_id", "size", "sign")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (rows.join(base, ["no", "range"])
-            .withColumn("done", F.col("base") + F.sum("size").over(inner)))
+    inner = Window.partitionBy("no", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = dealt.join(base, ["no", "range"]).withColumn(
+        "before", F.col("base") + F.sum(F.col("size") * F.col("n")).over(inner) - F.col("size") * F.col("n"))
+    # equal rows, one after another: blocks first, so that no task deals out all copies of one row
+    blocks = upto.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RANGE_DOCS).cast("long"))))
+    blocks = blocks.repartition("no", *order, "block")
+    each = blocks.withColumn("nth", F.explode(F.sequence(
+        F.col("block") + 1, F.least(F.col("block") + RANGE_DOCS, F.col("n")))))
+    return each.withColumn("done", F.col("before") + F.col("size") * F.col("nth")).drop("n", "before", "block", "nth")
 
 
 def _finish(k: int) -> Column:

@@ -265,6 +265,27 @@ def test_mix_reaches_targets_and_agrees_with_sql(spark):
     assert all(r.taken in (0, r.size, 2 * r.size) for r in rows)
 
 
+def test_mix_spreads_rows_of_one_doc_id(spark, monkeypatch):
+    """A third of all rows without a doc_id, many of them equal: several ranges, and running totals without gaps."""
+    monkeypatch.setattr(mixing, "RANGE_DOCS", 7)
+    rows = [(None, "a", i if i < 800 else 0, 1 + (i * 7) % 5 if i < 800 else 3) for i in range(1000)]
+    rows += [(i, "ab"[i % 2], i, 1 + i % 4) for i in range(2000)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, sign long, size long")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        got = mixing.queued(sized, mixing.targets(sized)).collect()
+    finally:
+        spark.conf.unset(coalesce)
+    assert sorted((r.doc_id or -1, r.source, r.sign, r.size) for r in got) == sorted((r[0] or -1, *r[1:]) for r in rows)
+    assert len({r.range for r in got if r.doc_id is None}) > 1
+    for s in "ab":
+        done = 0
+        for r in sorted((r for r in got if r.source == s), key=lambda r: r.done):
+            assert r.done - r.size == done
+            done = r.done
+
+
 def test_mix_odd_rows_and_ranges(spark, odd_documents, no_documents, monkeypatch):
     monkeypatch.setattr(mixing, "RANGE_DOCS", 3)
     rng = np.random.default_rng(3)
