@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -138,17 +138,15 @@ def _sink_replace_slices(spark, d):
 
 
 def _sink_replace_hours(spark, d):
-    """RAW trip updates by (service_date, hour) slices: every fourth day is first written unstrided and
+    """RAW trip updates by (service_date, hour) slices: all snapshot rows are first written, unstrided and
     undeduplicated, then every day replaced by the loaded rows (hours that lose all rows go), and read back."""
     snapshots = _m(spark, d).t.raw_trip_updates
     tu = raw.raw_trip_updates(snapshots, stride=5)
     path = scratch_path(spark, "raw_trip_updates")
     part, cluster = ("service_date", "hour"), ("trip_id",)
     days = [r[0] for r in snapshots.select("service_date").distinct().collect()]           # requested days
-    last = F.row_number().over(Window.partitionBy("service_date", "hour").orderBy("entity_id"))
-    stale = snapshots.where(F.dayofmonth("service_date") % 4 == 0).withColumn("n", last).where("n <= 2").drop("n")
-    extra = stale.limit(1).withColumn("hour", F.lit(99))
-    sinks.write_table(stale.unionByName(extra), path, part, cluster)
+    extra = snapshots.limit(1).withColumn("hour", F.lit(99))
+    sinks.write_table(snapshots.unionByName(extra), path, part, cluster)
     sinks.replace_slices(tu, path, part, [{"service_date": x} for x in days], cluster)
     return sinks.read_table(spark, path, StructType([f for f in tu.schema.fields])).select(*tu.columns)
 

@@ -152,3 +152,24 @@ def test_stride_counts_polls_whatever_the_parts(spark, cap, parts):
     snaps = gtfs_rt.publish_vehicle_snapshots(tu, parts_per_snapshot=parts, max_entities_per_message=cap, feed="trip_updates")
     got = {(r.trip_id, r.entity_id) for r in raw.raw_from_feed(snaps, "trip_updates", stride=5).collect()}
     assert got == {(f"T{i}", f"e15-{i}") for i in range(7)}
+
+
+def test_replaced_hours_are_first_written_whole(spark, monkeypatch):
+    """The hour key replaces slices of every day that hold all snapshot rows."""
+    from headway.plans import registry
+
+    d = "/root/testdata/sf0.001"
+    met = []
+    replace = registry.sinks.replace_slices
+
+    def seen(df, path, *args):
+        met.extend(tuple(r) for r in spark.read.parquet(path).groupBy("service_date", "hour").count().collect())
+        return replace(df, path, *args)
+
+    monkeypatch.setattr(registry.sinks, "replace_slices", seen)
+    out = registry.registry()["sink_replace_hours"](spark, d)
+    snapshots = registry._m(spark, d).t.raw_trip_updates
+    want = sorted(tuple(r) for r in snapshots.groupBy("service_date", "hour").count().collect())
+    assert sorted((str(a), int(h), n) for a, h, n in met if int(h) != 99) == [(str(a), int(h), n) for a, h, n in want]
+    assert [n for _, h, n in met if int(h) == 99] == [1]
+    assert out.where("hour = 99").count() == 0
