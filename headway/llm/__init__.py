@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators, each a Spark job over whole tables.
+"""Training-data operators: thirteen corpus operators, each a Spark job over whole tables.
 
 Nothing else in the library imports this subpackage.  ``queries()`` and ``oracle_sql()`` are the
 registered queries; each operator module has its own general interface and states how it treats

@@ -64,3 +64,10 @@ SELECT pair_id, part, turn, CAST(nth AS INTEGER) AS nth, role, rendered,
        CAST(length(rendered) AS BIGINT) AS length, part <> 'prompt' AND role = 'assistant' AS trained
 FROM seg WHERE NOT (part = 'prompt' AND side = 1)
 """
+
+EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""

@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm import (language, mixing, neighbours, packing, pii, preferences, quality_model, quality_rules,
-                         simhash, substrings)
+                         simhash, stream_dedup, substrings)
 from headway.llm.common import table
-from headway.llm.oracle import MIX_SQL, PREFERENCE_SQL
+from headway.llm.oracle import EXACT_SQL, MIX_SQL, PREFERENCE_SQL
 
 
 def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(table(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_dedup.deduplicate(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_model": op1_quality_model,
@@ -67,8 +71,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
         "op10_language": op10_language,
+        "op13_exact_dedup": op13_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_preferences": PREFERENCE_SQL, "op8_mixing": MIX_SQL}
+    return {"op5_preferences": PREFERENCE_SQL, "op8_mixing": MIX_SQL, "op13_exact_dedup": EXACT_SQL}
