@@ -1,16 +1,18 @@
 """Exact deduplication as a stateful stream.
 
-``keep_state`` runs one Structured Streaming query over a table's files: every text becomes a digest,
-and a state per digest (RocksDB, on the executors' disks, committed to the store folder, never expired)
-retains the digest, the stable identifier of the row that stays (largest doc_id; ties: largest place),
-the number of rows and a content locator - file and row number of the first text that had the digest.
-No text is kept in the state.  A text that meets a digest already retained is a hit; hits leave the query
-through an exactly-once file sink, and ``check_hits`` compares them byte for byte with the text that the
-locator names.  A digest whose bytes differ anywhere is split, and its rows are grouped by their texts.
-
-A task first folds rows of equal bytes into one unit, so a text that a third of all rows share sends one
-row per task and file to its state.  The query can be stopped and started again on the same store (new
-files only are read); it recovers lost executors from the committed state and the offset log.
+``keep_state`` runs two Structured Streaming queries over what is new in a table's files.  The first folds rows of equal
+bytes of a file, within a task, into one unit: SHA-256 of the text, content locator (file and row number of the
+first such row), stable identifier of the row that stays (largest doc_id; ties: largest place), number of rows.
+A text that a third of all rows share is one unit per task and file.  The second keeps a state per digest
+(streaming aggregation on RocksDB: on the executors' disks, committed to the store folder, never expired) that
+retains the digest, the row that stays, the number of rows, and the content locator of the unit seen first, which later
+units never change.  No text is kept in the state.
+
+A unit whose digest is retained already is a hit; ``check_hits`` compares every hit byte for byte with the text that
+the locator names.  A digest whose bytes differ anywhere is split, and its rows are grouped by their texts.
+
+The queries can be stopped and started again on the same store (only new files are read); lost executors are
+recovered from the committed state and the offset logs, and no unit counts twice.
 
 Defined results: a null text counts as empty; a null doc_id never wins over another one (a group of
 nothing else has a null keep_id); repeated rows are rows of their group of which one stays; an empty table
@@ -22,11 +24,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from headway.llm.common import prepare, stored, text_bytes
 from headway.session import scratch_path
@@ -41,8 +41,6 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
 UNIT = "digest string, file string, row long, keep_id long, keep_row long, n long"
-STATE = "file string, row long, keep_id long, keep_file string, keep_row long, n long"
-HIT = "digest string, file string, row long"
 
 
 def places(df: DataFrame) -> DataFrame:
@@ -89,25 +87,6 @@ def _units(chars: int, most: int):
     return run
 
 
-def _retain(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Fold a digest's units into its state; every unit but the retained one is a hit."""
-    now = list(state.get) if state.exists else None
-    hits = []
-    for frame in frames:
-        for file, row, doc, at, n in zip(frame["file"], frame["row"], frame["keep_id"], frame["keep_row"], frame["n"]):
-            doc = None if pd.isna(doc) else int(doc)
-            if now is None:
-                now = [file, int(row), doc, file, int(at), int(n)]
-                continue
-            hits.append((key[0], file, int(row)))
-            if _later((doc, file, int(at)), tuple(now[2:5])):
-                now[2:5] = doc, file, int(at)
-            now[5] += int(n)
-    state.update(tuple(now))
-    if hits:
-        yield pd.DataFrame(hits, columns=["digest", "file", "row"])
-
-
 def source(spark: SparkSession, path: str, files_per_trigger: int | None = None,
            trigger_bytes: int = TRIGGER_BYTES) -> DataFrame:
     """A parquet table (a folder or one file) as a stream of its files."""
@@ -120,40 +99,55 @@ def source(spark: SparkSession, path: str, files_per_trigger: int | None = None,
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")      # a pattern of this one name: files and folders alike
 
 
-def keep_state(rows: DataFrame, store: str, chars: int = DIGEST_CHARS, held_bytes: int = HELD_BYTES) -> None:
-    """Run the query over everything that is there now and return when it is committed.
+def _run(frame: DataFrame, sink: str, mode: str, checkpoint: str, **options: str) -> None:
+    query = (frame.writeStream.format(sink).outputMode(mode).options(**options)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
+def keep_state(rows: DataFrame, store: str, chars: int = DIGEST_CHARS, held_bytes: int = HELD_BYTES,
+               files_per_trigger: int | None = None) -> None:
+    """Run both queries over everything that is there now and return when it is committed.
 
     ``rows`` is a stream with the columns of ``places``; ``store`` is a folder that all executors share.
     A later call with the same store takes up where this one ended.
     """
     spark = rows.sparkSession
+    _run(rows.mapInArrow(_units(chars, held_bytes), UNIT), "parquet", "append", f"{store}/units-log",
+         path=f"{store}/units")
+    units = spark.readStream.schema(UNIT)
+    if files_per_trigger:
+        units = units.option("maxFilesPerTrigger", files_per_trigger)
+    # the time of a micro-batch is part of its offset log: a batch that is run again sees the same
+    seen = units.parquet(f"{store}/units").withColumn("seen", F.current_timestamp())
+    state = seen.groupBy("digest").agg(F.min(F.struct("seen", "file", "row")), F.sum("n"),
+                                       F.max(F.struct("keep_id", F.col("file").alias("keep_file"), "keep_row")))
     before = {k: spark.conf.get(k, None) for k in ROCKSDB}
     for k, v in ROCKSDB.items():
         spark.conf.set(k, v)
     try:
-        query = (rows.mapInArrow(_units(chars, held_bytes), UNIT).groupBy("digest")
-                 .applyInPandasWithState(_retain, HIT, STATE, "append", GroupStateTimeout.NoTimeout)
-                 .writeStream.format("parquet").option("path", f"{store}/hits")
-                 .option("checkpointLocation", f"{store}/state").outputMode("append")
-                 .trigger(availableNow=True).start())
+        _run(state, "noop", "update", f"{store}/state")
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    query.awaitTermination()
 
 
 def classes(spark: SparkSession, store: str) -> DataFrame:
     """The retained state: one row per digest with locator, row that stays and number of rows."""
     state = spark.read.format("statestore").load(f"{store}/state")
-    at = "value.groupState" if "groupState" in state.schema["value"].dataType.names else "value"
-    return state.select("key.digest", *[F.col(f"{at}.{c.split()[0]}") for c in STATE.split(", ")])
+    first, n, stays = [f"value.`{c}`" for c in state.schema["value"].dataType.names]
+    return state.select("key.digest", f"{first}.file", f"{first}.row", f"{stays}.keep_id", f"{stays}.keep_file",
+                        f"{stays}.keep_row", F.col(n).alias("n"))
 
 
 def check_hits(places_: DataFrame, store: str, retained: DataFrame) -> DataFrame:
     """Digests of which some hit differs in its bytes from the text that the locator names."""
-    hits = places_.sparkSession.read.schema(HIT).parquet(f"{store}/hits")
-    named = retained.where("n > 1").select("digest", "file", "row")
-    texts = places_.select("file", "row", "text").join(hits.unionByName(named).distinct(), ["file", "row"])
+    units = places_.sparkSession.read.schema(UNIT).parquet(f"{store}/units").select("digest", "file", "row")
+    named = retained.select("digest", F.col("file").alias("first_file"), F.col("row").alias("first_row"))
+    hits = units.join(named, "digest").where("file != first_file or row != first_row")
+    both = (hits.select("digest", "file", "row")
+            .unionByName(hits.select("digest", F.col("first_file").alias("file"), F.col("first_row").alias("row")).distinct()))
+    texts = places_.select("file", "row", "text").join(both, ["file", "row"])
     return (texts.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
             .where("low != high").select("digest"))
 
@@ -185,5 +179,5 @@ def deduplicate(spark: SparkSession, path: str, files_per_trigger: int | None =
     """State, check and report of the parquet table at ``path``, in a store of its own."""
     prepare(spark)
     store = scratch_path(spark, "stream-dedup")
-    keep_state(places(source(spark, path, files_per_trigger)), store, chars)
+    keep_state(places(source(spark, path, files_per_trigger)), store, chars, files_per_trigger=files_per_trigger)
     return report(places(spark.read.parquet(path)), store, chars)
