@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm import (language, mixing, neighbours, packing, pii, preferences, quality_model, quality_rules,
-                         simhash, stream_dedup, substrings)
+                         simhash, spelling, stream_dedup, substrings, token_alignment)
 from headway.llm.common import table
 from headway.llm.oracle import EXACT_SQL, MIX_SQL, PREFERENCE_SQL
 
@@ -55,6 +55,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.deduplicate(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
 
@@ -71,6 +79,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
         "op10_language": op10_language,
+        "op11_spelling": op11_spelling,
+        "op12_alignment": op12_alignment,
         "op13_exact_dedup": op13_exact_dedup,
     }
 

@@ -39,6 +39,7 @@ ROCKSDB = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",      # many small stores: no reserved blocks
 }
 UNIT = "digest string, file string, row long, keep_id long, keep_row long, n long"
 
