@@ -15,7 +15,8 @@ pattern confirms itself.  After ``ROUNDS`` rounds, unseeded instances that a pat
 ``MIN_SEEDS`` distinct seeds and a score of ``MIN_SCORE`` proposes become spans of the pattern's kind.
 
 The regular expressions are the contract's, written with possessive quantifiers and a guard that
-begins only at the start of a run (or at the end of the last match): same matches, linear time.
+begins only at the start of a run (or at the end of the last match): same matches, linear time.  Instances and
+the word before them are found the same way: only the start of a word is tried, whatever its length.
 
 Defined cases: null text is empty (no spans); repeated rows get the same spans; very long texts keep
 all their spans; an empty table gives an empty result; other columns are ignored (``mask`` keeps them).
@@ -39,7 +40,9 @@ KINDS = {
 _IP_PART = "0*(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
-CANDIDATE = r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*+(?:\x20[(+]?[0-9][^\x20\x09-\x0D]*+)*+"
+_WORD = r"[^\x20\x09-\x0D]"
+CANDIDATE = rf"(?<!{_WORD})[^\x20\x09-\x0D0-9@]*+[0-9@]{_WORD}*+(?:\x20[(+]?[0-9]{_WORD}*+)*+"
+LAST_WORD = rf"(?<!{_WORD})({_WORD}++)[\x20\x09-\x0D]++\z"
 _SEARCHES = [*((k, KINDS[k], GUARDS[k]) for k in KINDS), ("c", CANDIDATE, "[0-9@]")]   # name, pattern, guard
 ROUNDS = 3
 MIN_SEEDS = 5
@@ -84,7 +87,7 @@ def _split(df: DataFrame, text: str, name: str, regex: str, guard: str) -> DataF
 
 def _before(piece: Column) -> Column:
     """The last word of the piece before an instance, in lower case."""
-    return F.lower(F.regexp_extract(F.substring(piece, -80, 80), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+$", 1))
+    return F.lower(F.regexp_extract(piece, LAST_WORD, 1))
 
 
 def matches(df: DataFrame, key: list[str], text: str) -> DataFrame:
@@ -110,11 +113,12 @@ def matches(df: DataFrame, key: list[str], text: str) -> DataFrame:
     return rows.withColumn("start", (end - F.length("hit")).cast("int"))
 
 
-def _spans(rows: DataFrame, key: list[str], name: str) -> DataFrame:
-    """Rows (key, start, end, kind) -> array of (start, number, end, kind) per key, in the contract's order."""
+def _spans(rows: DataFrame, key: list[str], **named: Column) -> DataFrame:
+    """Rows (key, start, end, kind) -> arrays of distinct (start, number, end, kind) per key, in the contract's order:
+    for each name those of the rows that meet its condition."""
     no = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KINDS)])
     span = F.struct("start", no.alias("no"), "end", "kind")
-    return rows.groupBy(*key).agg(F.array_sort(F.collect_set(span)).alias(name))
+    return rows.groupBy(*key).agg(*[F.array_sort(F.collect_set(F.when(c, span))).alias(n) for n, c in named.items()])
 
 
 def _base_rows(found: DataFrame, key: list[str]) -> DataFrame:
@@ -126,7 +130,7 @@ def _base_rows(found: DataFrame, key: list[str]) -> DataFrame:
 
 def base_spans(found: DataFrame, key: list[str]) -> DataFrame:
     """``base`` spans of every key that has any."""
-    return _spans(_base_rows(found, key), key, "base")
+    return _spans(_base_rows(found, key), key, base=F.lit(True))
 
 
 def _cuts(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -139,7 +143,7 @@ def _cuts(rows: DataFrame, key: list[str]) -> DataFrame:
     rows = rows.withColumn("nth", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     best = F.min(F.struct((F.col("start") - F.col("end")).alias("size"), "start", "no", "kind"))
     one = rows.groupBy(*key, "nth").agg(F.min("start").alias("start"), F.max("end").alias("end"), best.alias("best"))
-    return _spans(one.select(*key, "start", "end", F.col("best.kind").alias("kind")), key, "cuts")
+    return _spans(one.select(*key, "start", "end", F.col("best.kind").alias("kind")), key, cuts=F.lit(True))
 
 
 def _joined(spans: Column) -> Column:
@@ -154,7 +158,7 @@ def instances(found: DataFrame, key: list[str]) -> DataFrame:
     rows = found.where("kind = 'c'").withColumnRenamed("hit", "raw").withColumnRenamed("start", "at")
     # quotes and closing punctuation are not part of an identifier
     opened = F.regexp_replace("raw", r"^[^A-Za-z0-9+(]++", "")
-    bare = F.regexp_replace(opened, r"[^A-Za-z0-9)]++$", "")
+    bare = F.regexp_replace(opened, r"(?<![^A-Za-z0-9)])[^A-Za-z0-9)]++$", "")
     return (rows.withColumn("hit", bare)
             .withColumn("start", (F.col("at") + F.length("raw") - F.length(opened)).cast("int")).where("length(hit) >= 4")
             .select(*key, "start", (F.col("start") + F.length("hit")).cast("int").alias("end"), "hit", "left"))
@@ -248,13 +252,14 @@ def find(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, counts of the base kinds, base_sha256, spans."""
     prepare(docs.sparkSession)
     found = _found(docs)
-    new = _spans(_new_rows(found), _KEY, "extra")
-    both = _with(_with(docs.select(*_keys(docs)), _named(base_spans(found, _KEY))), _named(new))
+    rows = _base_rows(found, _KEY).withColumn("own", F.lit(True)).unionByName(
+        _new_rows(found).withColumn("own", F.lit(False)))
+    both = _with(docs.select(*_keys(docs)), _named(_spans(rows, _KEY, base=F.col("own"), spans=F.lit(True))))
     empty = F.array().cast("array<struct<start:int,no:int,end:int,kind:string>>")
-    both = both.withColumn("base", F.coalesce("base", empty)).withColumn("extra", F.coalesce("extra", empty))
+    both = both.withColumn("base", F.coalesce("base", empty)).withColumn("spans", F.coalesce("spans", empty))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
     return both.select("doc_id", *[count(k) for k in KINDS], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
-                       _joined(F.array_sort(F.array_union("base", "extra"))).alias("spans"))
+                       _joined(F.col("spans")).alias("spans"))
 
 
 def _masked(kind: str) -> Column:

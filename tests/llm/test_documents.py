@@ -70,6 +70,29 @@ def test_pii_tricky_texts_and_masks(spark):
     assert masked[7] == "[PHONE] "
 
 
+def test_pii_words_of_a_million_characters(spark):
+    """No pattern is tried again inside a word: a text of one long word takes seconds, not hours."""
+    import time
+
+    n = 1_000_000
+    texts = ["x" * n + "9", "x" * n, "9" * n, "x" * n + "@" + "y" * n, "." * n + "7a", "7" + "." * n + "a", "x" * n + " 10.0.0.1",
+             "+" * n + "1", "1.2." * (n // 4), "a." * (n // 2) + " 1", "(" * n + "1 2 3"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    pii.find(df.limit(1)).collect()
+    began = time.time()
+    got = {r.doc_id: r for r in pii.find(df).collect()}
+    assert time.time() - began < 60
+    # (the plain expressions would take hours here)
+    assert [[got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone] for i in range(len(texts))] == [
+        [0, {6: 1, 8: n // 8}.get(i, 0), 0, 0] for i in range(len(texts))]
+    assert got[6].spans == f"ip:{n + 1}:{n + 9}" and got[8].spans.startswith("ip:0:7,ip:8:15,")
+    one = spark.createDataFrame([(texts[0],)], "t string").select(F.regexp_extract_all("t", F.lit(pii.CANDIDATE), F.lit(0)).alias("m"),
+                                                                   pii._before(F.concat("t", F.lit(" "))).alias("w"))
+    began = time.time()
+    row = one.first()
+    assert time.time() - began < 2 and row.m == [texts[0]] and row.w == texts[0]
+
+
 def test_pii_masks_cut_the_spans_that_are_found(spark):
     """Spans of several kinds that overlap go whole; cuts behind wide characters and at both ends are in place."""
     texts = {"call +33 1.42.68.53.00 now": "call [PHONE] now", "+33 1.42.68.53.00": "[PHONE]",
