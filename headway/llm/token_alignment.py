@@ -3,13 +3,13 @@
 A is a byte-level BPE file, B a SentencePiece model; A reads space + text, B adds its own space.  Every
 text is tokenised in full by both.  A place where tokens of both end and both next tokens begin with a
 space is a verified anchor; anchors cut a text into windows of token ids, and what a window's groups,
-links and their printed form are is memoised by its two id tuples.
+links and their printed form are is kept in a memo.
 
 Neither tokenizer joins across a place where a space follows a character that is no white space (A splits
 there before merging; no piece of B holds a space behind anything else, which is checked when the model
-is read), so a text's ids are those of its space-led words, found once per distinct word of a worker.  A new word is
-put together from parts that both tokenizers treat alone (a mark behind a letter, a line break), if no
-piece of B joins the two characters at the cut.
+is read; else texts are not cut), so a text's ids are those of its space-led words.  The words that a worker has not met are
+joined with spaces, tokenised at one go, and cut again at their verified anchors; the memo is
+keyed by the window's characters, which both id tuples spell, instead of by the tuples.  A full memo starts anew.
 
 Corpus-wide counts: texts are taken in chunks of bounded size; a chunk sends each of its id pairs once, with
 the number of its texts that hold it.  Sums per pair and the highest sum per A id go back to the chunks, each
@@ -40,11 +40,10 @@ from headway.llm.common import prepare, stored
 from headway.llm.tokens import _byte_letters
 
 CHUNK_LINKS = 3_000_000     # links after which a chunk closes
-MEMO = 300_000              # words, parts and windows that a worker keeps
-SPACE = 0x20
+MEMO = 400_000              # windows that a worker keeps
+JOINED = 5_000              # new words that are tokenised at one go
 UNJOINED = re.compile(r"(?<=\S)(?= )")              # a space behind no white space
 BLANK_PAIR = re.compile(r"\s ")
-PART = re.compile(r"(?<=\S)(?=\n)|(?<=\S\n)(?=\S)|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?)])")
 ASCII_BLANK_PAIRS = [c + " " for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
 REPORT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
           "groups_sha256 string")
@@ -73,7 +72,7 @@ def words_of(text: str) -> list[str]:
 
 
 class Pair:
-    """The two tokenizers, and what is known of words, parts and windows in this worker."""
+    """The two tokenizers, and what is known of windows in this worker."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -92,16 +91,14 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
-        self.joined = {p[i:i + 2] for j, p in enumerate(pieces) if not self.b.is_byte(j) for i in range(len(p) - 1)}
-        self.apart = not any(j[1] == "▁" and j[0] != "▁" for j in self.joined)
-        self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
-        self.led_a, self.led_b = [x[:1] == b" " for x in self.bytes_a], [x[:1] == b" " for x in self.bytes_b]
-        self.parts: dict[str, tuple] = {}
-        self.windows: dict[tuple, tuple] = {}
+        self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.size_a, self.size_b = [np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b)]
+        self.led_a, self.led_b = [np.array([x[:1] == b" " for x in table]) for table in (self.bytes_a, self.bytes_b)]
+        # printed ids: followed by a comma, by the bar, by a semicolon, by the end of a window
+        self.most = max(len(self.bytes_a), len(self.bytes_b))
+        self.printed = [f"{i}{mark}" for mark in ",|;\n" for i in range(self.most)]
         self.reset()
 
-    # ------------------------------------------------------------ ids
-
     def reset(self) -> None:
         self.code: dict[str, int] = {}
         self.shown: list[bytes] = []
@@ -109,112 +106,70 @@ class Pair:
         self.links = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def _ids_of(self, parts: list[str]) -> None:
-        """Ids of parts: with a leading space as a text begins, without one as a text goes on."""
-        if len(self.parts) > MEMO:
-            self.parts.clear()
-        of_a: list[tuple | None] = []
-        odd = []
-        for i, p in enumerate(parts):
-            if p[1:].isalpha() and p.isascii() and p[0] == " ":
-                of_a.append(tuple([t.id for t in self.a.model.tokenize("Ġ" + p[1:])]))   # one run of letters
-            else:
-                of_a.append(None)
-                odd.append(i)
-        for i, e in zip(odd, self.a.encode_batch([parts[i] for i in odd], add_special_tokens=False)):
-            of_a[i] = tuple(e.ids)
-        of_b = self.b.encode([p[1:] if p[0] == " " else "\n" + p for p in parts], num_threads=1)
-        for p, a, b in zip(parts, of_a, of_b):
-            self.parts[p] = a, tuple(b if p[0] == " " else b[2:])
-
-    def _cut(self, word: str) -> list[str]:
-        parts = PART.split(" " + word)
-        out = parts[:1]
-        for p in parts[1:]:
-            if out[-1][-1] + p[0] in self.joined:
-                out[-1] += p
-            else:
-                out.append(p)
-        return out
-
-    # ------------------------------------------------------------ windows
-
-    def align(self, a: tuple, b: tuple) -> tuple[bytes, int, list[int]]:
-        """Printed groups, their number, and the links (A id * 2^16 + B id) of one window."""
-        shown, links = [], []
-        i = j = first_a = first_b = 0
-        end_a = end_b = 0
-        while i < len(a):
-            end_a += self.size_a[a[i]]
-            i += 1
-            while end_b < end_a:
-                end_b += self.size_b[b[j]]
-                j += 1
-            if end_a == end_b:
-                x, y = a[first_a:i], b[first_b:j]
-                shown.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
-                links += [p * 65536 + q for p in x for q in y]
-                first_a, first_b = i, j
-        return ";".join(shown).encode(), len(shown), links
-
-    def _windows(self, a: tuple, b: tuple) -> Iterator[tuple]:
-        """Cut at verified anchors: equal ends, and both next tokens led by a space."""
-        ends, at = {}, 0
-        for j, t in enumerate(b):
-            if at and self.led_b[t]:
-                ends[at] = j
-            at += self.size_b[t]
-        at = first_a = first_b = 0
-        if ends:
-            for i, t in enumerate(a):
-                if at in ends and self.led_a[t]:
-                    yield a[first_a:i], b[first_b:ends[at]]
-                    first_a, first_b = i, ends[at]
-                at += self.size_a[t]
-        yield a[first_a:], b[first_b:]
+    def _align(self, words: list[str], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray] | None:
+        """Figures, printed groups and links of words from the ids of their joined text; None if its bytes are not
+        the tokens' bytes or a word does not begin at an anchor."""
+        whole = (" " + " ".join(words)).encode()
+        if b"".join([self.bytes_a[t] for t in a.tolist()]) != whole or b"".join([self.bytes_b[t] for t in b.tolist()]) != whole:
+            return None
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        word_end = np.cumsum([len(w.encode()) + 1 for w in words])
+        ends = np.intersect1d(end_a, end_b, assume_unique=True)          # where groups end
+        if not np.isin(word_end, ends).all():
+            return None
+        starts = word_end[:-1]                                          # anchors: both next tokens are led by a space
+        if not (self.led_a[a[np.searchsorted(end_a, starts) + 1]].all() and self.led_b[b[np.searchsorted(end_b, starts) + 1]].all()):
+            return None
+        group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
+        in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
+        upto_a, upto_b = np.cumsum(in_a), np.cumsum(in_b)
+        word = np.searchsorted(word_end, ends)                           # the word of a group
+        n = in_a * in_b
+        n_words = len(words)
+        figures = np.stack([np.bincount(word, x, n_words).astype(np.int64) for x in (in_a, in_b, np.ones(len(ends)), n)], 1)
+        group = np.repeat(np.arange(len(ends)), n)
+        at = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+        links = (a[(upto_a - in_a)[group] + at // in_b[group]] << 16) + b[(upto_b - in_b)[group] + at % in_b[group]]
+        # print: the A ids of a group, then its B ids
+        order = np.empty(len(a) + len(b), np.int64)
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[upto_a - 1] = 1
+        last_b[upto_b - 1] = 2 + (np.append(word[1:], -1) != word)
+        order[np.arange(len(a)) + (upto_b - in_b)[group_a]] = a + last_a * self.most
+        order[np.arange(len(b)) + upto_a[group_b]] = b + last_b * self.most
+        shown = "".join([self.printed[i] for i in order.tolist()]).encode().split(b"\n")[:-1]
+        return figures, shown, links
 
     def _learn(self, words: list[str]) -> None:
-        cut = [self._cut(w) for w in words]
-        new = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.parts]
-        if new:
-            if len(self.parts) + len(new) > MEMO:
-                new = list(dict.fromkeys(chain.from_iterable(cut)))
-            self._ids_of(new)
-        if len(self.windows) > MEMO:
-            self.windows.clear()
-        figures, flat = [], []
-        for word, parts in zip(words, cut):
-            if len(parts) == 1:
-                a, b = self.parts[parts[0]]
-            else:
-                a = sum([self.parts[p][0] for p in parts], ())
-                b = sum([self.parts[p][1] for p in parts], ())
-            whole = (" " + word).encode()
-            if b"".join([self.bytes_a[t] for t in a]) != whole or b"".join([self.bytes_b[t] for t in b]) != whole:
-                figures.append((-1, 0, 0, 0))
-                self.shown.append(b"")
-                continue
-            shown, groups, links = [], 0, 0
-            for key in self._windows(a, b):
-                known = self.windows.get(key)
-                if known is None:
-                    known = self.windows[key] = self.align(*key)
-                shown.append(known[0])
-                groups += known[1]
-                links += len(known[2])
-                flat += known[2]
-            self.shown.append(shown[0] if len(shown) == 1 else b";".join(shown))
-            figures.append((len(a), len(b), groups, links))
+        plain = [w for w in words if not w[-1:].isspace()]               # others cannot be followed by a space
+        jobs = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)] if self.cuts else [[w] for w in plain]
+        jobs += [[w] for w in words if w[-1:].isspace()]
+        while jobs:
+            texts = [" ".join(job) for job in jobs]
+            of_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+            of_b = self.b.encode(texts, num_threads=1)
+            again = []
+            for job, x, y in zip(jobs, of_a, of_b):
+                found = self._align(job, np.array(x.ids, np.int64), np.array(y, np.int64))
+                if found is not None:
+                    self._keep(job, *found)
+                elif len(job) == 1:
+                    self._keep(job, np.array([[-1, 0, 0, 0]]), [b""], np.zeros(0, np.int64))
+                else:                                                    # some word's bytes are not its tokens' bytes
+                    again += [job[:len(job) // 2], job[len(job) // 2:]]
+            jobs = again
+
+    def _keep(self, words: list[str], figures: np.ndarray, shown: list[bytes], links: np.ndarray) -> None:
         at, n = len(self.code), len(words)
         while at + n > len(self.figures):
             self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-        while self.used + len(flat) > len(self.links):
+        while self.used + len(links) > len(self.links):
             self.links = np.concatenate([self.links, np.zeros_like(self.links)])
-        block = np.array(figures, np.int64).reshape(n, 4)
-        self.figures[at: at + n, :4] = block
-        self.figures[at: at + n, 4] = self.used + np.cumsum(block[:, 3]) - block[:, 3]
-        self.links[self.used: self.used + len(flat)] = flat
-        self.used += len(flat)
+        self.figures[at: at + n, :4] = figures
+        self.figures[at: at + n, 4] = self.used + np.cumsum(figures[:, 3]) - figures[:, 3]
+        self.links[self.used: self.used + len(links)] = links
+        self.used += len(links)
+        self.shown += shown
         self.code.update(zip(words, range(at, at + n)))
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
@@ -222,7 +177,7 @@ class Pair:
         if len(self.code) > MEMO:
             self.reset()
         words = [words_of(t) if t and "▁" not in t else [] for t in texts]
-        if not self.apart:
+        if not self.cuts:
             words = [[t] if w else [] for t, w in zip(texts, words)]
         flat = list(chain.from_iterable(words))
         codes = np.fromiter(map(self.code.get, flat, repeat(-1)), np.int64, len(flat))
