@@ -32,6 +32,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +40,10 @@ from pyspark.sql import functions as F
 from headway.llm.common import prepare, stored
 from headway.llm.tokens import _byte_letters
 
-CHUNK_LINKS = 3_000_000     # links after which a chunk closes
-MEMO = 400_000              # windows that a worker keeps
+CHUNK_LINKS = 1_500_000     # links after which a chunk closes
+MEMO = 250_000              # windows that a worker keeps
 JOINED = 5_000              # new words that are tokenised at one go
+PART_BYTES = 1_500_000      # bytes of texts (one text at least) that are looked at together
 UNJOINED = re.compile(r"(?<=\S)(?= )")              # a space behind no white space
 BLANK_PAIR = re.compile(r"\s ")
 ASCII_BLANK_PAIRS = [c + " " for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
@@ -145,6 +147,7 @@ class Pair:
         jobs = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)] if self.cuts else [[w] for w in plain]
         jobs += [[w] for w in words if w[-1:].isspace()]
         while jobs:
+            later, jobs = jobs[4:], jobs[:4]
             texts = [" ".join(job) for job in jobs]
             of_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
             of_b = self.b.encode(texts, num_threads=1)
@@ -157,7 +160,7 @@ class Pair:
                     self._keep(job, np.array([[-1, 0, 0, 0]]), [b""], np.zeros(0, np.int64))
                 else:                                                    # some word's bytes are not its tokens' bytes
                     again += [job[:len(job) // 2], job[len(job) // 2:]]
-            jobs = again
+            jobs = again + later
 
     def _keep(self, words: list[str], figures: np.ndarray, shown: list[bytes], links: np.ndarray) -> None:
         at, n = len(self.code), len(words)
@@ -210,6 +213,19 @@ class Pair:
         return sums, shas, np.repeat(number, n), links
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of ``PART_BYTES`` at most (or of one text)."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    first, held = 0, 0
+    for i, n in enumerate(sizes):
+        if held + n > PART_BYTES and i > first:
+            yield first, i
+            first, held = i, 0
+        held += n
+    if len(sizes) > first:
+        yield first, len(sizes)
+
+
 @lru_cache(2)
 def pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
@@ -241,9 +257,9 @@ def _chunks(paths: tuple[str, str], most: int):
         collects = gc.isenabled()
         gc.disable()                                   # many small objects, no cycles
         try:
-            for b in batches:
-                docs += b.column(0).to_pylist()
-                one, sha, number, link = both.texts([_text(t) for t in b.column(1).to_pylist()])
+            for b, first, end in ((b, *part) for b in batches for part in _parts(b.column(1))):
+                docs += b.column(0)[first:end].to_pylist()
+                one, sha, number, link = both.texts([_text(t) for t in b.column(1)[first:end].to_pylist()])
                 sums.append(one)
                 shas += sha
                 key, n = np.unique((number << 32) | link, return_counts=True)
