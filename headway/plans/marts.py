@@ -29,12 +29,16 @@ from headway.functions import (
 from headway.operators import (
     OCCUPANCY_STATUS_COLUMNS,
     active_on_dates,
+    clipped_days,
+    daily_totals,
     earliest_per_key,
     resolve_dates,
+    union_of_days,
 )
 from headway.plans._common import DateSet, col_or_null, date_frame, in_dates, where_opt
 
 COORD_DECIMALS = 9  # averaged coordinates are rounded to 1e-9 degree (sub-millimetre)
+COORD_SUM = "decimal(20,12)"
 
 
 def _bus_routes(routes: DataFrame) -> DataFrame:
@@ -108,68 +112,63 @@ def mart_occupancy_route_hour(fact_vp: DataFrame, routes: DataFrame, dates: Date
 
 # --- alerts ---------------------------------------------------------------------------------
 
-def _alert_day_rows(periods: DataFrame, alert_routes: DataFrame, alerts: DataFrame,
-                    dates: DateSet, all_days_from: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(entity_id, alert_date, n_periods) for alerts active on requested days, and the bus
-    informed-entity rows joined with the alert state."""
+def _alert_days(periods: DataFrame, alert_routes: DataFrame, alerts: DataFrame, dates: DateSet,
+                all_days_from: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The requested days; the active periods as day intervals within their range, one row per period; and the bus
+    informed entities with the alert's state, severities as 0/1 columns."""
     if all_days_from is not None and dates is None:
         days = date_frame(all_days_from, "service_date", None, "alert_date")
     else:
-        days = date_frame(periods, "active_start", dates, "alert_date")
-    act = active_on_dates(periods.select("entity_id", "active_start", "active_end"), days,
-                          "active_start", "active_end", "alert_date")
-    per_day = act.groupBy("entity_id", "alert_date").agg(F.count(F.lit(1)).alias("n_periods"))
-    far = alert_routes.where(F.col("route_type") == BUS_ROUTE_TYPE).select("entity_id", "route_id", "stop_id")
-    fa = alerts.select("entity_id", "severity_level", "static_version_date")
-    return per_day, far.join(fa, "entity_id")
-
-
-def _severity_counts(df: DataFrame, keys: list[str], extra=()) -> DataFrame:
-    """Distinct alert counts by severity; ``df`` holds one row per (keys, entity)."""
-    sev = F.col("severity_level")
-    return df.groupBy(*keys).agg(
-        *extra,
-        F.count(F.lit(1)).alias("alert_count"),
-        F.count_if(sev == "SEVERE").alias("severe_count"),
-        F.count_if(sev == "WARNING").alias("warning_count"),
-        F.count_if(sev == "INFO").alias("info_count"))
+        days = date_frame(periods, "active_start", dates, "alert_date").select(F.to_date("alert_date").alias("alert_date"))
+    active = clipped_days(periods.select("entity_id", "active_start", "active_end"), days, "active_start", "active_end")
+    sev = F.coalesce(F.col("severity_level"), F.lit(""))
+    state = alerts.select("entity_id", "static_version_date", F.lit(1).alias("alert_count"),
+                          *[(sev == s.upper()).cast("int").alias(f"{s}_count") for s in SEVERITIES])
+    bus = alert_routes.where(F.col("route_type") == BUS_ROUTE_TYPE).select("entity_id", "route_id", "stop_id")
+    return days, active.select("entity_id", "first_day", "last_day"), bus.join(state, "entity_id")
+
+
+SEVERITIES = ("severe", "warning", "info")
+ALERT_COUNTS = ("alert_count", *(f"{s}_count" for s in SEVERITIES))
 
 
 def mart_alerts_by_day(periods: DataFrame, alert_routes: DataFrame, alerts: DataFrame, routes: DataFrame,
                        dates: DateSet = None, run_days: DataFrame | None = None) -> DataFrame:
-    """Distinct bus alerts active per (day, route), by severity.  Alerts are counted once per
-    route however many periods or stops they have (dedupe first; no Expand for the 4 distinct
-    counts)."""
-    per_day, far_fa = _alert_day_rows(periods, alert_routes, alerts, dates, run_days)
+    """Distinct bus alerts active per (day, route), by severity.  An alert counts once per route and day however many
+    periods or stops it has: its periods are united first, and it makes two rows per united period and route - a start
+    and an end - whose running sums are the daily counts.  Days are spread over finished counts only."""
+    days, active, bus = _alert_days(periods, alert_routes, alerts, dates, run_days)
     r = routes.select(F.col("feed_start_date").alias("static_version_date"), "route_id",
                       F.col("route_short_name").alias("route_name"))
-    rows = (per_day.select("entity_id", "alert_date").join(far_fa, "entity_id")
-                   .join(r, ["route_id", "static_version_date"])
-                   .select("alert_date", "route_id", "route_name", "entity_id", "severity_level")
-                   .distinct())
-    return _severity_counts(rows, ["alert_date", "route_id", "route_name"])
+    once = bus.join(r, ["route_id", "static_version_date"]).select("entity_id", "route_id", "route_name", *ALERT_COUNTS).distinct()
+    rows = union_of_days(active, ["entity_id"]).join(once, "entity_id")
+    out = daily_totals(rows, ["route_id", "route_name"], ALERT_COUNTS, days)
+    return out.select("alert_date", "route_id", "route_name", *ALERT_COUNTS)
 
 
 def mart_alerts_by_day_stops(periods: DataFrame, alert_routes: DataFrame, alerts: DataFrame,
                              stops: DataFrame, dates: DateSet = None,
                              run_days: DataFrame | None = None) -> DataFrame:
-    """Distinct bus alerts active per (day, stop name), by severity, with the mean coordinates of
-    the joined rows (each row weighted by its number of active periods, as a row-level join would
-    be)."""
-    per_day, far_fa = _alert_day_rows(periods, alert_routes, alerts, dates, run_days)
+    """Distinct bus alerts active per (day, stop name), by severity, with the mean coordinates of the joined rows (each
+    weighted by its number of active periods, as a row-level join would be).
+
+    Counts follow united periods as in :func:`mart_alerts_by_day`; coordinates are summed per (alert, stop name) first
+    and follow every single period.  Sums are decimals, so that what a period added is taken away exactly."""
+    days, active, bus = _alert_days(periods, alert_routes, alerts, dates, run_days)
     s = stops.select(F.col("feed_start_date").alias("static_version_date"), "stop_id", "stop_name",
-                     "stop_lat", "stop_lon")
-    rows = per_day.join(far_fa, "entity_id").join(s, ["stop_id", "static_version_date"])
-    w = F.col("n_periods").cast("double")
-    lat_ok, lon_ok = F.col("stop_lat").isNotNull(), F.col("stop_lon").isNotNull()
-    per_entity = rows.groupBy("alert_date", "stop_name", "entity_id", "severity_level").agg(
-        F.sum(F.col("stop_lat") * w).alias("lat_w"), F.sum(F.when(lat_ok, w)).alias("lat_n"),
-        F.sum(F.col("stop_lon") * w).alias("lon_w"), F.sum(F.when(lon_ok, w)).alias("lon_n"))
-    out = _severity_counts(per_entity, ["alert_date", "stop_name"], extra=(
-        F.round(F.sum("lat_w") / F.sum("lat_n"), COORD_DECIMALS).alias("stop_lat"),
-        F.round(F.sum("lon_w") / F.sum("lon_n"), COORD_DECIMALS).alias("stop_lon")))
-    return out.select("alert_date", "stop_name", "stop_lat", "stop_lon", "alert_count", "severe_count",
-                      "warning_count", "info_count")
+                     F.col("stop_lat").cast(COORD_SUM).alias("lat"), F.col("stop_lon").cast(COORD_SUM).alias("lon"))
+    placed = bus.join(s, ["stop_id", "static_version_date"])
+    per_alert = placed.groupBy("entity_id", "stop_name").agg(
+        *[F.max(c).alias(c) for c in ALERT_COUNTS],
+        *[f(c).alias(f"{c}_{n}") for c in ("lat", "lon") for n, f in (("sum", F.sum), ("n", F.count))])
+    places = [f"{c}_{n}" for c in ("lat", "lon") for n in ("sum", "n")]
+    zero = lambda names: [F.lit(0).cast(per_alert.schema[c].dataType).alias(c) for c in names]
+    counted = union_of_days(active, ["entity_id"]).join(
+        per_alert.select("entity_id", "stop_name", *ALERT_COUNTS, *zero(places)), "entity_id")
+    located = active.join(per_alert.select("entity_id", "stop_name", *zero(ALERT_COUNTS), *places), "entity_id")
+    out = daily_totals(counted.unionByName(located), ["stop_name"], [*ALERT_COUNTS, *places], days)
+    mean = lambda c: F.round(F.col(f"{c}_sum").cast("double") / F.nullif(F.col(f"{c}_n"), F.lit(0)), COORD_DECIMALS)
+    return out.select("alert_date", "stop_name", mean("lat").alias("stop_lat"), mean("lon").alias("stop_lon"), *ALERT_COUNTS)
 
 
 # --- service delivered ------------------------------------------------------------------------
@@ -235,6 +234,12 @@ def scheduled_bus_trips(trips: DataFrame, routes: DataFrame, stop_times: DataFra
                         dv: DataFrame | None = None) -> DataFrame:
     """Bus trips scheduled on each requested day whose first departure is before 24:00."""
     act = active_services(calendar, calendar_dates, versions, days, dv)
+    return trips_of_services(trips, routes, stop_times, act)
+
+
+def trips_of_services(trips: DataFrame, routes: DataFrame, stop_times: DataFrame, act: DataFrame) -> DataFrame:
+    """Bus trips of the services ``act`` (trip_start_date, feed_start_date, service_id) whose first departure is
+    before 24:00."""
     used = act.select("feed_start_date").distinct()
     first = first_departures(stop_times, used).where(hms_hour("first_departure_time") < 24)
     r = _bus_routes(routes).select("feed_start_date", "route_id", "route_name")
@@ -248,34 +253,31 @@ def scheduled_bus_trips(trips: DataFrame, routes: DataFrame, stop_times: DataFra
 
 def mart_service_delivered(scheduled: DataFrame, fact_tu: DataFrame, dates: DateSet = None) -> DataFrame:
     """Share of scheduled bus service delivered per (day, route, direction).  Trips the realtime
-    feed marks ADDED leave the denominator and are counted separately; NULL direction is a group
-    of its own and matches NULL direction null-safely."""
-    fact_tu = where_opt(fact_tu, in_dates("trip_start_date", dates))
-    rt = fact_tu.select("trip_id", "trip_start_date", "route_id", "direction_id", "static_version_date",
-                        schedule_relationship("trip_schedule_rel").alias("rt_rel"))
-    rt_key = rt.select("trip_id", "trip_start_date", "static_version_date", "rt_rel",
-                       F.lit(True).alias("rt_seen"))
-    j = scheduled.join(rt_key, ["trip_id", "trip_start_date", "static_version_date"], "left")
-    j = j.withColumn("delivery_status", delivery_status(F.col("rt_seen"), F.col("rt_rel")))
-    st = F.col("delivery_status")
-    agg = (j.where(st != ADDED)
-             .groupBy("service_date", "trip_start_date", "route_id", "direction_id")
-             .agg(F.max("route_name").alias("route_name"),
-                  F.count(F.lit(1)).alias("scheduled_trips"),
-                  F.count_if(st == DELIVERED).alias("delivered_trips"),
-                  F.count_if(st == CANCELED).alias("canceled_trips"),
-                  F.count_if(st == NO_RT_DATA).alias("no_rt_data_trips"),
-                  F.max("static_version_date").alias("static_version_date")))
-    added = (rt.where(F.col("rt_rel") == ADDED)
-               .groupBy("trip_start_date", "static_version_date", "route_id", "direction_id")
-               .agg(F.count_distinct("trip_id").alias("added_trips")))
-    a = added.select(*[F.col(c).alias(f"a_{c}") for c in added.columns])
-    cond = ((agg.trip_start_date == a.a_trip_start_date) & (agg.static_version_date == a.a_static_version_date)
-            & (agg.route_id == a.a_route_id) & agg.direction_id.eqNullSafe(a.a_direction_id))
-    out = agg.join(a, cond, "left")
-    return out.select(
-        "service_date", "trip_start_date", "route_id", "route_name", "direction_id", "scheduled_trips",
-        "delivered_trips", "canceled_trips", "no_rt_data_trips",
-        F.coalesce(F.col("a_added_trips"), F.lit(0)).cast("bigint").alias("added_trips"),
-        ratio_pct("delivered_trips", "scheduled_trips").alias("pct_delivered"),
-        "static_version_date")
+    feed marks ADDED leave the denominator and are counted separately, under the feed's own route and direction;
+    NULL direction is a group of its own.
+
+    Scheduled trips and the fact (one row per day and trip) meet once, in a full outer join; a row counts as
+    a scheduled trip, as an added one, or as both, and one aggregation follows.  Groups without scheduled trips go."""
+    keys = ["trip_id", "trip_start_date", "static_version_date"]
+    rt = where_opt(fact_tu, in_dates("trip_start_date", dates)).select(
+        *keys, F.col("route_id").alias("rt_route"), F.col("direction_id").alias("rt_direction"),
+        schedule_relationship("trip_schedule_rel").alias("rt_rel"), F.lit(True).alias("rt_seen"))
+    j = scheduled.select(*keys, "service_date", "route_id", "route_name", "direction_id", F.lit(True).alias("planned")).join(
+        rt, keys, "full_outer")
+    status = delivery_status(F.col("rt_seen"), F.col("rt_rel"))
+    marks = {"scheduled_trips": F.lit(1), "delivered_trips": (status == DELIVERED).cast("int"),
+             "canceled_trips": (status == CANCELED).cast("int"), "no_rt_data_trips": (status == NO_RT_DATA).cast("int")}
+    counts = [*marks, "added_trips"]
+    as_planned = F.when(F.col("planned") & (status != ADDED), F.struct(
+        "service_date", "route_id", "direction_id", "route_name", *[c.alias(n) for n, c in marks.items()],
+        F.lit(0).alias("added_trips")))
+    as_added = F.when(F.col("rt_rel") == ADDED, F.struct(
+        F.col("trip_start_date").alias("service_date"), F.col("rt_route").alias("route_id"),
+        F.col("rt_direction").alias("direction_id"), F.lit(None).cast("string").alias("route_name"),
+        *[F.lit(0).alias(n) for n in marks], F.lit(1).alias("added_trips")))
+    one = j.select("trip_start_date", "static_version_date", F.explode(F.array_compact(F.array(as_planned, as_added))).alias("x"))
+    agg = one.groupBy("trip_start_date", "static_version_date", "x.service_date", "x.route_id", "x.direction_id").agg(
+        F.max("x.route_name").alias("route_name"), *[F.sum(f"x.{n}").alias(n) for n in counts])
+    return agg.where("scheduled_trips > 0").select(
+        "service_date", "trip_start_date", "route_id", "route_name", "direction_id", *counts,
+        ratio_pct("delivered_trips", "scheduled_trips").alias("pct_delivered"), "static_version_date")

@@ -1,36 +1,40 @@
 """Wiring of the whole model over one driver data directory: adapters -> RAW -> FACT -> MART.
 
-Every attribute is a lazy DataFrame plan over the parquet inputs (nothing is cached or collected);
-a report therefore compiles into one Catalyst plan from the scans up, and filters/projections
-reach the parquet readers.
+Most attributes are lazy DataFrame plans; a report compiles into one Catalyst plan from the scans up, and
+filters/projections reach the parquet readers.  *Stored* layers - the RAW tables, whose deduplicated rows several facts
+read, and the run days with their schedule versions and running services, which every branch of the
+service metric joins - are written once per model to the shared scratch folder, as the daily jobs write them, and
+scanned from there.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from headway.plans import facts, marts, raw
 from headway.plans._common import date_frame
+from headway.schemas import LAYOUT
 from headway.session import scratch_path
+from headway.sinks import tables as sinks
 from headway.sources import adapters
 
 
-def _layer(fn):
-    """A model layer: a lazy plan, or -- with ``materialize`` -- a table written once to the shared
+def _layer(fn=None, *, stored: bool = False):
+    """A model layer: a lazy plan, or -- ``stored``, or with ``materialize`` -- a table written once to the shared
     scratch folder and read back (cuts lineage: downstream layers and checks scan the written
     table instead of re-deriving it, and a lost executor never forces recomputation from RAW)."""
+    if fn is None:
+        return lambda f: _layer(f, stored=stored)
     name = fn.__name__
 
     def get(self):
         if name not in self._layers:
             df = fn(self)
-            if self.materialize:
+            if self.materialize or stored:
                 path = scratch_path(self.spark, f"layer-{name}")
-                df.write.mode("errorifexists").parquet(path)
-                df = self.spark.read.parquet(path)
+                part, cluster = LAYOUT.get(name, ((), ())) if stored else ((), ())
+                sinks.write_table(df, path, part, cluster)
+                df = sinks.read_table(self.spark, path)
             self._layers[name] = df
         return self._layers[name]
 
@@ -48,9 +52,10 @@ class TransitModel:
         self.t = adapters.load(spark, sf_dir)
 
     # Layers in dependency waves: every layer of a wave only reads layers of earlier waves.
-    WAVES = (("raw_alerts", "fact_vehicle_positions", "fact_trip_updates"),
-             ("fact_alerts", "fact_alerts_routes", "fact_alerts_active_periods", "mart_stop_events",
-              "mart_occupancy_route_hour", "mart_service_delivered"),
+    WAVES = (("raw_alerts", "raw_trip_updates", "fact_vehicle_positions"),
+             ("fact_trip_updates", "service_day_versions", "alert_run_days"),
+             ("active_services", "fact_alerts", "fact_alerts_routes", "fact_alerts_active_periods"),
+             ("mart_stop_events", "mart_occupancy_route_hour", "mart_service_delivered"),
              ("mart_alerts_by_day", "mart_alerts_by_day_stops"))
 
     def build_all(self, parallel_jobs: int = 4) -> None:
@@ -63,10 +68,15 @@ class TransitModel:
                 list(pool.map(lambda n: getattr(self, n), wave))
 
     # RAW
-    @_layer
+    @_layer(stored=True)
     def raw_alerts(self) -> DataFrame:
         return raw.raw_alerts(self.t.alert_snapshots)
 
+    @_layer(stored=True)
+    def raw_trip_updates(self) -> DataFrame:
+        """Every ``tu_stride``-th poll of each hour, newest row per (day, hour, trip instance)."""
+        return raw.raw_trip_updates(self.t.raw_trip_updates, stride=self.tu_stride)
+
     # FACT
     @_layer
     def fact_vehicle_positions(self) -> DataFrame:
@@ -74,7 +84,7 @@ class TransitModel:
 
     @_layer
     def fact_trip_updates(self) -> DataFrame:
-        return facts.fact_trip_updates(self.t.raw_trip_updates, self.t.dim_static_versions)
+        return facts.fact_trip_updates(self.raw_trip_updates, self.t.dim_static_versions)
 
     @_layer
     def fact_alerts(self) -> DataFrame:
@@ -97,14 +107,10 @@ class TransitModel:
     def mart_occupancy_route_hour(self) -> DataFrame:
         return marts.mart_occupancy_route_hour(self.fact_vehicle_positions, self.t.dim_routes)
 
-    def _day_list(self, df: DataFrame, col: str) -> DataFrame:
-        """The distinct days of ``df[col]``, lazily: a grouping of one column, never a collected list."""
-        return date_frame(df, col, None)
-
-    @cached_property
+    @_layer(stored=True)
     def alert_run_days(self) -> DataFrame:
-        """Days the alert marts are built for: every day with alert snapshots."""
-        return self._day_list(self.t.alert_snapshots, "service_date")
+        """Days the alert marts are built for: every day with alert snapshots (the days of the RAW table)."""
+        return date_frame(self.raw_alerts, "service_date", None)
 
     @_layer
     def mart_alerts_by_day(self) -> DataFrame:
@@ -116,27 +122,25 @@ class TransitModel:
         return marts.mart_alerts_by_day_stops(self.fact_alerts_active_periods, self.fact_alerts_routes,
                                               self.fact_alerts, self.t.dim_stops, run_days=self.alert_run_days)
 
-    @cached_property
-    def service_days(self) -> DataFrame:
-        """Trip days the service metric is built for: every trip start date seen in realtime."""
-        return self._day_list(self.t.raw_trip_updates, "trip_start_date")
-
-    @cached_property
+    @_layer(stored=True)
     def service_day_versions(self) -> DataFrame:
-        """(trip_start_date, feed_start_date) for every service day."""
-        return marts.day_versions(self.service_days, self.t.dim_static_versions)
+        """(trip_start_date, feed_start_date): every trip start date seen in RAW and the version in force that day."""
+        return marts.day_versions(date_frame(self.raw_trip_updates, "trip_start_date", None), self.t.dim_static_versions)
+
+    @property
+    def service_days(self) -> DataFrame:
+        return self.service_day_versions.select("trip_start_date")
 
-    @cached_property
+    @_layer(stored=True)
     def active_services(self) -> DataFrame:
+        """(trip_start_date, feed_start_date, service_id): the services that run on each service day."""
         return marts.active_services(self.t.dim_calendar, self.t.dim_calendar_dates,
                                      self.t.dim_static_versions, self.service_days, self.service_day_versions)
 
-    @cached_property
+    @property
     def scheduled_bus_trips(self) -> DataFrame:
         t = self.t
-        return marts.scheduled_bus_trips(t.dim_trips, t.dim_routes, t.dim_stop_times, t.dim_calendar,
-                                         t.dim_calendar_dates, t.dim_static_versions, self.service_days,
-                                         self.service_day_versions)
+        return marts.trips_of_services(t.dim_trips, t.dim_routes, t.dim_stop_times, self.active_services)
 
     @_layer
     def mart_service_delivered(self) -> DataFrame:

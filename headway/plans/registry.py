@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from headway.functions import first_translation_text, hms_to_seconds
 from headway.operators import active_on_dates, numeric_first_order, resolve_dates
 from headway.plans import facts, marts, quality, raw, reports
+from headway.plans.daily import ALERT_FACT_KEYS
 from headway.plans.model import TransitModel
 from headway.schemas import LAYOUT, conform, schema
 from headway.session import scratch_path
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # A backfill split point for the upsert check: later days are applied first, earlier days after.
 UPSERT_SPLIT_DAY = "2024-01-15"
+UPSERT_BUCKETS = 8
 
 
 def _m(spark: SparkSession, d: str) -> TransitModel:
@@ -138,28 +140,39 @@ def _sink_replace_slices(spark, d):
 
 
 def _sink_replace_hours(spark, d):
-    """RAW trip updates by (service_date, hour) slices: all snapshot rows are first written, unstrided and
-    undeduplicated, then every day replaced by the loaded rows (hours that lose all rows go), and read back."""
+    """RAW trip updates by hours of days: all snapshot rows are first written, unstrided and undeduplicated, then
+    every hour replaced by the loaded rows (hours that lose all rows go), and read back.  Files hold days, sorted by hour;
+    each replacement of many hours is one commit."""
     snapshots = _m(spark, d).t.raw_trip_updates
     tu = raw.raw_trip_updates(snapshots, stride=5)
     path = scratch_path(spark, "raw_trip_updates")
-    part, cluster = ("service_date", "hour"), ("trip_id",)
-    days = [r[0] for r in snapshots.select("service_date").distinct().collect()]           # requested days
+    part, cluster = LAYOUT["raw_trip_updates"]
     extra = snapshots.limit(1).withColumn("hour", F.lit(99))
     sinks.write_table(snapshots.unionByName(extra), path, part, cluster)
+    # requested: the hours before noon first, then whole days (the rest of every day and the extra hour)
+    early = [{"service_date": r[0], "hour": r[1]} for r in
+             snapshots.where("hour < 12").select("service_date", "hour").distinct().collect()]
+    sinks.replace_slices(tu.where("hour < 12"), path, part, early, cluster)
+    days = [r[0] for r in snapshots.select("service_date").distinct().collect()]
     sinks.replace_slices(tu, path, part, [{"service_date": x} for x in days], cluster)
     return sinks.read_table(spark, path, StructType([f for f in tu.schema.fields])).select(*tu.columns)
 
 
-def _sink_upsert_backfill(spark, d):
-    """Maintain FACT_ALERTS as a snapshot table: apply later days first, then earlier days."""
-    m = _m(spark, d)
-    split = F.lit(UPSERT_SPLIT_DAY).cast("date")
-    path = scratch_path(spark, "fact_alerts")
-    for part in (m.raw_alerts.where(F.col("service_date") >= split), m.raw_alerts.where(F.col("service_date") < split)):
-        src = facts.fact_alerts(part, m.t.dim_static_versions)
-        sinks.upsert_table(src, path, ["entity_id"])
-    return sinks.read_current(spark, path)
+def _upsert_backfill(table: str) -> Query:
+    """An alert fact as the jobs keep it: a bucketed table that later days are merged into first, then earlier days,
+    then all days once more (which changes nothing)."""
+    def query(spark, d):
+        m = _m(spark, d)
+        build = {"fact_alerts": lambda ra: facts.fact_alerts(ra, m.t.dim_static_versions),
+                 "fact_alerts_routes": facts.fact_alerts_routes,
+                 "fact_alerts_active_periods": facts.fact_alerts_active_periods}[table]
+        later = F.col("service_date") >= F.lit(UPSERT_SPLIT_DAY).cast("date")
+        path = scratch_path(spark, table)
+        for part in (m.raw_alerts.where(later), m.raw_alerts.where(~later), m.raw_alerts):
+            sinks.upsert_table(conform(build(part), table), path, ALERT_FACT_KEYS[table], buckets=UPSERT_BUCKETS)
+        return sinks.read_current(spark, path)
+
+    return query
 
 
 def _publish_gtfs(spark, d, only: tuple[str, ...] | None = None) -> str:
@@ -358,7 +371,7 @@ def registry() -> dict[str, Query]:
         "mart_service_delivered": lambda s, d: _m(s, d).mart_service_delivered,
         "time_to_seconds": _time_to_seconds,
         "stride_sample": _stride,
-        "raw_trip_updates": lambda s, d: raw.raw_trip_updates(_m(s, d).t.raw_trip_updates, stride=5),
+        "raw_trip_updates": lambda s, d: _m(s, d).raw_trip_updates,
         "raw_vehicle_positions": _raw_vehicle_positions,
         "raw_trip_updates_feed": _raw_trip_updates_feed,
         "multi_date_build": _multi_date_build,
@@ -369,21 +382,21 @@ def registry() -> dict[str, Query]:
         "union_distinct": _union_distinct,
         # reports
         "report_occupancy_trend_daily": lambda s, d: reports.occupancy_trend(
-            _m(s, d).mart_occupancy_route_hour, bucket="service_date"),
+            _stored_mart(s, d, "occupancy_route_hour"), bucket="service_date"),
         "report_occupancy_trend_hourly": lambda s, d: reports.occupancy_trend(
-            _m(s, d).mart_occupancy_route_hour, bucket="hour"),
-        "report_top_crowded_routes": lambda s, d: reports.top_crowded_routes(_m(s, d).mart_occupancy_route_hour),
-        "report_alerts_detail": lambda s, d: reports.alerts_detail(_m(s, d).mart_alerts_by_day),
-        "report_alerts_daily": lambda s, d: reports.alerts_daily(_m(s, d).mart_alerts_by_day),
-        "report_top_alert_routes": lambda s, d: reports.top_alert_routes(_m(s, d).mart_alerts_by_day),
-        "report_alert_hotspots": lambda s, d: reports.alert_hotspots(_m(s, d).mart_alerts_by_day_stops),
-        "report_top_alert_stops": lambda s, d: reports.top_alert_stops(_m(s, d).mart_alerts_by_day_stops),
-        "report_otp_daily": lambda s, d: reports.otp_trend(_m(s, d).mart_stop_events, bucket="trip_start_date"),
-        "report_otp_hourly": lambda s, d: reports.otp_trend(_m(s, d).mart_stop_events, bucket="hour"),
-        "report_worst_otp_routes": lambda s, d: reports.worst_otp_routes(_m(s, d).mart_stop_events),
+            _stored_mart(s, d, "occupancy_route_hour"), bucket="hour"),
+        "report_top_crowded_routes": lambda s, d: reports.top_crowded_routes(_stored_mart(s, d, "occupancy_route_hour")),
+        "report_alerts_detail": lambda s, d: reports.alerts_detail(_stored_mart(s, d, "alerts_by_day")),
+        "report_alerts_daily": lambda s, d: reports.alerts_daily(_stored_mart(s, d, "alerts_by_day")),
+        "report_top_alert_routes": lambda s, d: reports.top_alert_routes(_stored_mart(s, d, "alerts_by_day")),
+        "report_alert_hotspots": lambda s, d: reports.alert_hotspots(_stored_mart(s, d, "alerts_by_day_stops")),
+        "report_top_alert_stops": lambda s, d: reports.top_alert_stops(_stored_mart(s, d, "alerts_by_day_stops")),
+        "report_otp_daily": lambda s, d: reports.otp_trend(_stored_mart(s, d, "stop_events"), bucket="trip_start_date"),
+        "report_otp_hourly": lambda s, d: reports.otp_trend(_stored_mart(s, d, "stop_events"), bucket="hour"),
+        "report_worst_otp_routes": lambda s, d: reports.worst_otp_routes(_stored_mart(s, d, "stop_events")),
         "report_service_delivered_daily": lambda s, d: reports.service_delivered_daily(
-            _m(s, d).mart_service_delivered),
-        "report_route_list": lambda s, d: reports.route_list(_m(s, d).mart_occupancy_route_hour),
+            _stored_mart(s, d, "service_delivered")),
+        "report_route_list": lambda s, d: reports.route_list(_stored_mart(s, d, "occupancy_route_hour")),
         # reports over stored marts: ranges, routes, severities, order
         "report_occupancy_range": _report_occupancy_range,
         "report_otp_day": _report_otp_day,
@@ -394,7 +407,9 @@ def registry() -> dict[str, Query]:
         # table maintenance and quality
         "quality_violations": _quality,
         "sink_replace_slices": _sink_replace_slices,
-        "sink_upsert_backfill": _sink_upsert_backfill,
+        "sink_upsert_backfill": _upsert_backfill("fact_alerts"),
+        "sink_upsert_routes": _upsert_backfill("fact_alerts_routes"),
+        "sink_upsert_periods": _upsert_backfill("fact_alerts_active_periods"),
         "sink_replace_hours": _sink_replace_hours,
         # schedule (GTFS static) load
         "static_dims": _static_dims,

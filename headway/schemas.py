@@ -151,9 +151,9 @@ FOREIGN_KEYS: tuple[tuple[str, tuple[str, ...], str, tuple[str, ...]], ...] = (
 
 # Physical layout: partition column and clustering (sort) columns per written table.
 LAYOUT: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
-    "raw_vehicle_positions": (("service_date", "hour"), ("route_id", "trip_id")),
+    "raw_vehicle_positions": (("service_date",), ("hour", "route_id", "trip_id")),
     "raw_alerts": (("service_date",), ("entity_id",)),
-    "raw_trip_updates": (("service_date", "hour"), ("trip_id",)),
+    "raw_trip_updates": (("service_date",), ("hour", "trip_id")),
     "fact_vehicle_positions": (("trip_start_date",), ("route_id", "trip_id")),
     "fact_trip_updates": (("trip_start_date",), ("trip_id",)),
     "metric_stop_events": (("trip_start_date",), ("route_id",)),

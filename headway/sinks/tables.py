@@ -1,30 +1,53 @@
-"""Table sinks on plain partitioned parquet (no table format needed).
-
-* :func:`write_table` -- clustered layout: rebalanced by the partition columns (adaptive execution
-  splits a hot day and merges small ones; no sampling pass, so the plan that feeds the write runs
-  once), sorted within tasks, ``partitionBy`` the day column.
-* :func:`replace_slices` -- idempotent replacement of whole slices (days): the new rows are computed
-  and committed first, then the old files of the requested slices go; a failed job leaves the old
-  slices, a slice whose new result is empty ends up empty.
-* :func:`upsert_table` -- guarded latest-wins upsert: the new state is written to a fresh snapshot
-  folder, then a new pointer file names it.  Pointer files are numbered and never replaced; readers
-  take the newest one whose folder is complete.  Old snapshots stay until :func:`remove_old_snapshots`.
-
-All writes go through Spark's commit protocol (task retries on lost executors are safe); file
-system calls are limited to listing, deleting old files and the pointer files.
+"""Table sinks on plain parquet: tables whose current files a manifest names (no table format needed).
+
+A table is a folder of *file sets* (``set=<id>/<slice>/part-*``), each written by one job and never changed, and of
+numbered manifest files (``_MANIFEST-<n>``, JSON).  A slice is a value of the slice columns - a day, a schedule version,
+a hash bucket - and the manifest says which set holds it now.  A commit adds one manifest by an exclusive
+rename: readers see all slices of a job old or all of them new, a job that is killed before leaves the table as
+it was, and of two writers that started from the same manifest one fails.
+
+* :func:`write_table` -- the whole table: every slice it had is gone with the commit.
+* :func:`replace_slices` -- the requested slices become equal to a frame (a slice without rows ends up empty).  A slice
+  may also name columns that are not slice columns (an hour of a day): the other rows of its day are carried over.
+* :func:`upsert_table` -- guarded latest-wins upsert into hash buckets of the key: rows that change nothing are left
+  out first, and only buckets with a changed row are written anew.
+* :func:`read_table` -- the current rows; partition pruning works as on any partitioned folder, and only current
+  files are listed.
+
+Within a set rows are rebalanced by the slice columns (adaptive execution splits a hot day and merges small ones; no
+sampling pass, so the plan that feeds the write runs once) and sorted within tasks.  Writes go through Spark's
+commit protocol (lost executors are safe).  Old sets stay for readers until :func:`remove_old_files`.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructType
 
-from headway.operators.upsert import upsert_latest
+from headway.session import scratch_path
 
-POINTER = "_CURRENT"
+MANIFEST = "_MANIFEST"
+BUCKETS = 64            # hash buckets of a new upsert table
+SET = "set"             # folder level of the file sets
+BUCKET = "bucket"
+
+
+class Manifest(NamedTuple):
+    number: int
+    slices: dict[str, str]      # slice folder (``day=2024-01-10``) -> file set
+    schema: StructType
+    buckets: int | None         # of upsert tables
+
+    def paths(self, base: str, only: Callable[[str], bool] | None = None) -> list[str]:
+        return [f"{base}/{SET}={s}/{name}" if name else f"{base}/{SET}={s}"
+                for name, s in sorted(self.slices.items()) if only is None or only(name)]
 
 
 def _fs(spark: SparkSession, path: str):
@@ -54,19 +77,74 @@ def _slice_dir(partition_cols: Sequence[str], values: Mapping[str, object]) -> s
     return "/".join(parts)
 
 
-def _glob_dir(path: str, slice_: Mapping[str, object], partition_cols: Sequence[str]) -> str:
-    return f"{path.rstrip('/')}/{_slice_dir([c for c in partition_cols if c in slice_], slice_)}"
+def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if st.getPath().getName().startswith(prefix)) if fs.exists(p) else []
 
 
-def _files(spark: SparkSession, path: str) -> list[str]:
-    """Data files below a folder, at any depth."""
+def _read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    found, it = [], fs.listFiles(p, True)
-    while it.hasNext():
-        found.append(it.next().getPath().toString())
-    return found
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+# --- manifests --------------------------------------------------------------------------------
+
+def current_manifest(spark: SparkSession, path: str) -> Manifest | None:
+    """The newest manifest whose file sets are all complete; None for a path without manifests.
+    Manifests of which none is complete are an error: the table is damaged and must not start anew."""
+    base = path.rstrip("/")
+    names = _names(spark, base, f"{MANIFEST}-")
+    for name in reversed(names):
+        try:
+            m = json.loads(_read_text(spark, f"{base}/{name}"))
+        except ValueError:
+            continue
+        if all(path_exists(spark, f"{base}/{SET}={x}/_SUCCESS") for x in set(m["slices"].values())):
+            return Manifest(int(name.rsplit("-", 1)[1]), m["slices"], StructType.fromJson(m["schema"]), m["buckets"])
+    if names:
+        raise RuntimeError(f"{base}: manifests exist but none is complete; refusing to start anew")
+    return None
+
+
+def _commit(spark: SparkSession, path: str, before: Manifest | None, slices: dict[str, str], schema: StructType,
+            buckets: int | None = None) -> None:
+    """Add the manifest after ``before``, renamed into place whole.  A number that another writer took meanwhile
+    is an error, and the table keeps that writer's state."""
+    base = path.rstrip("/")
+    names = _names(spark, base, f"{MANIFEST}-")
+    newest = int(names[-1].rsplit("-", 1)[1]) if names else -1
+    if newest > (before.number if before is not None else -1):
+        now = current_manifest(spark, base)                 # unless those after it are damaged
+        if before is None or now is None or now.number != before.number:
+            raise RuntimeError(f"{path}: another writer added manifest {newest}; nothing was applied")
+    fs, made = _fs(spark, f"{base}/.{MANIFEST}.{uuid.uuid4().hex}")
+    out = fs.create(made, False)
+    try:
+        out.write(bytearray(json.dumps({"slices": slices, "schema": schema.jsonValue(), "buckets": buckets}).encode("utf-8")))
+    finally:
+        out.close()
+    _, final = _fs(spark, f"{base}/{MANIFEST}-{newest + 1:012d}")
+    if fs.exists(final) or not fs.rename(made, final):
+        raise RuntimeError(f"{path}: another writer added {final.getName()}; nothing was applied")
+
+
+def _new_set() -> str:
+    return f"{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:8]}"
+
+
+def _slices_of(spark: SparkSession, folder: str, depth: int) -> list[str]:
+    """Slice folders that a job wrote."""
+    fs, p = _fs(spark, folder)
+    level = [("", p)]
+    for _ in range(depth):
+        level = [(f"{name}/{st.getPath().getName()}".lstrip("/"), st.getPath()) for name, q in level for st in fs.listStatus(q)
+                 if st.isDirectory() and "=" in st.getPath().getName()]
+    return [name for name, _ in level]
 
 
 def clustered(df: DataFrame, partition_cols: Sequence[str], cluster_cols: Sequence[str] = ()) -> DataFrame:
@@ -78,25 +156,70 @@ def clustered(df: DataFrame, partition_cols: Sequence[str], cluster_cols: Sequen
     return spread.sortWithinPartitions(*keys)
 
 
-def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), cluster_cols: Sequence[str] = (),
-                mode: str = "overwrite") -> None:
-    """Write the whole table; ``overwrite`` replaces all of it whatever the session's overwrite mode is."""
-    w = clustered(df, partition_cols, cluster_cols).write.mode(mode).option("partitionOverwriteMode", "static")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(path)
+def _write_set(df: DataFrame, path: str, slice_cols: Sequence[str], cluster_cols: Sequence[str]) -> dict[str, str]:
+    """Write ``df`` as a new file set; its slices."""
+    name = _new_set()
+    folder = f"{path.rstrip('/')}/{SET}={name}"
+    w = clustered(df, slice_cols, cluster_cols).write.mode("errorifexists")
+    (w.partitionBy(*slice_cols) if slice_cols else w).parquet(folder)
+    return {s: name for s in _slices_of(df.sparkSession, folder, len(slice_cols))}
+
+
+# --- readers and writers ------------------------------------------------------------------------
+
+def read_table(spark: SparkSession, path: str, schema=None, only: Callable[[str], bool] | None = None) -> DataFrame:
+    """Current rows of a table (``only``: of the slices whose folder name it accepts).  A folder without manifests
+    is read as plain partitioned parquet."""
+    base = path.rstrip("/")
+    m = current_manifest(spark, base)
+    if m is None:
+        r = spark.read
+        if schema is not None:
+            r = r.schema(schema)
+        return r.option("basePath", base).parquet(base)
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema or m.schema
+    paths = m.paths(base, only)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    full = StructType([*schema.fields]).add(SET, StringType())
+    if m.buckets:
+        full = full.add(BUCKET, IntegerType())
+    rows = spark.read.schema(full).option("basePath", base).parquet(*paths)
+    return rows.select(*schema.names)
+
+
+def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), cluster_cols: Sequence[str] = ()) -> None:
+    """Write the whole table: what it held before is replaced by one commit."""
+    before = current_manifest(df.sparkSession, path)
+    _commit(df.sparkSession, path, before, _write_set(df, path, partition_cols, cluster_cols), df.schema)
 
 
 def replace_slices(df: DataFrame, path: str, partition_cols: Sequence[str],
                    slices: Iterable[Mapping[str, object]], cluster_cols: Sequence[str] = ()) -> None:
-    """Make the table's requested slices equal to ``df`` (which must only hold rows of those slices).
-    A slice names a prefix of the partition columns.  Other slices are untouched."""
+    """Make the table's requested slices equal to ``df`` (which must only hold rows of those slices), by one commit.
+
+    A slice names a prefix of the partition columns, and may then name other columns (the hours of a day): of the
+    partitions concerned, rows that no such slice names are written again.  Other slices are untouched."""
     spark = df.sparkSession
-    old = [f for s in slices for f in _files(spark, _glob_dir(path, s, partition_cols))]
-    (clustered(df, partition_cols, cluster_cols).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
-    for f in old:                       # the commit replaced the slices that have rows; the others still hold these
-        delete_path(spark, f)
+    before = current_manifest(spark, path)
+    slices = [dict(s) for s in slices]
+    held = before.slices if before is not None else {}
+    whole = [_slice_dir([c for c in partition_cols if c in s], s) for s in slices]
+    gone = {name for name in held for w in whole if name == w or name.startswith(f"{w}/")}
+    part = [s for s in slices if not set(s) <= set(partition_cols)]
+    carried = {name for name in gone if any(w == name or name.startswith(f"{w}/") for w, s in zip(whole, slices) if s in part)}
+    rows = df
+    if carried:
+        rest = read_table(spark, path, df.schema, carried.__contains__)
+        named = F.lit(False)
+        for s in slices:
+            one = F.lit(True)
+            for c, v in s.items():
+                one = one & F.col(c).eqNullSafe(F.lit(v).cast(df.schema[c].dataType))
+            named = named | one
+        rows = df.unionByName(rest.where(~named))
+    new = _write_set(rows, path, partition_cols, cluster_cols)
+    _commit(spark, path, before, {k: v for k, v in held.items() if k not in gone} | new, df.schema)
 
 
 def replace_days(df: DataFrame, path: str, day_col: str, days: Iterable, cluster_cols: Sequence[str] = ()) -> None:
@@ -104,88 +227,97 @@ def replace_days(df: DataFrame, path: str, day_col: str, days: Iterable, cluster
     replace_slices(df, path, [day_col], [{day_col: d} for d in days], cluster_cols)
 
 
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.option("basePath", path).parquet(path)
-
-
-# --- snapshot tables (upsert targets) -------------------------------------------------------
-
-def _names(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    return sorted(st.getPath().getName() for st in fs.listStatus(p)
-                  if st.getPath().getName().startswith(prefix)) if fs.exists(p) else []
-
-
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return line.strip() if line else None
-
+def upsert_table(source: DataFrame, path: str, keys: Sequence[str], ts: str = "snapshot_timestamp",
+                 buckets: int = BUCKETS) -> int:
+    """Apply ``source`` (one row per key) to the bucketed table at ``path``; returns the number of buckets written.
 
-def current_snapshot(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest pointer whose snapshot is complete."""
-    base = path.rstrip("/")
-    for pointer in reversed(_names(spark, base, f"{POINTER}-")):
-        name = _first_line(spark, f"{base}/{pointer}")
-        if name and path_exists(spark, f"{base}/{name}/_SUCCESS"):
-            return f"{base}/{name}"
-    return None
+    As :func:`headway.operators.upsert.upsert_latest`: a key the table lacks is inserted, a row with a newer ``ts``
+    replaces the table's, everything else stays.  Of the table, first the keys and times of the buckets that the
+    source has rows in are read, then whole rows of the buckets that change."""
+    spark = source.sparkSession
+    before = current_manifest(spark, path)
+    n = before.buckets if before is not None else buckets
+    at = F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int").alias(BUCKET)
+    scratch = scratch_path(spark, "upsert-source")
+    source.select("*", at).write.parquet(scratch)                       # evaluated once
+    changes = spark.read.schema(StructType([*source.schema.fields]).add(BUCKET, IntegerType())).parquet(scratch)
+    if before is not None:
+        missing = [c for c in source.columns if c not in before.schema.names]
+        if missing:
+            raise ValueError(f"target lacks columns {missing}")
+        known = _bucket_rows(spark, path, before, _distinct_buckets(changes)).select(
+            *[F.col(k).alias(f"t__{k}") for k in keys], F.col(ts).alias("t__ts"), F.col(BUCKET).alias("t__bucket"),
+            F.lit(True).alias("t__known"))
+        same = [changes[BUCKET] == known["t__bucket"], *[changes[k] == known[f"t__{k}"] for k in keys]]
+        changes = (changes.join(known, same, "left").where("t__known is null or " + f"`{ts}` > t__ts")
+                   .select(*source.columns, BUCKET))
+        scratch = scratch_path(spark, "upsert-changes")
+        changes.write.parquet(scratch)
+        changes = spark.read.schema(changes.schema).parquet(scratch)
+    touched = _distinct_buckets(changes)
+    if not touched and before is not None:
+        return 0
+    rows = changes
+    if before is not None:
+        named = changes.select(BUCKET, *keys)
+        kept = _bucket_rows(spark, path, before, touched).join(named, [BUCKET, *keys], "left_anti")
+        rows = kept.select(*changes.columns).unionByName(changes)
+    new = _write_set(rows, path, [BUCKET], keys)
+    _commit(spark, path, before, (before.slices if before is not None else {}) | new, source.schema, n)
+    return len(touched)
+
+
+def _distinct_buckets(rows: DataFrame) -> set[int]:
+    """Buckets with rows: at most as many as the table has."""
+    return {r[0] for r in rows.select(BUCKET).distinct().collect()}
+
+
+def _bucket_rows(spark: SparkSession, path: str, m: Manifest, buckets: set[int]) -> DataFrame:
+    full = StructType([*m.schema.fields]).add(BUCKET, IntegerType())
+    names = {f"{BUCKET}={b}" for b in buckets}
+    paths = m.paths(path.rstrip("/"), names.__contains__)
+    if not paths:
+        return spark.createDataFrame([], full)
+    return (spark.read.schema(StructType([*full.fields]).add(SET, StringType())).option("basePath", path.rstrip("/"))
+            .parquet(*paths).select(*full.names))
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    snap = current_snapshot(spark, path)
-    return None if snap is None else spark.read.parquet(snap)
+    """Current rows of an upsert table; None if there is none yet."""
+    return None if current_manifest(spark, path) is None else read_table(spark, path)
 
 
-def _point_to(spark: SparkSession, path: str, name: str) -> None:
-    """Add a pointer file after the newest one.  It is renamed into place whole; a name that another
-    writer took meanwhile is an error, and the table keeps that writer's state."""
-    base = path.rstrip("/")
-    last = _names(spark, base, f"{POINTER}-")
-    number = int(last[-1].rsplit("-", 1)[1]) + 1 if last else 0
-    fs, made = _fs(spark, f"{base}/.{POINTER}.{uuid.uuid4().hex}")
-    out = fs.create(made, False)
-    try:
-        out.write(bytearray(name.encode("utf-8")))
-    finally:
-        out.close()
-    _, final = _fs(spark, f"{base}/{POINTER}-{number:012d}")
-    if fs.exists(final) or not fs.rename(made, final):
-        raise RuntimeError(f"{path}: another writer added {final.getName()}; the upsert was not applied")
-
-
-def upsert_table(source: DataFrame, path: str, keys: Sequence[str], ts: str = "snapshot_timestamp") -> str:
-    """Apply ``source`` (one row per key) to the snapshot table at ``path``; returns the new
-    snapshot folder."""
-    spark = source.sparkSession
-    target = read_current(spark, path)
-    if target is None and _names(spark, path, f"{POINTER}-"):
-        raise RuntimeError(f"{path}: pointers exist but no snapshot is complete; refusing to start anew")
-    new_state = upsert_latest(target, source, keys, ts)
-    name = f"snapshot_{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}_{uuid.uuid4().hex[:8]}"
-    out = f"{path.rstrip('/')}/{name}"
-    new_state.write.mode("errorifexists").parquet(out)
-    _point_to(spark, path, name)
-    return out
-
-
-def remove_old_snapshots(spark: SparkSession, path: str, older_than_hours: float = 72.0) -> int:
-    """Delete snapshots that were replaced longer ago than any reader runs; the current one stays."""
+def remove_old_files(spark: SparkSession, path: str, older_than_hours: float = 72.0) -> int:
+    """Delete slice folders that no manifest names which was current within the last hours (longer than any reader
+    runs), and the manifests before those; returns the number of folders.  Sets made within that time stay: their
+    job may not have committed yet."""
     base = path.rstrip("/")
-    current = (current_snapshot(spark, path) or "").rsplit("/", 1)[-1]
     limit = _dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(hours=older_than_hours)
+    newest = current_manifest(spark, base)
+    if newest is None:
+        return 0
+    kept: set[tuple[str, str]] = set()
     gone = 0
-    for name in _names(spark, base, "snapshot_"):
-        made = _dt.datetime.strptime(name.split("_")[1], "%Y%m%dT%H%M%S%f").replace(tzinfo=_dt.timezone.utc)
-        if name != current and made < limit:
+    old = False                                             # reached the manifest that was current at the limit
+    for name in reversed(_names(spark, base, f"{MANIFEST}-")):
+        if old and int(name.rsplit("-", 1)[1]) < newest.number:
             delete_path(spark, f"{base}/{name}")
+            continue
+        kept |= set(json.loads(_read_text(spark, f"{base}/{name}"))["slices"].items())
+        fs, p = _fs(spark, f"{base}/{name}")
+        old = fs.getFileStatus(p).getModificationTime() / 1000 < limit.timestamp()
+    depth = max((k.count("/") + 1 if k else 0 for k, _ in kept), default=0)
+    for folder in _names(spark, base, f"{SET}="):
+        name = folder.split("=", 1)[1]
+        made = _dt.datetime.strptime(name.split("-")[0], "%Y%m%dT%H%M%S%f").replace(tzinfo=_dt.timezone.utc)
+        if made >= limit:
+            continue
+        if all(s != name for _, s in kept):
+            delete_path(spark, f"{base}/{folder}")
             gone += 1
+            continue
+        for k in _slices_of(spark, f"{base}/{folder}", depth):
+            if (k, name) not in kept:
+                delete_path(spark, f"{base}/{folder}/{k}")
+                gone += 1
     return gone

@@ -30,11 +30,19 @@ def _at(h):
     return dt.datetime(2024, 1, 10, h)
 
 
-def test_upsert_survives_a_crash_before_the_pointer(spark, tmpdir_path):
+def _sets(spark, path):
+    return dict(sinks.current_manifest(spark, path).slices)
+
+
+def _crash(m):
+    m.setattr(sinks, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+
+
+def test_upsert_survives_a_crash_before_the_commit(spark, tmpdir_path):
     path = f"{tmpdir_path}/facts"
     sinks.upsert_table(_alerts(spark, [("a", _at(1), 1), ("b", _at(1), 1)]), path, ["entity_id"])
     with pytest.MonkeyPatch.context() as m:
-        m.setattr(sinks, "_point_to", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        _crash(m)
         with pytest.raises(OSError):
             sinks.upsert_table(_alerts(spark, [("a", _at(2), 2)]), path, ["entity_id"])
     assert _state(spark, path) == {"a": 1, "b": 1}
@@ -42,26 +50,109 @@ def test_upsert_survives_a_crash_before_the_pointer(spark, tmpdir_path):
     assert _state(spark, path) == {"a": 1, "b": 1, "c": 3}
 
 
-def test_damaged_newest_pointer_falls_back_and_history_is_never_lost(spark, tmpdir_path):
+def test_damaged_newest_manifest_falls_back_and_history_is_never_lost(spark, tmpdir_path):
     path = f"{tmpdir_path}/facts"
-    first = sinks.upsert_table(_alerts(spark, [("a", _at(1), 1)]), path, ["entity_id"])
-    second = sinks.upsert_table(_alerts(spark, [("b", _at(1), 2)]), path, ["entity_id"])
-    os.remove(f"{second}/_SUCCESS")                                    # an incomplete snapshot is not current
-    assert sinks.current_snapshot(spark, path) == first
-    os.remove(f"{first}/_SUCCESS")
+    sinks.upsert_table(_alerts(spark, [("a", _at(1), 1)]), path, ["entity_id"], buckets=1)
+    first = _sets(spark, path)["bucket=0"]
+    sinks.upsert_table(_alerts(spark, [("b", _at(1), 2)]), path, ["entity_id"])
+    second = _sets(spark, path)["bucket=0"]
+    os.remove(f"{path}/set={second}/_SUCCESS")                         # an incomplete set is not current
+    assert _sets(spark, path) == {"bucket=0": first} and _state(spark, path) == {"a": 1}
+    sinks.upsert_table(_alerts(spark, [("c", _at(1), 3)]), path, ["entity_id"])      # goes on from the good one
+    assert _state(spark, path) == {"a": 1, "c": 3}
+    for folder in os.listdir(path):
+        if folder.startswith("set="):
+            os.path.exists(f"{path}/{folder}/_SUCCESS") and os.remove(f"{path}/{folder}/_SUCCESS")
     with pytest.raises(RuntimeError):                                  # rather than starting a new table
-        sinks.upsert_table(_alerts(spark, [("c", _at(1), 3)]), path, ["entity_id"])
+        sinks.upsert_table(_alerts(spark, [("d", _at(1), 3)]), path, ["entity_id"])
 
 
-def test_readers_keep_their_snapshot_and_old_ones_go_by_age(spark, tmpdir_path):
+def test_of_two_writers_one_fails(spark, tmpdir_path):
     path = f"{tmpdir_path}/facts"
     sinks.upsert_table(_alerts(spark, [("a", _at(1), 1)]), path, ["entity_id"])
+    write = sinks._write_set
+    with pytest.MonkeyPatch.context() as m:
+        def late(*args):                                              # another writer commits while this one writes
+            m.setattr(sinks, "_write_set", write)
+            sinks.upsert_table(_alerts(spark, [("a", _at(3), 3)]), path, ["entity_id"])
+            return write(*args)
+
+        m.setattr(sinks, "_write_set", late)
+        with pytest.raises(RuntimeError):
+            sinks.upsert_table(_alerts(spark, [("a", _at(2), 2)]), path, ["entity_id"])
+    assert _state(spark, path) == {"a": 3}
+
+
+def test_readers_keep_their_files_and_old_ones_go_by_age(spark, tmpdir_path):
+    path = f"{tmpdir_path}/facts"
+    sinks.upsert_table(_alerts(spark, [("a", _at(1), 1), ("b", _at(1), 1)]), path, ["entity_id"])
     reader = sinks.read_current(spark, path)
     for h in range(2, 6):
         sinks.upsert_table(_alerts(spark, [("a", _at(h), h)]), path, ["entity_id"])
-    assert [r.v for r in reader.collect()] == [1] and _state(spark, path) == {"a": 5}
-    assert sinks.remove_old_snapshots(spark, path) == 0
-    assert sinks.remove_old_snapshots(spark, path, older_than_hours=-1) == 4 and _state(spark, path) == {"a": 5}
+    assert {r.entity_id: r.v for r in reader.collect()} == {"a": 1, "b": 1} and _state(spark, path) == {"a": 5, "b": 1}
+    assert sinks.remove_old_files(spark, path) == 0
+    assert sinks.remove_old_files(spark, path, older_than_hours=-1) == 4 and _state(spark, path) == {"a": 5, "b": 1}
+    sinks.upsert_table(_alerts(spark, [("b", _at(9), 9)]), path, ["entity_id"])
+    assert _state(spark, path) == {"a": 5, "b": 9}
+
+
+def test_upsert_leaves_untouched_buckets_alone(spark, tmpdir_path):
+    """Only buckets with a changed row get new files; rows that change nothing write nothing."""
+    path = f"{tmpdir_path}/facts"
+    sinks.upsert_table(_alerts(spark, [(f"e{i}", _at(2), i) for i in range(200)]), path, ["entity_id"], buckets=16)
+    before = _sets(spark, path)
+    assert len(before) == 16
+    files = set(sinks.read_current(spark, path).inputFiles())
+    assert sinks.upsert_table(_alerts(spark, [("e3", _at(3), -3), ("e5", _at(2), -5), ("e6", _at(1), -6), ("e7", None, -7)]),
+                              path, ["entity_id"]) == 1
+    after = _sets(spark, path)
+    assert sum(before[k] != after[k] for k in before) == 1
+    assert len(files & set(sinks.read_current(spark, path).inputFiles())) == len(files) - 1
+    assert _state(spark, path) == {**{f"e{i}": i for i in range(200)}, "e3": -3}
+    assert sinks.upsert_table(_alerts(spark, [("e3", _at(3), 0)]), path, ["entity_id"]) == 0       # a replay
+    assert _sets(spark, path) == after
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rounds=st.lists(st.dictionaries(st.sampled_from("abcdef"), st.one_of(st.none(), st.integers(0, 4)), min_size=1), min_size=1,
+                       max_size=4), buckets=st.sampled_from([1, 3]))
+def test_bucketed_upserts_equal_the_plain_upsert(spark, rounds, buckets):
+    from headway.operators import upsert_latest
+    from headway.session import scratch_path
+
+    path, target = scratch_path(spark, "upserts"), None
+    for i, one in enumerate(rounds):
+        src = _alerts(spark, [(k, None if h is None else _at(h), i) for k, h in one.items()])
+        sinks.upsert_table(src, path, ["entity_id"], buckets=buckets)
+        rows = upsert_latest(target, src, ["entity_id"]).collect()
+        target = spark.createDataFrame(rows, src.schema)
+    assert sorted(map(tuple, sinks.read_current(spark, path).collect()), key=str) == sorted(map(tuple, target.collect()), key=str)
+
+
+def test_many_slices_change_by_one_switch(spark, tmpdir_path):
+    """A job killed before its commit leaves all days old; after the commit all are new, in one file per day."""
+    path = f"{tmpdir_path}/t"
+    old = spark.range(2400).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("day"),
+                                   (F.col("id") % 24).cast("int").alias("hour"), F.lit("old").alias("v"))
+    sinks.write_table(old, path, ["day"], ["hour"])
+    new = old.where("day < '2024-01-04'").withColumn("v", F.lit("new"))
+    days = [{"day": f"2024-01-0{i}"} for i in (1, 2, 3)]
+    read = lambda: {(str(r.day), r.v): r["count"] for r in sinks.read_table(spark, path).groupBy("day", "v").count().collect()}
+    before = read()
+    with pytest.MonkeyPatch.context() as m:
+        _crash(m)
+        with pytest.raises(OSError):
+            sinks.replace_slices(new, path, ["day"], days, ["hour"])
+    assert read() == before == {(f"2024-01-0{i}", "old"): 480 for i in range(1, 6)}
+    sinks.replace_slices(new, path, ["day"], days, ["hour"])
+    assert read() == {(f"2024-01-0{i}", "new" if i < 4 else "old"): 480 for i in range(1, 6)}
+    assert len(sinks.read_table(spark, path).inputFiles()) <= 8
+    # some hours of a day: its other hours are carried over, hours without new rows go
+    part = old.where("day = '2024-01-02' and hour = 7").limit(3).withColumn("v", F.lit("h7"))
+    sinks.replace_slices(part, path, ["day"], [{"day": "2024-01-02", "hour": 7}, {"day": "2024-01-02", "hour": 8}], ["hour"])
+    rows = {(r.hour, r.v): r["count"] for r in sinks.read_table(spark, path).where("day = '2024-01-02'").groupBy("hour", "v").count().collect()}
+    assert rows == {**{(h, "new"): 20 for h in range(24) if h not in (7, 8)}, (7, "h7"): 3}
+    assert read()["2024-01-03", "new"] == 480
 
 
 def test_failed_replace_leaves_the_old_slice(spark, tmpdir_path):
@@ -163,13 +254,13 @@ def test_replaced_hours_are_first_written_whole(spark, monkeypatch):
     replace = registry.sinks.replace_slices
 
     def seen(df, path, *args):
-        met.extend(tuple(r) for r in spark.read.parquet(path).groupBy("service_date", "hour").count().collect())
+        met.append([]) or met[-1].extend(tuple(r) for r in sinks.read_table(spark, path).groupBy("service_date", "hour").count().collect())
         return replace(df, path, *args)
 
     monkeypatch.setattr(registry.sinks, "replace_slices", seen)
     out = registry.registry()["sink_replace_hours"](spark, d)
     snapshots = registry._m(spark, d).t.raw_trip_updates
     want = sorted(tuple(r) for r in snapshots.groupBy("service_date", "hour").count().collect())
-    assert sorted((str(a), int(h), n) for a, h, n in met if int(h) != 99) == [(str(a), int(h), n) for a, h, n in want]
-    assert [n for _, h, n in met if int(h) == 99] == [1]
+    assert sorted((str(a), int(h), n) for a, h, n in met[0] if int(h) != 99) == [(str(a), int(h), n) for a, h, n in want]
+    assert len(met) == 2 and [n for _, h, n in met[1] if int(h) == 99] == [1]
     assert out.where("hour = 99").count() == 0
