@@ -27,7 +27,7 @@ from headway.plans._common import as_dates
 from headway.plans.static import load_static_version
 from headway.schemas import LAYOUT, conform, schema
 from headway.sinks import tables as sinks
-from headway.sources import gtfs_rt, gtfs_static
+from headway.sources import gtfs_static
 
 ALERT_FACT_KEYS = {"fact_alerts": ["entity_id"], "fact_alerts_routes": ["entity_id", "route_id", "stop_id"],
                    "fact_alerts_active_periods": ["entity_id", "period_index"]}
@@ -57,12 +57,7 @@ class Warehouse:
 def load_realtime(wh: Warehouse, landing_root: str, feed: str, days, stride: int = 5) -> None:
     """Snapshot files of ``feed`` landed on ``days`` -> RAW table day slices."""
     ds = as_dates(days)
-    texts = [d.isoformat() for d in ds]
-    if feed == "trip_updates":
-        snaps = gtfs_rt.read_strided_snapshots(wh.spark, landing_root, feed, stride, texts)
-        rows = raw.raw_from_feed(snaps, feed, stride=1)
-    else:
-        rows = raw.raw_from_feed(gtfs_rt.read_snapshots(wh.spark, landing_root, feed, texts), feed)
+    rows = raw.raw_from_landed(wh.spark, landing_root, feed, [d.isoformat() for d in ds], stride)
     wh.replace(rows, f"raw_{feed}", "service_date", ds)
 
 

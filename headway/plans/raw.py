@@ -7,7 +7,7 @@ dedupe simply carries ``hour`` in its key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import latest_per_key, stride_sample
@@ -61,19 +61,31 @@ def raw_trip_updates(tu_snapshots: DataFrame, stride: int = 5, dates: DateSet =
 
 
 def raw_from_feed(snapshots: DataFrame, feed: str, stride: int = 5) -> DataFrame:
-    """RAW rows of one feed from landed snapshots ``(path, content)``: decode + flatten, then the
-    feed's RAW dedupe (alerts: newest per day and entity; trip updates: stride then newest per
-    hour and trip instance; vehicle positions: every entity of every snapshot)."""
-    from headway.schemas import conform
+    """RAW rows of one feed from snapshots ``(path, content)`` as a file stream delivers them."""
     from headway.sources import gtfs_rt
 
-    kind = gtfs_rt.KINDS[feed]
     if feed == "trip_updates" and stride > 1:
         poll = gtfs_rt.poll_of("path")
         polls = snapshots.select(poll.alias("path")).distinct().select("path", *path_partitions("path"))
         kept = stride_files(polls, stride).select(F.col("path").alias("poll"))
         snapshots = snapshots.withColumn("poll", poll).join(kept, "poll", "left_semi")
-    rows = gtfs_rt.flatten(gtfs_rt.decode(snapshots, kind), kind)
+    return raw_from_decoded(gtfs_rt.decode(snapshots, gtfs_rt.KINDS[feed]), feed)
+
+
+def raw_from_landed(spark: SparkSession, root: str, feed: str, days: list[str] | None = None, stride: int = 5) -> DataFrame:
+    """RAW rows of one feed from its landed files (trip updates: every ``stride``-th poll of each hour)."""
+    from headway.sources import gtfs_rt
+
+    return raw_from_decoded(gtfs_rt.landed(spark, root, feed, days, stride if feed == "trip_updates" else 1), feed)
+
+
+def raw_from_decoded(decoded: DataFrame, feed: str) -> DataFrame:
+    """RAW rows of one feed from decoded entities: flatten, then the feed's RAW dedupe (alerts: newest per day and entity;
+    trip updates: newest per hour and trip instance; vehicle positions: every entity of every snapshot)."""
+    from headway.schemas import conform
+    from headway.sources import gtfs_rt
+
+    rows = gtfs_rt.flatten(decoded, gtfs_rt.KINDS[feed])
     if feed == "alerts":
         # equal header times: the greater content wins, whatever file or part it came in
         rows = latest_per_key(rows, ["service_date", "entity_id"], "snapshot_timestamp",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from headway.functions import first_translation_text, hms_to_seconds
+from headway.functions import hms_to_seconds
 from headway.operators import active_on_dates, numeric_first_order, resolve_dates
 from headway.plans import facts, marts, quality, raw, reports
 from headway.plans.daily import ALERT_FACT_KEYS
@@ -35,14 +35,6 @@ def _m(spark: SparkSession, d: str) -> TransitModel:
     return TransitModel(spark, d)
 
 
-def _raw_alerts(spark, d):
-    ra = _m(spark, d).raw_alerts
-    return ra.select("service_date", "hour", "snapshot_timestamp", "ingested_at", "gtfs_realtime_version",
-                     "entity_id", "is_deleted", "cause", "effect", "severity_level",
-                     first_translation_text("header_text").alias("header_text"),
-                     first_translation_text("description_text").alias("description_text"))
-
-
 def _guarded_upsert(spark, d):
     m = _m(spark, d)
     later = m.raw_alerts.where(F.col("service_date") >= F.lit(UPSERT_SPLIT_DAY).cast("date"))
@@ -90,31 +82,39 @@ def quality_tables(m: TransitModel) -> dict[str, DataFrame]:
     }
 
 
-ADAPTER_VP_COLUMNS = ("service_date", "hour", "snapshot_timestamp", "entity_id", "is_deleted", "trip_id", "route_id",
-                      "trip_start_date", "current_stop_sequence", "stop_id", "current_status",
-                      "occupancy_percentage", "occupancy_status", "position_timestamp")
+def _landed(spark: SparkSession, rows: DataFrame, feed: str) -> DataFrame:
+    """Land a feed's snapshots as GTFS-realtime files (one message per poll), then load RAW from the files."""
+    from headway.sources.gtfs_rt import land
 
+    root = scratch_path(spark, "landing")
+    land(rows, root, feed)
+    return raw.raw_from_landed(spark, root, feed).drop("ingested_at")
 
-def _raw_vehicle_positions(spark, d):
-    """Land the vehicle-position feed as GTFS-realtime snapshots (one FeedMessage per poll),
-    then load RAW from them: decode, flatten, path partitions, DST-aware wall clock."""
-    from headway.sources.gtfs_rt import publish_vehicle_snapshots
 
-    snaps = publish_vehicle_snapshots(_m(spark, d).t.raw_vehicle_positions)
-    return raw.raw_from_feed(snaps, "vehicle_positions").select(*ADAPTER_VP_COLUMNS)
+def _flat(df: DataFrame, *names: str) -> DataFrame:
+    """Nested columns as JSON text (null fields are left out)."""
+    return df.select(*[F.to_json(c).alias(c) if c in names else F.col(c) for c in df.columns])
 
 
-TU_FEED_COLUMNS = ("service_date", "hour", "snapshot_timestamp", "entity_id", "is_deleted", "trip_id", "route_id",
-                   "direction_id", "trip_start_date", "trip_schedule_rel")
+def _raw_vehicle_positions(spark, d):
+    """RAW vehicle positions from landed files: decode, flatten, path partitions, DST-aware wall clock."""
+    rows = _m(spark, d).t.raw_vehicle_positions
+    return _flat(_landed(spark, rows, "vehicle_positions"), "multi_carriage_details")
 
 
 def _raw_trip_updates_feed(spark, d):
-    """Land trip updates as GTFS-realtime snapshots, then load RAW from them: stride over the
-    landed files of each hour, decode, newest row per (day, hour, trip instance)."""
-    from headway.sources.gtfs_rt import publish_trip_update_snapshots
+    """RAW trip updates from landed files: every fifth poll of each hour is opened, newest row per (day, hour, trip
+    instance)."""
+    rows = _m(spark, d).t.raw_trip_updates.drop("ingested_at")
+    return _flat(_landed(spark, rows, "trip_updates"), "modified_trip", "stop_time_update", "trip_properties")
+
 
-    snaps = publish_trip_update_snapshots(_m(spark, d).t.raw_trip_updates)
-    return raw.raw_from_feed(snaps, "trip_updates", stride=5).select(*TU_FEED_COLUMNS)
+def _raw_alerts(spark, d):
+    """RAW alerts from landed files: translations, periods and informed entities decoded from messages, newest snapshot
+    per (day, entity)."""
+    rows = _landed(spark, _m(spark, d).t.alert_snapshots.drop("event_id", "ingested_at"), "alerts")
+    texts = [c for c, t in rows.dtypes if t.startswith("struct<translation")]
+    return _flat(rows, "active_period", "informed_entity", *texts)
 
 
 def _quality(spark, d):

@@ -1,20 +1,20 @@
 """Realtime feed snapshots (GTFS-realtime protobuf) as DataFrames.
 
-Reading: ``binaryFile`` lists and reads the snapshot files; partition values (``dt``, ``hour``)
-come from the landing path.  Decoding runs on executors in ``mapInArrow``: each task parses its
-files with the protobuf runtime and emits Arrow batches of entity rows (nested fields stay
-typed structs/arrays).  Everything after the parse -- timestamps, dates, filters, dedupe -- is
-JVM-side.  Only the parse itself is Python (Spark has no built-in protobuf decoder without the
-optional connector package).
+Landed files are read and written through the ``gtfs_rt`` data source (:mod:`headway.sources.landing`): partitions are
+landing hours, and stride sampling happens where the hour's files are listed.  Streams use ``binaryFile`` and
+:func:`decode`.  Both decode in the same columnar way; everything after the parse -- timestamps, dates, filters, dedupe
+-- is JVM-side.  Only the parse itself is Python (Spark has no built-in protobuf decoder without the optional connector
+package).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from headway.functions import ntz_epoch_seconds
 from headway.schemas import (
     ACTIVE_PERIODS,
     CARRIAGES,
@@ -24,9 +24,9 @@ from headway.schemas import (
     TRANSLATED,
     TRIP_PROPERTIES,
 )
-
-from headway.sources.gtfs_rt_proto import enum_name
+from headway.session import ship_package
 from headway.sources.gtfs_static import file_exists
+from headway.sources.landing import FORMAT, MAX_ENTITIES, LandingSource
 
 KINDS = {"vehicle_positions": "vehicle", "alerts": "alert", "trip_updates": "trip_update"}
 
@@ -50,144 +50,6 @@ DECODED_DDL = {
                     f"stop_time_update {STOP_TIME_UPDATES}, trip_properties {TRIP_PROPERTIES}"),
 }
 
-ROWS_PER_BATCH = 8192
-
-
-# --- protobuf -> python rows (executor side) ---------------------------------------------------
-
-def _opt(msg, name):
-    return getattr(msg, name) if msg.HasField(name) else None
-
-
-def _enum(msg, name, enum):
-    return enum_name(enum, getattr(msg, name)) if msg.HasField(name) else None
-
-
-def _trip(td) -> dict:
-    return {"trip_id": _opt(td, "trip_id"), "route_id": _opt(td, "route_id"),
-            "direction_id": _opt(td, "direction_id"), "trip_start_time": _opt(td, "start_time"),
-            "trip_start_date_text": _opt(td, "start_date"),
-            "trip_schedule_rel": _enum(td, "schedule_relationship", "ScheduleRelationship")}
-
-
-def _trip_struct(td) -> dict:
-    t = _trip(td)
-    return {"trip_id": t["trip_id"], "route_id": t["route_id"], "direction_id": t["direction_id"],
-            "start_time": t["trip_start_time"], "start_date": t["trip_start_date_text"],
-            "schedule_relationship": t["trip_schedule_rel"]}
-
-
-def _text(msg, name):
-    if not msg.HasField(name):
-        return None
-    return {"translation": [{"text": t.text, "language": _opt(t, "language")} for t in getattr(msg, name).translation]}
-
-
-def _vehicle(v) -> dict:
-    row = _trip(v.trip) if v.HasField("trip") else dict.fromkeys(_trip_keys())
-    vd = v.vehicle if v.HasField("vehicle") else None
-    pos = v.position if v.HasField("position") else None
-    row.update({
-        "vehicle_id": _opt(vd, "id") if vd else None, "vehicle_label": _opt(vd, "label") if vd else None,
-        "multi_carriage_details": [
-            {"id": _opt(c, "id"), "label": _opt(c, "label"),
-             "occupancy_status": _enum(c, "occupancy_status", "OccupancyStatus"),
-             "occupancy_percentage": _opt(c, "occupancy_percentage"), "carriage_sequence": _opt(c, "carriage_sequence")}
-            for c in v.multi_carriage_details],
-        "latitude": _opt(pos, "latitude") if pos else None, "longitude": _opt(pos, "longitude") if pos else None,
-        "bearing": _opt(pos, "bearing") if pos else None, "odometer": _opt(pos, "odometer") if pos else None,
-        "speed": _opt(pos, "speed") if pos else None,
-        "current_stop_sequence": _opt(v, "current_stop_sequence"), "stop_id": _opt(v, "stop_id"),
-        "current_status": _enum(v, "current_status", "VehicleStopStatus"),
-        "congestion_level": _enum(v, "congestion_level", "CongestionLevel"),
-        "occupancy_status": _enum(v, "occupancy_status", "OccupancyStatus"),
-        "occupancy_percentage": _opt(v, "occupancy_percentage"), "position_epoch": _opt(v, "timestamp"),
-    })
-    return row
-
-
-def _trip_keys():
-    return ("trip_id", "route_id", "direction_id", "trip_start_time", "trip_start_date_text", "trip_schedule_rel")
-
-
-def _alert(a) -> dict:
-    return {
-        "cause": _enum(a, "cause", "Cause"), "effect": _enum(a, "effect", "Effect"),
-        "severity_level": _enum(a, "severity_level", "SeverityLevel"),
-        "active_period": [{"start": _opt(p, "start"), "end": _opt(p, "end")} for p in a.active_period],
-        "informed_entity": [
-            {"agency_id": _opt(e, "agency_id"), "route_id": _opt(e, "route_id"), "route_type": _opt(e, "route_type"),
-             "trip": _trip_struct(e.trip) if e.HasField("trip") else None, "stop_id": _opt(e, "stop_id"),
-             "direction_id": _opt(e, "direction_id")} for e in a.informed_entity],
-        **{n: _text(a, n) for n in ("url", "header_text", "description_text", "tts_header_text",
-                                    "tts_description_text", "cause_detail", "effect_detail")},
-    }
-
-
-def _stop_event(m, name):
-    if not m.HasField(name):
-        return None
-    e = getattr(m, name)
-    return {"delay": _opt(e, "delay"), "time": _opt(e, "time"), "uncertainty": _opt(e, "uncertainty")}
-
-
-def _trip_update(t) -> dict:
-    row = _trip(t.trip)
-    vd = t.vehicle if t.HasField("vehicle") else None
-    mt = t.trip.modified_trip if t.trip.HasField("modified_trip") else None
-    tp = t.trip_properties if t.HasField("trip_properties") else None
-    row.update({
-        "modified_trip": {"modifications_id": _opt(mt, "modifications_id"),
-                          "affected_trip_id": _opt(mt, "affected_trip_id")} if mt else None,
-        "vehicle_id": _opt(vd, "id") if vd else None, "vehicle_label": _opt(vd, "label") if vd else None,
-        "vehicle_license_plate": _opt(vd, "license_plate") if vd else None,
-        "wheelchair_accessible": _enum(vd, "wheelchair_accessible", "WheelchairAccessible") if vd else None,
-        "trip_update_epoch": _opt(t, "timestamp"), "delay": _opt(t, "delay"),
-        "stop_time_update": [
-            {"stop_sequence": _opt(u, "stop_sequence"), "stop_id": _opt(u, "stop_id"),
-             "arrival": _stop_event(u, "arrival"), "departure": _stop_event(u, "departure"),
-             "schedule_relationship": _enum(u, "schedule_relationship", "StopTimeScheduleRelationship")}
-            for u in t.stop_time_update],
-        "trip_properties": {"trip_id": _opt(tp, "trip_id"), "start_date": _opt(tp, "start_date"),
-                            "start_time": _opt(tp, "start_time"), "shape_id": _opt(tp, "shape_id")} if tp else None,
-    })
-    return row
-
-
-_ROW = {"vehicle": _vehicle, "alert": _alert, "trip_update": _trip_update}
-
-
-def decode_batches(batches: Iterator, kind: str, arrow_schema) -> Iterator:
-    """mapInArrow body: (path, content) batches -> entity-row batches of ``kind``."""
-    import pyarrow as pa
-
-    from headway.sources.gtfs_rt_proto import FeedMessage
-
-    to_row = _ROW[kind]
-    rows: list[dict] = []
-    for batch in batches:
-        paths = batch.column("path").to_pylist()
-        contents = batch.column("content").to_pylist()
-        for path, content in zip(paths, contents):
-            if content is None:
-                continue
-            msg = FeedMessage.FromString(content)
-            head_ts = _opt(msg.header, "timestamp")
-            version = _opt(msg.header, "gtfs_realtime_version")
-            for e in msg.entity:
-                if not e.HasField(kind):
-                    continue
-                r = to_row(getattr(e, kind))
-                r.update(path=path, header_timestamp=head_ts, gtfs_realtime_version=version, entity_id=e.id,
-                         is_deleted=_opt(e, "is_deleted"))
-                rows.append(r)
-                if len(rows) >= ROWS_PER_BATCH:
-                    yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
-                    rows = []
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
-
-
 # --- Spark side ---------------------------------------------------------------------------------
 
 def read_snapshots(spark: SparkSession, root: str, feed: str, days: list[str] | None = None) -> DataFrame:
@@ -203,49 +65,30 @@ def read_snapshots(spark: SparkSession, root: str, feed: str, days: list[str] |
     return reader.load(there).select("path", "content")
 
 
-def list_snapshots(spark: SparkSession, root: str, feed: str, days: list[str] | None = None) -> DataFrame:
-    """Path-only listing of landed snapshot files with their partition values (the binaryFile
-    reader skips ``content`` when it is not selected, so no file body is read)."""
-    from headway.plans.raw import path_partitions
-
-    files = read_snapshots(spark, root, feed, days).select("path")
-    return files.select("path", *path_partitions("path"))
+def landed(spark: SparkSession, root: str, feed: str, days: list[str] | None = None, stride: int = 1) -> DataFrame:
+    """Decoded rows of the landed snapshots of ``feed``: of some ``dt`` days, every ``stride``-th poll of each hour."""
+    _register(spark)
+    reader = spark.read.format(FORMAT).option("feed", feed).option("stride", stride)
+    if days is not None:
+        reader = reader.option("days", ",".join(days))
+    return reader.load(root)
 
 
-def read_strided_snapshots(spark: SparkSession, root: str, feed: str, stride: int = 5,
-                           days: list[str] | None = None) -> DataFrame:
-    """``(path, content)`` of every ``stride``-th snapshot per landing hour, reading the bodies of
-    the kept files only.  The kept paths (a file listing, ~1/stride of the polls) are handed to
-    the reader, so skipped files are never opened."""
-    from headway.operators import stride_sample
-
-    listing = list_snapshots(spark, root, feed, days)
-    if stride <= 1:
-        return read_snapshots(spark, root, feed, days)
-    polls = listing.select("service_date", "hour", poll_of("path").alias("poll")).distinct()
-    kept_polls = stride_sample(polls, ["service_date", "hour"], "poll", stride).select("poll")
-    kept = [r[0] for r in listing.withColumn("poll", poll_of("path")).join(kept_polls, "poll", "left_semi")
-            .select("path").collect()]
-    if not kept:
-        return read_snapshots(spark, root, feed, days).where(F.lit(False))
-    return (spark.read.format("binaryFile").option("basePath", f"{root.rstrip('/')}/{feed}")
-            .load(kept).select("path", "content"))
+def _register(spark: SparkSession) -> None:
+    ship_package(spark)
+    spark.dataSource.register(LandingSource)
 
 
 def decode(snapshots: DataFrame, kind: str) -> DataFrame:
     """Decode ``(path, content)`` rows into one row per entity of ``kind``."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    from headway.session import ship_package
-
     ship_package(snapshots.sparkSession)
-    ddl = DECODED_DDL[kind]
-    st = StructType.fromDDL(ddl)
+    st = StructType.fromDDL(DECODED_DDL[kind])
     arrow_schema = to_arrow_schema(st)
 
     def run(batches):
-        return decode_batches(batches, kind, arrow_schema)
+        from headway.sources.gtfs_rt_columns import decode_files
+
+        return decode_files((row for b in batches for row in zip(*(c.to_pylist() for c in b.columns))), kind, arrow_schema)
 
     return snapshots.select("path", "content").mapInArrow(run, st)
 
@@ -287,158 +130,32 @@ def flatten(decoded: DataFrame, kind: str, tz: str = "America/New_York") -> Data
     return decoded.select(*head, *trip, *rest)
 
 
-# --- encoding (publishing snapshots; used to land feeds derived from tables) --------------------
-
-def encode_vehicle_snapshot(rows: list[dict], header_epoch: int, version: str = "2.0") -> bytes:
-    """One FeedMessage with a vehicle entity per row (flat RAW-like dicts, epochs in seconds)."""
-    from headway.sources.gtfs_rt_proto import FeedMessage, enum_number
-
-    msg = FeedMessage()
-    msg.header.gtfs_realtime_version = version
-    msg.header.timestamp = int(header_epoch)
-    for r in rows:
-        e = msg.entity.add()
-        e.id = str(r["entity_id"])
-        if r.get("is_deleted") is not None:
-            e.is_deleted = bool(r["is_deleted"])
-        v = e.vehicle
-        for src, dst in (("trip_id", "trip_id"), ("route_id", "route_id"), ("trip_start_time", "start_time"),
-                         ("trip_start_date_text", "start_date")):
-            if r.get(src) is not None:
-                setattr(v.trip, dst, r[src])
-        if r.get("direction_id") is not None:
-            v.trip.direction_id = int(r["direction_id"])
-        if r.get("trip_schedule_rel") is not None:
-            v.trip.schedule_relationship = enum_number("ScheduleRelationship", r["trip_schedule_rel"])
-        if r.get("current_stop_sequence") is not None:
-            v.current_stop_sequence = int(r["current_stop_sequence"])
-        if r.get("stop_id") is not None:
-            v.stop_id = r["stop_id"]
-        if r.get("current_status") is not None:
-            v.current_status = enum_number("VehicleStopStatus", r["current_status"])
-        if r.get("occupancy_status") is not None:
-            v.occupancy_status = enum_number("OccupancyStatus", r["occupancy_status"])
-        if r.get("occupancy_percentage") is not None:
-            v.occupancy_percentage = int(r["occupancy_percentage"])
-        if r.get("position_epoch") is not None:
-            v.timestamp = int(r["position_epoch"])
-        if r.get("latitude") is not None and r.get("longitude") is not None:
-            v.position.latitude = float(r["latitude"])
-            v.position.longitude = float(r["longitude"])
-    return msg.SerializeToString()
-
-
-def encode_trip_update_snapshot(rows: list[dict], header_epoch: int, version: str = "2.0") -> bytes:
-    """One FeedMessage with a trip_update entity per row (trip descriptor fields, deletion flag).
-    A schedule relationship that is not a GTFS-realtime enum name (e.g. blank) is left unset."""
-    from headway.sources.gtfs_rt_proto import ENUMS, FeedMessage, enum_number
-
-    valid = {n for n, _ in ENUMS["ScheduleRelationship"]}
-    msg = FeedMessage()
-    msg.header.gtfs_realtime_version = version
-    msg.header.timestamp = int(header_epoch)
-    for r in rows:
-        e = msg.entity.add()
-        e.id = str(r["entity_id"])
-        if r.get("is_deleted") is not None:
-            e.is_deleted = bool(r["is_deleted"])
-        trip = e.trip_update.trip
-        for src, dst in (("trip_id", "trip_id"), ("route_id", "route_id"), ("trip_start_date_text", "start_date")):
-            if r.get(src) is not None:
-                setattr(trip, dst, r[src])
-        if r.get("direction_id") is not None:
-            trip.direction_id = int(r["direction_id"])
-        if r.get("trip_schedule_rel") in valid:
-            trip.schedule_relationship = enum_number("ScheduleRelationship", r["trip_schedule_rel"])
-    return msg.SerializeToString()
-
+# --- landing ------------------------------------------------------------------------------------
 
-MAX_ENTITIES_PER_MESSAGE = 50_000
-
-
-def _part_name(path: str, index: int) -> str:
-    """The first message of a path keeps the path; overflow messages get ``-c<n>`` suffixes."""
-    return path if index == 0 else f"{path[:-3]}-c{index}.pb"
-
-
-def publish_trip_update_snapshots(tu: DataFrame, tz: str = "America/New_York",
-                                  max_entities_per_message: int = MAX_ENTITIES_PER_MESSAGE) -> DataFrame:
-    """Trip-update rows (RAW-like) -> one FeedMessage per landing path, like
-    :func:`publish_vehicle_snapshots`."""
-    return publish_vehicle_snapshots(tu, tz, 1, max_entities_per_message, feed="trip_updates")
-
-
-def publish_vehicle_snapshots(vp: DataFrame, tz: str = "America/New_York", parts_per_snapshot: int = 1,
-                              max_entities_per_message: int = MAX_ENTITIES_PER_MESSAGE,
-                              feed: str = "vehicle_positions") -> DataFrame:
-    """Group vehicle rows (RAW-like, wall-clock ``snapshot_timestamp``/``position_timestamp`` in
-    ``tz``) into FeedMessages per landing path: ``(path, content)``, the shape ``binaryFile``
-    returns.  A poll is normally one message (bounded by fleet size); a larger poll is written as
-    several part files, and ``parts_per_snapshot > 1`` spreads one poll over that many tasks (hash of
-    the entity id).  Readers that pick polls (stride) go by :func:`poll_of`, so parts never count
-    as polls of their own."""
-    from headway.functions import ntz_epoch_seconds
+def land(rows: DataFrame, root: str, feed: str, tz: str = "America/New_York", parts_per_snapshot: int = 1,
+         max_entities: int = MAX_ENTITIES) -> None:
+    """Write RAW-like rows (wall clock in ``tz``) as snapshot files below ``root``: one message per poll, which is
+    the second of ``snapshot_timestamp``.  A poll larger than ``max_entities`` becomes several part files, and
+    ``parts_per_snapshot > 1`` spreads one poll over that many tasks (hash of the entity id); readers that pick polls
+    count the parts of a poll once."""
     from headway.plans.raw import snapshot_path
-    from headway.session import ship_package
-
-    ship_package(vp.sparkSession)
 
-    def utc_epoch(c):
+    def utc_epoch(c: str) -> Column:
         return ntz_epoch_seconds(F.convert_timezone(F.lit(tz), F.lit("UTC"), F.col(c)))
 
-    df = vp.select(
-        snapshot_path(feed, "snapshot_timestamp").alias("path"),
-        utc_epoch("snapshot_timestamp").alias("header_epoch"),
-        *[F.col(c) if c in vp.columns else F.lit(None).alias(c) for c in
-          ("entity_id", "is_deleted", "trip_id", "route_id", "direction_id", "trip_start_time")],
-        F.date_format("trip_start_date", "yyyyMMdd").alias("trip_start_date_text"),
-        *[F.col(c) if c in vp.columns else F.lit(None).alias(c) for c in
-          ("trip_schedule_rel", "current_stop_sequence", "stop_id", "current_status", "occupancy_status",
-           "occupancy_percentage")],
-        (utc_epoch("position_timestamp") if "position_timestamp" in vp.columns
-         else F.lit(None).cast("bigint")).alias("position_epoch"),
-        *[F.col(c) if c in vp.columns else F.lit(None).cast("double").alias(c) for c in ("latitude", "longitude")],
-    )
-
-    # One task per hash partition of paths; rows of a path are contiguous after the sort, so a
-    # single pass emits one message per path (no per-group Python call).
+    made = {"path": F.regexp_replace(snapshot_path(feed, "snapshot_timestamp"), "^rt/", ""),
+            "header_timestamp": utc_epoch("snapshot_timestamp")}
+    if "trip_start_date" in rows.columns:
+        made["trip_start_date_text"] = F.date_format("trip_start_date", "yyyyMMdd")
+    for epoch, c in (("position_epoch", "position_timestamp"), ("trip_update_epoch", "trip_update_timestamp")):
+        if c in rows.columns:
+            made[epoch] = utc_epoch(c)
+    names = StructType.fromDDL(DECODED_DDL[KINDS[feed]]).names
+    df = rows.select(*[(made[c] if c in made else F.col(c)).alias(c) for c in names if c in made or c in rows.columns])
     if parts_per_snapshot > 1:
         part = F.pmod(F.xxhash64("entity_id"), F.lit(parts_per_snapshot))
         df = df.withColumn("path", F.when(part == 0, F.col("path")).otherwise(
             F.regexp_replace("path", r"\.pb$", F.concat(F.lit("-p"), part.cast("string"), F.lit(".pb")))))
-    clustered = df.repartition("path").sortWithinPartitions("path")
-
-    cap = int(max_entities_per_message)
-    encoder = encode_trip_update_snapshot if feed == "trip_updates" else encode_vehicle_snapshot
-
-    def encode_batches(batches):
-        import pyarrow as pa
-
-        schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
-        paths, contents = [], []
-        cur_path, cur_rows, cur_epoch, cur_part = None, [], None, 0
-
-        def flush_message():
-            paths.append(_part_name(cur_path, cur_part))
-            contents.append(encoder(cur_rows, cur_epoch))
-
-        for batch in batches:
-            for r in batch.to_pylist():
-                if r["path"] != cur_path:
-                    if cur_path is not None:
-                        flush_message()
-                    cur_path, cur_rows, cur_epoch, cur_part = r["path"], [], r["header_epoch"], 0
-                elif len(cur_rows) >= cap:
-                    flush_message()
-                    cur_rows, cur_part = [], cur_part + 1
-                cur_rows.append(r)
-                cur_epoch = min(cur_epoch, r["header_epoch"])
-            if len(paths) >= 1024:
-                yield pa.RecordBatch.from_pydict({"path": paths, "content": contents}, schema=schema)
-                paths, contents = [], []
-        if cur_path is not None:
-            flush_message()
-        if paths:
-            yield pa.RecordBatch.from_pydict({"path": paths, "content": contents}, schema=schema)
-
-    return clustered.mapInArrow(encode_batches, "path string, content binary")
+    _register(rows.sparkSession)
+    (df.repartition("path").sortWithinPartitions("path", "entity_id").write.format(FORMAT).option("feed", feed)
+     .option("max_entities", max_entities).mode("append").save(root))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.plans import marts, raw
 from headway.plans.model import TransitModel
+from headway.session import scratch_path
 from headway.sinks import tables as sinks
 from headway.sources import gtfs_rt
 
@@ -118,7 +119,6 @@ def test_upsert_leaves_untouched_buckets_alone(spark, tmpdir_path):
                        max_size=4), buckets=st.sampled_from([1, 3]))
 def test_bucketed_upserts_equal_the_plain_upsert(spark, rounds, buckets):
     from headway.operators import upsert_latest
-    from headway.session import scratch_path
 
     path, target = scratch_path(spark, "upserts"), None
     for i, one in enumerate(rounds):
@@ -240,8 +240,9 @@ def test_stride_counts_polls_whatever_the_parts(spark, cap, parts):
             for minute in range(0, 20) for i in range(7)]
     tu = spark.createDataFrame(rows, "snapshot_timestamp timestamp_ntz, entity_id string, trip_id string, route_id string, "
                                      "direction_id int, trip_start_date date, trip_schedule_rel string, is_deleted boolean")
-    snaps = gtfs_rt.publish_vehicle_snapshots(tu, parts_per_snapshot=parts, max_entities_per_message=cap, feed="trip_updates")
-    got = {(r.trip_id, r.entity_id) for r in raw.raw_from_feed(snaps, "trip_updates", stride=5).collect()}
+    root = scratch_path(spark, "landing")
+    gtfs_rt.land(tu, root, "trip_updates", parts_per_snapshot=parts, max_entities=cap)
+    got = {(r.trip_id, r.entity_id) for r in raw.raw_from_landed(spark, root, "trip_updates").collect()}
     assert got == {(f"T{i}", f"e15-{i}") for i in range(7)}
 
 
