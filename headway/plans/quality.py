@@ -1,70 +1,71 @@
 """Data-quality report for declared constraints (keys are declared, not enforced, in the source
 warehouse): duplicate primary keys, NULL key columns, orphan foreign keys.
 
-Each check is one aggregation; all checks are unioned into a single small DataFrame
-``(table_name, check_name, violations)``, so the whole report is one Spark job.
+All checks are one grouping.  A table is scanned once: each row makes one (constraint, key, side) row per primary key and
+per foreign key that the table is child or parent of; keys are arrays of the columns' texts, so they are compared whole.  Counts per
+(constraint, key) - pre-aggregated in each task, so a key that a third of all rows share is one row per task - tell
+duplicates, NULLs and children without a parent; no join is needed.  The report is ``(table_name, check_name, violations)``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.schemas import FOREIGN_KEYS, PRIMARY_KEYS
 
+CHILD, PARENT = 0, 1
 
-def _row(df: DataFrame, table: str, check: str) -> DataFrame:
-    """``df`` is an aggregate with a single ``violations`` column."""
-    return df.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-                     F.col("violations").cast("bigint").alias("violations"))
 
+def _constraints(tables: Mapping[str, DataFrame]) -> list[tuple]:
+    """(name of the check, child table, its columns, parent table, its columns); no parent: a primary key."""
+    out = [("key", t, PRIMARY_KEYS[t], None, ()) for t in tables if t in PRIMARY_KEYS]
+    out += [(f"orphan_{'_'.join(cols)}", child, cols, parent, pcols) for child, cols, parent, pcols in FOREIGN_KEYS
+            if child in tables and parent in tables]
+    return [c for c in out if set(c[2]) <= set(tables[c[1]].columns) and (c[3] is None or set(c[4]) <= set(tables[c[3]].columns))]
 
-def orphans(child: DataFrame, cols, parent: DataFrame, pcols) -> DataFrame:
-    """Child rows (with all FK columns present) that have no parent row."""
-    p = parent.select(*[F.col(a).alias(b) for a, b in zip(pcols, cols)]).distinct()
-    c = child.select(*cols).where(F.greatest(*[F.col(x).isNull() for x in cols]) == F.lit(False)) \
-        if len(cols) > 1 else child.select(*cols).where(F.col(cols[0]).isNotNull())
-    return c.join(p, list(cols), "left_anti").agg(F.count(F.lit(1)).alias("violations"))
 
+def _key(cols) -> Column:
+    return F.array(*[F.col(c).cast("string") for c in cols])
 
-def key_checks(df: DataFrame, keys, table: str) -> DataFrame:
-    """Duplicate-key and NULL-key counts of one table in a single pass: one grouping by the key
-    (partial aggregation per task), then one global aggregate over the groups."""
-    anynull = None
-    for k in keys:
-        c = F.col(k).isNull()
-        anynull = c if anynull is None else (anynull | c)
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    a = g.agg(F.count_if(F.col("n") > 1).alias("dup"),
-              F.coalesce(F.sum(F.when(anynull, F.col("n"))), F.lit(0)).alias("nul"))
-    rows = F.array(F.struct(F.lit("duplicate_key").alias("check_name"), F.col("dup").alias("violations")),
-                   F.struct(F.lit("null_key").alias("check_name"), F.col("nul").alias("violations")))
-    return a.select(F.lit(table).alias("table_name"), F.inline(rows)).select(
-        "table_name", "check_name", F.col("violations").cast("bigint").alias("violations"))
+
+def key_rows(tables: Mapping[str, DataFrame], constraints: list[tuple]) -> DataFrame:
+    """One row per row of a table and constraint it takes part in: number of the constraint, key, side."""
+    parts = []
+    for name, df in tables.items():
+        made = [F.struct(F.lit(i).alias("no"), _key(cols).alias("key"), F.lit(side).alias("side"))
+                for i, (_, child, ccols, parent, pcols) in enumerate(constraints)
+                for table, cols, side in ((child, ccols, CHILD), (parent, pcols, PARENT)) if table == name]
+        if made:
+            parts.append(df.select(F.inline(F.array(*made))))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def quality_report(tables: Mapping[str, DataFrame], extra: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Run every applicable check over ``tables`` (name -> DataFrame).  ``extra`` adds
     precomputed ``violations`` aggregates keyed by ``"table:check"``."""
-    parts: list[DataFrame] = []
-    for name, df in tables.items():
-        keys = PRIMARY_KEYS.get(name)
-        if not keys or any(k not in df.columns for k in keys):
-            continue
-        parts.append(key_checks(df, keys, name))
-    for child, cols, parent, pcols in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            c, p = tables[child], tables[parent]
-            if all(x in c.columns for x in cols) and all(x in p.columns for x in pcols):
-                parts.append(_row(orphans(c, cols, p, pcols), child, f"orphan_{'_'.join(cols)}"))
+    constraints = _constraints(tables)
+    groups = key_rows(tables, constraints).groupBy("no", "key").agg(
+        F.count_if(F.col("side") == CHILD).alias("n"), F.count_if(F.col("side") == PARENT).alias("parents"))
+    null = F.exists("key", lambda x: x.isNull())
+    found = groups.groupBy("no").agg(
+        F.count_if(F.col("n") > 1).alias("duplicate"), F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("missing"),
+        F.coalesce(F.sum(F.when(~null & (F.col("parents") == 0), F.col("n"))), F.lit(0)).alias("orphan"))
+    checks = [(i, child, name, measure) for i, (check, child, _, _, _) in enumerate(constraints)
+              for name, measure in ((("duplicate_key", "duplicate"), ("null_key", "missing")) if check == "key" else ((check, "orphan"),))]
+    named = F.inline(F.array(*[F.struct(F.lit(i).alias("check_no"), F.lit(t).alias("table_name"), F.lit(n).alias("check_name"),
+                                        F.lit(m).alias("measure")) for i, t, n, m in checks]))
+    value = F.coalesce(*[F.when(F.col("measure") == m, F.col(m)) for m in ("duplicate", "missing", "orphan")], F.lit(0))
+    # tables without rows have no group: their checks are there with nothing found
+    wanted = groups.sparkSession.range(1).select(named)
+    out = wanted.join(found, F.col("check_no") == F.col("no"), "left").select("table_name", "check_name", value.cast("bigint").alias("violations"))
     for key, agg in (extra or {}).items():
         t, chk = key.split(":", 1)
-        parts.append(_row(agg, t, chk))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(agg.select(F.lit(t).alias("table_name"), F.lit(chk).alias("check_name"),
+                                         F.col("violations").cast("bigint").alias("violations")))
     return out
 
 

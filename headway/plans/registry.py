@@ -329,21 +329,32 @@ def _report_route_order(spark, d):
     return reports.numbered(out, [*numeric_first_order("route_name"), F.col("route_id")])
 
 
-def _dim_loaded(table: str) -> Query:
+def _dim_loaded(table: str, beside: str | None = None) -> Query:
     """One schedule table with every version landed as GTFS files and loaded, by value."""
     def query(spark, d):
         from headway.plans import static
         from headway.sources.gtfs_static import version_dirs
 
-        root = _publish_gtfs(spark, d, ("feed_info", table.removeprefix("dim_")))
+        root = _publish_gtfs(spark, d, ("feed_info", beside or table.removeprefix("dim_")))
         warehouse = scratch_path(spark, "static")
         for name in version_dirs(spark, root):
             paths = static.load_static_version(spark, f"{root}/{name}", warehouse)
-        return sinks.read_table(spark, paths[table], schema(table)).drop("ingested_at")
+        rows = sinks.read_table(spark, paths[table], schema(table)).drop("ingested_at")
+        if beside is not None:
+            other = sinks.read_table(spark, paths[f"dim_{beside}"], schema(f"dim_{beside}"))
+            counts = other.groupBy("feed_start_date").agg(F.count(F.lit(1)).alias(f"n_{beside}"))
+            rows = rows.join(counts, "feed_start_date")
+        return rows
 
     return query
 
 
+def _static_feed_info(spark, d):
+    """Every published version with the collection time of its folder, and the stops it was loaded with."""
+    info = _dim_loaded("dim_static_versions", "stops")(spark, d)
+    return info.withColumn("collected_at", F.col("collected_at").cast("timestamp_ntz"))
+
+
 def _union_distinct(spark, d):
     m = _m(spark, d)
     return marts.service_union(m.t.dim_calendar, m.t.dim_calendar_dates, m.t.dim_static_versions, m.service_days,
@@ -414,6 +425,7 @@ def registry() -> dict[str, Query]:
         # schedule (GTFS static) load
         "static_dims": _static_dims,
         "static_stop_times": _static_stop_times,
+        "static_feed_info": _static_feed_info,
         **{f"static_{t}": _dim_loaded(f"dim_{t}")
            for t in ("agency", "routes", "stops", "trips", "calendar", "calendar_dates")},
     }

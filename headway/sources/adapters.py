@@ -1,7 +1,7 @@
 """Adapters: shape the driver's generic tables (``events``, ``supplier``, ``nation``) into the
 transit tables the plans consume (schedule dimensions, realtime snapshot tables).
 
-Every frame is a lazy plan over the parquet files, so work grows with ``events`` and
+Every frame is a lazy plan over the parquet files, so work grows with ``events``, ``customer``, ``orders`` and
 ``supplier``.  The mapping is a fixture contract shared with the SQL oracle; the values below are
 fixed by that contract.
 """
@@ -18,9 +18,8 @@ from headway.functions.time import ntz_epoch_seconds
 # Schedule version start dates (the first precedes all events).
 VERSION_DATES = ("2023-12-15", "2024-01-11", "2024-01-21")
 
-# Calendar services -> (weekdays flag, weekend flag).
-# S0 weekdays, S1 weekends, S2 daily, S3 exceptions only.
-CALENDAR_SERVICES = (("S0", True, False), ("S1", False, True), ("S2", True, True), ("S3", False, False))
+# Number of services, and the calendar's validity.
+SERVICES = 4
 CALENDAR_START, CALENDAR_END = "2023-12-01", "2024-01-28"
 
 # Calendar exceptions (service_id, date, exception_type: 1 added, 2 removed).
@@ -145,23 +144,30 @@ class TransitData:
 
     @cached_property
     def dim_calendar(self) -> DataFrame:
-        svc = F.array(*[F.struct(F.lit(sid).alias("service_id"), F.lit(wd).alias("wd"), F.lit(we).alias("we"))
-                        for sid, wd, we in CALENDAR_SERVICES])
-        cal = self.dim_static_versions.select("feed_start_date", F.inline(svc))
-        return cal.select(
-            "feed_start_date", "service_id",
-            *[F.col("wd").alias(d) for d in ("monday", "tuesday", "wednesday", "thursday", "friday")],
-            F.col("we").alias("saturday"), F.col("we").alias("sunday"),
+        """The services that trips (customers) refer to: S0 runs on weekdays, S1 on weekends, S2 daily, S3 by exception."""
+        n = F.col("n")
+        services = self._read("customer").select((F.col("c_custkey") % SERVICES).alias("n")).distinct()
+        return services.select(
+            _explode_versions().alias("feed_start_date"), F.concat(F.lit("S"), n.cast("string")).alias("service_id"),
+            *[n.isin(0, 2).alias(d) for d in ("monday", "tuesday", "wednesday", "thursday", "friday")],
+            *[n.isin(1, 2).alias(d) for d in ("saturday", "sunday")],
             F.lit(CALENDAR_START).cast("date").alias("start_date"),
             F.lit(CALENDAR_END).cast("date").alias("end_date"),
         )
 
     @cached_property
     def dim_calendar_dates(self) -> DataFrame:
+        """An exception per service and day with orders of its customers (added or removed by the day's parity), and the
+        fixed ones."""
         exc = F.array(*[F.struct(F.lit(sid).alias("service_id"), F.lit(d).cast("date").alias("date"),
                                  F.lit(et).cast("int").alias("exception_type"))
                         for sid, d, et in CALENDAR_EXCEPTIONS])
-        return self.dim_static_versions.select("feed_start_date", F.inline(exc))
+        n, day = F.col("o_custkey") % SERVICES, F.col("o_orderdate").cast("date")
+        ordered = self._read("orders").select(n.alias("n"), day.alias("date")).distinct().select(
+            F.concat(F.lit("S"), F.col("n").cast("string")).alias("service_id"), "date",
+            (F.dayofmonth("date") % 2 + 1).cast("int").alias("exception_type"))
+        fixed = self.spark.range(1).select(F.inline(exc))
+        return ordered.unionByName(fixed).select(_explode_versions().alias("feed_start_date"), "*")
 
     @cached_property
     def raw_vehicle_positions(self) -> DataFrame:
