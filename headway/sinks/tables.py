@@ -122,17 +122,47 @@ def _commit(spark: SparkSession, path: str, before: Manifest | None, slices: dic
         now = current_manifest(spark, base)                 # unless those after it are damaged
         if before is None or now is None or now.number != before.number:
             raise RuntimeError(f"{path}: another writer added manifest {newest}; nothing was applied")
-    fs, made = _fs(spark, f"{base}/.{MANIFEST}.{uuid.uuid4().hex}")
+    _add_record(spark, path, MANIFEST, newest + 1, {"slices": slices, "schema": schema.jsonValue(), "buckets": buckets})
+
+
+def _add_record(spark: SparkSession, path: str, prefix: str, number: int, record: dict) -> None:
+    """Add the numbered file of a JSON record: renamed into place whole, an error if the number is taken."""
+    base = path.rstrip("/")
+    fs, made = _fs(spark, f"{base}/.{prefix}.{uuid.uuid4().hex}")
     out = fs.create(made, False)
     try:
-        out.write(bytearray(json.dumps({"slices": slices, "schema": schema.jsonValue(), "buckets": buckets}).encode("utf-8")))
+        out.write(bytearray(json.dumps(record).encode("utf-8")))
     finally:
         out.close()
-    _, final = _fs(spark, f"{base}/{MANIFEST}-{newest + 1:012d}")
+    _, final = _fs(spark, f"{base}/{prefix}-{number:012d}")
     if fs.exists(final) or not fs.rename(made, final):
         raise RuntimeError(f"{path}: another writer added {final.getName()}; nothing was applied")
 
 
+def newest_record(spark: SparkSession, path: str, prefix: str) -> tuple[int, dict] | None:
+    """Number and content of the newest record of a kind."""
+    names = _names(spark, path.rstrip("/"), f"{prefix}-")
+    return (int(names[-1].rsplit("-", 1)[1]), json.loads(_read_text(spark, f"{path.rstrip('/')}/{names[-1]}"))) if names else None
+
+
+def add_record(spark: SparkSession, path: str, prefix: str, record: dict) -> None:
+    last = newest_record(spark, path, prefix)
+    _add_record(spark, path, prefix, last[0] + 1 if last else 0, record)
+
+
+def changed_slices(spark: SparkSession, path: str, since: int | None) -> set[str]:
+    """Slices that another file set holds now than under manifest ``since``, or that came or went; all, if there was
+    none or it is gone."""
+    now = current_manifest(spark, path)
+    held = now.slices if now is not None else {}
+    old: dict[str, str] = {}
+    if since is not None:
+        name = f"{path.rstrip('/')}/{MANIFEST}-{since:012d}"
+        if path_exists(spark, name):
+            old = json.loads(_read_text(spark, name))["slices"]
+    return {s for s in {*held, *old} if held.get(s) != old.get(s)}
+
+
 def _new_set() -> str:
     return f"{_dt.datetime.now(_dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:8]}"
 

@@ -96,3 +96,52 @@ def test_daily_jobs_end_to_end(spark, tmpdir_path):
     before = _snap(wh)
     _run(wh, gtfs, rt)  # re-running the same day replaces the same slices
     assert _snap(wh) == before
+
+
+def _sets(wh, table):
+    from headway.sinks import tables as sinks
+
+    m = sinks.current_manifest(wh.spark, wh.path(table))
+    return dict(m.slices) if m else {}
+
+
+def _position(rt, day, hour, n, occ):
+    """One poll of day ``day`` (trip of that day) at ``hour``."""
+    d = dt.date.fromisoformat(day)
+    m = FeedMessage()
+    m.header.gtfs_realtime_version = "2.0"
+    m.header.timestamp = int(dt.datetime(d.year, d.month, d.day, hour + 5, n, tzinfo=dt.timezone.utc).timestamp())
+    v = m.entity.add(id=f"v{n}").vehicle
+    v.trip.trip_id, v.trip.route_id, v.trip.start_date = "T1", "R1", d.strftime("%Y%m%d")
+    v.current_stop_sequence, v.stop_id, v.occupancy_percentage, v.timestamp = 2, "P2", occ, m.header.timestamp
+    v.current_status = enum_number("VehicleStopStatus", "STOPPED_AT")
+    _w(f"{rt}/vehicle_positions/dt={day}/hour={hour:02d}/snapshot_{d:%Y%m%d}_{hour:02d}{n:02d}00.pb", m.SerializeToString(), "wb")
+
+
+def test_runs_build_what_became_due_and_what_late_slices_touch(spark, tmpdir_path):
+    gtfs, rt = _land(tmpdir_path + "/landing")
+    for day in ("2024-01-08", "2024-01-09", "2024-01-11", "2024-01-12"):
+        _position(rt, day, 9, 1, 30)
+    wh = daily.Warehouse(spark, tmpdir_path + "/warehouse")
+    d = lambda n: dt.date(2024, 1, n)
+    plan = daily.run(wh, rt, gtfs, "2024-01-10")                       # loads the 9th, builds the 8th
+    assert plan.trip_days == (d(8),) and plan.service_days == (d(8),)
+    plan = daily.run(wh, rt, gtfs, "2024-01-11")                       # loads the 10th, builds the 9th
+    assert plan.trip_days == (d(9),)
+    assert [r.service_date for r in wh.read("metric_occupancy_route_hour").collect()] == [d(9)]
+    plan = daily.run(wh, rt, gtfs, "2024-01-14")                       # two runs were missed: their days come too
+    assert set(plan.trip_days) == {d(10), d(11), d(12)}
+    occupancy = {r.service_date: r.avg_occupancy_pct for r in wh.read("metric_occupancy_route_hour").collect()}
+    assert set(occupancy) == {d(9), d(10), d(11), d(12)} and occupancy[d(11)] == 30
+    before = {t: _sets(wh, t) for t in ("fact_vehicle_positions", "metric_stop_events", "metric_occupancy_route_hour")}
+    _position(rt, "2024-01-11", 10, 2, 90)                             # lands late, and its RAW slice is loaded again
+    daily.load_realtime(wh, rt, "vehicle_positions", ["2024-01-11"])
+    plan = daily.plan_run(wh, "2024-01-14")
+    assert plan.trip_days == (d(10), d(11)) and plan.service_days == (d(11),) and plan.alert_days == ()
+    daily.build_facts(wh, plan.trip_days, plan.alert_days)
+    daily.build_marts(wh, plan.trip_days, plan.service_days, plan.alert_days)
+    changed = {t: {k for k in {*before[t], *_sets(wh, t)} if before[t].get(k) != _sets(wh, t).get(k)} for t in before}
+    assert changed["fact_vehicle_positions"] == {"trip_start_date=2024-01-10", "trip_start_date=2024-01-11"}
+    assert changed["metric_occupancy_route_hour"] == {"service_date=2024-01-11"}
+    occ = [(r.hour, r.avg_occupancy_pct) for r in wh.read("metric_occupancy_route_hour").where("service_date = '2024-01-11'").collect()]
+    assert sorted(occ) == [(9, 30), (10, 90)]
