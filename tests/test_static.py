@@ -72,3 +72,31 @@ def test_load_replaces_only_its_version(spark, tmpdir_path):
     routes = sinks.read_table(spark, paths["dim_routes"], schema("dim_routes"))
     counts = {r.feed_start_date: r[1] for r in routes.groupBy("feed_start_date").count().collect()}
     assert counts == {dt.date(2024, 1, 10): 2, dt.date(2024, 1, 15): 2}
+
+
+def test_multi_line_file_in_splits_equals_the_whole_read(spark, tmpdir_path):
+    """Fields over several lines, quotes, blank lines; cut into many splits, each read by a task of its own."""
+    import random
+
+    rng = random.Random(2)
+    words = ["a", "b c", 'say ""hi""', "line\nbreak", "x,y", "\n\n", "", "end\r\nof", '""', "ö" * 5]
+    rows = []
+    for i in range(900):
+        fields = [f'"{rng.choice(words)}{i}"' if rng.random() < 0.5 else str(rng.randint(0, 99)) for _ in range(3)]
+        rows.append(",".join([f"T{i}", *fields]) + ("\n" if rng.random() < 0.05 else ""))
+    long_ = '"' + "\n".join(f"row {i}, still the same field" for i in range(400)) + '"'
+    rows.insert(450, f"LONG,{long_},,1")
+    _w(f"{tmpdir_path}/v/stop_times.txt", "trip_id,a,b,c\n" + "\n".join(rows) + "\n")
+    path = f"{tmpdir_path}/v/stop_times.txt"
+    want = (spark.read.option("header", "true").option("quote", '"').option("escape", '"').option("multiLine", "true").csv(path))
+    key = lambda df: sorted(map(str, df.collect()))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = gtfs_static.read_gtfs_csv(spark, path)
+        assert gtfs_static._lines(spark, path).select("block").distinct().count() > 8
+        assert got.columns == want.columns and key(got) == key(want)
+        assert got.where("trip_id = 'LONG'").first().a.count("\n") == 399
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert key(gtfs_static.read_gtfs_csv(spark, path)) == key(want)
