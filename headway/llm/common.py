@@ -153,6 +153,20 @@ class WordMemo:
         return out
 
 
+_LASTING: list = []
+
+
+def lasting(memo):
+    """A memo that a Python worker keeps from task to task, until other work in it asks for its memory."""
+    _LASTING.append(memo)
+    return memo
+
+
+def release_memos() -> None:
+    for memo in _LASTING:
+        memo.reset()
+
+
 def sum_blocks(parts: DataFrame) -> DataFrame:
     """``(name, block, counts)`` with equally long little-endian int64 blocks -> their sums per (name,
     block).  Rows are streamed, a task holds one running block per name and block."""

@@ -44,7 +44,7 @@ FROM queue, cut
 
 PREFERENCE_SQL = """
 WITH t AS (
-  SELECT DISTINCT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, ((conv_id % 2) + 2) % 2 AS side, turn,
+  SELECT DISTINCT (conv_id - ((conv_id % 2) + 2) % 2) // 2 AS pair_id, ((conv_id % 2) + 2) % 2 AS side, turn,
          coalesce(role, '') AS role, coalesce(text, '') AS text
   FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side, turn ORDER BY role, text) AS nth FROM t),

@@ -70,7 +70,7 @@ def format_pairs(turns: DataFrame) -> DataFrame:
 def neighbours_as_pairs(conversations: DataFrame) -> DataFrame:
     """Conversations 2p (chosen) and 2p + 1 (rejected) become pair p."""
     return conversations.select(
-        F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.pmod(F.col("conv_id"), F.lit(2)) == 0).alias("chosen"),
+        F.shiftright(F.col("conv_id").cast("long"), 1).alias("pair_id"), (F.pmod(F.col("conv_id"), F.lit(2)) == 0).alias("chosen"),
         "turn", "role", "text")
 
 

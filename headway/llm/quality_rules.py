@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.common import prepare, rows_of, stored, unpack
+from headway.llm.common import prepare, release_memos, rows_of, stored, unpack
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -102,6 +102,7 @@ def measures(docs: DataFrame, keep: list[Column | str]) -> DataFrame:
         schema = schema.add(c, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memos()
         for b in batches:
             yield _measured(b.columns[:-1], b.schema.names[:-1], b.column(b.num_columns - 1))
 
@@ -116,6 +117,7 @@ def measured_rows(docs: DataFrame) -> DataFrame:
         schema = schema.add(c, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memos()
         for b in batches:
             yield _measured(b.columns, b.schema.names, b.column(0).field("text"))
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import prepare, rows_of, stored, unpack
+from headway.llm.common import prepare, release_memos, rows_of, stored, unpack
 from headway.llm.components import connected_components
 
 SHINGLE = 4
@@ -75,6 +75,7 @@ def fingerprints(docs: DataFrame, keep: list, shingle: int = SHINGLE) -> DataFra
     schema = part.drop("__text").schema.add("fp", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memos()
         for b in batches:
             texts = b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64)

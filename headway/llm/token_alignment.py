@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import prepare, stored
+from headway.llm.common import lasting, prepare, stored
 from headway.llm.tokens import _byte_letters
 
 CHUNK_LINKS = 1_500_000     # links after which a chunk closes
@@ -228,7 +228,7 @@ def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 @lru_cache(2)
 def pair(path_a: str, path_b: str) -> Pair:
-    return Pair(path_a, path_b)
+    return lasting(Pair(path_a, path_b))
 
 
 def _text(raw: bytes | None) -> str:

@@ -15,6 +15,8 @@ from itertools import chain, repeat
 
 import numpy as np
 
+from headway.llm.common import lasting
+
 MEMO_WORDS = 500_000
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"   # all ASCII marks but the apostrophe (contractions)
 LAST_LEAD = 0xC8      # first UTF-8 byte of the last code points taken as plain letters (below U+0240)
@@ -156,4 +158,4 @@ def _byte_level(piece: str) -> str:
 
 @lru_cache(2)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return lasting(WordEncoder(path))

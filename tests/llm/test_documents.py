@@ -388,3 +388,15 @@ def test_language_odd_rows(spark, odd_documents, no_documents):
     assert {r.lang_pred for r in rows if r.doc_id in (3, 4, 5, 8)} == {"und"}
     assert {r.lang_pred for r in language.language_report(odd_documents.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language.language_report(no_documents).count() == 0
+
+
+def test_quality_model_learns_from_a_bounded_number_of_rows(spark, monkeypatch):
+    """One labelled doc_id that stands for most rows: no more than the sample reaches the driver."""
+    seen = []
+    fit = quality_model.Network.fit
+    monkeypatch.setattr(quality_model.Network, "fit", lambda self, x, y: seen.append(len(x)) or fit(self, x, y))
+    rows = [(7, f"good words number {i} in a text") for i in range(3000)] + [(i, f"bad! {i} $$") for i in range(100, 140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(100, 140)], "doc_id long, quality int")
+    got = quality_model.quality_scores(docs, labels, [F.col("doc_id")], F.lit(True), sample=100).collect()
+    assert len(got) == len(rows) and seen == [100]

@@ -179,3 +179,13 @@ def test_operators_do_not_use(word):
     files = [os.path.join(root, "corpus_pipeline.py"), *(os.path.join(root, "headway", "llm", f) for f in os.listdir(
         os.path.join(root, "headway", "llm")) if f.endswith(".py"))]
     assert not [f for f in files if word in open(f).read()]
+
+
+def test_pairs_of_large_conversation_ids(spark):
+    """Ids beyond 2^53, where doubles have no odd numbers, and negative ones."""
+    from headway.llm import preferences
+
+    rows = [(c, 0, "user", f"hi {c}") for c in (2**53 + 2, 2**53 + 3, 2**62 + 1, -1, -2, -3, 0, 1)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {r.text: (r.pair_id, r.chosen) for r in preferences.neighbours_as_pairs(df).collect()}
+    assert got == {f"hi {c}": (c // 2, c % 2 == 0) for c, *_ in rows}
