@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from headway.llm import tokens
 from headway.llm.common import prepare, stored
 
+TEXTS = 500            # texts that are encoded together
 CAPACITY = 2048
 GROUPS = 64
 SMALL_PART = 8        # lengths up to capacity / SMALL_PART are small
@@ -214,8 +215,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
         enc, task = tokens.encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                b = whole.slice(at, 2000)
+            for at in range(0, whole.num_rows, TEXTS):
+                b = whole.slice(at, TEXTS)
                 flat, bound = enc.encode([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()])
                 size = np.diff(bound)
                 cut = -(-size // capacity)
