@@ -27,6 +27,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +41,13 @@ from headway.llm.common import prepare, stored
 K = 20
 SAMPLE = 20_000        # vectors that the centroids are fitted on
 LIST_ROWS = 400        # aimed at vectors per list
-MAX_LISTS = 4096       # centroids in memory; beyond LIST_ROWS x MAX_LISTS vectors lists grow in blocks
+MAX_LISTS = 4096       # lists of the first level: centroids that every task holds
+SPLIT_ROWS = 8 * LIST_ROWS  # first-level lists expected to be longer are split into lists of LIST_ROWS by an index of their own
+SUB_SAMPLE = 16_000    # vectors of a long list that its index is fitted on, about
+SUB_RECALL = 0.995     # as RECALL, for the index of a long list: two levels lose neighbours one after the other
+SALTS = 16             # tasks that a long list's vectors are dealt in
 REPLICA = 1.05
-REPLICAS = 4
+REPLICAS = 4           # lists of a vector at most; part of the index that the pruning ratio is measured with
 RECALL = 0.97          # share of exact neighbours, within the sample, that the visited lists must hold
 PROBES = 256           # queries of the sample on which the pruning ratio is set
 BLOCK_ROWS = 512
@@ -167,7 +172,7 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(float) if n else np.zeros((0, 0))
 
 
-def build_lists(distinct: DataFrame, sample: int = SAMPLE, list_rows: int = LIST_ROWS) -> Lists | None:
+def build_lists(distinct: DataFrame, sample: int = SAMPLE, list_rows: int = LIST_ROWS, max_lists: int = MAX_LISTS) -> Lists | None:
     """Centroids fitted on the ``sample`` distinct vectors of smallest hash."""
     n, longest = distinct.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate(
         "v", F.lit(0.0), lambda a, x: a + x * x)))).first()
@@ -175,20 +180,95 @@ def build_lists(distinct: DataFrame, sample: int = SAMPLE, list_rows: int = LIST
         return None
     rows = distinct.orderBy(F.xxhash64("least"), "least").limit(sample).select("v").toPandas()["v"]
     x = np.stack([np.asarray(v, float) for v in rows])
-    lists = int(min(MAX_LISTS, max(1, round(n / list_rows)), max(1, len(x) // 4)))
+    lists = int(min(max_lists, max(1, round(n / list_rows)), max(1, len(x) // 4)))
     longest = longest * (1 + 1e-9)
+    out = index_of(x, lists, longest)
+    out.share = np.bincount(out.assign(x)[1], minlength=lists) / len(x) * n      # expected vectors per list
+    return out
+
+
+def index_of(x: np.ndarray, lists: int, longest: float, recall: float = RECALL, k: int = K) -> Lists:
+    """An index with ``lists`` centroids over vectors like ``x``, and its pruning ratio."""
     lifted = np.concatenate([x, np.sqrt(np.maximum(longest ** 2 - (x * x).sum(axis=1), 0))[:, None]], axis=1)
     out = Lists(fit_centroids(lifted, lists), longest)
-    out.prune = out.calibrate(x)
+    out.prune = out.calibrate(x, recall, k)
     return out
 
 
+def split_lists(dealt: DataFrame, big: dict[int, tuple[float, float]], list_rows: int, sub_sample: int = SUB_SAMPLE) -> DataFrame:
+    """``(list, index)``: an index of its own for each of the long lists ``big`` (number -> expected vectors, longest
+    vector), fitted in parallel on a bounded sample of the list's vectors."""
+    import pandas as pd
+
+    spark = dealt.sparkSession
+    parts = 1 << 30
+    wanted = spark.createDataFrame([(i, min(parts, int(parts * sub_sample / size))) for i, (size, _) in big.items()],
+                                   "list long, below long")
+    some = dealt.join(wanted, "list").where(F.pmod(F.xxhash64("id"), F.lit(parts)) < F.col("below")).select("list", "id", "row")
+
+    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        size, longest = big[int(key[0])]
+        rows = rows.sort_values("id").drop_duplicates("id").iloc[:2 * sub_sample]
+        x = np.stack([np.frombuffer(r, "<f8") for r in rows["row"]])
+        lists = max(1, min(round(size / list_rows), len(x) // 4))
+        near = max(1, round(K * len(x) / max(size, len(x))))          # so many of the k nearest are in the sample
+        index = index_of(x, lists, longest, SUB_RECALL, near)
+        return pd.DataFrame({"list": [key[0]], "index": [pickle.dumps(index)]})
+
+    return stored(some.groupBy("list").applyInPandas(fit, "list long, index binary"), "ann-sub-lists")
+
+
+def deal_again(dealt: DataFrame, indexes: DataFrame, kind: str) -> DataFrame:
+    """Rows of long lists in the lists of their own index, numbered ``list * 2^32 + own number``; other rows as they are.
+
+    A long list is dealt in ``SALTS`` tasks; each reads the index once, before its rows."""
+    salted = dealt.select("list", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(None).cast("binary").alias("index"),
+                          "id", "row")
+    with_index = indexes.select("list", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "index",
+                                F.lit(None).cast("long").alias("id"), F.lit(None).cast("binary").alias("row"))
+    both = salted.unionByName(with_index).repartition("list", "salt").sortWithinPartitions("list", "salt", F.col("index").isNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, index = None, None
+        held: list[tuple[int, bytes]] = []
+
+        def close() -> pa.RecordBatch:
+            ids = np.array([i for i, _ in held], np.int64)
+            v = np.stack([np.frombuffer(r, "<f8") for _, r in held]) if index is not None else None
+            if index is None:
+                rows, own = np.arange(len(held)), np.zeros(len(held), np.int64)
+            elif kind == "rows":
+                rows, own = index.assign(v)
+            else:
+                visited = [index.visit(x, index.prune) for x in v]
+                rows, own = np.repeat(np.arange(len(v)), [len(x) for x in visited]), np.concatenate(visited)
+            return pa.RecordBatch.from_arrays([pa.array((at[0] << 32) + own, pa.int64()), pa.array(ids[rows]),
+                                               pa.array([held[i][1] for i in rows.tolist()], pa.binary())], names=["list", "id", "row"])
+
+        for b in batches:
+            for number, salt, raw, i, row in zip(*(c.to_pylist() for c in b.columns)):
+                if held and ((number, salt) != at or len(held) >= 4096):
+                    yield close()
+                    held = []
+                if (number, salt) != at:
+                    at, index = (number, salt), None
+                if raw is not None:
+                    index = pickle.loads(raw)
+                else:
+                    held.append((i, row))
+        if held:
+            yield close()
+
+    return both.mapInArrow(run, "list long, id long, row binary")
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding",
-           prune: float | None = None, sample: int = SAMPLE) -> DataFrame:
+           prune: float | None = None, sample: int = SAMPLE, list_rows: int = LIST_ROWS, max_lists: int = MAX_LISTS,
+           split_rows: int = SPLIT_ROWS, sub_sample: int = SUB_SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every query row, by inner product.
     ``prune`` is the distance ratio up to which lists are visited; measured on the sample if not given."""
     spark = prepare(vectors.sparkSession)
-    rows = usable(vectors, id_col, vec_col)
+    rows = usable(vectors, id_col, vec_col).distinct()       # repeated rows are combined before the shuffle
     # distinct vectors with the k + 1 smallest ids: enough for any answer, ties go to the smaller id
     # (a vector with a third of all rows is one group, so ids are first cut down per salt)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
@@ -204,9 +284,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     by_width: dict[int, tuple[Lists, int]] = {}
     used = 0
     for w in widths:
-        own = build_lists(distinct.where(F.size("v") == w), sample)
+        own = build_lists(distinct.where(F.size("v") == w), sample, list_rows, max_lists)
         by_width[w] = own, used
         used += len(own.c)
+    big = {first + i: (float(size), own.longest) for own, first in by_width.values()
+           for i, size in enumerate(own.share.tolist()) if size > split_rows}
     wanted = vectors.where(is_query).select(F.col(id_col), F.col(vec_col))
     asked = usable(wanted, id_col, vec_col).distinct().withColumnRenamed("id", "query_id")
     # queries with one vector are asked once
@@ -227,7 +309,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
                     visited = [lists.visit(x, lists.prune if prune is None else prune) for x in v]
                     r, at = np.repeat(np.arange(len(v)), [len(x) for x in visited]), np.concatenate(visited)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(at + first, pa.int32()), b.column(0).take(pa.array(mine[r])),
+                    [pa.array(at + first, pa.int64()), b.column(0).take(pa.array(mine[r])),
                      pa.array([x.tobytes() for x in v[r].astype("<f8")], pa.binary())], names=["list", "id", "row"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +318,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
 
         def close() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
+                [pa.array([now], pa.int64()), pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
                  pa.array([b"".join(rows)], pa.binary())], names=["list", "ids", "m"])
 
         for b in batches:
@@ -250,13 +332,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
         if ids:
             yield close()
 
-    def blocked(rows: DataFrame, kind: str) -> DataFrame:
-        dealt = rows.mapInArrow(lambda it: deal(it, kind), "list int, id long, row binary")
-        return dealt.repartition("list").sortWithinPartitions("list").mapInArrow(
-            blocks, "list int, ids binary, m binary")
+    def dealt(rows: DataFrame, kind: str) -> DataFrame:
+        return rows.mapInArrow(lambda it: deal(it, kind), "list long, id long, row binary")
+
+    def blocked(rows: DataFrame) -> DataFrame:
+        return rows.repartition("list").sortWithinPartitions("list").mapInArrow(blocks, "list long, ids binary, m binary")
 
-    postings = blocked(distinct.select("least", "v"), "rows")
-    questions = blocked(asked.dropDuplicates(["q"]).select("q", "v"), "queries")
+    postings = dealt(distinct.select("least", "v"), "rows")
+    questions = dealt(asked.dropDuplicates(["q"]).select("q", "v"), "queries")
+    if big:
+        postings = stored(postings, "ann-postings")
+        indexes = split_lists(postings, big, list_rows, sub_sample)
+        postings, questions = deal_again(postings, indexes, "rows"), deal_again(questions, indexes, "queries")
+    postings, questions = blocked(postings), blocked(questions)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The k + 1 best of every query among the lists of this task."""
@@ -278,10 +366,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
         for b in batches:
             for ids, m, qids, qm in zip(*(b.column(i).to_pylist() for i in range(4))):
                 ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
-                s = np.frombuffer(qm, "<f8").reshape(len(qids), -1) @ np.frombuffer(m, "<f8").reshape(len(ids), -1).T
+                x, y = np.frombuffer(qm, "<f8").reshape(len(qids), -1), np.frombuffer(m, "<f8").reshape(len(ids), -1)
+                s = x @ y.T
                 top = min(k + 1, len(ids))
                 cut = -np.partition(-s, top - 1, axis=1)[:, top - 1:top]
-                q, at = np.nonzero(s >= cut - 1e-12)           # all ties of the last place
+                # all ties of the last place, with what sums of this size are rounded by
+                slack = 1e-12 * np.sqrt((x * x).sum(1, keepdims=True)) * np.sqrt((y * y).sum(1).max())
+                q, at = np.nonzero(s >= cut - slack)
                 held.append((qids[q], ids[at], s[q, at]))
                 rows += len(q)
                 if rows > HELD_ROWS:

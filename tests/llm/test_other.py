@@ -106,6 +106,73 @@ def test_neighbours_odd_rows(spark):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def _clustered(n, seed=4, dim=12):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(40, dim)) * 2
+    return centres[rng.integers(0, 40, n)] + rng.normal(size=(n, dim))
+
+
+def test_neighbours_in_lists_of_lists(spark):
+    """Few first-level lists: long ones are split by indexes of their own, and recall holds."""
+    v = _clustered(6000)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in neighbours.search(df, F.col("vec_id") % 60 == 0, sample=2000, list_rows=60, max_lists=8, split_rows=200,
+                               sub_sample=600).collect():
+        assert r.score == pytest.approx(float(v[r.query_id] @ v[r.vec_id]), abs=1e-9)
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 6000, 60):
+        s = v @ v[q]
+        s[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-s)[:20].tolist()))
+    assert len(got) == 100 and hits / 2000 >= 0.95
+
+
+def test_lists_keep_their_length_with_four_times_the_vectors(spark):
+    """With the number of first-level lists held at eight, lists stay short and a query is scored against a part of what the
+    first level alone would give it."""
+    def measured(n):
+        v = _clustered(n)
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "least long, v array<double>")
+        own = neighbours.build_lists(df, sample=2000, list_rows=60, max_lists=8)
+        rows, at = own.assign(v)
+        asked = np.arange(0, n, n // 50)
+        seen = [own.visit(x, own.prune) for x in v[asked]]
+        frame = lambda lists, ids: spark.createDataFrame(
+            [(int(x), int(i), v[i].astype("<f8").tobytes()) for x, i in zip(lists, ids)], "list long, id long, row binary")
+        postings = frame(at, rows)
+        questions = frame(np.concatenate(seen), np.repeat(asked, [len(x) for x in seen]))
+        big = {i: (float(s), own.longest) for i, s in enumerate(own.share) if s > 200}
+        assert len(big) >= 4
+        index = neighbours.split_lists(postings, big, 60, 600)
+        p, q = (neighbours.deal_again(x, index, k).groupBy("list").count() for x, k in ((postings, "rows"), (questions, "queries")))
+        sizes = {r["list"]: r["count"] for r in p.collect()}
+        alone = np.bincount(at, minlength=8)
+        return (np.mean(list(sizes.values())), sum(r["count"] * sizes.get(r["list"], 0) for r in q.collect()) / len(asked),
+                sum(alone[x].sum() for x in seen) / len(asked))
+
+    for n in (4000, 16000):
+        length, both, first = measured(n)
+        assert length < 150 and both < 0.7 * first
+
+
+def test_neighbours_hot_row_and_ties_of_large_vectors(spark):
+    """A third of all rows are one row; equal scores of vectors of large norm go to the smaller id."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(60, 6)) * 1e8
+    rows = [(i, base[i % 60].tolist()) for i in range(300)] + [(20, base[20].tolist())] * 3000
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    got = {}
+    for r in neighbours.search(df, F.col("vec_id") % 20 == 0, prune=100.0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    v = np.stack([base[i % 60] for i in range(300)])
+    for q, near in got.items():
+        s = {i: sum(a * b for a, b in zip(v[q].tolist(), v[i].tolist())) for i in range(300) if i != q}
+        want = sorted(s, key=lambda i: (-s[i], i))[:20]
+        assert [i for _, i in sorted(near)] == want
+
+
 def test_neighbours_of_every_vector_length(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(size=5 if i % 3 == 0 else 8).tolist()) for i in range(300)]
