@@ -69,8 +69,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder (never a machine-local temp dir
     when the cluster names one)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return f"{base}/headway-{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -90,6 +88,8 @@ def ship_package(spark: SparkSession) -> None:
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     target = scratch_path(spark, "pyfiles")
+    if target.startswith("file:"):                     # a shared folder that every machine has mounted
+        target = "/" + target.removeprefix("file:").lstrip("/")
     if "://" in target:
         # shared storage is not writable with Python file I/O: build the archive on the driver;
         # addPyFile serves it to every executor through Spark's own file server

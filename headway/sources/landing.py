@@ -37,9 +37,9 @@ def store(root: str):
     """File system and path of a landing root (a local path or any URI that ``pyarrow.fs`` knows)."""
     from pyarrow import fs
 
-    if "://" in root or root.startswith("file:"):
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), root
+    if root.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + root.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
 
 
 def _folders(files, path: str, prefix: str) -> list[str]:
