@@ -232,12 +232,18 @@ def _score(net: Network):
 
 def train(pooled: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
     """A network for ``pooled(doc_id, pooled)`` rows with ``labels(doc_id, quality)``; at most ``sample``
-    labelled rows, taken in the order of a hash of the row (a labelled doc_id may stand for any number of rows)."""
+    labelled rows, taken by a hash of the row (a labelled doc_id may stand for any number of rows; rows equal in
+    doc_id and vector count once)."""
     marks = labels.where("doc_id is not null and quality is not null").select(
         F.col("doc_id").alias("__id"), (F.col("quality") > 0).cast("int").alias("y"))
-    marked = pooled.join(marks, F.col("doc_id") == F.col("__id")).select("pooled", "y", "doc_id")
-    order = F.xxhash64("doc_id", "pooled", "y")
-    rows = marked.orderBy(order, "doc_id", "y").limit(sample).toPandas().sort_values(["doc_id", "y"], kind="stable")
+    marked = stored(pooled.join(marks, F.col("doc_id") == F.col("__id")).select("pooled", "y", "doc_id").distinct(), "quality-marked")
+    n = marked.count()
+    if n > sample:                                     # about 0.95 x sample rows: the driver gets no more
+        order = F.pmod(F.xxhash64("doc_id", "pooled", "y"), F.lit(1 << 40))
+        marked = marked.where(order < int((1 << 40) * 0.95 * sample / n)).limit(sample)
+    rows = marked.toPandas()
+    rows["v"] = [tuple(v) for v in rows["pooled"]]
+    rows = rows.sort_values(["doc_id", "y", "v"])
     y = rows["y"].to_numpy(dtype=float)
     if len(np.unique(y)) < 2:
         return Network(float(y.mean()) if len(y) else 0.5)

