@@ -221,7 +221,7 @@ def test_model_sees_a_changed_folder(spark, tmpdir_path):
     from headway.plans.registry import registry
 
     folder = f"{tmpdir_path}/data"
-    for t in ("events", "supplier", "customer", "nation", "region"):
+    for t in ("events", "supplier", "customer", "orders", "nation", "region"):
         df = spark.read.parquet(f"{SMALL}/{t}.parquet")
         (df.where("ts >= timestamp_ntz'2024-01-10 00:00:00'") if t == "events" else df).write.parquet(f"{folder}/{t}.parquet")
     q = registry()["active_services"]
