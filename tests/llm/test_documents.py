@@ -479,8 +479,9 @@ def test_quality_model_learns_from_a_bounded_number_of_rows(spark, monkeypatch):
     seen = []
     fit = quality_model.Network.fit
     monkeypatch.setattr(quality_model.Network, "fit", lambda self, x, y: seen.append(len(x)) or fit(self, x, y))
-    rows = [(7, f"good words number {i} in a text") for i in range(3000)] + [(i, f"bad! {i} $$") for i in range(100, 140)]
+    word = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(3))
+    rows = [(7, f"good {word(i)} in a {word(7 * i)} text {word(i * i)}") for i in range(3000)] + [(i, f"bad! {word(i)} $$ {word(3 * i)}") for i in range(100, 1100)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(100, 140)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(100, 1100)], "doc_id long, quality int")
     got = quality_model.quality_scores(docs, labels, [F.col("doc_id")], F.lit(True), sample=100).collect()
     assert len(got) == len(rows) and 60 <= seen[0] <= 100 and len(seen) == 1
