@@ -265,3 +265,16 @@ def test_replaced_hours_are_first_written_whole(spark, monkeypatch):
     assert sorted((str(a), int(h), n) for a, h, n in met[0] if int(h) != 99) == [(str(a), int(h), n) for a, h, n in want]
     assert len(met) == 2 and [n for _, h, n in met[1] if int(h) == 99] == [1]
     assert out.where("hour = 99").count() == 0
+
+
+def test_thousands_of_hour_slices_are_replaced_by_one_switch(spark, tmpdir_path):
+    """Slices that also name other columns: the carried rows are found by a join, not by a condition per slice."""
+    path = f"{tmpdir_path}/t"
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int"))
+    old = spark.range(8_004).select(day.alias("day"), F.when(F.col("id") < 8_000, F.col("id") / 2).cast("int").alias("hour"), F.lit("old").alias("v"))
+    sinks.write_table(old, path, ["day"], ["hour"])
+    new = old.where("day = '2024-01-01' and hour < 3000 and hour % 2 = 0").withColumn("v", F.lit("new"))
+    sinks.replace_slices(new, path, ["day"], [{"day": "2024-01-01", "hour": h} for h in [*range(3_000), None]], ["hour"])
+    rows = {(str(r.day), r.v): (r.n, r.least, r.missing) for r in sinks.read_table(spark, path).groupBy("day", "v").agg(
+        F.count(F.lit(1)).alias("n"), F.min("hour").alias("least"), F.count_if(F.col("hour").isNull()).alias("missing")).collect()}
+    assert rows == {("2024-01-01", "new"): (1_500, 0, 0), ("2024-01-01", "old"): (1_000, 3_000, 0), ("2024-01-02", "old"): (4_002, 0, 2)}
