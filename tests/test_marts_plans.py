@@ -140,3 +140,25 @@ def test_added_trips_count_under_their_own_route_and_scheduled_ones_leave(spark)
     got = sorted((str(r.direction_id), r.scheduled_trips, r.delivered_trips, r.canceled_trips, r.no_rt_data_trips, r.added_trips)
                  for r in marts.mart_service_delivered(sched, tu).collect())
     assert got == [("0", 2, 1, 1, 0, 2), ("None", 2, 0, 0, 2, 1)]
+
+
+def _exploded_stop_times(spark, trips: int):
+    """Five stops per trip, made by exploding a small table (whose size the planner keeps as its estimate)."""
+    return spark.range(trips).select(F.lit(D0).alias("feed_start_date"), F.concat(F.lit("T"), F.col("id")).alias("trip_id"),
+                                     F.explode(F.sequence(F.lit(1), F.lit(5))).alias("stop_sequence")).select(
+        "*", F.lit("08:00:00").alias("arrival_time"), F.lit("08:00:00").alias("departure_time"), F.lit(28_800).alias("arrival_seconds"))
+
+
+def test_stop_times_meet_stop_events_by_shuffle(spark):
+    """The largest dimension is not sent whole to the driver and every task, however small its estimate."""
+    stopped = _ts(0)
+    fact = spark.createDataFrame(
+        [(D0, D0, 8, "T1", "R1", "P1", 2, stopped, "1", "STOPPED_AT", None, None, D0)],
+        "service_date date, trip_start_date date, hour int, trip_id string, route_id string, stop_id string, current_stop_sequence int, "
+        "position_timestamp timestamp_ntz, entity_id string, current_status string, occupancy_status string, "
+        "occupancy_percentage int, static_version_date date")
+    routes = spark.createDataFrame([(D0, "R1", "one", 3)], "feed_start_date date, route_id string, route_short_name string, route_type int")
+    out = marts.mart_stop_events(fact, _exploded_stop_times(spark, 100), routes)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[trip_id#\d+, stop_sequence#", plan), plan
+    assert [(r.trip_id, r.stop_sequence, r.scheduled_arrival_seconds) for r in out.collect()] == [("T1", 2, 28_800)]
