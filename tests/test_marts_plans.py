@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from headway.operators import active_on_dates, daily_totals, union_of_days
 from headway.plans import marts
 from headway.plans.model import TransitModel
+from headway.plans.registry import registry
 
 SMALL = "/root/testdata/sf0.001"
 D0 = dt.date(2024, 1, 1)
@@ -162,3 +163,25 @@ def test_stop_times_meet_stop_events_by_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"SortMergeJoin \[trip_id#\d+, stop_sequence#", plan), plan
     assert [(r.trip_id, r.stop_sequence, r.scheduled_arrival_seconds) for r in out.collect()] == [("T1", 2, 28_800)]
+
+
+def _folder(spark, path, events, customers, suppliers=(4,)):
+    """Driver tables of a few own rows, one file each."""
+    when = "timestamp_ntz"
+    for name, rows, ddl in (("events", events, f"event_id bigint, ts {when}, user_id bigint, event_type string, value double, props string"),
+                            ("customer", [(n,) for n in customers], "c_custkey bigint"),
+                            ("supplier", [(n,) for n in suppliers], "s_suppkey bigint"),
+                            ("orders", [(4, dt.datetime(1995, 1, 1))], f"o_custkey bigint, o_orderdate {when}")):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+def test_trip_fact_and_service_metric_see_every_poll(spark, tmpdir_path):
+    """Five polls of an hour, the trip canceled in the last: RAW as loaded keeps the first poll alone."""
+    polls = [(i, dt.datetime(2024, 1, 10, 10, i), 4, "error" if i == 4 else "purchase", 1.0, '{"k": 5}') for i in range(5)]
+    folder = _folder(spark, tmpdir_path, polls, [4])
+    q = registry()
+    assert [(r.trip_id, r.entity_id, r.trip_schedule_rel) for r in q["fact_trip_updates"](spark, folder).collect()] == [("T4", "4", "CANCELED")]
+    assert [(r.scheduled_trips, r.delivered_trips, r.canceled_trips) for r in q["mart_service_delivered"](spark, folder).collect()] == [(1, 0, 1)]
+    assert [r.canceled_trips for r in q["report_service_delivered_daily"](spark, folder).select("canceled_trips").collect()] == [1]
+    assert [r.canceled_trips for r in q["report_service_range"](spark, folder).select("canceled_trips").collect()] == [1]
