@@ -185,3 +185,18 @@ def test_trip_fact_and_service_metric_see_every_poll(spark, tmpdir_path):
     assert [(r.scheduled_trips, r.delivered_trips, r.canceled_trips) for r in q["mart_service_delivered"](spark, folder).collect()] == [(1, 0, 1)]
     assert [r.canceled_trips for r in q["report_service_delivered_daily"](spark, folder).select("canceled_trips").collect()] == [1]
     assert [r.canceled_trips for r in q["report_service_range"](spark, folder).select("canceled_trips").collect()] == [1]
+
+
+def test_trips_and_stop_times_of_one_small_file_are_made_in_many_tasks(spark, tmpdir_path):
+    """A key file of one split: its rows are dealt over tasks before they are multiplied, and no task holds most of them."""
+    polls = [(1, dt.datetime(2024, 1, 10, 10, 0), 4, "purchase", 1.0, '{"k": 5}')]
+    m = TransitModel(spark, _folder(spark, tmpdir_path, polls, range(2_000)), every_poll=True)
+    for made, rows in ((m.t.dim_stop_times, 30_000), (m.t.dim_trips, 6_000)):
+        counts = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(counts) == rows and max(counts) < rows / 4, counts
+    plan = m.scheduled_bus_trips._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[feed_start_date#\d+, trip_id#\d+\]", plan), plan
+    # the metric's rows of single trips are hashed, not sorted, when they are counted
+    plan = m.mart_service_delivered._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"HashAggregate\(keys=\[trip_start_date#.*functions=\[partial_sum\(scheduled_trips", plan), plan
+    assert not re.search(r"SortAggregate\(.*partial_sum\(x", plan)
