@@ -14,6 +14,7 @@ from headway.operators import active_on_dates, daily_totals, union_of_days
 from headway.plans import marts
 from headway.plans.model import TransitModel
 from headway.plans.registry import registry
+from headway.sinks import tables as sinks
 
 SMALL = "/root/testdata/sf0.001"
 D0 = dt.date(2024, 1, 1)
@@ -200,3 +201,38 @@ def test_trips_and_stop_times_of_one_small_file_are_made_in_many_tasks(spark, tm
     plan = m.mart_service_delivered._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"HashAggregate\(keys=\[trip_start_date#.*functions=\[partial_sum\(scheduled_trips", plan), plan
     assert not re.search(r"SortAggregate\(.*partial_sum\(x", plan)
+
+
+def test_written_stop_events_meet_stop_times_by_shuffle(spark, tmpdir_path, monkeypatch):
+    """The reports and the sink write the mart first: what they write sends no stop times to the driver either."""
+    polls = [(1, dt.datetime(2024, 1, 15, 10, 0), 4, "view", 1.0, '{"k": 6}')]
+    folder = _folder(spark, tmpdir_path, polls, [4])
+    written, clustered = [], sinks.clustered
+
+    def noted(df, *columns):
+        out = clustered(df, *columns)
+        written.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(sinks, "clustered", noted)
+    q = registry()
+    for name in ("report_otp_daily", "report_otp_day", "report_otp_hourly", "report_worst_otp_routes", "sink_stop_events"):
+        del written[:]
+        assert len(q[name](spark, folder).collect()) == (name != "report_worst_otp_routes")     # which asks for more events
+        assert written, name
+        for plan in written:
+            joins = re.findall(r"(\w+Join) \[trip_id#\d+, stop_sequence#", plan)
+            assert joins and set(joins) == {"SortMergeJoin"}, (name, plan)
+
+
+def test_trips_stay_dealt_when_they_meet(spark, tmpdir_path):
+    """Adaptive execution merges small shuffled partitions, here into one: the joins' rows were asked to stay dealt."""
+    polls = [(1, dt.datetime(2024, 1, 10, 10, 0), 4, "purchase", 1.0, '{"k": 5}')]
+    m = TransitModel(spark, _folder(spark, tmpdir_path, polls, range(2_000)), every_poll=True)
+    counts = [r["count"] for r in m.scheduled_bus_trips.groupBy(F.spark_partition_id()).count().collect()]
+    # of 200 trips of the bus route, 40 first leave after midnight
+    assert sum(counts) == 160 and max(counts) < 160 / 3, counts
+    plan = m.mart_service_delivered._jdf.queryExecution().executedPlan().toString()
+    asked = r"Exchange hashpartitioning\(%s, \d+\), REPARTITION_BY_NUM"
+    assert re.search(asked % r"trip_id#\d+, trip_start_date#\d+, static_version_date#\d+", plan), plan
+    assert re.search(asked % r"feed_start_date#\d+, trip_id#\d+", plan), plan
