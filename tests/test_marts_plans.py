@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from headway.operators import active_on_dates, daily_totals, union_of_days
-from headway.plans import marts
+from headway.plans import facts, marts
 from headway.plans.model import TransitModel
 from headway.plans.registry import registry
 from headway.sinks import tables as sinks
@@ -236,3 +236,23 @@ def test_trips_stay_dealt_when_they_meet(spark, tmpdir_path):
     asked = r"Exchange hashpartitioning\(%s, \d+\), REPARTITION_BY_NUM"
     assert re.search(asked % r"trip_id#\d+, trip_start_date#\d+, static_version_date#\d+", plan), plan
     assert re.search(asked % r"feed_start_date#\d+, trip_id#\d+", plan), plan
+
+
+def test_snapshot_rows_of_one_split_are_sorted_in_many_tasks(spark, tmpdir_path, monkeypatch):
+    """Every poll in one file with one row group, all of one trip: the step that keeps the newest row gets them dealt."""
+    polls = [(i, dt.datetime(2024, 1, 10, 10, 0) + dt.timedelta(seconds=i), 4, "error" if i == 1_999 else "purchase", 1.0, '{"k": 5}')
+             for i in range(2_000)]
+    folder = _folder(spark, tmpdir_path, polls, [4])
+    sorted_rows, latest = [], facts.latest_per_key
+
+    def noted(df, *args, **kwargs):
+        sorted_rows.append([r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()])
+        return latest(df, *args, **kwargs)
+
+    monkeypatch.setattr(facts, "latest_per_key", noted)
+    q = registry()
+    assert [r.delivered_trips for r in q["report_service_delivered_daily"](spark, folder).select("delivered_trips").collect()] == [0]
+    assert [r.canceled_trips for r in q["report_service_range"](spark, folder).select("canceled_trips").collect()] == [1]
+    assert len(sorted_rows) == 2
+    for counts in sorted_rows:
+        assert sum(counts) == 2_000 and max(counts) < 2_000 / 3, counts
