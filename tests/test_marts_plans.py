@@ -188,6 +188,19 @@ def test_trip_fact_and_service_metric_see_every_poll(spark, tmpdir_path):
     assert [r.canceled_trips for r in q["report_service_range"](spark, folder).select("canceled_trips").collect()] == [1]
 
 
+def test_service_sink_sees_every_poll(spark, tmpdir_path):
+    """As above, two days: the replaced table has the metric of every poll, not that of the fifth polls."""
+    polls = [(10 * d + i, dt.datetime(2024, 1, d, 10, i), 4, "error" if i == 4 and d == 10 else "purchase", 1.0, '{"k": 5}')
+             for d in (10, 11) for i in range(5)]
+    folder = _folder(spark, tmpdir_path, polls, [4])
+    q = registry()
+    rows = q["sink_service_delivered"](spark, folder)
+    mart = q["mart_service_delivered"](spark, folder)
+    assert rows.columns == mart.columns
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, mart.collect()))
+    assert [(r.trip_start_date.day, r.delivered_trips, r.canceled_trips) for r in rows.orderBy("trip_start_date").collect()] == [(10, 0, 1), (11, 1, 0)]
+
+
 def test_trips_and_stop_times_of_one_small_file_are_made_in_many_tasks(spark, tmpdir_path):
     """A key file of one split: its rows are dealt over tasks before they are multiplied, and no task holds most of them."""
     polls = [(1, dt.datetime(2024, 1, 10, 10, 0), 4, "purchase", 1.0, '{"k": 5}')]
