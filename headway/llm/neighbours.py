@@ -12,9 +12,13 @@ boundary vectors are found from either side.  *Search*: the centroids, held in m
 graph; a query walks it best-first and visits the lists whose distance is within a ratio of its
 nearest centroid's.  The ratio is measured on the sample: the one at which the lists hold ``RECALL`` of
 the exact neighbours of ``PROBES`` sample vectors (neighbours within a sample are farther than among all
-vectors, so the ratio errs to the safe side).  Lists are stored as blocks of at most ``BLOCK_ROWS`` vectors and queries as blocks
-too, so a list that is large all the same (or that most queries visit) is many small joins, never one task;
-no list is cut.  Scores are computed on the original vectors in double precision.
+vectors, so the ratio errs to the safe side).  Scores are computed on the original vectors in double precision; no list is cut.
+
+*Memory*: a query may visit most lists, so its vector is not copied for each.  Lists are dealt to *shelves*; a chunk of at most
+``BLOCK_ROWS`` queries goes once to every shelf it visits, with a bit per query for each list.  A scoring task has
+a *tile*, one shelf and one part of the queries (as many as ``HELD_BYTES`` hold): it keeps their vectors, the lists pass by in
+blocks of ``BLOCK_ROWS`` vectors, and a score counts only if it reaches the query's ``k + 1``-th so far.  Whatever is made of a batch is
+given out in pieces of ``PIECE_BYTES``.
 
 Vectors of different lengths have no inner product: each length is a set with lists of its own, and a query
 is answered among the vectors of its length.
@@ -28,6 +32,7 @@ an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import prepare, stored
+from headway.llm.common import buffers, prepare, stored
 
 K = 20
 SAMPLE = 20_000        # vectors that the centroids are fitted on
@@ -51,7 +56,13 @@ REPLICAS = 4           # lists of a vector at most; part of the index that the p
 RECALL = 0.97          # share of exact neighbours, within the sample, that the visited lists must hold
 PROBES = 256           # queries of the sample on which the pruning ratio is set
 BLOCK_ROWS = 512
-HELD_ROWS = 1 << 20    # candidates a scoring task keeps before it cuts them down per query
+HELD_BYTES = 32 << 20  # query vectors that a scoring task keeps, about; short ones count as QUERY_BYTES
+QUERY_BYTES = 512
+TILE_BYTES = 256 << 20  # vectors of a shelf, about
+PIECE_BYTES = 8 << 20  # vectors given out at once
+CELLS = 1 << 20        # distances computed at once
+VISITS = 1 << 16       # visits of lists kept at once, about
+HELD_TIMES = 3         # times the k + 1 best of a query that a scoring task keeps before it cuts them down
 DEGREE = 24            # neighbours of a centroid in the graph
 BEAM = 64              # candidates kept during a walk, at least
 
@@ -93,9 +104,13 @@ class Lists:
         self.longest = longest
         n = len(centroids)
         degree = min(DEGREE, n - 1)
-        d = ((centroids ** 2).sum(axis=1)[None, :] - 2 * centroids @ centroids.T)
-        np.fill_diagonal(d, np.inf)
-        near = np.argsort(d, axis=1)[:, :degree]
+        half = (centroids ** 2).sum(axis=1)
+        near = np.zeros((n, degree), np.int64)
+        step = max(1, CELLS // n)
+        for a in range(0, n, step):
+            d = half[None, :] - 2 * centroids[a: a + step] @ centroids.T
+            d[np.arange(len(d)), np.arange(a, a + len(d))] = np.inf
+            near[a: a + step] = np.argsort(d, axis=1)[:, :degree]
         # a few long edges keep the graph connected for the walk
         rng = np.random.default_rng(5)
         ring = np.stack([(np.arange(n) + 1) % n, rng.permutation(n)], axis=1)
@@ -109,6 +124,13 @@ class Lists:
 
     def assign(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of every vector: the nearest list and near ones at the boundary."""
+        step = max(1, CELLS // len(self.c))
+        pieces = [(a, *self._assign(v[a: a + step])) for a in range(0, len(v), step)]
+        if not pieces:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([a + rows for a, rows, _ in pieces]), np.concatenate([at for _, _, at in pieces])
+
+    def _assign(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = self.lift(v, False)
         d = np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] - 2 * x @ self.c.T + (self.c ** 2).sum(axis=1), 0))
         k = min(REPLICAS, d.shape[1])
@@ -142,8 +164,9 @@ class Lists:
             seen = np.flatnonzero((dist < np.inf) & ~done)
             if not len(seen):
                 break
-            known = np.sort(dist[dist < np.inf])
-            limit = max(prune * best, known[min(BEAM, len(known)) - 1])
+            known = dist[dist < np.inf]
+            last = min(BEAM, len(known)) - 1
+            limit = max(prune * best, np.partition(known, last)[last])
             todo = seen[dist[seen] <= limit]
             if not len(todo):
                 break
@@ -155,6 +178,18 @@ class Lists:
                 dist[new] = np.linalg.norm(self.c[new] - x, axis=1)
         return np.flatnonzero(dist <= prune * dist.min())
 
+    def visits(self, v: np.ndarray, prune: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, list) of every list that a query visits, in pieces."""
+        rows, at, n = [], [], 0
+        for i, x in enumerate(v):
+            seen = self.visit(x, prune)
+            rows.append(np.full(len(seen), i))
+            at.append(seen)
+            n += len(seen)
+            if n >= VISITS or i == len(v) - 1:
+                yield np.concatenate(rows), np.concatenate(at)
+                rows, at, n = [], [], 0
+
 
 # ---------------------------------------------------------------- Spark jobs
 
@@ -172,13 +207,31 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(float) if n else np.zeros((0, 0))
 
 
+def _rows(lists: np.ndarray, ids: np.ndarray, v: np.ndarray, r: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(list, id, row) of the vectors ``v[r]``, in batches of about PIECE_BYTES."""
+    size = 8 * v.shape[1]
+    step = max(1, PIECE_BYTES // size)
+    for a in range(0, len(r), step):
+        at = r[a: a + step]
+        data = np.ascontiguousarray(v[at], "<f8")
+        offsets = np.arange(len(at) + 1, dtype=np.int32) * np.int32(size)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lists[a: a + step], pa.int64()), pa.array(ids[at], pa.int64()),
+             pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])], names=["list", "id", "row"])
+
+
 def build_lists(distinct: DataFrame, sample: int = SAMPLE, list_rows: int = LIST_ROWS, max_lists: int = MAX_LISTS) -> Lists | None:
     """Centroids fitted on the ``sample`` distinct vectors of smallest hash."""
     n, longest = distinct.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate(
         "v", F.lit(0.0), lambda a, x: a + x * x)))).first()
     if not n:
         return None
-    rows = distinct.orderBy(F.xxhash64("least"), "least").limit(sample).select("v").toPandas()["v"]
+    at = F.xxhash64("least")
+    few = -(1 << 63) + int((1 << 64) * min(1.0, (1.3 * sample + 1000) / n))       # most rows need not be sorted
+    for some in ([distinct.where(at < few)] if few < 1 << 63 else []) + [distinct]:
+        rows = some.orderBy(at, "least").limit(sample).select("v").toPandas()["v"]
+        if len(rows) >= min(sample, n):
+            break
     x = np.stack([np.asarray(v, float) for v in rows])
     lists = int(min(max_lists, max(1, round(n / list_rows)), max(1, len(x) // 4)))
     longest = longest * (1 + 1e-9)
@@ -232,23 +285,22 @@ def deal_again(dealt: DataFrame, indexes: DataFrame, kind: str) -> DataFrame:
         at, index = None, None
         held: list[tuple[int, bytes]] = []
 
-        def close() -> pa.RecordBatch:
+        def close() -> Iterator[pa.RecordBatch]:
             ids = np.array([i for i, _ in held], np.int64)
-            v = np.stack([np.frombuffer(r, "<f8") for _, r in held]) if index is not None else None
+            v = np.stack([np.frombuffer(r, "<f8") for _, r in held])
             if index is None:
-                rows, own = np.arange(len(held)), np.zeros(len(held), np.int64)
+                pieces = [(np.arange(len(held)), np.zeros(len(held), np.int64))]
             elif kind == "rows":
-                rows, own = index.assign(v)
+                pieces = [index.assign(v)]
             else:
-                visited = [index.visit(x, index.prune) for x in v]
-                rows, own = np.repeat(np.arange(len(v)), [len(x) for x in visited]), np.concatenate(visited)
-            return pa.RecordBatch.from_arrays([pa.array((at[0] << 32) + own, pa.int64()), pa.array(ids[rows]),
-                                               pa.array([held[i][1] for i in rows.tolist()], pa.binary())], names=["list", "id", "row"])
+                pieces = index.visits(v, index.prune)
+            for rows, own in pieces:
+                yield from _rows((at[0] << 32) + own, ids, v, rows)
 
         for b in batches:
             for number, salt, raw, i, row in zip(*(c.to_pylist() for c in b.columns)):
-                if held and ((number, salt) != at or len(held) >= 4096):
-                    yield close()
+                if held and ((number, salt) != at or len(held) >= 4096 or len(held) * len(row or b"") >= PIECE_BYTES):
+                    yield from close()
                     held = []
                 if (number, salt) != at:
                     at, index = (number, salt), None
@@ -257,11 +309,182 @@ def deal_again(dealt: DataFrame, indexes: DataFrame, kind: str) -> DataFrame:
                 else:
                     held.append((i, row))
         if held:
-            yield close()
+            yield from close()
 
     return both.mapInArrow(run, "list long, id long, row binary")
 
 
+# ---------------------------------------------------------------- tiles
+
+TILE = "tile int, list long, kind int, id long, ids binary, m binary"
+VECTORS, ASKED, LISTED = range(3)      # kinds of a tile's rows; vectors come first, then list by list who asks and what it holds
+
+
+class Tiles:
+    """Shelves of lists and parts of the queries; a tile is one of each."""
+
+    def __init__(self, shelves: int, parts: int):
+        self.shelves, self.parts = shelves, parts
+
+    def shelf(self, lists):
+        """Of list numbers, or of a column of them: numbers of split lists differ in the upper half too."""
+        if isinstance(lists, Column):
+            return F.pmod(lists + F.shiftright(lists, 32), F.lit(self.shelves))
+        return (lists + (lists >> 32)) % self.shelves
+
+    def chunk(self, ids: np.ndarray, v: np.ndarray, lists: np.ndarray, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of a chunk of queries: ``seen[i, j]`` says that the i-th visits ``lists[j]``.  Its first id names the chunk."""
+        met = np.flatnonzero(seen.any(axis=0))
+        bits = np.ascontiguousarray(np.packbits(seen[:, met], axis=0).T)
+        lists = lists[met]
+        shelf = self.shelf(lists)
+        part = zlib.crc32(int(ids[0]).to_bytes(8, "little", signed=True)) % self.parts
+        names, vectors = ids.astype("<i8").tobytes(), v.astype("<f8").tobytes()
+        for s in np.unique(shelf).tolist():
+            own = np.flatnonzero(shelf == s)
+            n = len(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s * self.parts + part] * (n + 1), pa.int32()), pa.array([-1, *lists[own].tolist()], pa.int64()),
+                 pa.array([VECTORS] + [ASKED] * n, pa.int32()), pa.array([int(ids[0])] * (n + 1), pa.int64()),
+                 pa.array([names] + [b""] * n, pa.binary()), pa.array([vectors, *(bits[j].tobytes() for j in own)], pa.binary())],
+                names=["tile", "list", "kind", "id", "ids", "m"])
+
+    def gather(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(list, id, row) of queries, sorted by length and id -> rows of their chunks."""
+        ids: list[int] = []
+        rows: list[bytes] = []
+        lists: list[list[int]] = []
+        n = 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            met, at = np.unique(np.concatenate(lists), return_inverse=True)
+            seen = np.zeros((len(ids), len(met)), bool)
+            seen[np.repeat(np.arange(len(ids)), [len(x) for x in lists]), at] = True
+            return self.chunk(np.array(ids, np.int64), np.stack([np.frombuffer(r, "<f8") for r in rows]), met, seen)
+
+        for b in batches:
+            for number, i, row in zip(*(c.to_pylist() for c in b.columns)):
+                if ids and i != ids[-1] and (len(ids) >= BLOCK_ROWS or n >= VISITS or len(row) != len(rows[0])
+                                             or len(ids) * len(row) >= PIECE_BYTES):
+                    yield from close()
+                    ids, rows, lists, n = [], [], [], 0
+                if not ids or i != ids[-1]:
+                    ids.append(i)
+                    rows.append(row)
+                    lists.append([])
+                lists[-1].append(number)
+                n += 1
+        if ids:
+            yield from close()
+
+
+class Chunk:
+    """Queries of a scoring task, and the ``k + 1`` best of each among the vectors shown so far."""
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray, k: int):
+        self.ids, self.v, self.k = ids, v, k
+        self.length = np.sqrt((v * v).sum(1))
+        self.reached = np.full(len(ids), -np.inf)      # a score that k + 1 of these reach
+        self.held: list[tuple] = []
+        self.rows = 0
+
+    def show(self, which: np.ndarray, ids: np.ndarray, y: np.ndarray, longest: float) -> None:
+        """Some vectors of a list that ``which`` of the queries visit."""
+        top = min(self.k + 1, len(ids))
+        s = (self.v if len(which) == len(self.ids) else self.v[which]) @ y.T
+        reached = self.reached[which]
+        slack = 1e-12 * self.length[which] * longest      # what sums of this size are rounded by: all ties count
+        over = s >= (reached - slack)[:, None]
+        many = np.flatnonzero(np.count_nonzero(over, axis=1) > top)
+        if len(many):
+            last = s.shape[1] - top
+            cut = np.maximum(np.partition(s[many], last, axis=1)[:, last], reached[many])
+            over[many] = s[many] >= (cut - slack[many])[:, None]
+        q, at = np.nonzero(over)
+        if len(q):
+            self.held.append((which[q].astype(np.int32), ids[at], s[q, at]))
+            self.rows += len(q)
+            if self.rows > HELD_TIMES * (self.k + 1) * len(self.ids):
+                self.cut()
+
+    def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Only the best stay: (query, least, near).  A vector met in several lists counts once."""
+        q, at, near = (np.concatenate(x) for x in zip(*self.held))
+        order = np.lexsort((-near, at, q))
+        q, at, near = q[order], at[order], near[order]
+        new = np.concatenate([[True], (q[1:] != q[:-1]) | (at[1:] != at[:-1])])
+        q, at, near = q[new], at[new], near[new]
+        order = np.lexsort((at, -near, q))
+        q, at, near = q[order], at[order], near[order]
+        first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+        nth = np.arange(len(q)) - np.repeat(first, np.diff(np.concatenate([first, [len(q)]])))
+        last = nth == self.k
+        self.reached[q[last]] = near[last]
+        keep = nth <= self.k
+        best = q[keep], at[keep], near[keep]
+        self.held, self.rows = [best], len(best[0])
+        return best
+
+
+def score_tiles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Rows of tiles, sorted by tile, list and kind -> the best of every query in each tile."""
+    tile, number = None, None
+    chunks: dict[int, Chunk] = {}                        # of the tile
+    asking: list[tuple[Chunk, np.ndarray]] = []          # who visits the list
+    ids: list[np.ndarray] = []                           # a block of it
+    blob: list[bytes] = []
+
+    def show() -> None:
+        n = sum(map(len, ids))
+        if n and asking:
+            own, y = np.concatenate(ids), np.frombuffer(b"".join(blob), "<f8").reshape(n, -1)
+            longest = np.sqrt((y * y).sum(1).max())
+            for chunk, which in asking:
+                chunk.show(which, own, y, longest)
+        ids.clear()
+        blob.clear()
+
+    def best() -> Iterator[pa.RecordBatch]:
+        for chunk in chunks.values():
+            if chunk.held:
+                q, at, near = chunk.cut()
+                yield pa.RecordBatch.from_arrays([pa.array(chunk.ids[q]), pa.array(at), pa.array(near)], names=["q", "least", "near"])
+        chunks.clear()
+
+    for b in batches:
+        at = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(3)])
+        name = b.column(3).to_numpy()
+        raw, off = buffers(b.column(5))
+        edge = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+        for a, e in zip([0, *edge.tolist()], [*edge.tolist(), b.num_rows]):
+            now, where, kind = at[:, a].tolist()
+            if (now, where) != (tile, number):
+                show()
+                asking = []
+                if now != tile:
+                    yield from best()
+                tile, number = now, where
+            if kind == VECTORS:
+                for i in range(a, e):
+                    own = np.frombuffer(b.column(4)[i].as_py(), "<i8")
+                    chunks[int(name[i])] = Chunk(own, np.frombuffer(raw[off[i]: off[i + 1]].tobytes(), "<f8").reshape(len(own), -1), k)
+            elif kind == ASKED:
+                for i in range(a, e):
+                    chunk = chunks[int(name[i])]
+                    asking.append((chunk, np.flatnonzero(np.unpackbits(raw[off[i]: off[i + 1]], count=len(chunk.ids)))))
+            else:
+                while a < e:
+                    z = min(e, a + BLOCK_ROWS - sum(map(len, ids)))
+                    if asking:
+                        ids.append(name[a: z])
+                        blob.append(raw[off[a]: off[z]].tobytes())
+                    a = z
+                    if sum(map(len, ids)) >= BLOCK_ROWS:
+                        show()
+    show()
+    yield from best()
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding",
            prune: float | None = None, sample: int = SAMPLE, list_rows: int = LIST_ROWS, max_lists: int = MAX_LISTS,
            split_rows: int = SPLIT_ROWS, sub_sample: int = SUB_SAMPLE) -> DataFrame:
@@ -292,100 +515,63 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_
     wanted = vectors.where(is_query).select(F.col(id_col), F.col(vec_col))
     asked = usable(wanted, id_col, vec_col).distinct().withColumnRenamed("id", "query_id")
     # queries with one vector are asked once
-    asked = stored(asked.join(distinct.select("v", F.col("least").alias("q")), "v").select("query_id", "q", "v"),
+    asked = stored(asked.join(distinct.select("v", F.col("least").alias("q")), "v").select("query_id", "q", "v", F.size("v").alias("w")),
                    "ann-queries")
 
+    def by_length(b: pa.RecordBatch) -> Iterator[tuple[Lists, int, np.ndarray, np.ndarray]]:
+        """The lists, the number of the first, ids and vectors of each length in a batch of (id, vector) rows."""
+        width = pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False)
+        for w in np.unique(width):
+            mine = np.flatnonzero(width == w)
+            step = max(1, PIECE_BYTES // (8 * int(w)))
+            for a in range(0, len(mine), step):
+                some = pa.array(mine[a: a + step])
+                yield *by_width[int(w)], b.column(0).take(some).to_numpy(), _matrix(b.column(1).take(some))
+
     def deal(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
         """(list, id, vector) rows: a vector in every list it belongs to, a query in every list it visits."""
         for b in batches:
-            width = pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False)
-            for w in np.unique(width):
-                mine = np.flatnonzero(width == w)
-                lists, first = by_width[int(w)]
-                v = _matrix(b.column(1).take(pa.array(mine)))
-                if kind == "rows":
-                    r, at = lists.assign(v)
-                else:
-                    visited = [lists.visit(x, lists.prune if prune is None else prune) for x in v]
-                    r, at = np.repeat(np.arange(len(v)), [len(x) for x in visited]), np.concatenate(visited)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(at + first, pa.int64()), b.column(0).take(pa.array(mine[r])),
-                     pa.array([x.tobytes() for x in v[r].astype("<f8")], pa.binary())], names=["list", "id", "row"])
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by list -> (list, ids, matrix) blocks of at most BLOCK_ROWS rows."""
-        now, ids, rows = None, [], []
-
-        def close() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int64()), pa.array([np.array(ids, "<i8").tobytes()], pa.binary()),
-                 pa.array([b"".join(rows)], pa.binary())], names=["list", "ids", "m"])
+            for lists, first, ids, v in by_length(b):
+                for r, at in [lists.assign(v)] if kind == "rows" else lists.visits(v, lists.prune if prune is None else prune):
+                    yield from _rows(at + first, ids, v, r)
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of chunks of queries."""
         for b in batches:
-            for at, i, row in zip(*(b.column(k).to_pylist() for k in range(3))):
-                if ids and (at != now or len(ids) >= BLOCK_ROWS):
-                    yield close()
-                    ids, rows = [], []
-                now = at
-                ids.append(i)
-                rows.append(row)
-        if ids:
-            yield close()
+            for lists, first, ids, v in by_length(b):
+                for a in range(0, len(v), BLOCK_ROWS):
+                    some = v[a: a + BLOCK_ROWS]
+                    seen = np.zeros((len(some), len(lists.c)), bool)
+                    for r, at in lists.visits(some, lists.prune if prune is None else prune):
+                        seen[r, at] = True
+                    yield from tiles.chunk(ids[a: a + BLOCK_ROWS], some, np.arange(first, first + len(lists.c)), seen)
 
     def dealt(rows: DataFrame, kind: str) -> DataFrame:
         return rows.mapInArrow(lambda it: deal(it, kind), "list long, id long, row binary")
 
-    def blocked(rows: DataFrame) -> DataFrame:
-        return rows.repartition("list").sortWithinPartitions("list").mapInArrow(blocks, "list long, ids binary, m binary")
+    # a part of the queries is held by a task, and meets all vectors: few parts; a shelf meets all queries: few shelves
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    once = asked.repartition(tasks, "q").dropDuplicates(["q"]).select("q", "v")
+    held = asked.select("q", "w").distinct().agg(F.sum(F.greatest(8 * F.col("w"), F.lit(QUERY_BYTES)))).first()[0] or 0
+    parts = max(1, -(-held // HELD_BYTES))
+    there = sum(8 * w * float(by_width[w][0].share.sum()) for w in widths)
+    tiles = Tiles(min(used, max(-(-tasks // parts), int(there / TILE_BYTES) + 1)), parts)
 
     postings = dealt(distinct.select("least", "v"), "rows")
-    questions = dealt(asked.dropDuplicates(["q"]).select("q", "v"), "queries")
     if big:
         postings = stored(postings, "ann-postings")
         indexes = split_lists(postings, big, list_rows, sub_sample)
-        postings, questions = deal_again(postings, indexes, "rows"), deal_again(questions, indexes, "queries")
-    postings, questions = blocked(postings), blocked(questions)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The k + 1 best of every query among the lists of this task."""
-        held: list[tuple] = []
-        rows = 0
-
-        def best() -> tuple:
-            q, at, near = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((-near, at, q))                 # a vector met in several lists counts once
-            q, at, near = q[order], at[order], near[order]
-            new = np.concatenate([[True], (q[1:] != q[:-1]) | (at[1:] != at[:-1])])
-            q, at, near = q[new], at[new], near[new]
-            order = np.lexsort((at, -near, q))
-            q, at, near = q[order], at[order], near[order]
-            first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-            nth = np.arange(len(q)) - np.repeat(first, np.diff(np.concatenate([first, [len(q)]])))
-            return q[nth <= k], at[nth <= k], near[nth <= k]
-
-        for b in batches:
-            for ids, m, qids, qm in zip(*(b.column(i).to_pylist() for i in range(4))):
-                ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
-                x, y = np.frombuffer(qm, "<f8").reshape(len(qids), -1), np.frombuffer(m, "<f8").reshape(len(ids), -1)
-                s = x @ y.T
-                top = min(k + 1, len(ids))
-                cut = -np.partition(-s, top - 1, axis=1)[:, top - 1:top]
-                # all ties of the last place, with what sums of this size are rounded by
-                slack = 1e-12 * np.sqrt((x * x).sum(1, keepdims=True)) * np.sqrt((y * y).sum(1).max())
-                q, at = np.nonzero(s >= cut - slack)
-                held.append((qids[q], ids[at], s[q, at]))
-                rows += len(q)
-                if rows > HELD_ROWS:
-                    held = [best()]
-                    rows = len(held[0][0])
-                    if rows > HELD_ROWS // 2:                  # many queries: give them out
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["q", "least", "near"])
-                        held, rows = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best()], names=["q", "least", "near"])
-
-    pairs = (questions.withColumnsRenamed({"ids": "qids", "m": "qm"}).join(postings, "list")
-             .select("ids", "m", "qids", "qm").mapInArrow(score, "q long, least long, near double"))
+        postings = deal_again(postings, indexes, "rows")
+        questions = deal_again(dealt(once, "queries"), indexes, "queries")
+        questions = questions.repartition("id").sortWithinPartitions(F.length("row"), "id").mapInArrow(tiles.gather, TILE)
+    else:
+        questions = once.mapInArrow(ask, TILE)
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    shelved = postings.select("list", "id", "row", every.alias("part")).select(
+        (tiles.shelf(F.col("list")) * parts + F.col("part")).cast("int").alias("tile"), "list", F.lit(LISTED).alias("kind"), "id",
+        F.lit(b"").alias("ids"), F.col("row").alias("m"))
+    both = questions.unionByName(shelved).repartitionById(tiles.shelves * parts, "tile").sortWithinPartitions("tile", "list", "kind")
+    pairs = both.mapInArrow(lambda it: score_tiles(it, k), "q long, least long, near double")
     best = Window.partitionBy("q").orderBy(F.desc("near"), "least")
     found = (pairs.groupBy("q", "least").agg(F.max("near").alias("near"))
              .withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r", "near"))

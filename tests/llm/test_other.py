@@ -157,6 +157,53 @@ def test_lists_keep_their_length_with_four_times_the_vectors(spark):
         assert length < 150 and both < 0.7 * first
 
 
+@pytest.mark.parametrize("parts", [1, 8])
+def test_neighbours_of_queries_that_visit_every_list(spark, monkeypatch, parts):
+    """2000 queries that visit all 500 lists: their vectors are not copied for each, no worker gives out more than some MB at
+    once, and what it gives out in all is a part of a row per visit."""
+    most, limit = spark.sparkContext.accumulator(0), 12 << 20
+    frame = type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def noted(self, func, schema, *args, **kwargs):
+        def run(batches):
+            for b in func(batches):
+                most.add(b.nbytes)
+                if b.nbytes > limit:
+                    raise ValueError(f"{b.nbytes} bytes in a batch of {b.num_rows} rows")
+                yield b
+        return plain(self, run, schema, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", noted)
+    if parts > 1:
+        monkeypatch.setattr(neighbours, "HELD_BYTES", 2000 * 512 // parts)
+    v = np.random.default_rng(6).normal(size=(2000, 16))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").coalesce(1)
+    got = {}
+    for r in neighbours.search(df, F.lit(True), prune=100.0, list_rows=4).collect():
+        got.setdefault(r.query_id, {})[r.rank] = r.vec_id
+    assert set(got) == set(range(2000)) and most.value < 2000 * 500 * 16 * 8 / 2
+    for q in range(0, 2000, 40):
+        assert [got[q][k] for k in range(1, 21)] == [i for i, _ in _exact(np.arange(2000), v, q)]
+
+
+def test_pieces_of_visits_and_lists_are_bounded():
+    """What is made of one batch: distances, visits and rows in pieces, the same as at once."""
+    v = np.random.default_rng(7).normal(size=(3000, 8))
+    index = neighbours.index_of(v[:1000], 250, float(np.sqrt((v * v).sum(1).max())))
+    whole = [index.visit(x, 100.0) for x in v]
+    pieces = list(index.visits(v, 100.0))
+    assert max(len(r) for r, _ in pieces) < neighbours.VISITS + 250 and len(pieces) > 10
+    assert np.array_equal(np.concatenate([at for _, at in pieces]), np.concatenate(whole))
+    assert np.array_equal(np.concatenate([r for r, _ in pieces]), np.repeat(np.arange(3000), [len(x) for x in whole]))
+    at_once, by_piece = index._assign(v), index.assign(v)
+    assert all(np.array_equal(a, b) for a, b in zip(at_once, by_piece))
+    r, at = np.repeat(np.arange(3000), 100), np.tile(np.arange(100), 3000)
+    batches = list(neighbours._rows(at, np.arange(3000), v, r))
+    assert max(b.nbytes for b in batches) < 2 * neighbours.PIECE_BYTES and sum(b.num_rows for b in batches) == 300_000
+    assert np.array_equal(np.frombuffer(batches[0].column(2)[150].as_py(), "<f8"), v[1])
+
+
 def test_neighbours_hot_row_and_ties_of_large_vectors(spark):
     """A third of all rows are one row; equal scores of vectors of large norm go to the smaller id."""
     rng = np.random.default_rng(3)
